@@ -1,0 +1,2 @@
+"""No streaming operators: the replicated workflow is a scheduled batch copy
+(each run re-reads a lookback window of the source). See README."""
