@@ -6,7 +6,6 @@ source column), so a whole database catalog is mapped in one job."""
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -65,16 +64,14 @@ SPARK_MAX_PRECISION = 38
 UNKNOWN_NOTE = '--UNKNOWN_DATATYPE: "%TCOL%" %UTYPE%'
 
 KNOWN_TYPES = tuple(r[0] for r in TYPE_RULES)
+_NULL_MARK = "\x00"
 
 CATALOG_COLUMNS = (
     "table_catalog", "table_schema", "table_name", "column_name", "ordinal_position",
     "data_type", "column_type", "character_maximum_length", "numeric_precision", "numeric_scale",
 )
 
-_TOKEN = re.compile(r"(%[A-Z]+%)")
-
-
-def _tokens() -> dict[str, Column]:
+def _token_values() -> dict[str, Column]:
     return {
         "%COL%": F.col("column_name"),
         "%TCOL%": F.col("target_column"),
@@ -86,22 +83,22 @@ def _tokens() -> dict[str, Column]:
     }
 
 
-def render(template: str | None) -> Column:
-    """Template text to a string Column; NULL when a placeholder's value is NULL."""
-    if template is None:
-        return F.lit(None).cast("string")
-    tokens = _tokens()
-    parts = [tokens[p] if p in tokens else F.lit(p) for p in _TOKEN.split(template) if p]
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+def fill(template: Column, tokens: tuple[str, ...] | None = None) -> Column:
+    """Replace the placeholders of a template column; NULL when a placeholder
+    that occurs has a NULL value (marked, then nulled once at the end, so the
+    expression grows linearly with the number of placeholders)."""
+    values = _token_values()
+    out = template
+    for token in tokens or tuple(values):
+        out = F.replace(out, F.lit(token), F.coalesce(values[token], F.lit(_NULL_MARK)))
+    return F.when(F.instr(out, _NULL_MARK) == 0, out)
 
 
-def _by_type(pick: int, decimal: Column) -> Column:
-    utype = F.upper(F.col("data_type"))
-    expr = None
-    for rule in TYPE_RULES:
-        value = decimal if rule[0] == "DECIMAL" else render(rule[pick])
-        expr = F.when(utype == rule[0], value) if expr is None else expr.when(utype == rule[0], value)
-    return expr
+def rules_frame(spark) -> DataFrame:
+    """TYPE_RULES as a lookup table (a fixed 38 rows)."""
+    return spark.createDataFrame(
+        [tuple(r) for r in TYPE_RULES],
+        "rule_type string, rule_ddl string, rule_load string, rule_spark string, rule_chars string")
 
 
 def _decimal_rule() -> tuple[Column, Column]:
@@ -124,21 +121,28 @@ def map_types(catalog: DataFrame, *, fold_case: bool = True) -> DataFrame:
     ``target_column`` (upper-cased when ``fold_case``), ``known``,
     ``target_type`` (DDL type text), ``column_ddl``, ``load_expr`` (source-side
     select expression), ``spark_type`` and ``char_length``. Unknown types get
-    NULL in all of them and a note in ``unknown_note``."""
+    NULL in all of them and a note in ``unknown_note``.
+
+    The rules are a 38-row lookup table joined by broadcast on the upper-cased
+    type name; the catalog is never shuffled."""
     ddl_dec, spark_dec = _decimal_rule()
-    utype = F.upper(F.col("data_type"))
-    known = utype.isin(*KNOWN_TYPES)
+    rules = F.broadcast(rules_frame(catalog.sparkSession))
     target_col = F.upper(F.col("column_name")) if fold_case else F.col("column_name")
-    out = catalog.withColumn("target_column", target_col).withColumn("known", known)
-    out = out.withColumns({
-        "target_type": _by_type(1, ddl_dec),
-        "load_expr": _by_type(2, render("`%COL%`")),
-        "spark_type": _by_type(3, spark_dec),
-        "char_length": _by_type(4, F.lit(None).cast("string")).cast("int"),
-    })
+    joined = (catalog.withColumn("target_column", target_col)
+              .join(rules, F.upper(F.col("data_type")) == F.col("rule_type"), "left"))
+    is_dec = F.col("rule_type") == "DECIMAL"
+    out = joined.select(
+        *catalog.columns, "target_column",
+        F.col("rule_type").isNotNull().alias("known"),
+        F.when(is_dec, ddl_dec).otherwise(fill(F.col("rule_ddl"))).alias("target_type"),
+        fill(F.col("rule_load"), ("%COL%", "%LEN%", "%PREC%")).alias("load_expr"),
+        F.when(is_dec, spark_dec).otherwise(fill(F.col("rule_spark"), ("%BITP%",))).alias("spark_type"),
+        fill(F.col("rule_chars"), ("%LEN%",)).cast("int").alias("char_length"),
+    )
+    note = fill(F.lit(UNKNOWN_NOTE), ("%TCOL%", "%UTYPE%"))
     return out.withColumns({
         "column_ddl": F.concat(F.lit('"'), F.col("target_column"), F.lit('" '), F.col("target_type")),
-        "unknown_note": F.when(~F.col("known"), render(UNKNOWN_NOTE)),
+        "unknown_note": F.when(~F.col("known"), note),
     })
 
 
@@ -206,14 +210,13 @@ def mapped_columns(catalog: DataFrame, *, fold_case: bool = True) -> list[Mapped
 
     A catalog has one row per column of the table, so this is metadata, not
     data; it drives the select list of the load."""
-    names = catalog.select("table_schema", "table_name").distinct().limit(2).collect()
-    if len(names) > 1:
-        raise ValueError("mapped_columns needs the catalog of one table; filter it first")
     rows = (map_types(catalog, fold_case=fold_case).where("known")
-            .select("ordinal_position", "column_name", "target_column", "data_type", "spark_type",
-                    "char_length", "load_expr")
+            .select("table_schema", "table_name", "ordinal_position", "column_name", "target_column",
+                    "data_type", "spark_type", "char_length", "load_expr")
             .orderBy("ordinal_position").collect())
-    out = [MappedColumn(r[0], r[1], r[2], r[3].upper(), r[4], r[5], r[6]) for r in rows]
+    if len({(r[0], r[1]) for r in rows}) > 1:
+        raise ValueError("mapped_columns needs the catalog of one table; filter it first")
+    out = [MappedColumn(r[2], r[3], r[4], r[5].upper(), r[6], r[7], r[8]) for r in rows]
     targets = [c.target_name for c in out]
     clash = {t for t in targets if targets.count(t) > 1}
     if clash:
