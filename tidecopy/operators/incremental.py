@@ -57,8 +57,8 @@ def chunk_grid(frame: DataFrame, start: Column, until: Column, freq: Freq | str)
     the last chunk is open (hi NULL). No window: the grid is an array, and
     each point's successor is the next element."""
     freq = parse_freq(freq) if isinstance(freq, str) else freq
-    seq = F.sequence(first_boundary(start.cast("timestamp_ntz"), freq), until.cast("timestamp_ntz"),
-                     F.expr(f"INTERVAL {freq.interval}"))
+    lo, hi = first_boundary(start.cast("timestamp_ntz"), freq), until.cast("timestamp_ntz")
+    seq = F.when(lo <= hi, F.sequence(lo, hi, F.expr(f"INTERVAL {freq.interval}")))  # NULL: no chunk
     return (frame.select(seq.alias("_grid"))
             .select("_grid", F.posexplode("_grid").alias("_i", "lo"))
             .select("lo", F.try_element_at("_grid", F.col("_i") + F.lit(2)).alias("hi")))
