@@ -64,34 +64,32 @@ SPARK_MAX_PRECISION = 38
 UNKNOWN_NOTE = '--UNKNOWN_DATATYPE: "%TCOL%" %UTYPE%'
 
 KNOWN_TYPES = tuple(r[0] for r in TYPE_RULES)
-_NULL_MARK = "\x00"
 
 CATALOG_COLUMNS = (
     "table_catalog", "table_schema", "table_name", "column_name", "ordinal_position",
     "data_type", "column_type", "character_maximum_length", "numeric_precision", "numeric_scale",
 )
 
-def _token_values() -> dict[str, Column]:
-    return {
-        "%COL%": F.col("column_name"),
-        "%TCOL%": F.col("target_column"),
-        "%CTYPE%": F.upper(F.col("column_type")),
-        "%UTYPE%": F.upper(F.col("data_type")),
-        "%LEN%": F.col("character_maximum_length").cast("string"),
-        "%PREC%": F.col("numeric_precision").cast("string"),
-        "%BITP%": F.least(F.col("numeric_precision"), F.lit(SPARK_MAX_PRECISION)).cast("string"),
-    }
-
-
-def fill(template: Column, tokens: tuple[str, ...] | None = None) -> Column:
-    """Replace the placeholders of a template column; NULL when a placeholder
-    that occurs has a NULL value (marked, then nulled once at the end, so the
-    expression grows linearly with the number of placeholders)."""
-    values = _token_values()
-    out = template
-    for token in tokens or tuple(values):
-        out = F.replace(out, F.lit(token), F.coalesce(values[token], F.lit(_NULL_MARK)))
-    return F.when(F.instr(out, _NULL_MARK) == 0, out)
+# SQL text of each placeholder's value, over the catalog columns.
+_TOKEN_SQL = {
+    "%COL%": "column_name",
+    "%TCOL%": "target_column",
+    "%CTYPE%": "upper(column_type)",
+    "%UTYPE%": "upper(data_type)",
+    "%LEN%": "cast(character_maximum_length AS string)",
+    "%PREC%": "cast(numeric_precision AS string)",
+    "%BITP%": f"cast(least(numeric_precision, {SPARK_MAX_PRECISION}) AS string)",
+}
+
+
+def fill_sql(template_sql: str, tokens: tuple[str, ...] | None = None) -> str:
+    """SQL that replaces the placeholders of a template; NULL when a
+    placeholder that occurs has a NULL value (marked, then nulled once at the
+    end, so the expression grows linearly with the number of placeholders)."""
+    out = template_sql
+    for token in tokens or tuple(_TOKEN_SQL):
+        out = f"replace({out}, '{token}', coalesce({_TOKEN_SQL[token]}, char(0)))"
+    return f"CASE WHEN instr({out}, char(0)) = 0 THEN {out} END"
 
 
 def rules_frame(spark) -> DataFrame:
@@ -101,18 +99,15 @@ def rules_frame(spark) -> DataFrame:
         "rule_type string, rule_ddl string, rule_load string, rule_spark string, rule_chars string")
 
 
-def _decimal_rule() -> tuple[Column, Column]:
-    """DDL text and Spark type of a DECIMAL(p,s): DOUBLE when p is unknown, else
-    precision capped at 36 and scale brought into 0..p."""
-    p, s = F.col("numeric_precision"), F.col("numeric_scale")
-    cap = F.least(p, F.lit(TARGET_MAX_PRECISION))
-    scale = F.when(s > p, p).when(s < 0, F.lit(0)).otherwise(s)
-    ddl = F.when(p.isNull(), F.lit("DOUBLE")).otherwise(
-        F.concat(F.lit("decimal("), cap.cast("string"), F.lit(","), scale.cast("string"), F.lit(")")))
-    spark_scale = F.least(F.coalesce(scale, F.lit(0)), cap)
-    stype = F.when(p.isNull(), F.lit("double")).otherwise(
-        F.concat(F.lit("decimal("), cap.cast("string"), F.lit(","), spark_scale.cast("string"), F.lit(")")))
-    return ddl, stype
+# DECIMAL(p,s): DOUBLE when p is unknown, else precision capped at 36 and scale
+# brought into 0..p (the Spark type also keeps scale <= capped precision).
+_DEC_SCALE = "CASE WHEN numeric_scale > numeric_precision THEN numeric_precision " \
+             "WHEN numeric_scale < 0 THEN 0 ELSE numeric_scale END"
+_DEC_CAP = f"least(numeric_precision, {TARGET_MAX_PRECISION})"
+_DEC_DDL = f"CASE WHEN numeric_precision IS NULL THEN 'DOUBLE' ELSE " \
+           f"concat('decimal(', {_DEC_CAP}, ',', {_DEC_SCALE}, ')') END"
+_DEC_SPARK = f"CASE WHEN numeric_precision IS NULL THEN 'double' ELSE " \
+             f"concat('decimal(', {_DEC_CAP}, ',', least(coalesce({_DEC_SCALE}, 0), {_DEC_CAP}), ')') END"
 
 
 def map_types(catalog: DataFrame, *, fold_case: bool = True) -> DataFrame:
@@ -125,25 +120,23 @@ def map_types(catalog: DataFrame, *, fold_case: bool = True) -> DataFrame:
 
     The rules are a 38-row lookup table joined by broadcast on the upper-cased
     type name; the catalog is never shuffled."""
-    ddl_dec, spark_dec = _decimal_rule()
     rules = F.broadcast(rules_frame(catalog.sparkSession))
-    target_col = F.upper(F.col("column_name")) if fold_case else F.col("column_name")
-    joined = (catalog.withColumn("target_column", target_col)
+    target_col = "upper(column_name)" if fold_case else "column_name"
+    joined = (catalog.withColumn("target_column", F.expr(target_col))
               .join(rules, F.upper(F.col("data_type")) == F.col("rule_type"), "left"))
-    is_dec = F.col("rule_type") == "DECIMAL"
-    out = joined.select(
-        *catalog.columns, "target_column",
-        F.col("rule_type").isNotNull().alias("known"),
-        F.when(is_dec, ddl_dec).otherwise(fill(F.col("rule_ddl"))).alias("target_type"),
-        fill(F.col("rule_load"), ("%COL%", "%LEN%", "%PREC%")).alias("load_expr"),
-        F.when(is_dec, spark_dec).otherwise(fill(F.col("rule_spark"), ("%BITP%",))).alias("spark_type"),
-        fill(F.col("rule_chars"), ("%LEN%",)).cast("int").alias("char_length"),
+    dec = "rule_type = 'DECIMAL'"
+    mapped = joined.selectExpr(
+        *[f"`{c}`" for c in catalog.columns], "target_column",
+        "rule_type IS NOT NULL AS known",
+        f"CASE WHEN {dec} THEN {_DEC_DDL} ELSE {fill_sql('rule_ddl')} END AS target_type",
+        f"{fill_sql('rule_load', ('%COL%', '%LEN%', '%PREC%'))} AS load_expr",
+        f"CASE WHEN {dec} THEN {_DEC_SPARK} ELSE {fill_sql('rule_spark', ('%BITP%',))} END AS spark_type",
+        f"cast({fill_sql('rule_chars', ('%LEN%',))} AS int) AS char_length",
     )
-    note = fill(F.lit(UNKNOWN_NOTE), ("%TCOL%", "%UTYPE%"))
-    return out.withColumns({
-        "column_ddl": F.concat(F.lit('"'), F.col("target_column"), F.lit('" '), F.col("target_type")),
-        "unknown_note": F.when(~F.col("known"), note),
-    })
+    note = fill_sql("'" + UNKNOWN_NOTE.replace("'", "''") + "'", ("%TCOL%", "%UTYPE%"))
+    return mapped.selectExpr(
+        "*", "concat('\"', target_column, '\" ', target_type) AS column_ddl",
+        f"CASE WHEN NOT known THEN {note} END AS unknown_note")
 
 
 def unknown_types(catalog: DataFrame, *, fold_case: bool = True) -> DataFrame:
@@ -213,7 +206,8 @@ def mapped_columns(catalog: DataFrame, *, fold_case: bool = True) -> list[Mapped
     rows = (map_types(catalog, fold_case=fold_case).where("known")
             .select("table_schema", "table_name", "ordinal_position", "column_name", "target_column",
                     "data_type", "spark_type", "char_length", "load_expr")
-            .orderBy("ordinal_position").collect())
+            .collect())
+    rows.sort(key=lambda r: r["ordinal_position"])  # one row per column of one table
     if len({(r[0], r[1]) for r in rows}) > 1:
         raise ValueError("mapped_columns needs the catalog of one table; filter it first")
     out = [MappedColumn(r[2], r[3], r[4], r[5].upper(), r[6], r[7], r[8]) for r in rows]
