@@ -52,3 +52,34 @@ def test_replicate_all_reports_failures(spark, sf_small):
                                                           now=D(2021, 3, 1)).collect()}
     assert status["rep.nation_all"]["ok"] is True and status["rep.nation_all"]["rows_written"] == 25
     assert status["rep.users_bad"]["ok"] is False and status["rep.users_bad"]["error"]
+
+
+def test_jdbc_source_first_load_then_merge(spark):
+    from tidecopy.sources import JdbcTable, catalog_from_frames, jdbc_scan, tables_from_frames
+    from tidecopy.sources.jdbc import jdbc_count, key_range
+
+    src = JdbcTable("jdbc:derby:memory:test_rep_users;create=true", "APP.USERS",
+                    {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
+    v1 = spark.createDataFrame([(i, D(2021, 1 + i % 2, 5), D(2021, 1 + i % 2, 5), f"n{i}") for i in range(1, 41)],
+                               SCHEMA)
+    (v1.write.format("jdbc").options(**src.options()).option("dbtable", src.table)
+     .option("createTableColumnTypes", "name VARCHAR(32)").mode("overwrite").save())
+    frame = jdbc_scan(spark, src)
+    cat = catalog_from_frames(spark, {"users": frame}, table_schema="baza")
+    tabs = tables_from_frames(spark, {"users": frame}, table_schema="baza")
+    s = spec(target_table_name="users_jdbc", source_partitions=3)
+    spark.sql("DROP TABLE IF EXISTS rep.users_jdbc")
+    st = replicate_table(spark, s, src, run_date="2021-03-01", now=D(2021, 3, 1, 12), catalog=cat, tables=tabs)
+    assert (st["path"], st["rows_written"]) == ("first_load", 40)
+    assert jdbc_count(spark, src).first()["n"] == 40
+    assert key_range(spark, src, "id", "\"id\" >= 30") == (30, 40)
+    # the source changes: row 3 updated, rows 41..45 new
+    v2 = (v1.where("id <> 3")
+          .union(spark.createDataFrame([(3, D(2021, 1, 5), D(2021, 3, 2), "changed")], SCHEMA))
+          .union(spark.createDataFrame([(i, D(2021, 3, 2), D(2021, 3, 2), f"n{i}") for i in range(41, 46)], SCHEMA)))
+    (v2.write.format("jdbc").options(**src.options()).option("dbtable", src.table)
+     .option("truncate", "true").mode("overwrite").save())
+    st = replicate_table(spark, s, src, run_date="2021-03-03", now=D(2021, 3, 3, 12), catalog=cat, tables=tabs)
+    assert (st["path"], st["rows_written"], st["source_n"], st["target_n"], st["ok"]) == ("merge", 45, 45, 45, True)
+    got = {int(r["ID"]): r["NAME"] for r in spark.table("rep.users_jdbc").collect()}
+    assert got[3] == "changed" and got[45] == "n45" and len(got) == 45

@@ -36,6 +36,18 @@ def watermark_predicate(df: DataFrame, watermarks: Mapping[str, str], since: dt.
     return reduce(or_, conds) if conds else F.lit(False)
 
 
+def watermark_sql(quote, literal, watermarks: Mapping[str, str], since: dt.datetime, key_max=None) -> str:
+    """The same predicate as source-dialect text, for statements the source
+    runs itself (e.g. the key range of the delta)."""
+    conds = []
+    for col, kind in watermarks.items():
+        if kind == "datetime":
+            conds.append(f"{quote(col)} >= {literal(since)}")
+        elif kind == "int" and key_max is not None:
+            conds.append(f"{quote(col)} >= {literal(key_max)}")
+    return " OR ".join(conds) if conds else "1 = 0"
+
+
 def incremental_filter(df: DataFrame, watermarks: Mapping[str, str], since: dt.datetime,
                        key_max=None) -> DataFrame:
     """New and changed rows since the last run (see ``watermark_predicate``)."""

@@ -18,12 +18,12 @@ from pyspark.sql import types as T
 
 from tidecopy.functions.timeparts import lookback_start
 from tidecopy.operators.checks import CountCheckError, count_check
-from tidecopy.operators.incremental import incremental_filter, key_max
+from tidecopy.operators.incremental import incremental_filter, key_max, watermark_sql
 from tidecopy.operators.merge import merge_upsert
 from tidecopy.operators.project import conform, replace_fields
 from tidecopy.operators.typemap import MappedColumn, mapped_columns
 from tidecopy.sources.catalog import catalog_from_frames, column_catalog, tables_from_frames
-from tidecopy.sources.jdbc import JdbcTable
+from tidecopy.sources.jdbc import JdbcTable, jdbc_count, key_range
 from tidecopy.sources.target import (
     chunked_load, ensure_table, full_load, quoted, recover, source_frame, write_swap,
 )
@@ -110,8 +110,17 @@ def replicate_table(spark: SparkSession, spec: TableSpec, source: DataFrame | Jd
             keys = _target_keys(spec, columns)
             km = key_max(current, keys[0])
             since = lookback_start(run_date, spec.lookback_days)
-            frame = source_frame(spark, source, columns)
-            delta = incremental_filter(frame, dict(spec.source_merge_columns), since, km)
+            watermarks = dict(spec.source_merge_columns)
+            if isinstance(source, JdbcTable) and spec.source_partitions > 1:
+                # split the delta read into key strides over the delta's own key range
+                key = spec.source_main_fields[0]
+                where = watermark_sql(source.quote, source.literal, watermarks, since, km)
+                frame = source_frame(spark, source, columns, partition_column=key,
+                                     num_partitions=spec.source_partitions,
+                                     bounds=key_range(spark, source, key, where))
+            else:
+                frame = source_frame(spark, source, columns)
+            delta = incremental_filter(frame, watermarks, since, km)
             delta = conform(replace_fields(delta, dict(spec.replace_fields_to)), columns)
             merged = merge_upsert(current, delta, keys)
             write_swap(merged, target)
@@ -125,8 +134,12 @@ def replicate_table(spark: SparkSession, spec: TableSpec, source: DataFrame | Jd
 
     status["rows_written"] = spark.table(tname).count()
     src_frame = source_frame(spark, source, columns)
+    counter = None
+    if isinstance(source, JdbcTable):  # count in the source, do not pull rows
+        counter = lambda col, upto: jdbc_count(spark, source, col, upto)
     check = count_check(src_frame, spark.table(tname), dict(spec.source_merge_columns), now=now,
-                        cutoff_column=spec.count_cutoff_column, tolerance=spec.count_tolerance).first()
+                        cutoff_column=spec.count_cutoff_column, tolerance=spec.count_tolerance,
+                        source_counter=counter).first()
     status.update(check_rule=check["rule"], source_n=check["source_n"], target_n=check["target_n"],
                   ok=check["ok"])
     if raise_on_check and not check["ok"]:

@@ -63,13 +63,40 @@ class JdbcTable:
         return opts
 
 
+def jdbc_query(spark: SparkSession, src: JdbcTable, query: str) -> DataFrame:
+    """Result of a source-side query (aggregates run in the source)."""
+    return spark.read.format("jdbc").options(**src.options()).option("query", query).load()
+
+
+def key_range(spark: SparkSession, src: JdbcTable, column: str, where_sql: str | None = None):
+    """(min, max) of ``column`` over the rows ``where_sql`` selects, computed
+    by the source."""
+    q = src.quote(column)
+    where = f" WHERE {where_sql}" if where_sql else ""
+    row = jdbc_query(spark, src, f"SELECT min({q}) AS lo, max({q}) AS hi FROM {src.table}{where}").first()
+    return row[0], row[1]
+
+
+def jdbc_count(spark: SparkSession, src: JdbcTable, column: str | None = None, upto=None) -> DataFrame:
+    """One row ``n``: rows of the source (``column <= upto`` when given),
+    counted by the source instead of pulled."""
+    where = f" WHERE {src.quote(column)} <= {src.literal(upto)}" if column is not None and upto is not None else ""
+    return jdbc_query(spark, src, f"SELECT count(*) AS n FROM {src.table}{where}").select(
+        F.col("n").cast("bigint").alias("n"))
+
+
 def jdbc_scan(spark: SparkSession, url: str | JdbcTable, table: str | None = None, *,
               columns: Sequence[str] | None = None, predicate: Column | None = None,
               predicates: Sequence[str] | None = None, query: str | None = None,
-              properties: Mapping[str, str] | None = None) -> DataFrame:
+              partition_column: str | None = None, num_partitions: int | None = None,
+              bounds: tuple | None = None, properties: Mapping[str, str] | None = None) -> DataFrame:
     """Rows of a source table. ``predicate`` (a Column) is pushed into the
     statement; ``predicates`` (source-dialect text) split the read into one
-    partition each; ``query`` replaces the table by a source-side select."""
+    partition each; ``query`` replaces the table by a source-side select.
+
+    ``partition_column`` + ``num_partitions`` split the read into key strides
+    between ``bounds`` (min, max; asked from the source when not given); the
+    first and last strides are open, so no row is lost whatever the bounds."""
     src = url if isinstance(url, JdbcTable) else JdbcTable(url, table or "", dict(properties or {}))
     opts = src.options()
     if predicates:
@@ -77,7 +104,17 @@ def jdbc_scan(spark: SparkSession, url: str | JdbcTable, table: str | None = Non
                              predicates=list(predicates), properties={k: v for k, v in opts.items() if k != "url"})
     else:
         reader = spark.read.format("jdbc").options(**opts)
-        reader = reader.option("query", query) if query else reader.option("dbtable", src.table)
+        split = bool(partition_column) and (num_partitions or 0) > 1
+        if query:  # a split read needs the subquery form
+            reader = reader.option("dbtable", f"({query}) q") if split else reader.option("query", query)
+        else:
+            reader = reader.option("dbtable", src.table)
+        if split:
+            lo, hi = bounds if bounds is not None else key_range(spark, src, partition_column)
+            if lo is not None and hi is not None and hi > lo:
+                reader = (reader.option("partitionColumn", partition_column)
+                          .option("lowerBound", str(lo)).option("upperBound", str(hi))
+                          .option("numPartitions", str(num_partitions)))
         df = reader.load()
     if columns:
         df = df.select(*[F.col(f"`{c}`") for c in columns])

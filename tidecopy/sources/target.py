@@ -94,15 +94,19 @@ def write_swap(df: DataFrame, name: str, *, partition_by: Sequence[str] | None =
 
 
 def source_frame(spark: SparkSession, source: DataFrame | JdbcTable, columns: Sequence[MappedColumn], *,
-                 predicates: Sequence[str] | None = None) -> DataFrame:
+                 predicates: Sequence[str] | None = None, partition_column: str | None = None,
+                 num_partitions: int | None = None, bounds: tuple | None = None) -> DataFrame:
     """Source rows with the mapped columns. A MySQL source gets the source-side
-    select list (binary, geometry and BIT conversions run there)."""
+    select list (binary, geometry and BIT conversions run there). A JDBC read
+    is split by ``predicates`` or by key strides (see ``jdbc_scan``)."""
     if isinstance(source, DataFrame):
         return source
+    split = dict(predicates=predicates, partition_column=partition_column, num_partitions=num_partitions,
+                 bounds=bounds)
     if source.dialect == "mysql":
         select = ", ".join(f"{c.load_expr} AS `{c.source_name}`" for c in columns)
-        return jdbc_scan(spark, source, query=f"select {select} from {source.table}", predicates=predicates)
-    return jdbc_scan(spark, source, columns=[c.source_name for c in columns], predicates=predicates)
+        return jdbc_scan(spark, source, query=f"select {select} from {source.table}", **split)
+    return jdbc_scan(spark, source, columns=[c.source_name for c in columns], **split)
 
 
 def full_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Sequence[MappedColumn],

@@ -56,6 +56,9 @@ class TableSpec:
     lookback_days: int = 3
     # Upper-case source column names in the target
     fold_case: bool = True
+    # Parallel statements per JDBC read of the delta (key strides); each is one
+    # source connection, so this bounds the load put on the source database.
+    source_partitions: int = 4
 
     def __post_init__(self):
         if self.load_type not in LOAD_TYPES:
