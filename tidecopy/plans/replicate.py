@@ -19,13 +19,12 @@ from pyspark.sql import types as T
 from tidecopy.functions.timeparts import lookback_start
 from tidecopy.operators.checks import CountCheckError, count_check
 from tidecopy.operators.incremental import incremental_filter, key_max, watermark_sql
-from tidecopy.operators.merge import merge_upsert
 from tidecopy.operators.project import conform, replace_fields
 from tidecopy.operators.typemap import MappedColumn, mapped_columns
 from tidecopy.sources.catalog import catalog_from_frames, column_catalog, tables_from_frames
 from tidecopy.sources.jdbc import JdbcTable, jdbc_count, key_range
 from tidecopy.sources.target import (
-    chunked_load, ensure_table, full_load, quoted, recover, source_frame, write_swap,
+    chunked_load, ensure_table, full_load, merge_into_target, quoted, recover, source_frame,
 )
 from tidecopy.spec import TableSpec
 
@@ -90,7 +89,8 @@ def replicate_table(spark: SparkSession, spec: TableSpec, source: DataFrame | Jd
     columns = spec_columns(spark, spec, source, catalog, tables)
     target = spec.target
     recover(spark, target)
-    created = ensure_table(spark, target, columns)
+    parts = dict(spec.partition_by)
+    created = ensure_table(spark, target, columns, partition_by=parts)
     status = {"table_name": f"{spec.target_schema}.{spec.target_table_name}", "load_type": spec.load_type,
               "created": created}
     tname = quoted(target)
@@ -99,9 +99,9 @@ def replicate_table(spark: SparkSession, spec: TableSpec, source: DataFrame | Jd
         if spec.source_freq is not None:
             chunked_load(spark, source, columns, target, column=spec.source_freq.column,
                          freq=spec.source_freq.freq, start_year=spec.source_freq.start_year,
-                         until=until, replace=dict(spec.replace_fields_to))
+                         until=until, replace=dict(spec.replace_fields_to), partition_by=parts)
         else:
-            full_load(spark, source, columns, target, replace=dict(spec.replace_fields_to))
+            full_load(spark, source, columns, target, replace=dict(spec.replace_fields_to), partition_by=parts)
 
     if spec.load_type == "merge":
         current = spark.table(tname)
@@ -122,8 +122,7 @@ def replicate_table(spark: SparkSession, spec: TableSpec, source: DataFrame | Jd
                 frame = source_frame(spark, source, columns)
             delta = incremental_filter(frame, watermarks, since, km)
             delta = conform(replace_fields(delta, dict(spec.replace_fields_to)), columns)
-            merged = merge_upsert(current, delta, keys)
-            write_swap(merged, target)
+            merge_into_target(spark, target, delta, keys, partition_by=parts)
             status["path"] = "merge"
         else:
             first_load()

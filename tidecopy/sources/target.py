@@ -8,7 +8,7 @@ the two renames is repaired by ``recover`` at the start of the next load."""
 from __future__ import annotations
 
 import datetime as dt
-from typing import Sequence
+from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,24 +43,41 @@ def struct_of(columns: Sequence[MappedColumn]) -> T.StructType:
                          for c in columns])
 
 
-def ensure_table(spark: SparkSession, name: str, schema: T.StructType | Sequence[MappedColumn]) -> bool:
+def ensure_table(spark: SparkSession, name: str, schema: T.StructType | Sequence[MappedColumn], *,
+                 partition_by: Mapping[str, str] | None = None) -> bool:
     """Create the schema and an empty table of the mapped types if the table is
-    missing. Returns True when it was created. An existing table is left as
-    it is (no schema evolution)."""
+    missing (with the ``partition_by`` columns, see ``with_partitions``).
+    Returns True when it was created. An existing table is left as it is (no
+    schema evolution)."""
     db, _ = split_name(name)
     recover(spark, name)
     if target_exists(spark, name):
         return False
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
     struct = schema if isinstance(schema, T.StructType) else struct_of(schema)
-    spark.createDataFrame([], struct).write.format("parquet").mode("ignore").saveAsTable(quoted(name))
+    empty = with_partitions(spark.createDataFrame([], struct), partition_by)
+    writer = empty.write.format("parquet").mode("ignore")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(quoted(name))
     return True
 
 
+def with_partitions(df: DataFrame, partition_by: Mapping[str, str] | None) -> DataFrame:
+    """Add the partition columns ``{name: SQL expression over the row}``.
+
+    The expressions must give every version of a row the same value (derive
+    them from the key, or from columns that never change): a merge then finds
+    a key's target row inside the partitions its delta rows fall in."""
+    if not partition_by:
+        return df
+    return df.withColumns({c: F.expr(e) for c, e in partition_by.items()})
+
+
 def drop_target(spark: SparkSession, name: str) -> bool:
     """DROP TABLE IF EXISTS, staging leftovers included. True if it existed."""
     existed = target_exists(spark, name)
-    for suffix in ("", "__next", "__old"):
+    for suffix in ("", "__next", "__old", "__parts"):
         spark.sql(f"DROP TABLE IF EXISTS {quoted(name, suffix)}")
     return existed
 
@@ -71,8 +88,12 @@ def recover(spark: SparkSession, name: str) -> None:
     has = lambda t: spark.catalog.tableExists(f"`{db}`.`{t}`")
     if not has(tbl) and has(f"{tbl}__next"):
         spark.sql(f"ALTER TABLE {quoted(name, '__next')} RENAME TO {quoted(name)}")
+        if spark.sql(f"DESCRIBE TABLE {quoted(name)}").where("col_name = '# Partition Information'").count():
+            spark.sql(f"MSCK REPAIR TABLE {quoted(name)} SYNC PARTITIONS")
     if has(tbl) and has(f"{tbl}__old"):
         spark.sql(f"DROP TABLE IF EXISTS {quoted(name, '__old')}")
+    if has(tbl) and has(f"{tbl}__parts"):
+        _overwrite_partitions(spark, name)  # a complete staged merge: redo its overwrite
 
 
 def write_swap(df: DataFrame, name: str, *, partition_by: Sequence[str] | None = None) -> None:
@@ -90,6 +111,8 @@ def write_swap(df: DataFrame, name: str, *, partition_by: Sequence[str] | None =
     if target_exists(spark, name):
         spark.sql(f"ALTER TABLE {quoted(name)} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {nxt} RENAME TO {quoted(name)}")
+    if partition_by:  # partition entries still name the staged paths: re-list them
+        spark.sql(f"MSCK REPAIR TABLE {quoted(name)} SYNC PARTITIONS")
     spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
@@ -110,11 +133,13 @@ def source_frame(spark: SparkSession, source: DataFrame | JdbcTable, columns: Se
 
 
 def full_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Sequence[MappedColumn],
-              target: str, *, replace: dict[str, str] | None = None) -> DataFrame:
+              target: str, *, replace: dict[str, str] | None = None,
+              partition_by: Mapping[str, str] | None = None) -> DataFrame:
     """Replace the target's rows with the whole source, conformed; returns the
     target table."""
     frame = replace_fields(source_frame(spark, source, columns), replace)
-    write_swap(conform(frame, columns), target)
+    write_swap(with_partitions(conform(frame, columns), partition_by), target,
+               partition_by=list(partition_by or ()))
     return spark.table(quoted(target))
 
 
@@ -131,7 +156,8 @@ def chunk_predicates(source: JdbcTable, column: str, bounds: Sequence[tuple], *,
 
 def chunked_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Sequence[MappedColumn],
                  target: str, *, column: str, freq: str, start_year: int, until: dt.datetime,
-                 include_rest: bool = False, replace: dict[str, str] | None = None) -> DataFrame:
+                 include_rest: bool = False, replace: dict[str, str] | None = None,
+                 partition_by: Mapping[str, str] | None = None) -> DataFrame:
     """First load cut into ``freq`` ranges of ``column`` from Jan 1 of
     ``start_year``; the last range is open-ended. A JDBC source is read with
     one partition (one bounded source statement) per range, all in one job.
@@ -147,7 +173,8 @@ def chunked_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Se
         preds = chunk_predicates(source, column, bounds, include_rest=include_rest)
         frame = source_frame(spark, source, columns, predicates=preds)
     frame = replace_fields(frame, replace)
-    write_swap(conform(frame, columns), target)
+    write_swap(with_partitions(conform(frame, columns), partition_by), target,
+               partition_by=list(partition_by or ()))
     tcol = next(c.target_name for c in columns if c.source_name.lower() == column.lower())
     return chunk_report(spark.table(quoted(target)), tcol, freq, bounds[0][0], bounds[-1][0])
 
@@ -161,14 +188,74 @@ def chunk_report(df: DataFrame, column: str, freq: str, first: dt.datetime, last
 
 def truncate_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Sequence[MappedColumn],
                   target: str, *, chunk=None, until: dt.datetime | None = None,
-                  replace: dict[str, str] | None = None) -> DataFrame:
+                  replace: dict[str, str] | None = None,
+                  partition_by: Mapping[str, str] | None = None) -> DataFrame:
     """Reload the target from scratch, chunked when a chunk spec is given.
     The old rows stay readable until the swap."""
     if chunk is not None:
         chunked_load(spark, source, columns, target, column=chunk.column, freq=chunk.freq,
-                     start_year=chunk.start_year, until=until or dt.datetime.now(), replace=replace)
+                     start_year=chunk.start_year, until=until or dt.datetime.now(), replace=replace,
+                     partition_by=partition_by)
         return spark.table(quoted(target))
-    return full_load(spark, source, columns, target, replace=replace)
+    return full_load(spark, source, columns, target, replace=replace, partition_by=partition_by)
+
+
+# Partition values collected to the driver to prune the target scan; above
+# this many touched partitions the scan is narrowed by a join instead.
+MAX_PRUNE_VALUES = 10000
+
+
+def merge_into_target(spark: SparkSession, target: str, delta: DataFrame, keys: Sequence[str], *,
+                      partition_by: Mapping[str, str] | None = None) -> dict:
+    """Upsert ``delta`` (target columns, no partition columns) into the target
+    table by ``keys``.
+
+    Unpartitioned target: merge everything, write ``__next``, swap.
+    Partitioned target: only the partitions the delta falls in are read (their
+    values prune the scan), merged, staged as ``__parts`` and written back
+    with a dynamic partition overwrite; every other partition's files stay as
+    they are. A crash after staging is finished by ``recover``."""
+    from tidecopy.operators.merge import merge_upsert
+    from tidecopy.session import stage
+
+    current = spark.table(quoted(target))
+    if not partition_by:
+        write_swap(merge_upsert(current, delta, keys), target)
+        return {"partitions": None}
+    pcols = list(partition_by)
+    delta = stage(with_partitions(delta, partition_by).select(*current.columns))
+    touched = delta.select(*pcols).distinct()
+    values = touched.limit(MAX_PRUNE_VALUES + 1).collect()
+    if len(pcols) == 1 and len(values) <= MAX_PRUNE_VALUES:
+        # static partition pruning on the listed values
+        c = F.col(f"`{pcols[0]}`")
+        present = [v[0] for v in values if v[0] is not None]
+        cond = c.isin(present) | c.isNull() if len(present) < len(values) else c.isin(present)
+        part_target = current.where(cond)
+    elif len(values) <= MAX_PRUNE_VALUES // 50:
+        cond = F.lit(False)
+        for v in values:
+            one = F.lit(True)
+            for c in pcols:
+                one = one & F.col(f"`{c}`").eqNullSafe(F.lit(v[c]))
+            cond = cond | one
+        part_target = current.where(cond)
+    else:
+        # too many partitions to list: narrow by a join (no pruning, same result)
+        part_target = current.join(F.broadcast(touched) if len(values) <= MAX_PRUNE_VALUES else touched,
+                                   [current[c].eqNullSafe(touched[c]) for c in pcols], "left_semi")
+    merged = merge_upsert(part_target, delta, keys, stage_delta=False)
+    spark.sql(f"DROP TABLE IF EXISTS {quoted(target, '__parts')}")
+    merged.write.format("parquet").mode("overwrite").partitionBy(*pcols).saveAsTable(quoted(target, "__parts"))
+    _overwrite_partitions(spark, target)
+    return {"partitions": len(values)}
+
+
+def _overwrite_partitions(spark: SparkSession, target: str) -> None:
+    cols = spark.table(quoted(target)).columns
+    staged = spark.table(quoted(target, "__parts")).select(*[F.col(f"`{c}`") for c in cols])
+    staged.write.option("partitionOverwriteMode", "dynamic").insertInto(quoted(target), overwrite=True)
+    spark.sql(f"DROP TABLE IF EXISTS {quoted(target, '__parts')}")
 
 
 def append_target(df: DataFrame, name: str, columns: Sequence[str] | None = None) -> None:

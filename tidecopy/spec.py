@@ -59,6 +59,11 @@ class TableSpec:
     # Parallel statements per JDBC read of the delta (key strides); each is one
     # source connection, so this bounds the load put on the source database.
     source_partitions: int = 4
+    # Target partition columns {name: SQL expression over the target row}; each
+    # must give all versions of a row the same value (a function of the key,
+    # e.g. {"ID_RANGE": "floor(ID / 1000000)"}). Merges then rewrite only the
+    # partitions the delta touches.
+    partition_by: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self):
         if self.load_type not in LOAD_TYPES:
