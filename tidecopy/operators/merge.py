@@ -9,8 +9,9 @@ duplicate delta keys that match nothing are all inserted.
 
 Plan, built from joins only:
 
-* NULL-key rows bypass every join (they cannot match), so a NULL key holding a
-  third of the table never lands in one shuffle partition.
+* NULL-key rows cannot match. When the target is shuffled they bypass every
+  join, so a NULL key holding a third of the table never lands in one shuffle
+  partition; when the delta is broadcast they just pass the left join.
 * ``matched`` = distinct target keys that occur in the delta, with the delta's
   multiplicity. Staged once; it drives the duplicate guard and the insert
   branch, and its size is bounded by the delta's key count.
@@ -106,7 +107,12 @@ def merge_upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], *,
         return F.broadcast(df) if small else df
 
     key_ok = reduce(and_, [F.col(f"`{k}`").isNotNull() for k in keys])
-    t_keyed, t_nullkey = target.where(key_ok), target.where(~key_ok)
+    if small:
+        # the target is streamed past a broadcast delta: NULL keys cannot skew
+        # anything and simply find no match, so the target is not split
+        t_keyed, t_nullkey = target, None
+    else:
+        t_keyed, t_nullkey = target.where(key_ok), target.where(~key_ok)
     d_keyed, d_nullkey = delta.where(key_ok), delta.where(~key_ok)
 
     delta_key_n = d_keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -138,5 +144,5 @@ def merge_upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], *,
     else:
         updated = t_keyed  # every column is a key: nothing to update
 
-    return (updated.unionByName(t_nullkey).unionByName(inserts.select(*cols))
-            .unionByName(d_nullkey))
+    out = updated if t_nullkey is None else updated.unionByName(t_nullkey)
+    return out.unionByName(inserts.select(*cols)).unionByName(d_nullkey)
