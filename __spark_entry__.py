@@ -317,7 +317,7 @@ def q_replicate_merge_partitioned(spark, sf_dir):
     """The same merge into a target partitioned by key range: only the ranges
     the delta falls in are read and rewritten."""
     orders = _t(spark, sf_dir, "orders")
-    parts = {"O_RANGE": "cast(O_ORDERKEY div 1000 AS bigint)"}
+    parts = {"O_RANGE": "cast(O_ORDERKEY div 10000 AS bigint)"}
     spec = _orders_spec("orders_merge_parts", partition_by=parts)
     spark.sql(f"DROP TABLE IF EXISTS `{DEMO_DB}`.`orders_merge_parts`")
     cols = _mapped(spark, "orders", orders)
@@ -573,7 +573,7 @@ _ORACLES = {
       WITH {_ORDERS_REPLICA}, merged AS ({_MERGED_ORDERS})
       SELECT CAST(o_orderkey AS DECIMAL(20,0)) AS "O_ORDERKEY", CAST(o_custkey AS DECIMAL(20,0)) AS "O_CUSTKEY",
              o_orderstatus AS "O_ORDERSTATUS", o_totalprice AS "O_TOTALPRICE", o_orderdate AS "O_ORDERDATE",
-             o_orderpriority AS "O_ORDERPRIORITY", CAST(o_orderkey // 1000 AS BIGINT) AS "O_RANGE"
+             o_orderpriority AS "O_ORDERPRIORITY", CAST(o_orderkey // 10000 AS BIGINT) AS "O_RANGE"
       FROM merged""",
     "replicate_all": f"""
       SELECT '{DEMO_DB}.all_nation' AS table_name, count(*) AS rows_written, TRUE AS ok FROM nation

@@ -23,6 +23,10 @@ def build_session(master: str | None = None, *, app_name: str = "tidecopy",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # staged deltas are checkpoints: delete them once no longer referenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # replicate_all runs tables side by side in their own pools
+        "spark.scheduler.mode": "FAIR",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -21,6 +21,11 @@ from tidecopy.operators.typemap import MappedColumn
 from tidecopy.sources.jdbc import JdbcTable, jdbc_scan
 
 
+# Rows per output file: one task (e.g. one JDBC chunk) can hold a month of a
+# large table; cut its output into files readers can split and skip.
+MAX_RECORDS_PER_FILE = 5_000_000
+
+
 def split_name(name: str) -> tuple[str, str]:
     parts = [p.strip("`") for p in name.replace("`.`", ".").split(".")]
     if len(parts) != 2 or not all(parts):
@@ -97,14 +102,19 @@ def recover(spark: SparkSession, name: str) -> None:
 
 
 def write_swap(df: DataFrame, name: str, *, partition_by: Sequence[str] | None = None) -> None:
-    """Write ``df`` as the new content of ``name``: stage, then swap."""
+    """Write ``df`` as the new content of ``name``: stage, then swap.
+
+    A partitioned write is rebalanced on the partition columns first: AQE
+    packs small partitions into few files and splits a hot one across tasks."""
     spark = df.sparkSession
     db, _ = split_name(name)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
     recover(spark, name)
     nxt, old = quoted(name, "__next"), quoted(name, "__old")
     spark.sql(f"DROP TABLE IF EXISTS {nxt}")
-    writer = df.write.format("parquet").mode("overwrite")
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    writer = df.write.format("parquet").mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(nxt)
@@ -246,7 +256,9 @@ def merge_into_target(spark: SparkSession, target: str, delta: DataFrame, keys:
                                    [current[c].eqNullSafe(touched[c]) for c in pcols], "left_semi")
     merged = merge_upsert(part_target, delta, keys, stage_delta=False)
     spark.sql(f"DROP TABLE IF EXISTS {quoted(target, '__parts')}")
-    merged.write.format("parquet").mode("overwrite").partitionBy(*pcols).saveAsTable(quoted(target, "__parts"))
+    (merged.hint("rebalance", *pcols).write.format("parquet").mode("overwrite")
+     .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+     .partitionBy(*pcols).saveAsTable(quoted(target, "__parts")))
     _overwrite_partitions(spark, target)
     return {"partitions": len(values)}
 
