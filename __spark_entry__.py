@@ -23,7 +23,7 @@ from tidecopy.operators import (
     merge_upsert, replace_fields, unknown_types,
 )
 from tidecopy.plans import replicate_all, replicate_table
-from tidecopy.session import warehouse_dir
+from tidecopy.session import local_frame, warehouse_dir
 from tidecopy.sources import (
     JdbcTable, append_jdbc, append_target, catalog_from_frames, chunked_load, column_catalog,
     ensure_table, full_load, jdbc_scan, load_tsv, run_sql, tables_from_frames, truncate_load,
@@ -218,8 +218,8 @@ def q_ensure_table(spark, sf_dir):
     spark.sql(f"DROP TABLE IF EXISTS `{DEMO_DB}`.`part_ensure`")
     ensure_table(spark, target, _mapped(spark, "part", part))
     fields = spark.table(f"`{DEMO_DB}`.`part_ensure`").schema.fields
-    return spark.createDataFrame([(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)],
-                                 "ordinal_position int, column_name string, spark_type string")
+    return local_frame(spark, [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)],
+                       "ordinal_position int, column_name string, spark_type string")
 
 
 def q_append_target(spark, sf_dir):

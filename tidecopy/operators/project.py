@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecopy.operators.typemap import MappedColumn
+from tidecopy.session import local_frame
 
 
 def column_pairs(source_catalog: DataFrame, target_catalog: DataFrame) -> DataFrame:
@@ -35,8 +36,8 @@ def column_pairs(source_catalog: DataFrame, target_catalog: DataFrame) -> DataFr
 def catalog_of(df: DataFrame, table_schema: str = "", table_name: str = "") -> DataFrame:
     """(table_schema, table_name, ordinal_position, column_name) of a DataFrame."""
     rows = [(table_schema, table_name, i + 1, f.name) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(
-        rows, "table_schema string, table_name string, ordinal_position int, column_name string")
+    return local_frame(df.sparkSession, rows,
+                       "table_schema string, table_name string, ordinal_position int, column_name string")
 
 
 def replace_fields(df: DataFrame, replacements: Mapping[str, str | Column] | None) -> DataFrame:

@@ -94,8 +94,10 @@ def fill_sql(template_sql: str, tokens: tuple[str, ...] | None = None) -> str:
 
 def rules_frame(spark) -> DataFrame:
     """TYPE_RULES as a lookup table (a fixed 38 rows)."""
-    return spark.createDataFrame(
-        [tuple(r) for r in TYPE_RULES],
+    from tidecopy.session import local_frame
+
+    return local_frame(
+        spark, [tuple(r) for r in TYPE_RULES],
         "rule_type string, rule_ddl string, rule_load string, rule_spark string, rule_chars string")
 
 

@@ -26,6 +26,7 @@ from tidecopy.sources.jdbc import JdbcTable, jdbc_count, key_range
 from tidecopy.sources.target import (
     chunked_load, ensure_table, full_load, merge_into_target, quoted, recover, source_frame,
 )
+from tidecopy.session import local_frame
 from tidecopy.spec import TableSpec
 
 STATUS_SCHEMA = T.StructType([
@@ -174,4 +175,4 @@ def replicate_all(spark: SparkSession, jobs: Sequence[tuple[TableSpec, DataFrame
     with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
         statuses = list(pool.map(run, jobs))
     rows = [tuple(s.get(f.name) for f in STATUS_SCHEMA.fields) for s in statuses]
-    return spark.createDataFrame(rows, STATUS_SCHEMA)
+    return local_frame(spark, rows, STATUS_SCHEMA)

@@ -67,3 +67,19 @@ def stage(df: DataFrame) -> DataFrame:
     lost executors do not lose it."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def local_frame(spark: SparkSession, rows, schema) -> DataFrame:
+    """A small DataFrame of driver-side rows (catalog rows, statuses), handed
+    to the JVM as one Arrow table: a local relation, no Python workers."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    struct = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    names = struct.names
+    table = pa.Table.from_pylist([dict(zip(names, r)) for r in rows], schema=to_arrow_schema(struct))
+    df = spark.createDataFrame(table)
+    # keep the declared types and nullability exactly
+    return df if df.schema == struct else df.select(
+        *[df[f.name].cast(f.dataType).alias(f.name) for f in struct.fields])

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidecopy.session import local_frame
+
 CATALOG_SCHEMA = T.StructType([
     T.StructField("table_catalog", T.StringType()),
     T.StructField("table_schema", T.StringType()),
@@ -78,13 +80,13 @@ def catalog_from_frames(spark: SparkSession, frames: Mapping[str, DataFrame], *,
         for i, f in enumerate(df.schema.fields):
             dtype, ctype, length, prec, scale = source_type_of(f.dataType)
             rows.append((table_catalog, table_schema, name, f.name, i + 1, dtype, ctype, length, prec, scale))
-    return spark.createDataFrame(rows, CATALOG_SCHEMA)
+    return local_frame(spark, rows, CATALOG_SCHEMA)
 
 
 def tables_from_frames(spark: SparkSession, frames: Mapping[str, DataFrame], *,
                        table_schema: str, table_catalog: str = "def") -> DataFrame:
     rows = [(table_catalog, table_schema, name, "BASE TABLE") for name in frames]
-    return spark.createDataFrame(rows, TABLES_SCHEMA)
+    return local_frame(spark, rows, TABLES_SCHEMA)
 
 
 def jdbc_catalog(spark: SparkSession, url: str, properties: Mapping[str, str] | None = None,

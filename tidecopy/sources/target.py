@@ -18,6 +18,7 @@ from tidecopy.functions.timeparts import chunk_start
 from tidecopy.operators.incremental import chunk_list
 from tidecopy.operators.project import conform, replace_fields
 from tidecopy.operators.typemap import MappedColumn
+from tidecopy.session import local_frame
 from tidecopy.sources.jdbc import JdbcTable, jdbc_scan
 
 
@@ -60,7 +61,7 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType | Sequence
         return False
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
     struct = schema if isinstance(schema, T.StructType) else struct_of(schema)
-    empty = with_partitions(spark.createDataFrame([], struct), partition_by)
+    empty = with_partitions(local_frame(spark, [], struct), partition_by)
     writer = empty.write.format("parquet").mode("ignore")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
