@@ -26,7 +26,7 @@ from tidecopy.plans import replicate_all, replicate_table
 from tidecopy.session import local_frame, warehouse_dir
 from tidecopy.sources import (
     JdbcTable, append_jdbc, append_target, catalog_from_frames, chunked_load, column_catalog,
-    ensure_table, full_load, jdbc_scan, load_tsv, run_sql, tables_from_frames, truncate_load,
+    drop_target, ensure_table, full_load, jdbc_scan, load_tsv, run_sql, tables_from_frames, truncate_load,
     write_swap, write_tsv,
 )
 
@@ -222,6 +222,17 @@ def q_ensure_table(spark, sf_dir):
                        "ordinal_position int, column_name string, spark_type string")
 
 
+def q_drop_target(spark, sf_dir):
+    nation = _t(spark, sf_dir, "nation")
+    target = f"{DEMO_DB}.nation_drop"
+    full_load(spark, nation, _mapped(spark, "nation", nation), target)
+    rows_before = spark.table(f"`{DEMO_DB}`.`nation_drop`").count()
+    existed = drop_target(spark, target)
+    exists_after = spark.catalog.tableExists(f"`{DEMO_DB}`.`nation_drop`")
+    return local_frame(spark, [(existed, exists_after, rows_before)],
+                       "existed_before boolean, exists_after boolean, rows_before bigint")
+
+
 def q_append_target(spark, sf_dir):
     supplier = _t(spark, sf_dir, "supplier")
     cols = _mapped(spark, "supplier", supplier)
@@ -360,6 +371,7 @@ _QUERIES = {
     "chunk_bounds": q_chunk_bounds,
     "truncate_load": q_truncate_load,
     "ensure_table": q_ensure_table,
+    "drop_target": q_drop_target,
     "append_target": q_append_target,
     "tsv_load": q_tsv_load,
     "jdbc_scan": q_jdbc_scan,
@@ -527,6 +539,8 @@ _ORACLES = {
       SELECT CAST(ordinal_position AS INTEGER) AS ordinal_position, upper(column_name) AS column_name,
              {_SPARK_TYPE} AS spark_type
       FROM information_schema.columns WHERE table_name = 'part'""",
+    "drop_target": """
+      SELECT TRUE AS existed_before, FALSE AS exists_after, count(*) AS rows_before FROM nation""",
     "append_target": """
       SELECT CAST(s_suppkey AS DECIMAL(20,0)) AS "S_SUPPKEY", s_name AS "S_NAME",
              CAST(s_nationkey AS DECIMAL(11,0)) AS "S_NATIONKEY", s_acctbal AS "S_ACCTBAL" FROM supplier

@@ -191,3 +191,19 @@ def test_hot_null_key_bypasses_join(spark):
 def test_duplicate_keys_report(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (None, 3), (None, 3)], "a long, b long")
     assert rows(duplicate_keys(df, ["a", "b"])) == [(1, 1, 2), (None, 3, 2)]
+
+
+def test_hot_target_key_on_shuffle_path(spark):
+    # one key holds a third of the target; the delta updates it and inserts others
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        target = spark.range(3000).select(
+            F.when(F.col("id") < 1000, F.lit(7)).otherwise(F.col("id")).alias("k"), F.lit("t").alias("v"))
+        delta = spark.createDataFrame([(7, "hot"), (5000, "new")], "k long, v string")
+        out = merge_upsert(target, delta, ["k"], broadcast_bytes=0)
+        assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+        got = {r["v"]: r["n"] for r in out.groupBy("v").count().withColumnRenamed("count", "n").collect()}
+        assert got == {"hot": 1000, "t": 2000, "new": 1}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
