@@ -30,6 +30,16 @@ def test_first_load_then_merge(spark):
     assert (st["path"], st["rows_written"], st["check_rule"], st["ok"]) == ("merge", 3, "cutoff", True)
     got = sorted((int(r["ID"]), r["NAME"]) for r in spark.table("rep.users").collect())
     assert got == [(1, "a2"), (2, "b"), (3, "c")]
+    # the merge recorded the key maximum; the next run reads it instead of scanning
+    from tidecopy.sources.target import append_target, stored_key_max
+
+    assert stored_key_max(spark, "rep.users", "ID") == "3"
+    v3 = v2.union(spark.createDataFrame([(9, D(2021, 1, 1), D(2021, 1, 1), "old-ts-high-id")], SCHEMA))
+    st = replicate_table(spark, spec(), v3, run_date="2021-03-04", now=D(2021, 3, 4, 12))
+    assert st["rows_read"] == 3  # ids 1, 3 (updated since 03-01) and 9 (id >= stored max 3)
+    assert stored_key_max(spark, "rep.users", "ID") == "9"
+    append_target(spark.createDataFrame([(20, "x")], "id long, name string"), "rep.users")
+    assert stored_key_max(spark, "rep.users", "ID") is None
 
 
 def test_replace_fields_on_both_paths(spark):

@@ -75,14 +75,16 @@ def broadcast_limit(spark) -> int:
 
 def merge_upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], *,
                  stage_delta: bool = True, broadcast_bytes: int | None = None,
-                 check_duplicates: bool = True) -> DataFrame:
+                 check_duplicates: bool = True, stats: dict | None = None) -> DataFrame:
     """Merged rows of ``target`` after upserting ``delta`` by ``keys``.
 
     ``delta`` must have the target's columns (any order); it is cast to the
     target's types. With ``stage_delta`` the delta is materialised once in the
     checkpoint folder (a live source is read exactly once). Returns a lazy
     DataFrame in the target's column order; write it elsewhere (a table being
-    read cannot be overwritten) and swap."""
+    read cannot be overwritten) and swap. ``stats``, when given, receives the
+    delta's ``rows``, ``bytes``, the max of its first key (``key_max``) and
+    whether it was broadcast (``broadcast``)."""
     keys = list(keys)
     cols = target.columns
     if not keys:
@@ -100,8 +102,11 @@ def merge_upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], *,
         delta = stage(delta)
 
     limit = broadcast_limit(target.sparkSession) if broadcast_bytes is None else broadcast_bytes
-    stats = delta.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(delta)).alias("b")).first()
-    small = limit >= 0 and (stats["b"] or 0) <= limit
+    measured = delta.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(delta)).alias("b"),
+                         F.max(F.col(f"`{keys[0]}`")).alias("k")).first()
+    small = limit >= 0 and (measured["b"] or 0) <= limit
+    if stats is not None:
+        stats.update(rows=measured["n"], bytes=measured["b"] or 0, key_max=measured["k"], broadcast=small)
 
     def side(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if small else df

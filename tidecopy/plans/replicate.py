@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import traceback
+from decimal import Decimal
 from concurrent.futures import ThreadPoolExecutor
 from typing import Mapping, Sequence
 
@@ -25,6 +26,7 @@ from tidecopy.sources.catalog import catalog_from_frames, column_catalog, tables
 from tidecopy.sources.jdbc import JdbcTable, jdbc_count, key_range
 from tidecopy.sources.target import (
     chunked_load, ensure_table, full_load, merge_into_target, quoted, recover, source_frame,
+    store_key_max, stored_key_max,
 )
 from tidecopy.session import local_frame
 from tidecopy.spec import TableSpec
@@ -80,6 +82,30 @@ def _target_keys(spec: TableSpec, columns: Sequence[MappedColumn]) -> list[str]:
     return keys
 
 
+def _as_key(text: str, like):
+    """A stored key maximum (text) as a value comparable with ``like``."""
+    if isinstance(like, Decimal):
+        return Decimal(text)
+    if isinstance(like, int):
+        return int(Decimal(text))
+    if isinstance(like, float):
+        return float(text)
+    if isinstance(like, dt.datetime):
+        return dt.datetime.fromisoformat(text)
+    if isinstance(like, dt.date):
+        return dt.date.fromisoformat(text)
+    return text
+
+
+def _larger(a, b):
+    """max of the previous key maximum (maybe stored text) and the delta's."""
+    if a is None or b is None:
+        return b if a is None else a
+    if isinstance(a, str):
+        a = _as_key(a, b)
+    return max(a, b)
+
+
 def replicate_table(spark: SparkSession, spec: TableSpec, source: DataFrame | JdbcTable, *,
                     run_date: dt.date | dt.datetime | str, now: dt.datetime | None = None,
                     catalog: DataFrame | None = None, tables: DataFrame | None = None,
@@ -109,7 +135,8 @@ def replicate_table(spark: SparkSession, spec: TableSpec, source: DataFrame | Jd
         has_rows = bool(current.limit(1).count())
         if has_rows:
             keys = _target_keys(spec, columns)
-            km = key_max(current, keys[0])
+            stored = stored_key_max(spark, target, keys[0])
+            km = stored if stored is not None else key_max(current, keys[0])
             since = lookback_start(run_date, spec.lookback_days)
             watermarks = dict(spec.source_merge_columns)
             if isinstance(source, JdbcTable) and spec.source_partitions > 1:
@@ -123,7 +150,10 @@ def replicate_table(spark: SparkSession, spec: TableSpec, source: DataFrame | Jd
                 frame = source_frame(spark, source, columns)
             delta = incremental_filter(frame, watermarks, since, km)
             delta = conform(replace_fields(delta, dict(spec.replace_fields_to)), columns)
-            merge_into_target(spark, target, delta, keys, partition_by=parts)
+            merged = merge_into_target(spark, target, delta, keys, partition_by=parts)
+            status["rows_read"] = merged.get("rows")
+            new_max = _larger(km, merged.get("key_max"))
+            store_key_max(spark, target, keys[0], new_max)
             status["path"] = "merge"
         else:
             first_load()

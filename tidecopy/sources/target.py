@@ -230,9 +230,10 @@ def merge_into_target(spark: SparkSession, target: str, delta: DataFrame, keys:
     from tidecopy.session import stage
 
     current = spark.table(quoted(target))
+    stats: dict = {}
     if not partition_by:
-        write_swap(merge_upsert(current, delta, keys), target)
-        return {"partitions": None}
+        write_swap(merge_upsert(current, delta, keys, stats=stats), target)
+        return {"partitions": None, **stats}
     pcols = list(partition_by)
     delta = stage(with_partitions(delta, partition_by).select(*current.columns))
     touched = delta.select(*pcols).distinct()
@@ -255,13 +256,36 @@ def merge_into_target(spark: SparkSession, target: str, delta: DataFrame, keys:
         # too many partitions to list: narrow by a join (no pruning, same result)
         part_target = current.join(F.broadcast(touched) if len(values) <= MAX_PRUNE_VALUES else touched,
                                    [current[c].eqNullSafe(touched[c]) for c in pcols], "left_semi")
-    merged = merge_upsert(part_target, delta, keys, stage_delta=False)
+    merged = merge_upsert(part_target, delta, keys, stage_delta=False, stats=stats)
     spark.sql(f"DROP TABLE IF EXISTS {quoted(target, '__parts')}")
     (merged.hint("rebalance", *pcols).write.format("parquet").mode("overwrite")
      .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
      .partitionBy(*pcols).saveAsTable(quoted(target, "__parts")))
     _overwrite_partitions(spark, target)
-    return {"partitions": len(values)}
+    return {"partitions": len(values), **stats}
+
+
+# Table property holding the key maximum a merge left behind.
+KEY_MAX_PROPERTY = "tidecopy.key_max."
+
+
+def stored_key_max(spark: SparkSession, name: str, column: str):
+    """The key maximum recorded by the last merge, as text, or None. A
+    rewritten table (full, chunked, truncate load) starts without one."""
+    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect()}
+    return props.get(KEY_MAX_PROPERTY + column.upper())
+
+
+def store_key_max(spark: SparkSession, name: str, column: str, value) -> None:
+    """Record the key maximum so the next run need not scan the key column.
+    A merge never deletes, so max(before, delta) is the new maximum; a value
+    lower than the truth only widens the next delta, never loses rows."""
+    key = KEY_MAX_PROPERTY + column.upper()
+    if value is None:
+        spark.sql(f"ALTER TABLE {quoted(name)} UNSET TBLPROPERTIES IF EXISTS ('{key}')")
+    else:
+        text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {quoted(name)} SET TBLPROPERTIES ('{key}' = '{text}')")
 
 
 def _overwrite_partitions(spark: SparkSession, target: str) -> None:
@@ -288,3 +312,6 @@ def append_target(df: DataFrame, name: str, columns: Sequence[str] | None = None
                       if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name)
                       for f in target.schema.fields])
     out.write.insertInto(quoted(name))
+    for prop in spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect():
+        if prop["key"].startswith(KEY_MAX_PROPERTY):  # appended rows may raise it
+            spark.sql(f"ALTER TABLE {quoted(name)} UNSET TBLPROPERTIES IF EXISTS ('{prop['key']}')")
