@@ -25,6 +25,7 @@ def test_sample_spec_builds():
     ({"source_database_type": "oracle"}, "source_database_type"),
     ({"source_freq": {"data_filed": "created_at", "freq": "BM", "start_year": 2018}}, "unsupported freq"),
     ({"no_such_key": 1}, "unknown spec keys"),
+    ({"source_main_field": "id"}, "as a list"),
 ])
 def test_invalid_specs(change, message):
     conf = dict(BASE)

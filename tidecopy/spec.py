@@ -110,6 +110,9 @@ class TableSpec:
             chunk = freq
         elif freq.get("data_filed") and freq.get("freq") and freq.get("start_year"):
             chunk = ChunkSpec(freq["data_filed"], freq["freq"], int(freq["start_year"]))
+        for single in ("source_main_field", "target_main_field"):
+            if single in conf:
+                raise SpecError(f"{single} is not read: give {single}s as a list, e.g. [{conf[single]}]")
         known = set(cls.__dataclass_fields__)
         unknown = set(conf) - known
         if unknown:
