@@ -100,3 +100,24 @@ def test_run_sql_binds_parameters(spark):
     assert df.first()["n"] == 3
     # a value is never spliced into the text
     assert run_sql(spark, "SELECT :s AS s", {"s": "x' OR '1'='1"}).first()["s"] == "x' OR '1'='1"
+
+
+def test_chunks_split_into_key_strides(spark, derby_orders):
+    from tidecopy.operators import chunk_list
+    from tidecopy.sources.target import chunk_key_ranges, chunk_predicates, source_frame
+
+    orders, src = derby_orders
+    cols = mapped_columns(catalog_from_frames(spark, {"orders": orders}, table_schema="shop"))
+    bounds = chunk_list(spark, 1999, "AS", dt.datetime(2001, 8, 2))
+    ranges = chunk_key_ranges(spark, src, "o_orderdate", "o_orderkey", bounds)
+    assert len(ranges) == 3 and all(r[0] <= r[1] for r in ranges)
+    preds = chunk_predicates(src, "o_orderdate", bounds, key="o_orderkey", key_ranges=ranges, key_splits=4)
+    assert len(preds) == 12
+    frame = source_frame(spark, src, cols, predicates=preds)
+    assert frame.rdd.getNumPartitions() == 12
+    expect = orders.where("o_orderdate >= '1999-01-01'").select("o_orderkey")
+    got = frame.select("o_orderkey")
+    assert got.count() == expect.count() and got.exceptAll(expect).count() == 0
+    report = chunked_load(spark, src, cols, "chk.orders_split", column="o_orderdate", freq="AS",
+                          start_year=1999, until=dt.datetime(2001, 8, 2), key="o_orderkey", key_splits=4)
+    assert sum(r["n"] for r in report.collect()) == expect.count()

@@ -126,7 +126,9 @@ def replicate_table(spark: SparkSession, spec: TableSpec, source: DataFrame | Jd
         if spec.source_freq is not None:
             chunked_load(spark, source, columns, target, column=spec.source_freq.column,
                          freq=spec.source_freq.freq, start_year=spec.source_freq.start_year,
-                         until=until, replace=dict(spec.replace_fields_to), partition_by=parts)
+                         until=until, replace=dict(spec.replace_fields_to), partition_by=parts,
+                         key=spec.source_main_fields[0] if spec.source_main_fields else None,
+                         key_splits=spec.source_partitions)
         else:
             full_load(spark, source, columns, target, replace=dict(spec.replace_fields_to), partition_by=parts)
 

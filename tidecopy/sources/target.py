@@ -8,6 +8,7 @@ the two renames is repaired by ``recover`` at the start of the next load."""
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -155,25 +156,68 @@ def full_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Seque
 
 
 def chunk_predicates(source: JdbcTable, column: str, bounds: Sequence[tuple], *,
-                     include_rest: bool = False) -> list[str]:
-    """Source-dialect predicates, one per chunk (the last one open)."""
+                     include_rest: bool = False, key: str | None = None,
+                     key_ranges: Sequence[tuple] | None = None, key_splits: int = 1) -> list[str]:
+    """Source-dialect predicates, one per chunk (the last one open).
+
+    With ``key`` and ``key_splits`` > 1, each chunk whose key range is known
+    (``key_ranges[i]`` = (min, max), from ``chunk_key_ranges``) is cut further
+    into key strides; the first stride is open below (NULL keys included) and
+    the last open above, so the strides of a chunk always cover all its rows."""
     q = source.quote(column)
-    preds = [f"{q} >= {source.literal(lo)}" + (f" AND {q} < {source.literal(hi)}" if hi is not None else "")
-             for lo, hi in bounds]
+    preds = []
+    for i, (lo, hi) in enumerate(bounds):
+        chunk = f"{q} >= {source.literal(lo)}" + (f" AND {q} < {source.literal(hi)}" if hi is not None else "")
+        rng = key_ranges[i] if key_ranges else None
+        numeric = bool(rng) and all(isinstance(v, (int, float, Decimal)) and not isinstance(v, bool) for v in rng)
+        if key is None or key_splits <= 1 or not numeric or rng[1] <= rng[0]:
+            preds.append(chunk)
+            continue
+        k = source.quote(key)
+        kmin, kmax = rng
+        step = (kmax - kmin) / key_splits
+        cuts = sorted({kmin + int(step * j) for j in range(1, key_splits)} - {kmin})
+        edges = [None, *cuts, None]
+        for a, b in zip(edges, edges[1:]):
+            parts = []
+            if a is not None:
+                parts.append(f"{k} >= {source.literal(a)}")
+            if b is not None:
+                parts.append(f"({k} < {source.literal(b)} OR {k} IS NULL)" if a is None
+                             else f"{k} < {source.literal(b)}")
+            preds.append(f"({chunk}) AND " + " AND ".join(parts))
     if include_rest:
         preds.append(f"{q} < {source.literal(bounds[0][0])} OR {q} IS NULL")
     return preds
 
 
+def chunk_key_ranges(spark: SparkSession, source: JdbcTable, column: str, key: str,
+                     bounds: Sequence[tuple]) -> list[tuple]:
+    """(min, max) of ``key`` in every chunk, from ONE grouped statement the
+    source runs (its size is set by the number of chunks, not the data)."""
+    from tidecopy.sources.jdbc import jdbc_query
+
+    q, k = source.quote(column), source.quote(key)
+    case = " ".join(f"WHEN {q} >= {source.literal(lo)} THEN {i}" for i, (lo, _) in reversed(list(enumerate(bounds))))
+    rows = jdbc_query(spark, source, f"SELECT chunk_no, min({k}) AS kmin, max({k}) AS kmax FROM "
+                                     f"(SELECT CASE {case} END AS chunk_no, {k} FROM {source.table}) c "
+                                     f"WHERE chunk_no IS NOT NULL GROUP BY chunk_no").collect()
+    found = {int(r[0]): (r[1], r[2]) for r in rows}
+    return [found.get(i) for i in range(len(bounds))]
+
+
 def chunked_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Sequence[MappedColumn],
                  target: str, *, column: str, freq: str, start_year: int, until: dt.datetime,
                  include_rest: bool = False, replace: dict[str, str] | None = None,
-                 partition_by: Mapping[str, str] | None = None) -> DataFrame:
+                 partition_by: Mapping[str, str] | None = None, key: str | None = None,
+                 key_splits: int = 1) -> DataFrame:
     """First load cut into ``freq`` ranges of ``column`` from Jan 1 of
     ``start_year``; the last range is open-ended. A JDBC source is read with
     one partition (one bounded source statement) per range, all in one job.
     Rows before the first boundary or with NULL in ``column`` are loaded only
-    with ``include_rest``. Returns the load report (see ``chunk_report``)."""
+    with ``include_rest``. With a numeric ``key`` and ``key_splits`` > 1 every
+    JDBC chunk is also cut into key strides (``chunk_predicates``), so a large
+    chunk is read by several tasks. Returns the load report (see ``chunk_report``)."""
     bounds = chunk_list(spark, start_year, freq, until)
     if isinstance(source, DataFrame):
         frame = source
@@ -181,7 +225,10 @@ def chunked_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Se
             first = F.lit(bounds[0][0].isoformat(sep=" ")).cast(source.schema[column].dataType)
             frame = frame.where(F.col(f"`{column}`") >= first)
     else:
-        preds = chunk_predicates(source, column, bounds, include_rest=include_rest)
+        ranges = (chunk_key_ranges(spark, source, column, key, bounds)
+                  if key is not None and key_splits > 1 else None)
+        preds = chunk_predicates(source, column, bounds, include_rest=include_rest, key=key,
+                                 key_ranges=ranges, key_splits=key_splits)
         frame = source_frame(spark, source, columns, predicates=preds)
     frame = replace_fields(frame, replace)
     write_swap(with_partitions(conform(frame, columns), partition_by), target,
