@@ -135,3 +135,17 @@ def test_partitioned_merge_rewrites_only_touched_partitions(spark, sf_small):
     untouched = {k: v for k, v in before.items() if not k.startswith(("O_RANGE=13/", "O_RANGE=14/"))}
     assert untouched and all(after.get(k) == v for k, v in untouched.items())
     assert any(k.startswith("O_RANGE=14/") for k in after)
+
+
+def test_chunked_load_equals_full_load_when_start_precedes_rows(spark, sf_small):
+    from tidecopy.operators import mapped_columns
+    from tidecopy.sources import catalog_from_frames, chunked_load, full_load
+
+    events = spark.read.parquet(f"{sf_small}/events.parquet")
+    cols = mapped_columns(catalog_from_frames(spark, {"events": events}, table_schema="shop"))
+    full = full_load(spark, events, cols, "rep.events_full")
+    chunked_load(spark, events, cols, "rep.events_chunked", column="ts", freq="D", start_year=2023,
+                 until=D(2024, 2, 1))
+    chunked = spark.table("rep.events_chunked")
+    assert full.count() == chunked.count() == events.count()
+    assert full.exceptAll(chunked).count() == 0
