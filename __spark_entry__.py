@@ -416,15 +416,15 @@ _MERGED_ORDERS = """
   FROM replica t FULL OUTER JOIN delta d ON t.o_orderkey = d.o_orderkey"""
 
 # Source type names the driver's column types stand for, and their mapping.
-_SRC_TYPE = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
-                 WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'longtext'
-                 WHEN 'TIMESTAMP' THEN 'datetime' ELSE 'vector' END"""
-_TARGET_TYPE = """CASE data_type WHEN 'BIGINT' THEN 'DECIMAL (20,0)' WHEN 'INTEGER' THEN 'DECIMAL(11,0)'
-                 WHEN 'DOUBLE' THEN 'DOUBLE' WHEN 'VARCHAR' THEN 'varchar(2000000)'
-                 WHEN 'TIMESTAMP' THEN 'TIMESTAMP' END"""
-_SPARK_TYPE = """CASE data_type WHEN 'BIGINT' THEN 'decimal(20,0)' WHEN 'INTEGER' THEN 'decimal(11,0)'
-                 WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
-                 WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END"""
+_SRC_TYPE = """CASE WHEN data_type = 'BIGINT' THEN 'bigint' WHEN data_type = 'INTEGER' THEN 'int'
+                 WHEN data_type = 'DOUBLE' THEN 'double' WHEN data_type = 'VARCHAR' THEN 'longtext'
+                 WHEN data_type LIKE 'TIMESTAMP%' THEN 'datetime' ELSE 'vector' END"""
+_TARGET_TYPE = """CASE WHEN data_type = 'BIGINT' THEN 'DECIMAL (20,0)' WHEN data_type = 'INTEGER' THEN 'DECIMAL(11,0)'
+                 WHEN data_type = 'DOUBLE' THEN 'DOUBLE' WHEN data_type = 'VARCHAR' THEN 'varchar(2000000)'
+                 WHEN data_type LIKE 'TIMESTAMP%' THEN 'TIMESTAMP' END"""
+_SPARK_TYPE = """CASE WHEN data_type = 'BIGINT' THEN 'decimal(20,0)' WHEN data_type = 'INTEGER' THEN 'decimal(11,0)'
+                 WHEN data_type = 'DOUBLE' THEN 'double' WHEN data_type = 'VARCHAR' THEN 'string'
+                 WHEN data_type LIKE 'TIMESTAMP%' THEN 'timestamp_ntz' END"""
 _DRIVER_TABLES = ", ".join(f"'{t}'" for t in TABLES)
 
 _ORACLES = {
@@ -464,7 +464,7 @@ _ORACLES = {
       SELECT 'def' AS table_catalog, 'shop' AS table_schema, table_name, column_name,
              CAST(ordinal_position AS INTEGER) AS ordinal_position,
              {_SRC_TYPE} AS data_type,
-             CASE data_type WHEN 'TIMESTAMP' THEN 'datetime(6)' ELSE {_SRC_TYPE} END AS column_type,
+             CASE WHEN data_type LIKE 'TIMESTAMP%' THEN 'datetime(6)' ELSE {_SRC_TYPE} END AS column_type,
              CASE data_type WHEN 'VARCHAR' THEN 4294967295 END::BIGINT AS character_maximum_length,
              CASE data_type WHEN 'BIGINT' THEN 19 WHEN 'INTEGER' THEN 10 WHEN 'DOUBLE' THEN 22 END::INTEGER
                AS numeric_precision,

@@ -276,6 +276,7 @@ def merge_into_target(spark: SparkSession, target: str, delta: DataFrame, keys:
     from tidecopy.operators.merge import merge_upsert
     from tidecopy.session import stage
 
+    recover(spark, target)  # finish a staged overwrite a crash left behind
     current = spark.table(quoted(target))
     stats: dict = {}
     if not partition_by:
