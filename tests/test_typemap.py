@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from tidecopy.operators import ddl_report, map_types, mapped_columns, unknown_types
 from tidecopy.operators.typemap import TYPE_RULES

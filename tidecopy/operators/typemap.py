@@ -63,13 +63,6 @@ SPARK_MAX_PRECISION = 38
 # Fixed value: the text that marks a column of an unknown type in the DDL.
 UNKNOWN_NOTE = '--UNKNOWN_DATATYPE: "%TCOL%" %UTYPE%'
 
-KNOWN_TYPES = tuple(r[0] for r in TYPE_RULES)
-
-CATALOG_COLUMNS = (
-    "table_catalog", "table_schema", "table_name", "column_name", "ordinal_position",
-    "data_type", "column_type", "character_maximum_length", "numeric_precision", "numeric_scale",
-)
-
 # SQL text of each placeholder's value, over the catalog columns.
 _TOKEN_SQL = {
     "%COL%": "column_name",
