@@ -154,3 +154,21 @@ def test_conform_casts_and_truncates(spark):
         "decimal(20,0)", "decimal(1,0)", "string", "decimal(10,2)"]
     row = out.first()
     assert int(row["ID"]) == 5 and int(row["FLAG"]) == 1 and row["CODE"] == "abc"
+
+
+def test_ddl_report_all_unknown_columns(spark):
+    cat = spark.createDataFrame([("def", "s", "t", "v", 1, "vector", "vector", None, None, None)], CATALOG_SCHEMA)
+    r = ddl_report(cat, target_schema="R", connection="C").first()
+    assert r["sql_create_table"] == 'create table if not exists  "R"."T" ();--UNKNOWN_DATATYPE: "V" VECTOR '
+    assert r["sql_imports"] == "import into \"R\".\"T\" from jdbc at C statement 'select  from s.t'"
+
+
+def test_column_pairs_length_mismatch(spark):
+    from tidecopy.operators import catalog_of, column_pairs
+
+    a = spark.createDataFrame([(1, 2)], "x long, y long")
+    b = spark.createDataFrame([(1,)], "X long")
+    with pytest.raises(ValueError, match="differ in length"):
+        column_pairs(catalog_of(a, "s", "t"), catalog_of(b, "r", "T"))
+    pairs = column_pairs(catalog_of(a, "s", "t"), catalog_of(a.toDF("X", "Y"), "r", "T")).orderBy("ord").collect()
+    assert [tuple(p) for p in pairs] == [(1, "x", "X"), (2, "y", "Y")]
