@@ -337,6 +337,19 @@ def q_replicate_merge_partitioned(spark, sf_dir):
     return spark.table(f"`{DEMO_DB}`.`orders_merge_parts`")
 
 
+def q_replicate_merge_bucketed(spark, sf_dir):
+    """The same merge into a target bucketed by the key: a large delta is
+    shuffled into the buckets, the target is read in place."""
+    orders = _t(spark, sf_dir, "orders")
+    spec = _orders_spec("orders_merge_buckets", bucket_count=8)
+    spark.sql(f"DROP TABLE IF EXISTS `{DEMO_DB}`.`orders_merge_buckets`")
+    cols = _mapped(spark, "orders", orders)
+    full_load(spark, _orders_replica(orders), cols, f"{DEMO_DB}.orders_merge_buckets",
+              bucket_by=(8, ["O_ORDERKEY"]))
+    replicate_table(spark, spec, orders, run_date=RUN_DATE, now=dt.datetime(2001, 7, 1, 12))
+    return spark.table(f"`{DEMO_DB}`.`orders_merge_buckets`")
+
+
 def q_replicate_all(spark, sf_dir):
     jobs = []
     for name, key in (("nation", "n_nationkey"), ("region", "r_regionkey"),
@@ -383,6 +396,7 @@ _QUERIES = {
     "replicate_first_load": q_replicate_first_load,
     "replicate_merge": q_replicate_merge,
     "replicate_merge_partitioned": q_replicate_merge_partitioned,
+    "replicate_merge_bucketed": q_replicate_merge_bucketed,
     "replicate_all": q_replicate_all,
 }
 
@@ -589,6 +603,12 @@ _ORACLES = {
              o_orderstatus AS "O_ORDERSTATUS", o_totalprice AS "O_TOTALPRICE", o_orderdate AS "O_ORDERDATE",
              o_orderpriority AS "O_ORDERPRIORITY", CAST(o_orderkey // 10000 AS BIGINT) AS "O_RANGE"
       FROM merged""",
+    "replicate_merge_bucketed": f"""
+      WITH {_ORDERS_REPLICA}, merged AS ({_MERGED_ORDERS})
+      SELECT CAST(o_orderkey AS DECIMAL(20,0)) AS "O_ORDERKEY", CAST(o_custkey AS DECIMAL(20,0)) AS "O_CUSTKEY",
+             o_orderstatus AS "O_ORDERSTATUS", o_totalprice AS "O_TOTALPRICE", o_orderdate AS "O_ORDERDATE",
+             o_orderpriority AS "O_ORDERPRIORITY"
+      FROM merged""",
     "replicate_all": f"""
       SELECT '{DEMO_DB}.all_nation' AS table_name, count(*) AS rows_written, TRUE AS ok FROM nation
       UNION ALL SELECT '{DEMO_DB}.all_region', count(*), TRUE FROM region

@@ -149,3 +149,40 @@ def test_chunked_load_equals_full_load_when_start_precedes_rows(spark, sf_small)
     chunked = spark.table("rep.events_chunked")
     assert full.count() == chunked.count() == events.count()
     assert full.exceptAll(chunked).count() == 0
+
+
+def test_bucketed_target_merge_shuffles_only_the_delta(spark, sf_small):
+    import glob
+
+    from tidecopy.operators import merge_upsert
+
+    orders = spark.read.parquet(f"{sf_small}/orders.parquet")
+    base = dict(load_type="merge", source_schema="shop", source_table_name="orders", target_schema="rep",
+                source_main_fields=["o_orderkey"], target_main_fields=["O_ORDERKEY"],
+                source_merge_columns={"o_orderdate": "datetime"})
+    bucketed = TableSpec(target_table_name="orders_bucketed", bucket_count=4, **base)
+    plain = TableSpec(target_table_name="orders_unbucketed", **base)
+    for t in ("orders_bucketed", "orders_unbucketed"):
+        spark.sql(f"DROP TABLE IF EXISTS rep.{t}")
+    old = orders.where("o_orderkey < 1400")
+    changed = orders.withColumn("o_orderdate", F.when(F.col("o_orderkey") >= 1300, F.lit(D(2001, 7, 1)))
+                                .otherwise(F.least("o_orderdate", F.lit(D(2000, 1, 1)))))
+    for s in (bucketed, plain):
+        replicate_table(spark, s, old, run_date="2001-07-01", now=D(2001, 8, 2))
+        assert replicate_table(spark, s, changed, run_date="2001-07-02", now=D(2001, 8, 2))["path"] == "merge"
+    a, b = spark.table("rep.orders_bucketed"), spark.table("rep.orders_unbucketed")
+    assert a.count() == b.count() == orders.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    loc = spark.sql("DESCRIBE TABLE EXTENDED rep.orders_bucketed").where("col_name = 'Location'").first()[1]
+    assert len(glob.glob(loc.replace("file:", "") + "/*.parquet")) <= 8  # updated + inserted, per bucket
+    old_thr = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        delta = spark.table("rep.orders_bucketed").where("O_ORDERKEY >= 1450")
+        plan = merge_upsert(a, delta, ["O_ORDERKEY"], broadcast_bytes=0, align=4) \
+            ._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_thr)
+    join = plan[plan.index("SortMergeJoin"):]
+    target_side = join[:join.index("Bucketed: true")]
+    assert "Exchange" not in target_side.split("Sort [O_ORDERKEY")[1]  # target read bucketed, not shuffled

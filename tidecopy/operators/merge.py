@@ -75,7 +75,8 @@ def broadcast_limit(spark) -> int:
 
 def merge_upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], *,
                  stage_delta: bool = True, broadcast_bytes: int | None = None,
-                 check_duplicates: bool = True, stats: dict | None = None) -> DataFrame:
+                 check_duplicates: bool = True, stats: dict | None = None,
+                 align: int | None = None) -> DataFrame:
     """Merged rows of ``target`` after upserting ``delta`` by ``keys``.
 
     ``delta`` must have the target's columns (any order); it is cast to the
@@ -84,7 +85,9 @@ def merge_upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], *,
     DataFrame in the target's column order; write it elsewhere (a table being
     read cannot be overwritten) and swap. ``stats``, when given, receives the
     delta's ``rows``, ``bytes``, the max of its first key (``key_max``) and
-    whether it was broadcast (``broadcast``)."""
+    whether it was broadcast (``broadcast``). ``align`` = n hash-partitions the
+    inserted rows on the keys into n parts, matching a target bucketed by the
+    keys into n buckets (the updated rows keep the target's own layout)."""
     keys = list(keys)
     cols = target.columns
     if not keys:
@@ -136,6 +139,8 @@ def merge_upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], *,
             raise DuplicateKeyError(f"several delta rows match one target key: {shown}")
 
     inserts = d_keyed.join(side(matched.select(*keys)), keys, "left_anti")
+    if align:
+        inserts = inserts.repartition(align, *[F.col(f"`{k}`") for k in keys])
 
     non_keys = [c for c in cols if c not in keys]
     if non_keys:

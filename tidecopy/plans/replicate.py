@@ -117,7 +117,8 @@ def replicate_table(spark: SparkSession, spec: TableSpec, source: DataFrame | Jd
     target = spec.target
     recover(spark, target)
     parts = dict(spec.partition_by)
-    created = ensure_table(spark, target, columns, partition_by=parts)
+    buckets = (spec.bucket_count, _target_keys(spec, columns)) if spec.bucket_count else None
+    created = ensure_table(spark, target, columns, partition_by=parts, bucket_by=buckets)
     status = {"table_name": f"{spec.target_schema}.{spec.target_table_name}", "load_type": spec.load_type,
               "created": created}
     tname = quoted(target)
@@ -128,9 +129,10 @@ def replicate_table(spark: SparkSession, spec: TableSpec, source: DataFrame | Jd
                          freq=spec.source_freq.freq, start_year=spec.source_freq.start_year,
                          until=until, replace=dict(spec.replace_fields_to), partition_by=parts,
                          key=spec.source_main_fields[0] if spec.source_main_fields else None,
-                         key_splits=spec.source_partitions)
+                         key_splits=spec.source_partitions, bucket_by=buckets)
         else:
-            full_load(spark, source, columns, target, replace=dict(spec.replace_fields_to), partition_by=parts)
+            full_load(spark, source, columns, target, replace=dict(spec.replace_fields_to), partition_by=parts,
+                      bucket_by=buckets)
 
     if spec.load_type == "merge":
         current = spark.table(tname)
@@ -152,7 +154,7 @@ def replicate_table(spark: SparkSession, spec: TableSpec, source: DataFrame | Jd
                 frame = source_frame(spark, source, columns)
             delta = incremental_filter(frame, watermarks, since, km)
             delta = conform(replace_fields(delta, dict(spec.replace_fields_to)), columns)
-            merged = merge_into_target(spark, target, delta, keys, partition_by=parts)
+            merged = merge_into_target(spark, target, delta, keys, partition_by=parts, bucket_by=buckets)
             status["rows_read"] = merged.get("rows")
             new_max = _larger(km, merged.get("key_max"))
             store_key_max(spark, target, keys[0], new_max)

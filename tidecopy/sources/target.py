@@ -51,7 +51,8 @@ def struct_of(columns: Sequence[MappedColumn]) -> T.StructType:
 
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType | Sequence[MappedColumn], *,
-                 partition_by: Mapping[str, str] | None = None) -> bool:
+                 partition_by: Mapping[str, str] | None = None,
+                 bucket_by: tuple[int, Sequence[str]] | None = None) -> bool:
     """Create the schema and an empty table of the mapped types if the table is
     missing (with the ``partition_by`` columns, see ``with_partitions``).
     Returns True when it was created. An existing table is left as it is (no
@@ -66,6 +67,8 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType | Sequence
     writer = empty.write.format("parquet").mode("ignore")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
     writer.saveAsTable(quoted(name))
     return True
 
@@ -103,22 +106,30 @@ def recover(spark: SparkSession, name: str) -> None:
         _overwrite_partitions(spark, name)  # a complete staged merge: redo its overwrite
 
 
-def write_swap(df: DataFrame, name: str, *, partition_by: Sequence[str] | None = None) -> None:
+def write_swap(df: DataFrame, name: str, *, partition_by: Sequence[str] | None = None,
+               bucket_by: tuple[int, Sequence[str]] | None = None, aligned: bool = False) -> None:
     """Write ``df`` as the new content of ``name``: stage, then swap.
 
     A partitioned write is rebalanced on the partition columns first: AQE
-    packs small partitions into few files and splits a hot one across tasks."""
+    packs small partitions into few files and splits a hot one across tasks.
+    A bucketed write (``bucket_by`` = (n, key columns)) is hash-partitioned on
+    the keys into n tasks first, one file per bucket, unless the rows are
+    ``aligned`` already (a merge over a bucketed target)."""
     spark = df.sparkSession
     db, _ = split_name(name)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
     recover(spark, name)
     nxt, old = quoted(name, "__next"), quoted(name, "__old")
     spark.sql(f"DROP TABLE IF EXISTS {nxt}")
-    if partition_by:
+    if bucket_by and not aligned:
+        df = df.repartition(bucket_by[0], *[F.col(f"`{c}`") for c in bucket_by[1]])
+    elif partition_by and not bucket_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.format("parquet").mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
     writer.saveAsTable(nxt)
     if target_exists(spark, name):
         spark.sql(f"ALTER TABLE {quoted(name)} RENAME TO {old}")
@@ -146,12 +157,13 @@ def source_frame(spark: SparkSession, source: DataFrame | JdbcTable, columns: Se
 
 def full_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Sequence[MappedColumn],
               target: str, *, replace: dict[str, str] | None = None,
-              partition_by: Mapping[str, str] | None = None) -> DataFrame:
+              partition_by: Mapping[str, str] | None = None,
+              bucket_by: tuple[int, Sequence[str]] | None = None) -> DataFrame:
     """Replace the target's rows with the whole source, conformed; returns the
     target table."""
     frame = replace_fields(source_frame(spark, source, columns), replace)
     write_swap(with_partitions(conform(frame, columns), partition_by), target,
-               partition_by=list(partition_by or ()))
+               partition_by=list(partition_by or ()), bucket_by=bucket_by)
     return spark.table(quoted(target))
 
 
@@ -210,7 +222,7 @@ def chunked_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Se
                  target: str, *, column: str, freq: str, start_year: int, until: dt.datetime,
                  include_rest: bool = False, replace: dict[str, str] | None = None,
                  partition_by: Mapping[str, str] | None = None, key: str | None = None,
-                 key_splits: int = 1) -> DataFrame:
+                 key_splits: int = 1, bucket_by: tuple[int, Sequence[str]] | None = None) -> DataFrame:
     """First load cut into ``freq`` ranges of ``column`` from Jan 1 of
     ``start_year``; the last range is open-ended. A JDBC source is read with
     one partition (one bounded source statement) per range, all in one job.
@@ -232,7 +244,7 @@ def chunked_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Se
         frame = source_frame(spark, source, columns, predicates=preds)
     frame = replace_fields(frame, replace)
     write_swap(with_partitions(conform(frame, columns), partition_by), target,
-               partition_by=list(partition_by or ()))
+               partition_by=list(partition_by or ()), bucket_by=bucket_by)
     tcol = next(c.target_name for c in columns if c.source_name.lower() == column.lower())
     return chunk_report(spark.table(quoted(target)), tcol, freq, bounds[0][0], bounds[-1][0])
 
@@ -247,15 +259,17 @@ def chunk_report(df: DataFrame, column: str, freq: str, first: dt.datetime, last
 def truncate_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Sequence[MappedColumn],
                   target: str, *, chunk=None, until: dt.datetime | None = None,
                   replace: dict[str, str] | None = None,
-                  partition_by: Mapping[str, str] | None = None) -> DataFrame:
+                  partition_by: Mapping[str, str] | None = None,
+                  bucket_by: tuple[int, Sequence[str]] | None = None) -> DataFrame:
     """Reload the target from scratch, chunked when a chunk spec is given.
     The old rows stay readable until the swap."""
     if chunk is not None:
         chunked_load(spark, source, columns, target, column=chunk.column, freq=chunk.freq,
                      start_year=chunk.start_year, until=until or dt.datetime.now(), replace=replace,
-                     partition_by=partition_by)
+                     partition_by=partition_by, bucket_by=bucket_by)
         return spark.table(quoted(target))
-    return full_load(spark, source, columns, target, replace=replace, partition_by=partition_by)
+    return full_load(spark, source, columns, target, replace=replace, partition_by=partition_by,
+                     bucket_by=bucket_by)
 
 
 # Partition values collected to the driver to prune the target scan; above
@@ -264,7 +278,8 @@ MAX_PRUNE_VALUES = 10000
 
 
 def merge_into_target(spark: SparkSession, target: str, delta: DataFrame, keys: Sequence[str], *,
-                      partition_by: Mapping[str, str] | None = None) -> dict:
+                      partition_by: Mapping[str, str] | None = None,
+                      bucket_by: tuple[int, Sequence[str]] | None = None) -> dict:
     """Upsert ``delta`` (target columns, no partition columns) into the target
     table by ``keys``.
 
@@ -272,15 +287,22 @@ def merge_into_target(spark: SparkSession, target: str, delta: DataFrame, keys:
     Partitioned target: only the partitions the delta falls in are read (their
     values prune the scan), merged, staged as ``__parts`` and written back
     with a dynamic partition overwrite; every other partition's files stay as
-    they are. A crash after staging is finished by ``recover``."""
+    they are. A crash after staging is finished by ``recover``.
+
+    Bucketed target (``bucket_by`` = (n, keys)): the target is read already
+    hash-partitioned on the keys, so a large delta is shuffled to the buckets
+    and the target is not shuffled at all; new rows are aligned to the buckets
+    before the write."""
     from tidecopy.operators.merge import merge_upsert
     from tidecopy.session import stage
 
     recover(spark, target)  # finish a staged overwrite a crash left behind
     current = spark.table(quoted(target))
     stats: dict = {}
+    align = bucket_by[0] if bucket_by else None
     if not partition_by:
-        write_swap(merge_upsert(current, delta, keys, stats=stats), target)
+        write_swap(merge_upsert(current, delta, keys, stats=stats, align=align), target,
+                   bucket_by=bucket_by, aligned=True)
         return {"partitions": None, **stats}
     pcols = list(partition_by)
     delta = stage(with_partitions(delta, partition_by).select(*current.columns))
@@ -304,11 +326,13 @@ def merge_into_target(spark: SparkSession, target: str, delta: DataFrame, keys:
         # too many partitions to list: narrow by a join (no pruning, same result)
         part_target = current.join(F.broadcast(touched) if len(values) <= MAX_PRUNE_VALUES else touched,
                                    [current[c].eqNullSafe(touched[c]) for c in pcols], "left_semi")
-    merged = merge_upsert(part_target, delta, keys, stage_delta=False, stats=stats)
+    merged = merge_upsert(part_target, delta, keys, stage_delta=False, stats=stats, align=align)
     spark.sql(f"DROP TABLE IF EXISTS {quoted(target, '__parts')}")
-    (merged.hint("rebalance", *pcols).write.format("parquet").mode("overwrite")
-     .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-     .partitionBy(*pcols).saveAsTable(quoted(target, "__parts")))
+    writer = ((merged if bucket_by else merged.hint("rebalance", *pcols)).write.format("parquet")
+              .mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(*pcols))
+    if bucket_by:
+        writer = writer.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
+    writer.saveAsTable(quoted(target, "__parts"))
     _overwrite_partitions(spark, target)
     return {"partitions": len(values), **stats}
 

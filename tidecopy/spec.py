@@ -64,6 +64,10 @@ class TableSpec:
     # e.g. {"ID_RANGE": "floor(ID / 1000000)"}). Merges then rewrite only the
     # partitions the delta touches.
     partition_by: Mapping[str, str] = field(default_factory=dict)
+    # Bucket the target by its keys into this many buckets (0: no bucketing). A
+    # merge with a large delta then shuffles only the delta; the first load
+    # pays one shuffle to lay the buckets out.
+    bucket_count: int = 0
 
     def __post_init__(self):
         if self.load_type not in LOAD_TYPES:
@@ -83,6 +87,8 @@ class TableSpec:
                 raise SpecError("merge needs at least one key in source_main_fields")
             if not self.source_merge_columns:
                 raise SpecError("merge needs source_merge_columns (watermark columns)")
+        if self.bucket_count and not self.source_main_fields:
+            raise SpecError("bucket_count needs key columns (source_main_fields)")
         for col, kind in dict(self.source_merge_columns).items():
             if kind not in WATERMARK_TYPES:
                 raise SpecError(f"incorrect field_type {kind} for FIELD {col}")
