@@ -121,3 +121,30 @@ def test_chunks_split_into_key_strides(spark, derby_orders):
     report = chunked_load(spark, src, cols, "chk.orders_split", column="o_orderdate", freq="AS",
                           start_year=1999, until=dt.datetime(2001, 8, 2), key="o_orderkey", key_splits=4)
     assert sum(r["n"] for r in report.collect()) == expect.count()
+
+
+def test_jdbc_catalog_reads_information_schema(spark):
+    from tidecopy.operators import mapped_columns
+    from tidecopy.sources import column_catalog, jdbc_catalog
+    from tidecopy.sources.catalog import CATALOG_SCHEMA, TABLES_SCHEMA
+
+    url = derby("catalog")
+    cols = spark.createDataFrame([
+        ("def", "baza", "users", "id", 1, "bigint", "bigint unsigned", None, 20, 0),
+        ("def", "baza", "users", "name", 2, "varchar", "varchar(64)", 64, None, None),
+        ("def", "baza", "users_v", "id", 1, "bigint", "bigint", None, 19, 0),
+        ("def", "other", "t", "x", 1, "int", "int", None, 10, 0),
+    ], CATALOG_SCHEMA)
+    tabs = spark.createDataFrame([("def", "baza", "users", "BASE TABLE"), ("def", "baza", "users_v", "VIEW"),
+                                  ("def", "other", "t", "BASE TABLE")], TABLES_SCHEMA)
+    for df, name in ((cols, "information_schema.columns"), (tabs, "information_schema.tables")):
+        # the source server keeps these as varchar (Derby's default for strings, CLOB, is not comparable)
+        text_cols = ", ".join(f"{f.name} VARCHAR(64)" for f in df.schema.fields if f.dataType.simpleString() == "string")
+        (df.write.format("jdbc").options(url=url, dbtable=name, **DERBY)
+         .option("createTableColumnTypes", text_cols).mode("overwrite").save())
+    columns, tables = jdbc_catalog(spark, url, DERBY, schema="baza")
+    assert columns.schema == CATALOG_SCHEMA
+    assert columns.count() == 3 and tables.count() == 2
+    users = column_catalog(columns, tables, "baza", "users")
+    mapped = mapped_columns(users)
+    assert [(c.target_name, c.spark_type) for c in mapped] == [("ID", "decimal(20,0)"), ("NAME", "string")]
