@@ -22,7 +22,7 @@ from tidecopy.operators.checks import CountCheckError, count_check
 from tidecopy.operators.incremental import incremental_filter, key_max, watermark_sql
 from tidecopy.operators.project import conform, replace_fields
 from tidecopy.operators.typemap import MappedColumn, mapped_columns
-from tidecopy.sources.catalog import catalog_from_frames, column_catalog, tables_from_frames
+from tidecopy.sources.catalog import catalog_from_frames, column_catalog, jdbc_catalog, tables_from_frames
 from tidecopy.sources.jdbc import JdbcTable, jdbc_count, key_range
 from tidecopy.sources.target import (
     chunked_load, ensure_table, full_load, merge_into_target, quoted, recover, source_frame,
@@ -50,9 +50,12 @@ def spec_columns(spark: SparkSession, spec: TableSpec, source: DataFrame | JdbcT
                  catalog: DataFrame | None = None, tables: DataFrame | None = None) -> list[MappedColumn]:
     """Mapped columns of the spec's source table: from the given catalog
     (information_schema rows) or, for a DataFrame source, from its schema."""
+    if catalog is None and isinstance(source, JdbcTable) and source.dialect == "mysql":
+        # the source's own information_schema, narrowed to the spec's schema in the source
+        catalog, tables = jdbc_catalog(spark, source.url, source.properties, schema=spec.source_schema)
     if catalog is None:
         if not isinstance(source, DataFrame):
-            raise ValueError("a JDBC source needs its catalog (see sources.catalog.jdbc_catalog)")
+            raise ValueError("a non-MySQL JDBC source needs its catalog (see sources.catalog.jdbc_catalog)")
         frames = {spec.source_table_name: source}
         catalog = catalog_from_frames(spark, frames, table_schema=spec.source_schema)
         tables = tables_from_frames(spark, frames, table_schema=spec.source_schema)
