@@ -126,8 +126,10 @@ def q_has_rows(spark, sf_dir):
 # ---------------------------------------------------------------- type map
 
 def _catalog(spark, sf_dir):
+    """Catalog of every driver table as a source would declare it: string
+    widths are measured over the whole data (one aggregation per table)."""
     frames = {name: _t(spark, sf_dir, name) for name in TABLES}
-    return (catalog_from_frames(spark, frames, table_schema=SOURCE_SCHEMA),
+    return (catalog_from_frames(spark, frames, table_schema=SOURCE_SCHEMA, measure=True),
             tables_from_frames(spark, frames, table_schema=SOURCE_SCHEMA))
 
 
@@ -429,17 +431,35 @@ _MERGED_ORDERS = """
          CASE WHEN d.hit THEN d.o_orderpriority ELSE t.o_orderpriority END AS o_orderpriority
   FROM replica t FULL OUTER JOIN delta d ON t.o_orderkey = d.o_orderkey"""
 
+# String columns of the driver tables; their widths are measured by the oracle too.
+_STRING_COLUMNS = {
+    "benchmark": ["text"], "conversations": ["role", "text"], "customer": ["c_name", "c_mktsegment"],
+    "documents": ["text", "lang", "source"], "events": ["event_type", "props"],
+    "lineitem": ["l_returnflag", "l_linestatus"], "nation": ["n_name"], "orders": ["o_orderstatus", "o_orderpriority"],
+    "pages": ["url", "html"], "part": ["p_name", "p_brand", "p_type"], "region": ["r_name"], "supplier": ["s_name"],
+}
+_WIDTHS = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, greatest(coalesce(max(length({c})), 0), 1) AS w FROM {t}"
+    for t, cs in _STRING_COLUMNS.items() for c in cs)
+_DRIVER_TABLES = ", ".join(f"'{t}'" for t in TABLES)
+# information_schema rows of the driver tables with the measured width of each string column
+_COLS = f"""(SELECT i.table_name, i.column_name, i.ordinal_position, i.data_type, w.w
+            FROM information_schema.columns i LEFT JOIN ({_WIDTHS}) w
+              ON i.table_name = w.table_name AND i.column_name = w.column_name
+            WHERE i.table_name IN ({_DRIVER_TABLES}))"""
+_IS_VARCHAR = "(data_type = 'VARCHAR' AND w <= 16383)"
 # Source type names the driver's column types stand for, and their mapping.
-_SRC_TYPE = """CASE WHEN data_type = 'BIGINT' THEN 'bigint' WHEN data_type = 'INTEGER' THEN 'int'
-                 WHEN data_type = 'DOUBLE' THEN 'double' WHEN data_type = 'VARCHAR' THEN 'longtext'
+_SRC_TYPE = f"""CASE WHEN data_type = 'BIGINT' THEN 'bigint' WHEN data_type = 'INTEGER' THEN 'int'
+                 WHEN data_type = 'DOUBLE' THEN 'double' WHEN {_IS_VARCHAR} THEN 'varchar'
+                 WHEN data_type = 'VARCHAR' THEN 'longtext'
                  WHEN data_type LIKE 'TIMESTAMP%' THEN 'datetime' ELSE 'vector' END"""
-_TARGET_TYPE = """CASE WHEN data_type = 'BIGINT' THEN 'DECIMAL (20,0)' WHEN data_type = 'INTEGER' THEN 'DECIMAL(11,0)'
-                 WHEN data_type = 'DOUBLE' THEN 'DOUBLE' WHEN data_type = 'VARCHAR' THEN 'varchar(2000000)'
+_TARGET_TYPE = f"""CASE WHEN data_type = 'BIGINT' THEN 'DECIMAL (20,0)' WHEN data_type = 'INTEGER' THEN 'DECIMAL(11,0)'
+                 WHEN data_type = 'DOUBLE' THEN 'DOUBLE' WHEN {_IS_VARCHAR} THEN 'VARCHAR(' || w || ')'
+                 WHEN data_type = 'VARCHAR' THEN 'varchar(2000000)'
                  WHEN data_type LIKE 'TIMESTAMP%' THEN 'TIMESTAMP' END"""
 _SPARK_TYPE = """CASE WHEN data_type = 'BIGINT' THEN 'decimal(20,0)' WHEN data_type = 'INTEGER' THEN 'decimal(11,0)'
                  WHEN data_type = 'DOUBLE' THEN 'double' WHEN data_type = 'VARCHAR' THEN 'string'
                  WHEN data_type LIKE 'TIMESTAMP%' THEN 'timestamp_ntz' END"""
-_DRIVER_TABLES = ", ".join(f"'{t}'" for t in TABLES)
 
 _ORACLES = {
     "merge_upsert": f"WITH {_ORDERS_REPLICA} {_MERGED_ORDERS}",
@@ -478,22 +498,23 @@ _ORACLES = {
       SELECT 'def' AS table_catalog, 'shop' AS table_schema, table_name, column_name,
              CAST(ordinal_position AS INTEGER) AS ordinal_position,
              {_SRC_TYPE} AS data_type,
-             CASE WHEN data_type LIKE 'TIMESTAMP%' THEN 'datetime(6)' ELSE {_SRC_TYPE} END AS column_type,
-             CASE data_type WHEN 'VARCHAR' THEN 4294967295 END::BIGINT AS character_maximum_length,
+             CASE WHEN data_type LIKE 'TIMESTAMP%' THEN 'datetime(6)'
+                  WHEN {_IS_VARCHAR} THEN 'varchar(' || w || ')' ELSE {_SRC_TYPE} END AS column_type,
+             CASE WHEN {_IS_VARCHAR} THEN w WHEN data_type = 'VARCHAR' THEN 4294967295 END::BIGINT
+               AS character_maximum_length,
              CASE data_type WHEN 'BIGINT' THEN 19 WHEN 'INTEGER' THEN 10 WHEN 'DOUBLE' THEN 22 END::INTEGER
                AS numeric_precision,
              CASE data_type WHEN 'BIGINT' THEN 0 WHEN 'INTEGER' THEN 0 END::INTEGER AS numeric_scale
-      FROM information_schema.columns WHERE table_name = 'lineitem'""",
+      FROM {_COLS} WHERE table_name = 'lineitem'""",
     "type_map": f"""
       SELECT table_name, column_name, CAST(ordinal_position AS INTEGER) AS ordinal_position,
              {_SRC_TYPE} AS data_type, {_TARGET_TYPE} AS target_type, {_SPARK_TYPE} AS spark_type
-      FROM information_schema.columns WHERE table_name IN ({_DRIVER_TABLES})""",
+      FROM {_COLS}""",
     "unknown_types": f"""
       SELECT 'shop' AS table_schema, table_name, column_name,
              CAST(ordinal_position AS INTEGER) AS ordinal_position, 'VECTOR' AS data_type,
              '--UNKNOWN_DATATYPE: "' || upper(column_name) || '" VECTOR' AS unknown_note
-      FROM information_schema.columns
-      WHERE table_name IN ({_DRIVER_TABLES}) AND ({_TARGET_TYPE}) IS NULL""",
+      FROM {_COLS} WHERE ({_TARGET_TYPE}) IS NULL""",
     "ddl_report": f"""
       WITH c AS (
         SELECT table_name, ordinal_position, column_name,
@@ -502,7 +523,7 @@ _ORACLES = {
                CASE WHEN ({_TARGET_TYPE}) IS NULL
                     THEN '--UNKNOWN_DATATYPE: "' || upper(column_name) || '" VECTOR' END AS note,
                CASE WHEN ({_TARGET_TYPE}) IS NOT NULL THEN '`' || column_name || '`' END AS sel
-        FROM information_schema.columns WHERE table_name IN ({_DRIVER_TABLES}))
+        FROM {_COLS})
       SELECT 'shop' AS table_schema, table_name, 'REPLICA' AS target_schema, upper(table_name) AS target_table,
              'create schema if not exists "REPLICA";' AS sql_create_schema,
              'create table if not exists  "REPLICA"."' || upper(table_name) || '" ('

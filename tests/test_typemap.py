@@ -172,3 +172,20 @@ def test_column_pairs_length_mismatch(spark):
         column_pairs(catalog_of(a, "s", "t"), catalog_of(b, "r", "T"))
     pairs = column_pairs(catalog_of(a, "s", "t"), catalog_of(a.toDF("X", "Y"), "r", "T")).orderBy("ord").collect()
     assert [tuple(p) for p in pairs] == [(1, "x", "X"), (2, "y", "Y")]
+
+
+def test_measured_catalog_widths(spark):
+    from tidecopy.sources import catalog_from_frames
+
+    df = spark.createDataFrame([("héllo", bytearray(b"ab")), ("x" * 20000, None), (None, bytearray(b"abcd"))],
+                               "s string, b binary")
+    plain = {r["column_name"]: r["column_type"] for r in
+             catalog_from_frames(spark, {"t": df.limit(0)}, table_schema="s").collect()}
+    assert plain == {"s": "longtext", "b": "longblob"}
+    measured = {r["column_name"]: (r["data_type"], r["column_type"], r["character_maximum_length"]) for r in
+                catalog_from_frames(spark, {"t": df}, table_schema="s", measure=True).collect()}
+    assert measured == {"s": ("longtext", "longtext", 4294967295), "b": ("varbinary", "varbinary(4)", 4)}
+    short = catalog_from_frames(spark, {"t": df.where("length(s) < 100")}, table_schema="s", measure=True)
+    row = short.where("column_name = 's'").first()
+    assert (row["column_type"], row["character_maximum_length"]) == ("varchar(5)", 5)  # characters, not bytes
+    assert map_types(short).where("column_name = 's'").first()["target_type"] == "VARCHAR(5)"

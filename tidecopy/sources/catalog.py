@@ -32,11 +32,25 @@ TABLES_SCHEMA = T.StructType([
 # Schemas of the source server that are never replicated.
 SYSTEM_SCHEMAS = ("information_schema", "performance_schema", "mysql")
 LONGTEXT_CHARS = 4294967295
+# Widest VARCHAR (characters, 4-byte charset) and VARBINARY (bytes)
+# of the source server; wider measured columns are described as LONGTEXT / LONGBLOB.
+VARCHAR_MAX_CHARS = 16383
+VARBINARY_MAX_BYTES = 65535
 
 
-def source_type_of(dt: T.DataType) -> tuple[str, str, int | None, int | None, int | None]:
+def source_type_of(dt: T.DataType, width: int | None = None) -> tuple[str, str, int | None, int | None, int | None]:
     """(data_type, column_type, char length, precision, scale) of the source
-    column a Spark type stands for; arrays of numbers are vectors (no mapping)."""
+    column a Spark type stands for; arrays of numbers are vectors (no mapping).
+    A measured ``width`` (longest value) makes a string VARCHAR(width) and a
+    binary VARBINARY(width) when they fit."""
+    if width is not None and isinstance(dt, T.StringType) and not isinstance(dt, (T.CharType, T.VarcharType)):
+        n = max(int(width), 1)
+        if n <= VARCHAR_MAX_CHARS:
+            return "varchar", f"varchar({n})", n, None, None
+    if width is not None and isinstance(dt, T.BinaryType):
+        n = max(int(width), 1)
+        if n <= VARBINARY_MAX_BYTES:
+            return "varbinary", f"varbinary({n})", n, None, None
     if isinstance(dt, T.LongType):
         return "bigint", "bigint", None, 19, 0
     if isinstance(dt, T.IntegerType):
@@ -72,13 +86,29 @@ def source_type_of(dt: T.DataType) -> tuple[str, str, int | None, int | None, in
     return "json", "json", None, None, None
 
 
+def measured_widths(df: DataFrame) -> dict[str, int]:
+    """Longest value of every string (characters) and binary (bytes) column,
+    over the whole table, in one aggregation (partial maxima per task)."""
+    aggs = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType):
+            aggs.append(F.coalesce(F.max(F.char_length(c)), F.lit(0)).alias(f.name))
+        elif isinstance(f.dataType, T.BinaryType):
+            aggs.append(F.coalesce(F.max(F.octet_length(c)), F.lit(0)).alias(f.name))
+    return df.agg(*aggs).first().asDict() if aggs else {}
+
+
 def catalog_from_frames(spark: SparkSession, frames: Mapping[str, DataFrame], *,
-                        table_schema: str, table_catalog: str = "def") -> DataFrame:
-    """Describe DataFrames as catalog rows (schema only; no data is read)."""
+                        table_schema: str, table_catalog: str = "def", measure: bool = False) -> DataFrame:
+    """Describe DataFrames as catalog rows. From the schema alone by default;
+    with ``measure`` the string and binary widths are measured over the whole
+    data (see ``measured_widths``), as a source catalog would declare them."""
     rows = []
     for name, df in frames.items():
+        widths = measured_widths(df) if measure else {}
         for i, f in enumerate(df.schema.fields):
-            dtype, ctype, length, prec, scale = source_type_of(f.dataType)
+            dtype, ctype, length, prec, scale = source_type_of(f.dataType, widths.get(f.name))
             rows.append((table_catalog, table_schema, name, f.name, i + 1, dtype, ctype, length, prec, scale))
     return local_frame(spark, rows, CATALOG_SCHEMA)
 
