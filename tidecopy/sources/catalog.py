@@ -86,17 +86,30 @@ def source_type_of(dt: T.DataType, width: int | None = None) -> tuple[str, str,
     return "json", "json", None, None, None
 
 
-def measured_widths(df: DataFrame) -> dict[str, int]:
+def measured_widths(frames: Mapping[str, DataFrame]) -> dict[tuple[str, str], int]:
     """Longest value of every string (characters) and binary (bytes) column,
-    over the whole table, in one aggregation (partial maxima per task)."""
-    aggs = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.StringType):
-            aggs.append(F.coalesce(F.max(F.char_length(c)), F.lit(0)).alias(f.name))
-        elif isinstance(f.dataType, T.BinaryType):
-            aggs.append(F.coalesce(F.max(F.octet_length(c)), F.lit(0)).alias(f.name))
-    return df.agg(*aggs).first().asDict() if aggs else {}
+    over the whole data: one aggregation per table (partial maxima per task),
+    all tables in one job whose scan stages run side by side."""
+    parts = []
+    for name, df in frames.items():
+        aggs = []
+        for f in df.schema.fields:
+            c = F.col(f"`{f.name}`")
+            if isinstance(f.dataType, T.StringType):
+                aggs.append(F.max(F.char_length(c)).alias(f.name))
+            elif isinstance(f.dataType, T.BinaryType):
+                aggs.append(F.max(F.octet_length(c)).alias(f.name))
+        if aggs:
+            maxima = df.agg(*aggs)
+            parts.append(maxima.unpivot([], [a for a in maxima.columns], "column_name", "width")
+                         .select(F.lit(name).alias("table_name"), "column_name",
+                                 F.coalesce(F.col("width"), F.lit(0)).cast("long").alias("width")))
+    if not parts:
+        return {}
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    return {(r["table_name"], r["column_name"]): r["width"] for r in union.collect()}
 
 
 def catalog_from_frames(spark: SparkSession, frames: Mapping[str, DataFrame], *,
@@ -105,10 +118,10 @@ def catalog_from_frames(spark: SparkSession, frames: Mapping[str, DataFrame], *,
     with ``measure`` the string and binary widths are measured over the whole
     data (see ``measured_widths``), as a source catalog would declare them."""
     rows = []
+    widths = measured_widths(frames) if measure else {}
     for name, df in frames.items():
-        widths = measured_widths(df) if measure else {}
         for i, f in enumerate(df.schema.fields):
-            dtype, ctype, length, prec, scale = source_type_of(f.dataType, widths.get(f.name))
+            dtype, ctype, length, prec, scale = source_type_of(f.dataType, widths.get((name, f.name)))
             rows.append((table_catalog, table_schema, name, f.name, i + 1, dtype, ctype, length, prec, scale))
     return local_frame(spark, rows, CATALOG_SCHEMA)
 
