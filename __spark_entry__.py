@@ -50,8 +50,8 @@ def _ts(value: dt.datetime) -> F.Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _mapped(spark: SparkSession, name: str, df: DataFrame):
-    cat = catalog_from_frames(spark, {name: df}, table_schema=SOURCE_SCHEMA)
+def _mapped(spark: SparkSession, name: str, df: DataFrame, measure: bool = False):
+    cat = catalog_from_frames(spark, {name: df}, table_schema=SOURCE_SCHEMA, measure=measure)
     return mapped_columns(cat)
 
 
@@ -156,7 +156,7 @@ def q_ddl_report(spark, sf_dir):
 
 def q_column_pairs(spark, sf_dir):
     orders = _t(spark, sf_dir, "orders")
-    cols = _mapped(spark, "orders", orders)
+    cols = _mapped(spark, "orders", orders, measure=True)
     src_cat = catalog_of(orders, SOURCE_SCHEMA, "orders")
     tgt_cat = catalog_of(conform(orders, cols), "REPLICA", "ORDERS")
     return column_pairs(src_cat, tgt_cat)
@@ -218,7 +218,7 @@ def q_ensure_table(spark, sf_dir):
     part = _t(spark, sf_dir, "part")
     target = f"{DEMO_DB}.part_ensure"
     spark.sql(f"DROP TABLE IF EXISTS `{DEMO_DB}`.`part_ensure`")
-    ensure_table(spark, target, _mapped(spark, "part", part))
+    ensure_table(spark, target, _mapped(spark, "part", part, measure=True))
     fields = spark.table(f"`{DEMO_DB}`.`part_ensure`").schema.fields
     return local_frame(spark, [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)],
                        "ordinal_position int, column_name string, spark_type string")
