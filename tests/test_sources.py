@@ -148,3 +148,19 @@ def test_jdbc_catalog_reads_information_schema(spark):
     users = column_catalog(columns, tables, "baza", "users")
     mapped = mapped_columns(users)
     assert [(c.target_name, c.spark_type) for c in mapped] == [("ID", "decimal(20,0)"), ("NAME", "string")]
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_TRICKY = st.text(alphabet=st.sampled_from(list("ab\\\t\n\r\x00Nt0é￿ ")), max_size=12)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), _TRICKY, st.text(max_size=8)), min_size=1, max_size=25))
+def test_tsv_round_trip_any_text(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, s string")
+    path = os.path.join(tempfile.mkdtemp(prefix="run-", dir="/tmp"), "t")
+    write_tsv(df, path)
+    back = load_tsv(spark, path, "id long, s string")
+    assert sorted(back.collect()) == sorted(df.collect())

@@ -12,9 +12,6 @@ from pyspark.sql import types as T
 # The escape pairs of the bulk-load text layout.
 ESCAPES = (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"), ("\x00", "\\0"))
 NULL_TOKEN = "\\N"
-# A noncharacter, never present in interchange text: holds escaped backslashes
-# while the other escapes are decoded.
-_HOLD = "￿"
 
 
 def _escape(c: Column) -> Column:
@@ -24,10 +21,16 @@ def _escape(c: Column) -> Column:
 
 
 def _unescape(c: Column) -> Column:
-    c = F.replace(c, F.lit("\\\\"), F.lit(_HOLD))
-    for raw, esc in ESCAPES[1:]:
-        c = F.replace(c, F.lit(esc), F.lit(raw))
-    return F.replace(c, F.lit(_HOLD), F.lit("\\"))
+    """Exact decoding: escape pairs are read left to right, so the text is
+    split at every escaped backslash, the other escapes are decoded inside
+    each piece, and the pieces are joined with a plain backslash."""
+    def decode(piece: Column) -> Column:
+        for raw, esc in ESCAPES[1:]:
+            piece = F.replace(piece, F.lit(esc), F.lit(raw))
+        return piece
+
+    pieces = F.split(c, r"\\\\", -1)
+    return F.array_join(F.transform(pieces, decode), "\\")
 
 
 def _as_text(f: T.StructField) -> Column:
