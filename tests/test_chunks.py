@@ -64,3 +64,29 @@ def test_column_helpers(spark):
     days = spark.range(10).select(F.date_add(F.lit("2021-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
     assert in_chunk(days, "d", dt.date(2021, 1, 3), dt.date(2021, 1, 6)).count() == 3
     assert in_chunk(days, "d", dt.date(2021, 1, 8)).count() == 3
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+# pandas names of the same grids (its own aliases for year starts changed over versions)
+_PANDAS_ALIAS = {"D": "D", "W": "W-SUN", "W-MON": "W-MON", "W-THU": "W-THU", "MS": "MS", "QS": "QS-JAN",
+                 "AS": "YS", "YS": "YS"}
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.integers(2019, 2022), st.dates(dt.date(2019, 1, 1), dt.date(2023, 12, 31)),
+       st.sampled_from(sorted(_PANDAS_ALIAS)))
+def test_grid_matches_pandas_date_range(spark, start_year, until, freq):
+    import pandas as pd
+
+    until_ts = D(until.year, until.month, until.day, 13, 30)
+    expect = [t.to_pydatetime() for t in pd.date_range(start=D(start_year, 1, 1), end=until_ts,
+                                                      freq=_PANDAS_ALIAS[freq])]
+    if not expect:
+        with pytest.raises(ValueError):
+            chunk_list(spark, start_year, freq, until_ts)
+        return
+    got = chunk_list(spark, start_year, freq, until_ts)
+    assert [lo for lo, _ in got] == expect
+    assert [hi for _, hi in got] == expect[1:] + [None]
