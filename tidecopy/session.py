@@ -76,7 +76,7 @@ def local_frame(spark: SparkSession, rows, schema) -> DataFrame:
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    struct = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    struct = T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
     names = struct.names
     table = pa.Table.from_pylist([dict(zip(names, r)) for r in rows], schema=to_arrow_schema(struct))
     df = spark.createDataFrame(table)

@@ -46,7 +46,7 @@ def target_exists(spark: SparkSession, name: str) -> bool:
 
 
 def struct_of(columns: Sequence[MappedColumn]) -> T.StructType:
-    return T.StructType([T.StructField(c.target_name, T._parse_datatype_string(c.spark_type))
+    return T.StructType([T.StructField(c.target_name, T.DataType.fromDDL(c.spark_type))
                          for c in columns])
 
 

@@ -51,7 +51,7 @@ def load_tsv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
     fields fails the job (ANSI cast/index errors) rather than loading shifted
     values."""
     if isinstance(schema, str):
-        schema = T._parse_datatype_string(schema)
+        schema = T.DataType.fromDDL(schema)
     n = len(schema.fields)
     parts = F.split(F.col("value"), "\t", -1)
     lines = spark.read.text(path).where(F.col("value") != "")
