@@ -194,9 +194,12 @@ def replicate_all(spark: SparkSession, jobs: Sequence[tuple[TableSpec, DataFrame
 
     def run(job):
         spec, source = job
-        sc = spark.sparkContext
-        sc.setLocalProperty("spark.scheduler.pool", f"replicate_{spec.target_table_name}")
-        sc.setJobGroup(f"replicate {spec.target_schema}.{spec.target_table_name}", spec.source, False)
+        try:
+            sc = spark.sparkContext
+            sc.setLocalProperty("spark.scheduler.pool", f"replicate_{spec.target_table_name}")
+            sc.setJobGroup(f"replicate {spec.target_schema}.{spec.target_table_name}", spec.source, False)
+        except Exception:  # Spark Connect: jobs are tagged instead
+            spark.addTag(f"replicate_{spec.target_schema}_{spec.target_table_name}")
         cat, tabs = (catalogs or {}).get(spec.source_table_name, (None, None))
         try:
             st = replicate_table(spark, spec, source, run_date=run_date, now=now, catalog=cat, tables=tabs)

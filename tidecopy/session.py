@@ -34,7 +34,10 @@ def build_session(master: str | None = None, *, app_name: str = "tidecopy",
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # Spark Connect: no local context
+        pass
     return spark
 
 
@@ -42,7 +45,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for cut lineage: the context's checkpoint dir, else the
     cluster's ``spark.checkpoint.dir``; only when neither is set (local tests)
     a folder under the session's warehouse is used."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect client: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
