@@ -186,3 +186,19 @@ def test_bucketed_target_merge_shuffles_only_the_delta(spark, sf_small):
     join = plan[plan.index("SortMergeJoin"):]
     target_side = join[:join.index("Bucketed: true")]
     assert "Exchange" not in target_side.split("Sort [O_ORDERKEY")[1]  # target read bucketed, not shuffled
+
+
+def test_quiet_run_writes_nothing(spark):
+    import glob
+    import os
+
+    spark.sql("DROP TABLE IF EXISTS rep.users_quiet")
+    s = spec(target_table_name="users_quiet", source_merge_columns={"updated_at": "datetime"})
+    v1 = spark.createDataFrame([(1, D(2021, 1, 5), D(2021, 1, 5), "a"), (2, D(2021, 2, 5), D(2021, 2, 5), "b")],
+                               SCHEMA)
+    replicate_table(spark, s, v1, run_date="2021-03-01", now=D(2021, 3, 1, 12))
+    loc = spark.sql("DESCRIBE TABLE EXTENDED rep.users_quiet").where("col_name = 'Location'").first()[1]
+    files = {p: os.path.getmtime(p) for p in glob.glob(loc.replace("file:", "") + "/*.parquet")}
+    st = replicate_table(spark, s, v1, run_date="2021-03-09", now=D(2021, 3, 9, 12))
+    assert (st["path"], st["rows_read"], st["written"], st["rows_written"]) == ("merge", 0, False, 2)
+    assert {p: os.path.getmtime(p) for p in glob.glob(loc.replace("file:", "") + "/*.parquet")} == files

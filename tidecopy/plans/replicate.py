@@ -159,6 +159,7 @@ def replicate_table(spark: SparkSession, spec: TableSpec, source: DataFrame | Jd
             delta = conform(replace_fields(delta, dict(spec.replace_fields_to)), columns)
             merged = merge_into_target(spark, target, delta, keys, partition_by=parts, bucket_by=buckets)
             status["rows_read"] = merged.get("rows")
+            status["written"] = merged.get("written")
             new_max = _larger(km, merged.get("key_max"))
             store_key_max(spark, target, keys[0], new_max)
             status["path"] = "merge"

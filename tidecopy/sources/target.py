@@ -300,12 +300,16 @@ def merge_into_target(spark: SparkSession, target: str, delta: DataFrame, keys:
     current = spark.table(quoted(target))
     stats: dict = {}
     align = bucket_by[0] if bucket_by else None
+    # the delta is read from the source once; an empty one changes nothing, so
+    # a quiet run writes nothing at all
+    delta = stage(with_partitions(delta, partition_by).select(*current.columns))
+    if not delta.limit(1).count():
+        return {"partitions": 0, "rows": 0, "bytes": 0, "key_max": None, "broadcast": None, "written": False}
     if not partition_by:
-        write_swap(merge_upsert(current, delta, keys, stats=stats, align=align), target,
+        write_swap(merge_upsert(current, delta, keys, stage_delta=False, stats=stats, align=align), target,
                    bucket_by=bucket_by, aligned=True)
-        return {"partitions": None, **stats}
+        return {"partitions": None, "written": True, **stats}
     pcols = list(partition_by)
-    delta = stage(with_partitions(delta, partition_by).select(*current.columns))
     touched = delta.select(*pcols).distinct()
     values = touched.limit(MAX_PRUNE_VALUES + 1).collect()
     if len(pcols) == 1 and len(values) <= MAX_PRUNE_VALUES:
@@ -334,7 +338,7 @@ def merge_into_target(spark: SparkSession, target: str, delta: DataFrame, keys:
         writer = writer.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
     writer.saveAsTable(quoted(target, "__parts"))
     _overwrite_partitions(spark, target)
-    return {"partitions": len(values), **stats}
+    return {"partitions": len(values), "written": True, **stats}
 
 
 # Table property holding the key maximum a merge left behind.
