@@ -556,11 +556,17 @@ _ORACLES = {
              o_orderpriority AS "O_ORDERPRIORITY"
       FROM orders""",
     "chunked_load": """
-      SELECT date_trunc('month', o_orderdate)::TIMESTAMP AS chunk_lo, count(*) AS n
-      FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00' GROUP BY 1""",
+      SELECT date_trunc('month', o_orderdate)::TIMESTAMP AS chunk_lo, count(*) AS n, TRUE AS loaded
+      FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00' GROUP BY 1
+      UNION ALL
+      SELECT NULL::TIMESTAMP, count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1998-01-01 00:00:00'
+                                                 OR o_orderdate IS NULL), FALSE FROM orders""",
     "chunked_load_weekly": """
-      SELECT date_trunc('week', ts)::TIMESTAMP AS chunk_lo, count(*) AS n
-      FROM events WHERE ts >= TIMESTAMP '2024-01-01 00:00:00' GROUP BY 1""",
+      SELECT date_trunc('week', ts)::TIMESTAMP AS chunk_lo, count(*) AS n, TRUE AS loaded
+      FROM events WHERE ts >= TIMESTAMP '2024-01-01 00:00:00' GROUP BY 1
+      UNION ALL
+      SELECT NULL::TIMESTAMP, count(*) FILTER (WHERE ts < TIMESTAMP '2024-01-01 00:00:00' OR ts IS NULL), FALSE
+      FROM events""",
     "chunk_bounds": """
       WITH g AS (SELECT unnest(generate_series(
                    (SELECT date_trunc('year', min(o_orderdate))::TIMESTAMP FROM orders),

@@ -229,7 +229,9 @@ def chunked_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Se
     Rows before the first boundary or with NULL in ``column`` are loaded only
     with ``include_rest``. With a numeric ``key`` and ``key_splits`` > 1 every
     JDBC chunk is also cut into key strides (``chunk_predicates``), so a large
-    chunk is read by several tasks. Returns the load report (see ``chunk_report``)."""
+    chunk is read by several tasks. Returns the load report: loaded rows per
+    chunk (``chunk_report``) and, unless ``include_rest``, one row with the
+    number of source rows left out (``excluded_count``)."""
     bounds = chunk_list(spark, start_year, freq, until)
     if isinstance(source, DataFrame):
         frame = source
@@ -246,14 +248,35 @@ def chunked_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Se
     write_swap(with_partitions(conform(frame, columns), partition_by), target,
                partition_by=list(partition_by or ()), bucket_by=bucket_by)
     tcol = next(c.target_name for c in columns if c.source_name.lower() == column.lower())
-    return chunk_report(spark.table(quoted(target)), tcol, freq, bounds[0][0], bounds[-1][0])
+    report = chunk_report(spark.table(quoted(target)), tcol, freq, bounds[0][0], bounds[-1][0])
+    if include_rest:
+        return report
+    return report.unionByName(excluded_count(spark, source, column, bounds[0][0]))
 
 
 def chunk_report(df: DataFrame, column: str, freq: str, first: dt.datetime, last: dt.datetime) -> DataFrame:
-    """Rows per chunk ``(chunk_lo, n)``; rows outside every chunk have
-    ``chunk_lo`` NULL."""
+    """Loaded rows per chunk ``(chunk_lo, n, loaded)``; loaded rows outside
+    every chunk have ``chunk_lo`` NULL."""
     lo = chunk_start(F.col(f"`{column}`"), freq, first, last)
-    return df.groupBy(lo.alias("chunk_lo")).agg(F.count(F.lit(1)).alias("n"))
+    return df.groupBy(lo.alias("chunk_lo")).agg(F.count(F.lit(1)).alias("n"), F.lit(True).alias("loaded"))
+
+
+def excluded_count(spark: SparkSession, source: DataFrame | JdbcTable, column: str, first: dt.datetime) -> DataFrame:
+    """One report row ``(NULL, n, false)``: source rows a chunked load leaves
+    out (before the first boundary, or NULL in the chunk column), counted by
+    the source for a JDBC table, by a one-column aggregate otherwise."""
+    if isinstance(source, DataFrame):
+        c = F.col(f"`{column}`")
+        cond = c.isNull() | (c < F.lit(first.isoformat(sep=" ")).cast(source.schema[column].dataType))
+        counted = source.agg(F.count(F.when(cond, F.lit(1))).alias("n"))
+    else:
+        from tidecopy.sources.jdbc import jdbc_query
+
+        q = source.quote(column)
+        counted = jdbc_query(spark, source, f"SELECT count(*) AS n FROM {source.table} "
+                                            f"WHERE {q} < {source.literal(first)} OR {q} IS NULL")
+    return counted.select(F.lit(None).cast("timestamp_ntz").alias("chunk_lo"), F.col("n").cast("bigint").alias("n"),
+                          F.lit(False).alias("loaded"))
 
 
 def truncate_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Sequence[MappedColumn],
