@@ -202,3 +202,27 @@ def test_quiet_run_writes_nothing(spark):
     st = replicate_table(spark, s, v1, run_date="2021-03-09", now=D(2021, 3, 9, 12))
     assert (st["path"], st["rows_read"], st["written"], st["rows_written"]) == ("merge", 0, False, 2)
     assert {p: os.path.getmtime(p) for p in glob.glob(loc.replace("file:", "") + "/*.parquet")} == files
+
+
+def test_jobs_from_configs_with_jdbc_connections(spark, sf_small):
+    import pytest
+
+    from tidecopy.plans import jobs_from_configs
+    from tidecopy.sources import catalog_from_frames, jdbc_scan, tables_from_frames
+
+    nation = spark.read.parquet(f"{sf_small}/nation.parquet")
+    url = "jdbc:derby:memory:test_configs;create=true"
+    drv = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    nation.write.format("jdbc").options(url=url, dbtable="SHOP.NATION", **drv).mode("overwrite").save()
+    configs = [{"load_type": "truncate", "source_jdbc_connection": "SRC", "source_schema": "SHOP",
+                "source_table_name": "NATION", "target_schema": "rep", "target_table_name": "nation_cfg",
+                "source_main_fields": ["n_nationkey"], "target_main_fields": ["N_NATIONKEY"]}]
+    jobs = jobs_from_configs(configs, {"SRC": (url, drv)})
+    assert jobs[0][1].table == "SHOP.NATION" and jobs[0][1].url == url
+    frame = jdbc_scan(spark, jobs[0][1])
+    cats = {"NATION": (catalog_from_frames(spark, {"NATION": frame}, table_schema="SHOP"),
+                       tables_from_frames(spark, {"NATION": frame}, table_schema="SHOP"))}
+    status = replicate_all(spark, jobs, run_date="2021-03-01", now=D(2021, 3, 1), catalogs=cats).first()
+    assert (status["ok"], status["rows_written"], status["error"]) == (True, 25, None)
+    with pytest.raises(ValueError, match="unknown connection"):
+        jobs_from_configs(configs, {"OTHER": (url, drv)})

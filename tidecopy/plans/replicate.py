@@ -186,6 +186,22 @@ def replicate_table(spark: SparkSession, spec: TableSpec, source: DataFrame | Jd
     return status
 
 
+def jobs_from_configs(configs: Sequence[Mapping], connections: Mapping[str, tuple[str, Mapping[str, str]]], *,
+                      default_connection: str | None = None) -> list[tuple[TableSpec, JdbcTable]]:
+    """(spec, source) jobs from table configs: each config names its source
+    connection (``source_jdbc_connection``), looked up in ``connections`` as
+    (JDBC URL, properties); the source table is ``source_schema.source_table_name``."""
+    jobs = []
+    for conf in configs:
+        spec = TableSpec.from_config(conf)
+        name = spec.source_jdbc_connection or default_connection
+        if name not in connections:
+            raise ValueError(f"{spec.source}: unknown connection {name!r}")
+        url, props = connections[name]
+        jobs.append((spec, JdbcTable(url, spec.source, dict(props))))
+    return jobs
+
+
 def replicate_all(spark: SparkSession, jobs: Sequence[tuple[TableSpec, DataFrame | JdbcTable]], *,
                   run_date, now: dt.datetime | None = None, max_parallel: int = 8,
                   catalogs: Mapping[str, tuple[DataFrame, DataFrame]] | None = None) -> DataFrame:
