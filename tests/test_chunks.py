@@ -90,3 +90,13 @@ def test_grid_matches_pandas_date_range(spark, start_year, until, freq):
     got = chunk_list(spark, start_year, freq, until_ts)
     assert [lo for lo, _ in got] == expect
     assert [hi for _, hi in got] == expect[1:] + [None]
+
+
+def test_watermark_or_reaches_the_parquet_scan(spark, sf_small):
+    from tidecopy.operators import incremental_filter
+
+    orders = spark.read.parquet(f"{sf_small}/orders.parquet")
+    delta = incremental_filter(orders, {"o_orderdate": "datetime", "o_orderkey": "int"}, D(2001, 6, 28), 1400)
+    plan = delta.select("o_orderkey")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(GreaterThanOrEqual(o_orderdate,2001-06-28T00:00),GreaterThanOrEqual(o_orderkey,1400))]" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
