@@ -110,6 +110,8 @@ def merge_upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], *,
     small = limit >= 0 and (measured["b"] or 0) <= limit
     if stats is not None:
         stats.update(rows=measured["n"], bytes=measured["b"] or 0, key_max=measured["k"], broadcast=small)
+    if not measured["n"]:
+        return target  # nothing to upsert: no key scan, no join
 
     def side(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if small else df

@@ -326,15 +326,17 @@ def merge_into_target(spark: SparkSession, target: str, delta: DataFrame, keys:
     # the delta is read from the source once; an empty one changes nothing, so
     # a quiet run writes nothing at all
     delta = stage(with_partitions(delta, partition_by).select(*current.columns))
-    if not delta.limit(1).count():
-        return {"partitions": 0, "rows": 0, "bytes": 0, "key_max": None, "broadcast": None, "written": False}
     if not partition_by:
-        write_swap(merge_upsert(current, delta, keys, stage_delta=False, stats=stats, align=align), target,
-                   bucket_by=bucket_by, aligned=True)
+        merged = merge_upsert(current, delta, keys, stage_delta=False, stats=stats, align=align)
+        if not stats["rows"]:
+            return {"partitions": 0, "written": False, **stats}
+        write_swap(merged, target, bucket_by=bucket_by, aligned=True)
         return {"partitions": None, "written": True, **stats}
     pcols = list(partition_by)
     touched = delta.select(*pcols).distinct()
     values = touched.limit(MAX_PRUNE_VALUES + 1).collect()
+    if not values:  # empty delta
+        return {"partitions": 0, "rows": 0, "bytes": 0, "key_max": None, "broadcast": None, "written": False}
     if len(pcols) == 1 and len(values) <= MAX_PRUNE_VALUES:
         # static partition pruning on the listed values
         c = F.col(f"`{pcols[0]}`")
