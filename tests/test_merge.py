@@ -207,3 +207,21 @@ def test_hot_target_key_on_shuffle_path(spark):
         assert got == {"hot": 1000, "t": 2000, "new": 1}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 9)), st.text("ab", max_size=2)), max_size=15),
+       st.dictionaries(st.integers(0, 12), st.text("xy", max_size=2), max_size=8))
+def test_merge_is_idempotent(spark, target_rows, delta_map):
+    schema = "k long, v string"
+    target = spark.createDataFrame(target_rows, schema)
+    delta = spark.createDataFrame(list(delta_map.items()), schema)
+    once_rows = rows(merge_upsert(target, delta, ["k"]))  # delta keys are unique: no duplicate error
+    twice = rows(merge_upsert(spark.createDataFrame(once_rows, schema), delta, ["k"]))
+    assert twice == once_rows
+    # every delta row is in the result exactly once per matching target row, or once if new
+    assert {r for r in once_rows if r[0] in delta_map} == set(delta_map.items())
