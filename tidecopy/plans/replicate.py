@@ -28,7 +28,7 @@ from tidecopy.sources.target import (
     chunked_load, ensure_table, full_load, merge_into_target, quoted, recover, source_frame,
     store_key_max, stored_key_max,
 )
-from tidecopy.session import local_frame
+from tidecopy.session import local_frame, stage
 from tidecopy.spec import TableSpec
 
 STATUS_SCHEMA = T.StructType([
@@ -207,7 +207,20 @@ def replicate_all(spark: SparkSession, jobs: Sequence[tuple[TableSpec, DataFrame
                   catalogs: Mapping[str, tuple[DataFrame, DataFrame]] | None = None) -> DataFrame:
     """Run every (spec, source) job, up to ``max_parallel`` at once, each in
     its own scheduler pool; a failing table is reported, not raised, and does
-    not stop the others. Returns one status row per table."""
+    not stop the others. Returns one status row per table.
+
+    Tables read from the same MySQL schema share one read of its
+    information_schema, staged once, instead of one read per table."""
+    shared: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+    for spec, source in jobs:
+        key = (getattr(source, "url", ""), spec.source_schema)
+        if (isinstance(source, JdbcTable) and source.dialect == "mysql" and key not in shared
+                and spec.source_table_name not in (catalogs or {})):
+            try:
+                cols, tabs = jdbc_catalog(spark, source.url, source.properties, schema=spec.source_schema)
+                shared[key] = (stage(cols), stage(tabs))
+            except Exception:  # leave it to the table's own run, which reports the error
+                pass
 
     def run(job):
         spec, source = job
@@ -218,6 +231,8 @@ def replicate_all(spark: SparkSession, jobs: Sequence[tuple[TableSpec, DataFrame
         except Exception:  # Spark Connect: jobs are tagged instead
             spark.addTag(f"replicate_{spec.target_schema}_{spec.target_table_name}")
         cat, tabs = (catalogs or {}).get(spec.source_table_name, (None, None))
+        if cat is None:
+            cat, tabs = shared.get((getattr(source, "url", ""), spec.source_schema), (None, None))
         try:
             st = replicate_table(spark, spec, source, run_date=run_date, now=now, catalog=cat, tables=tabs)
             st["error"] = None
