@@ -226,3 +226,26 @@ def test_jobs_from_configs_with_jdbc_connections(spark, sf_small):
     assert (status["ok"], status["rows_written"], status["error"]) == (True, 25, None)
     with pytest.raises(ValueError, match="unknown connection"):
         jobs_from_configs(configs, {"OTHER": (url, drv)})
+
+
+def test_partitioned_and_bucketed_target(spark, sf_small):
+    orders = spark.read.parquet(f"{sf_small}/orders.parquet")
+    base = dict(load_type="merge", source_schema="shop", source_table_name="orders", target_schema="rep",
+                source_main_fields=["o_orderkey"], target_main_fields=["O_ORDERKEY"],
+                source_merge_columns={"o_orderdate": "datetime"})
+    both = TableSpec(target_table_name="orders_both", bucket_count=2,
+                     partition_by={"O_RANGE": "cast(O_ORDERKEY div 500 AS bigint)"}, **base)
+    plain = TableSpec(target_table_name="orders_neither", **base)
+    for t in ("orders_both", "orders_neither"):
+        spark.sql(f"DROP TABLE IF EXISTS rep.{t}")
+    old = orders.where("o_orderkey < 1400")
+    changed = orders.withColumn("o_orderdate", F.when(F.col("o_orderkey") >= 1300, F.lit(D(2001, 7, 1)))
+                                .otherwise(F.least("o_orderdate", F.lit(D(2000, 1, 1)))))
+    for s in (both, plain):
+        replicate_table(spark, s, old, run_date="2001-07-01", now=D(2001, 8, 2))
+        st = replicate_table(spark, s, changed, run_date="2001-07-02", now=D(2001, 8, 2))
+        assert (st["path"], st["written"]) == ("merge", True)
+    a = spark.table("rep.orders_both").drop("O_RANGE")
+    b = spark.table("rep.orders_neither")
+    assert a.count() == b.count() == orders.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
