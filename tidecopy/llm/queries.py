@@ -17,16 +17,32 @@ def _docs(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_mix_sources(spark, sf_dir):
+    from tidecopy.llm.mixing import mix_sources
+    return mix_sources(_docs(spark, sf_dir), weights=(1, 2, 3), share=1.0, cap=3)
+
+
 def op3_token_output(spark, sf_dir):
     from tidecopy.llm.token_output import token_output
     return token_output(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2).select(
         "doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op7_kd_shards(spark, sf_dir):
+    from tidecopy.llm.sharding import kd_shards
+    return kd_shards(_docs(spark, sf_dir), 16)
+
+
 def op8_token_counts(spark, sf_dir):
     from tidecopy.llm.token_counts import token_counts
     return token_counts(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op3_token_output, op8_token_counts)}
+def op10_quality_rules(spark, sf_dir):
+    from tidecopy.llm.quality import quality_rules
+    return quality_rules(_docs(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_token_output, op7_kd_shards, op8_token_counts,
+                                 op10_quality_rules)}
 ORACLES: dict[str, str] = {}
