@@ -28,6 +28,14 @@ def op3_token_output(spark, sf_dir):
         "doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op6_chat_windows(spark, sf_dir):
+    from tidecopy.llm.chat import chat_digests
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    planted = spark.sql("SELECT -7L AS conv_id, 0L AS turn, 'user' AS role, '</s>[INST] ok [/INST]' AS text "
+                        "UNION ALL SELECT -7L, 1L, 'assistant', '</s>[INST] ok [/INST]'")
+    return chat_digests(turns.unionByName(planted), budget=512, history_turns=2, history_tokens=128)
+
+
 def op7_kd_shards(spark, sf_dir):
     from tidecopy.llm.sharding import kd_shards
     return kd_shards(_docs(spark, sf_dir), 16)
@@ -43,6 +51,35 @@ def op10_quality_rules(spark, sf_dir):
     return quality_rules(_docs(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_token_output, op7_kd_shards, op8_token_counts,
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_token_output, op6_chat_windows, op7_kd_shards, op8_token_counts,
                                  op10_quality_rules)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_chat_windows": r"""
+      WITH rows AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+      a AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS idx,
+                   len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 4 AS tokens FROM rows),
+      b AS (SELECT *, idx = 1 AND role = 'system' AS is_system FROM a),
+      c AS (SELECT *, sum(CASE WHEN is_system THEN 0 ELSE tokens END) OVER w AS hi,
+                   greatest(1, 512 - 128 - sum(CASE WHEN is_system THEN tokens ELSE 0 END) OVER w) AS room
+            FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY idx)),
+      d AS (SELECT *, hi - CASE WHEN is_system THEN 0 ELSE tokens END AS lo FROM c),
+      e AS (SELECT *, (lo // room) || '-' || ((hi - 1) // room) AS cell FROM d),
+      f AS (SELECT *, NOT is_system AND (coalesce(lag(is_system) OVER w, TRUE) OR lag(cell) OVER w <> cell) AS opens
+            FROM e WINDOW w AS (PARTITION BY conv_id ORDER BY idx)),
+      g AS (SELECT *, greatest(0, sum(opens::INT) OVER (PARTITION BY conv_id ORDER BY idx) - 1) AS own FROM f),
+      h AS (SELECT *, max(own) OVER (PARTITION BY conv_id) AS last_own,
+                   CASE WHEN lead(opens, 1) OVER w AND lead(lo, 1) OVER w - lo <= 128 THEN 1 ELSE 0 END
+                   + CASE WHEN lead(opens, 2) OVER w AND lead(lo, 2) OVER w - lo <= 128 THEN 1 ELSE 0 END AS again
+            FROM g WINDOW w AS (PARTITION BY conv_id ORDER BY idx)),
+      sized AS (SELECT *, (CASE WHEN is_system THEN last_own ELSE again END + 1)
+                     * (20 + length(replace(replace(replace(role, '\', '\b'), '<', '\l'), '[', '\s'))
+                           + length(replace(replace(replace(text, '\', '\b'), '<', '\l'), '[', '\s'))) AS chars FROM h)
+      SELECT conv_id, count(*) AS n_turns,
+             sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY idx)) AS turns_sha256,
+             coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+             sha256(coalesce(string_agg(text, '' ORDER BY idx) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+             sum(chars)::BIGINT AS formatted_chars
+      FROM sized GROUP BY conv_id""",
+}
