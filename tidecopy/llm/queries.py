@@ -22,6 +22,11 @@ def op1_mix_sources(spark, sf_dir):
     return mix_sources(_docs(spark, sf_dir), weights=(1, 2, 3), share=1.0, cap=3)
 
 
+def op2_substring_dedup(spark, sf_dir):
+    from tidecopy.llm.substring_dedup import substring_dedup
+    return substring_dedup(_docs(spark, sf_dir), 35)
+
+
 def op3_token_output(spark, sf_dir):
     from tidecopy.llm.token_output import token_output
     return token_output(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2).select(
@@ -51,7 +56,7 @@ def op10_quality_rules(spark, sf_dir):
     return quality_rules(_docs(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_token_output, op6_chat_windows, op7_kd_shards, op8_token_counts,
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_substring_dedup, op3_token_output, op6_chat_windows, op7_kd_shards, op8_token_counts,
                                  op10_quality_rules)}
 ORACLES: dict[str, str] = {
     "op6_chat_windows": r"""
