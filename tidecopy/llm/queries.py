@@ -38,6 +38,11 @@ def op4_decontaminate(spark, sf_dir):
     return leaks(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op5_jaccard_join(spark, sf_dir):
+    from tidecopy.llm.jaccard_join import jaccard_join
+    return jaccard_join(_docs(spark, sf_dir), k=4, percent=85)
+
+
 def op6_chat_windows(spark, sf_dir):
     from tidecopy.llm.chat import chat_digests
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
@@ -61,7 +66,7 @@ def op10_quality_rules(spark, sf_dir):
     return quality_rules(_docs(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_substring_dedup, op3_token_output, op4_decontaminate, op6_chat_windows, op7_kd_shards, op8_token_counts,
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_substring_dedup, op3_token_output, op4_decontaminate, op5_jaccard_join, op6_chat_windows, op7_kd_shards, op8_token_counts,
                                  op10_quality_rules)}
 ORACLES: dict[str, str] = {
     "op6_chat_windows": r"""
