@@ -9,12 +9,16 @@ import public_tokenizers
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def _docs(spark, sf_dir):
-    # Python workers find the package as the driver does
+def read_table(spark, sf_dir, name):
+    """A table; and Python workers find the package as the driver does."""
     env = spark.sparkContext.environment
     if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, env.get("PYTHONPATH", "")]))
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _docs(spark, sf_dir):
+    return read_table(spark, sf_dir, "documents")
 
 
 def op1_mix_sources(spark, sf_dir):
@@ -35,7 +39,7 @@ def op3_token_output(spark, sf_dir):
 
 def op4_decontaminate(spark, sf_dir):
     from tidecopy.llm.decontaminate import leaks
-    return leaks(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return leaks(_docs(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
 
 
 def op5_jaccard_join(spark, sf_dir):
@@ -45,7 +49,7 @@ def op5_jaccard_join(spark, sf_dir):
 
 def op6_chat_windows(spark, sf_dir):
     from tidecopy.llm.chat import chat_digests
-    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.sql("SELECT -7L AS conv_id, 0L AS turn, 'user' AS role, '</s>[INST] ok [/INST]' AS text "
                         "UNION ALL SELECT -7L, 1L, 'assistant', '</s>[INST] ok [/INST]'")
     return chat_digests(turns.unionByName(planted), budget=512, history_turns=2, history_tokens=128)
