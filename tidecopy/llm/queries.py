@@ -65,12 +65,17 @@ def op8_token_counts(spark, sf_dir):
     return token_counts(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
+def op9_suffix_dedup(spark, sf_dir):
+    from tidecopy.llm.suffix_dedup import suffix_dedup
+    return suffix_dedup(_docs(spark, sf_dir), 50)
+
+
 def op10_quality_rules(spark, sf_dir):
     from tidecopy.llm.quality import quality_rules
     return quality_rules(_docs(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_substring_dedup, op3_token_output, op4_decontaminate, op5_jaccard_join, op6_chat_windows, op7_kd_shards, op8_token_counts,
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_substring_dedup, op3_token_output, op4_decontaminate, op5_jaccard_join, op6_chat_windows, op7_kd_shards, op8_token_counts, op9_suffix_dedup,
                                  op10_quality_rules)}
 ORACLES: dict[str, str] = {
     "op6_chat_windows": r"""
