@@ -73,18 +73,31 @@ def _again(width: int):
     return run
 
 
-def repeated(blocks: DataFrame, width: int = 1) -> DataFrame:
-    """``blocks``: blk, xs (array of binary, one per bucket, as ``Packed.rows``).
-    Result: blk, hits (array of (bucket, bits) for the buckets that aren't empty):
-    a bit per fingerprint, set if it occurs twice or more in the corpus.
+def repeated(sent: DataFrame, width: int = 1) -> DataFrame:
+    """``sent``: blk, bucket, x (binary, of ``Packed.rows``; the empty ones left out).
+    Result: blk, hits (array of (bucket, bits)): a bit per fingerprint, set if it
+    occurs twice or more in the corpus.
 
     A fingerprint seen once by its block but by others too is hit through them;
     one the block has twice is hit for every block that has it."""
-    each = blocks.select("blk", F.posexplode("xs").alias("bucket", "x")).where(F.length("x") > 0)
-    bits = each.groupBy("bucket").applyInArrow(_again(width), "blk long, bucket int, bits binary")
+    bits = sent.groupBy("bucket").applyInArrow(_again(width), "blk long, bucket int, bits binary")
     return bits.groupBy("blk").agg(F.collect_list(F.struct("bucket", "bits")).alias("hits"))
 
 
+def stored(blocks: DataFrame) -> DataFrame:
+    """The rows to send of blocks that keep them (``xs``, one per bucket)."""
+    return blocks.select("blk", F.posexplode("xs").alias("bucket", "x")).where(F.length("x") > 0)
+
+
+def sent_batch(blk: int, packed: Packed) -> pa.RecordBatch:
+    """The rows to send of a block whose fingerprints are made anew each time."""
+    rows = packed.rows()
+    some = [i for i, x in enumerate(rows) if x]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([blk] * len(some), pa.int64()), pa.array(some, pa.int32()), pa.array([rows[i] for i in some], pa.binary())],
+        ["blk", "bucket", "x"])
+
+
 def hits_of(packed: Packed, hits: list[dict] | None) -> np.ndarray:
     """For each original position: does its fingerprint occur again?"""
     mask = np.zeros(len(packed.keys), dtype=bool)

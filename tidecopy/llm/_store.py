@@ -7,6 +7,7 @@ not a recomputation of the stages before.
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +40,7 @@ class Stage:
     def drop(self, *frames: DataFrame) -> None:
         """Delete staged tables that no later read needs, and let Spark's cleaner
         release the shuffle files of the jobs that are over."""
+        gc.collect()
         jvm = self.spark._jvm
         for df in frames:
             path = jvm.org.apache.hadoop.fs.Path(df.staged_path)

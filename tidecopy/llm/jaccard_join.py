@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidecopy.llm._exchange import BUCKETS_PER_PARTITION, Packed, hits_of, new_block, repeated
+from tidecopy.llm._exchange import BUCKETS_PER_PARTITION, Packed, hits_of, new_block, repeated, stored
 from tidecopy.llm._store import Stage, row_key, shuffle_width, text_bytes
 from tidecopy.llm._text import U64, buffer_of, pieces, prefix_hash, span_hash, word_hashes, words, mix
 from tidecopy.llm.components import components
@@ -38,7 +38,7 @@ from tidecopy.llm.components import components
 GROUP = 64            # classes of one group
 ROUNDS = 4            # rounds of hubs
 MAP_BITS = 24         # bits of the map of frequent tokens
-_PIECE = 16 << 20
+_PIECE = 6 << 20
 _INNER = 1 << 18
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -240,7 +240,7 @@ def jaccard_classes(docs: DataFrame, stage: Stage, *, k: int = 4, percent: int =
     blocks = stage.write(rows.mapInArrow(_blocks(k, percent, bitmap, buckets), _BLOCK))
     members = stage.write(blocks.select(F.explode(F.arrays_zip("doc_id", "k1", "k2", "n", "class")).alias("d")).select(
         "d.doc_id", "d.k1", "d.k2", F.col("d.n").alias("n_shingles"), "d.class"))
-    hits = repeated(blocks.select("blk", "xs"))
+    hits = repeated(stored(blocks))
     posted = (blocks.select("blk", "xs", "class", "n", "owner", "slot").join(hits, "blk")
               .mapInArrow(_postings, "token long, class long, n int").distinct())
     posted = stage.write(posted)

@@ -19,18 +19,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecopy.llm._exchange import BUCKETS_PER_PARTITION, Packed, hits_of, new_block, repeated
+from tidecopy.llm._exchange import BUCKETS_PER_PARTITION, Packed, hits_of, new_block, repeated, sent_batch, stored
 from tidecopy.llm._store import Stage, row_key, shuffle_width, text_bytes
 from tidecopy.llm._text import (
     MAX64, anchors, buffer_of, covered, fits, pieces, runs, sliding, window_hashes, word_hashes, words,
 )
 
-PIECE = 16 << 20    # text of one block
+PIECE = 6 << 20     # text of one block
 _INNER = 1 << 18    # text hashed at a time
 
-# A block of regions: keys of the rows they come from, first word, number of words,
-# and, from the second level on, the hashes of their words.
-_BLOCK = "blk long, xs array<binary>, k1 binary, k2 binary, first binary, size binary, codes binary, at binary, h binary"
+# A block of texts: keys of the rows, words of each, positions and hashes looked up.
+_TEXTS = "blk long, xs array<binary>, k1 binary, k2 binary, size binary, at binary, h binary"
+# A block of regions: keys of the rows they come from, first word, number and hashes
+# of words; what a level looks up follows from the hashes.
+_REGIONS = "blk long, k1 binary, k2 binary, first binary, size binary, codes binary"
 
 
 def levels_of(length: int) -> list[int]:
@@ -41,15 +43,16 @@ def levels_of(length: int) -> list[int]:
     return out
 
 
-def _emit(k1, k2, first, size, codes, at, h, level: int, length: int, buckets: int, keep_codes: bool) -> pa.RecordBatch:
-    """A block's row. at, h: positions looked up (in the block's words) and their keys."""
-    packed = Packed(h, buckets)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([new_block()]), pa.array([packed.rows()], pa.list_(pa.binary())),
-         *(pa.array([x.tobytes()], pa.binary()) for x in (
-             np.asarray(k1, "<i8"), np.asarray(k2, "<i8"), np.asarray(first, "<i4"), np.asarray(size, "<i4"),
-             codes if keep_codes else codes[:0], np.asarray(at, "<i4"), h))],
-        ["blk", "xs", "k1", "k2", "first", "size", "codes", "at", "h"])
+def _row(schema: str, blk: int, *values) -> pa.RecordBatch:
+    names = [c.split()[0] for c in schema.split(", ")]
+    cols = [pa.array([v], pa.list_(pa.binary())) if isinstance(v, list) else pa.array([np.ascontiguousarray(v).tobytes()], pa.binary())
+            for v in values]
+    return pa.RecordBatch.from_arrays([pa.array([blk]), *cols], names)
+
+
+def _regions_row(k1, k2, first, size, codes) -> pa.RecordBatch:
+    return _row(_REGIONS, new_block(), np.asarray(k1, "<i8"), np.asarray(k2, "<i8"), np.asarray(first, "<i4"),
+                np.asarray(size, "<i4"), codes)
 
 
 def _lookups(codes: np.ndarray, off: np.ndarray, level: int, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,9 +83,9 @@ def _first_blocks(levels: list[int], buckets: int):
                     hs.append(h)
                     sizes.append(np.diff(by))
                     base += len(s)
-                size = np.concatenate(sizes)
-                yield _emit(k1[i:j], k2[i:j], np.zeros(j - i), size, np.zeros(0, np.uint64), np.concatenate(ats),
-                            np.concatenate(hs), level, length, buckets, False)
+                h = np.concatenate(hs)
+                yield _row(_TEXTS, new_block(), Packed(h, buckets).rows(), k1[i:j].astype("<i8"), k2[i:j].astype("<i8"),
+                           np.concatenate(sizes).astype("<i4"), np.concatenate(ats).astype("<i4"), h)
 
     return run
 
@@ -91,9 +94,11 @@ def _alive(row: dict, level: int, length: int, buckets: int) -> tuple[np.ndarray
     """Which of a block's words start a window that survives the level; the regions' offsets."""
     size = np.frombuffer(row["size"], "<i4").astype(np.int64)
     off = np.concatenate([[0], np.cumsum(size)])
-    at = np.frombuffer(row["at"], "<i4").astype(np.int64)
-    width = 2 if level == length else 1
-    h = np.frombuffer(row["h"], "<u8").reshape(-1, width)
+    if "codes" in row:
+        at, h = _lookups(np.frombuffer(row["codes"], "<u8"), off, level, length)
+    else:
+        at = np.frombuffer(row["at"], "<i4").astype(np.int64)
+        h = np.frombuffer(row["h"], "<u8").reshape(-1, 2 if level == length else 1)
     hit = hits_of(Packed(h, buckets), row["hits"])
     n = int(off[-1])
     if level == length:
@@ -123,7 +128,10 @@ def _survivors(level: int, length: int, buckets: int):
                 region, s, n = _regions(row, alive, off, length)
                 if not len(s):
                     continue
-                yield _spans(row, region, s - off[region] + np.frombuffer(row["first"], "<i4")[region], n)
+                first = s - off[region]
+                if "first" in row:
+                    first = first + np.frombuffer(row["first"], "<i4")[region]
+                yield _spans(row, region, first, n)
 
     return run
 
@@ -137,36 +145,45 @@ def _spans(row: dict, region: np.ndarray, first: np.ndarray, n: np.ndarray) -> p
     return pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), *lists], ["k1", "k2", "first", "size"])
 
 
-def _region_blocks(level: int, length: int, buckets: int):
-    """Blocks of the next level, from texts and their surviving spans."""
+def _region_blocks(batches):
+    """Blocks of regions, from texts and their surviving spans."""
+    for batch in batches:
+        data, off = buffer_of(batch.column(2))
+        k1, k2 = (np.asarray(batch.column(i)) for i in (0, 1))
+        firsts, sizes = batch.column(3), batch.column(4)
+        for i, _, text, po in pieces(data, off, PIECE):
+            region, first, size, codes = [], [], [], []
+            d = i
+            for a, b, part, qo in pieces(text, po, _INNER):
+                s, e, by = words(part, qo)
+                w = word_hashes(part, s, e)
+                for x in range(b - a):
+                    f = firsts[d].values.to_numpy(zero_copy_only=False)
+                    n = sizes[d].values.to_numpy(zero_copy_only=False)
+                    region.append(np.full(len(f), d))
+                    first.append(f)
+                    size.append(n)
+                    codes += [w[by[x] + p:by[x] + p + m] for p, m in zip(f.tolist(), n.tolist())]
+                    d += 1
+            region, first, size = (np.concatenate(v) for v in (region, first, size))
+            yield _regions_row(k1[region], k2[region], first, size, np.concatenate(codes))
+
+
+def _send(level: int, length: int, buckets: int):
+    """What blocks of regions look up at a level."""
     def run(batches):
         for batch in batches:
-            data, off = buffer_of(batch.column(2))
-            k1, k2 = (np.asarray(batch.column(i)) for i in (0, 1))
-            firsts, sizes = batch.column(3), batch.column(4)
-            for i, j, text, po in pieces(data, off, PIECE):
-                region, first, size, codes = [], [], [], []
-                d = i
-                for a, b, part, qo in pieces(text, po, _INNER):
-                    s, e, by = words(part, qo)
-                    w = word_hashes(part, s, e)
-                    for x in range(b - a):
-                        f = firsts[d].values.to_numpy(zero_copy_only=False)
-                        n = sizes[d].values.to_numpy(zero_copy_only=False)
-                        region.append(np.full(len(f), d))
-                        first.append(f)
-                        size.append(n)
-                        codes += [w[by[x] + p:by[x] + p + m] for p, m in zip(f.tolist(), n.tolist())]
-                        d += 1
-                region, first, size = (np.concatenate(v) for v in (region, first, size))
-                codes = np.concatenate(codes)
-                at, h = _lookups(codes, np.concatenate([[0], np.cumsum(size)]), level, length)
-                yield _emit(k1[region], k2[region], first, size, codes, at, h, level, length, buckets, True)
+            for row in batch.to_pylist():
+                off = np.concatenate([[0], np.cumsum(np.frombuffer(row["size"], "<i4"), dtype=np.int64)])
+                _, h = _lookups(np.frombuffer(row["codes"], "<u8"), off, level, length)
+                yield sent_batch(row["blk"], Packed(h, buckets))
+
+    return run
 
     return run
 
 
-def _next_blocks(before: int, level: int, length: int, buckets: int):
+def _next_blocks(before: int, length: int, buckets: int):
     """Blocks of the next level, from those of the level before and their hits."""
     def run(batches):
         for batch in batches:
@@ -179,8 +196,7 @@ def _next_blocks(before: int, level: int, length: int, buckets: int):
                 codes = np.concatenate([codes[a:a + m] for a, m in zip(s.tolist(), n.tolist())])
                 k1, k2 = (np.frombuffer(row[k], "<i8")[region] for k in ("k1", "k2"))
                 first = np.frombuffer(row["first"], "<i4")[region] + s - off[region]
-                at, h = _lookups(codes, np.concatenate([[0], np.cumsum(n)]), level, length)
-                yield _emit(k1, k2, first, n, codes, at, h, level, length, buckets, True)
+                yield _regions_row(k1, k2, first, n, codes)
 
     return run
 
@@ -192,11 +208,14 @@ def repeated_spans(docs: DataFrame, length: int, stage: Stage, *, id_col: str =
     buckets = BUCKETS_PER_PARTITION * shuffle_width(spark)
     levels = levels_of(length)
     rows = docs.select(*row_key(id_col, text_col), text_bytes(text_col).alias("text"))
-    blocks = stage.write(rows.mapInArrow(_first_blocks(levels, buckets), _BLOCK))
+    blocks = stage.write(rows.mapInArrow(_first_blocks(levels, buckets), _TEXTS))
 
     def met(blocks: DataFrame, level: int) -> DataFrame:
-        hits = repeated(blocks.select("blk", "xs"), 2 if level == length else 1)
-        return blocks.drop("xs").join(hits, "blk")
+        width = 2 if level == length else 1
+        if "xs" in blocks.columns:
+            return blocks.drop("xs").join(repeated(stored(blocks), width), "blk")
+        sent = blocks.select("blk", "size", "codes").mapInArrow(_send(level, length, buckets), "blk long, bucket int, x binary")
+        return blocks.join(repeated(sent, width), "blk")
 
     span_rows = "k1 long, k2 long, first array<int>, size array<int>"
     for k, level in enumerate(levels):
@@ -211,11 +230,10 @@ def repeated_spans(docs: DataFrame, length: int, stage: Stage, *, id_col: str =
             if last:
                 return spans
             texts = rows.join(spans.hint("shuffle_hash"), ["k1", "k2"])
-            blocks = stage.write(texts.select("k1", "k2", "text", "first", "size")
-                                 .mapInArrow(_region_blocks(levels[1], length, buckets), _BLOCK))
+            blocks = stage.write(texts.select("k1", "k2", "text", "first", "size").mapInArrow(_region_blocks, _REGIONS))
             stage.drop(spans)
         else:
-            after = stage.write(met(blocks, level).mapInArrow(_next_blocks(level, levels[k + 1], length, buckets), _BLOCK))
+            after = stage.write(met(blocks, level).mapInArrow(_next_blocks(level, length, buckets), _REGIONS))
             stage.drop(blocks)
             blocks = after
     raise AssertionError("the last level returns")

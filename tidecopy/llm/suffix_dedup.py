@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecopy.llm._exchange import BUCKETS_PER_PARTITION, Packed, hits_of, new_block, repeated
+from tidecopy.llm._exchange import BUCKETS_PER_PARTITION, Packed, hits_of, new_block, repeated, stored
 from tidecopy.llm._store import Stage, row_key, shuffle_width, text_bytes
 from tidecopy.llm._text import _BYTE, MAX64, U64, anchors, buffer_of, covered, fits, mix, pieces, runs, sliding, window_hashes
 
@@ -307,7 +307,7 @@ def removed_spans(docs: DataFrame, length: int, stage: Stage, *, id_col: str = "
     buckets = BUCKETS_PER_PARTITION * shuffle_width(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), *row_key(id_col, text_col), text_bytes(text_col).alias("text"))
     seeds = stage.write(rows.select("k1", "k2", "text").mapInArrow(_seed_blocks(length, buckets), _SEEDS))
-    spans = stage.write(seeds.drop("xs").join(repeated(seeds.select("blk", "xs")), "blk").mapInArrow(
+    spans = stage.write(seeds.drop("xs").join(repeated(stored(seeds)), "blk").mapInArrow(
         _seed_spans(length, buckets), "k1 long, k2 long, first array<int>, size array<int>, family array<long>")
         .dropDuplicates(["k1", "k2"]))
     stage.drop(seeds)
