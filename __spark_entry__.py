@@ -9,8 +9,9 @@ a day), never from an id subset. All times are fixed parameters.
 from __future__ import annotations
 
 import datetime as dt
-import os
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,13 +20,13 @@ from tidecopy import ChunkSpec, TableSpec
 from tidecopy.functions import lookback_start, null_cells
 from tidecopy.operators import (
     catalog_of, chunk_grid, column_pairs, condition_met, conform, count_check, ddl_report,
-    duplicate_keys, has_rows, incremental_filter, key_max, map_types, mapped_columns,
+    duplicate_keys, has_rows, in_chunk, incremental_filter, key_max, map_types, mapped_columns,
     merge_upsert, replace_fields, unknown_types,
 )
 from tidecopy.plans import replicate_all, replicate_table
-from tidecopy.session import local_frame, warehouse_dir
+from tidecopy.session import checkpoint_dir, local_frame, remove_path
 from tidecopy.sources import (
-    JdbcTable, append_jdbc, append_target, catalog_from_frames, chunked_load, column_catalog,
+    CATALOG_SCHEMA, JdbcTable, append_jdbc, append_target, catalog_from_frames, chunked_load, column_catalog,
     drop_target, ensure_table, full_load, jdbc_scan, load_tsv, run_sql, tables_from_frames, truncate_load,
     write_swap, write_tsv,
 )
@@ -124,7 +125,7 @@ def q_duplicate_keys(spark, sf_dir):
 
 
 def q_key_max(spark, sf_dir):
-    return _t(spark, sf_dir, "orders").agg(F.max("o_orderkey").alias("key_max"))
+    return local_frame(spark, [(key_max(_t(spark, sf_dir, "orders"), "o_orderkey"),)], "key_max bigint")
 
 
 def q_has_rows(spark, sf_dir):
@@ -133,16 +134,17 @@ def q_has_rows(spark, sf_dir):
 
 # ---------------------------------------------------------------- type map
 
-def _catalog(spark, sf_dir):
-    """Catalog of every driver table as a source would declare it: string
-    widths are measured over the whole data (one aggregation per table)."""
-    frames = {name: _t(spark, sf_dir, name) for name in TABLES}
-    return (catalog_from_frames(spark, frames, table_schema=SOURCE_SCHEMA, measure=True),
+def _catalog(spark, sf_dir, names=TABLES, measure=True):
+    """Catalog of driver tables as a source would declare them. String widths are
+    measured over the whole data (one aggregation per table) where the result
+    shows them."""
+    frames = {name: _t(spark, sf_dir, name) for name in names}
+    return (catalog_from_frames(spark, frames, table_schema=SOURCE_SCHEMA, measure=measure),
             tables_from_frames(spark, frames, table_schema=SOURCE_SCHEMA))
 
 
 def q_column_catalog(spark, sf_dir):
-    cols, tabs = _catalog(spark, sf_dir)
+    cols, tabs = _catalog(spark, sf_dir, ["lineitem"])
     return column_catalog(cols, tabs, SOURCE_SCHEMA, "lineitem")
 
 
@@ -153,21 +155,47 @@ def q_type_map(spark, sf_dir):
 
 
 def q_unknown_types(spark, sf_dir):
-    cols, _ = _catalog(spark, sf_dir)
-    return unknown_types(cols)
+    """Columns of unknown types, and how many rows of their table lose them."""
+    cols, _ = _catalog(spark, sf_dir, measure=False)
+    found = unknown_types(cols)
+    names = sorted({r["table_name"] for r in found.select("table_name").collect()})
+    counts = reduce(DataFrame.unionByName, [_t(spark, sf_dir, n).agg(F.count(F.lit(1)).alias("n_rows"))
+                                            .withColumn("table_name", F.lit(n)) for n in names])
+    return found.join(counts, "table_name")
 
 
 def q_ddl_report(spark, sf_dir):
     cols, _ = _catalog(spark, sf_dir)
-    return ddl_report(cols, target_schema="REPLICA", connection="SRC")
+    return ddl_report(cols, target_schema="REPLICA", connection="SRC").orderBy("table_schema", "table_name")
 
 
 def q_column_pairs(spark, sf_dir):
+    """The source's rows under the names that the pairs give them, and the pairs' number."""
     orders = _t(spark, sf_dir, "orders")
-    cols = _mapped(spark, "orders", orders, measure=True)
-    src_cat = catalog_of(orders, SOURCE_SCHEMA, "orders")
-    tgt_cat = catalog_of(conform(orders, cols), "REPLICA", "ORDERS")
-    return column_pairs(src_cat, tgt_cat)
+    loaded = conform(orders, _mapped(spark, "orders", orders))
+    pairs = column_pairs(catalog_of(orders, SOURCE_SCHEMA, "orders"), catalog_of(loaded, "REPLICA", "ORDERS"))
+    named = [(r["source_name"], r["target_name"]) for r in pairs.orderBy("ord").collect()]
+    return orders.select(*[F.col(a).alias(b) for a, b in named], F.lit(len(named)).alias("N_PAIRS"))
+
+
+def q_conform_wide_types(spark, sf_dir):
+    """Columns of the rarer source types, derived from lineitem and events: decimals
+    (one wider than a target holds), BIT(1), BIT(8), TIME, YEAR, BINARY and CHAR(n)."""
+    lineitem = _t(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("decimal(38,4)").alias("price"),
+        F.col("l_quantity").cast("decimal(12,2)").alias("qty"), (F.col("l_discount") > 0.05).alias("cheap"),
+        F.unhex(F.hex(F.col("l_linenumber").cast("bigint"))).alias("flags"),
+        F.date_format("l_shipdate", "HH:mm:ss").alias("at_time"), F.year("l_shipdate").alias("in_year"),
+        F.encode(F.concat("l_returnflag", "l_linestatus"), "utf-8").alias("raw"),
+        F.concat_ws("-", "l_returnflag", "l_linestatus", F.col("l_partkey").cast("string")).alias("code"))
+    declared = {"l_orderkey": ("bigint", "bigint", None, 19, 0), "l_linenumber": ("int", "int", None, 10, 0),
+                "price": ("decimal", "decimal(38,4)", None, 38, 4), "qty": ("decimal", "decimal(12,2)", None, 12, 2),
+                "cheap": ("bit", "bit(1)", None, 1, None), "flags": ("bit", "bit(8)", None, 8, None),
+                "at_time": ("time", "time", None, None, None), "in_year": ("year", "year", None, None, None),
+                "raw": ("binary", "binary(4)", 4, None, None), "code": ("char", "char(6)", 6, None, None)}
+    rows = [("def", SOURCE_SCHEMA, "wide", name, i + 1, *declared[name]) for i, name in enumerate(lineitem.columns)]
+    cols = mapped_columns(local_frame(spark, rows, CATALOG_SCHEMA))
+    return conform(lineitem, cols)
 
 
 def q_conform_types(spark, sf_dir):
@@ -197,10 +225,30 @@ def q_full_load(spark, sf_dir):
 def q_chunked_load(spark, sf_dir):
     orders = _t(spark, sf_dir, "orders")
     return chunked_load(spark, orders, _mapped(spark, "orders", orders), f"{DEMO_DB}.orders_chunked",
-                        column="o_orderdate", freq="MS", start_year=1998,
+                        column="o_orderdate", freq="MS", start_year=1995,
                         until=dt.datetime(2001, 8, 15))
 
 
+def q_chunked_load_rest(spark, sf_dir):
+    """Chunks from 1998 on, and the rest (earlier and undated orders) with them: every row."""
+    orders = _t(spark, sf_dir, "orders").withColumn(
+        "o_orderdate", F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")))
+    target = f"{DEMO_DB}.orders_chunked_rest"
+    chunked_load(spark, orders, _mapped(spark, "orders", orders), target, column="o_orderdate", freq="MS",
+                 start_year=1998, until=dt.datetime(2001, 8, 15), include_rest=True)
+    return spark.table(f"`{DEMO_DB}`.`orders_chunked_rest`")
+
+
+def q_chunk_rows(spark, sf_dir):
+    """All orders, each with the chunk whose bounds hold it (the last one is open)."""
+    orders = _t(spark, sf_dir, "orders")
+    bounds = [(dt.datetime(1990, 1, 1), dt.datetime(1997, 1, 1)), (dt.datetime(1997, 1, 1), dt.datetime(2000, 7, 1)),
+              (dt.datetime(2000, 7, 1), None)]
+    return reduce(DataFrame.unionByName, [
+        in_chunk(orders, "o_orderdate", lo, hi).select("o_orderkey", "o_orderdate", F.lit(i).alias("chunk"))
+        for i, (lo, hi) in enumerate(bounds)])
+
+
 def q_chunked_load_weekly(spark, sf_dir):
     events = _t(spark, sf_dir, "events")
     return chunked_load(spark, events, _mapped(spark, "events", events), f"{DEMO_DB}.events_weekly",
@@ -226,10 +274,11 @@ def q_ensure_table(spark, sf_dir):
     part = _t(spark, sf_dir, "part")
     target = f"{DEMO_DB}.part_ensure"
     spark.sql(f"DROP TABLE IF EXISTS `{DEMO_DB}`.`part_ensure`")
-    ensure_table(spark, target, _mapped(spark, "part", part, measure=True))
-    fields = spark.table(f"`{DEMO_DB}`.`part_ensure`").schema.fields
-    return local_frame(spark, [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)],
-                       "ordinal_position int, column_name string, spark_type string")
+    cols = _mapped(spark, "part", part)
+    created = ensure_table(spark, target, cols)
+    again = ensure_table(spark, target, cols)     # there already: left as it is
+    append_target(conform(part, cols), target)
+    return spark.table(f"`{DEMO_DB}`.`part_ensure`").withColumns({"CREATED": F.lit(created), "AGAIN": F.lit(again)})
 
 
 def q_drop_target(spark, sf_dir):
@@ -255,9 +304,12 @@ def q_append_target(spark, sf_dir):
 
 def q_tsv_load(spark, sf_dir):
     supplier = _t(spark, sf_dir, "supplier")
-    path = os.path.join(warehouse_dir(spark), "_exchange", "supplier_tsv")
+    path = f"{checkpoint_dir(spark)}/supplier_tsv_{uuid.uuid4().hex}"
+    spark.sql(f"DROP TABLE IF EXISTS `{DEMO_DB}`.`supplier_tsv`")
     write_tsv(supplier, path)
-    return load_tsv(spark, path, supplier.schema)
+    out = load_tsv(spark, path, supplier.schema, f"{DEMO_DB}.supplier_tsv")
+    remove_path(spark, path)
+    return out
 
 
 def q_jdbc_scan(spark, sf_dir):
@@ -335,10 +387,11 @@ def q_replicate_merge(spark, sf_dir):
 
 
 def q_replicate_merge_partitioned(spark, sf_dir):
-    """The same merge into a target partitioned by key range: only the ranges
-    the delta falls in are read and rewritten."""
+    """The same merge into a target partitioned by the month of the order (which
+    never changes): only the months the delta falls in are read and rewritten,
+    and every other one stays as it is."""
     orders = _t(spark, sf_dir, "orders")
-    parts = {"O_RANGE": "cast(O_ORDERKEY div 10000 AS bigint)"}
+    parts = {"O_MONTH": "date_format(O_ORDERDATE, 'yyyy-MM')"}
     spec = _orders_spec("orders_merge_parts", partition_by=parts)
     spark.sql(f"DROP TABLE IF EXISTS `{DEMO_DB}`.`orders_merge_parts`")
     cols = _mapped(spark, "orders", orders)
@@ -361,6 +414,8 @@ def q_replicate_merge_bucketed(spark, sf_dir):
 
 
 def q_replicate_all(spark, sf_dir):
+    """Four reloads, a merge, and a job whose count check fails: its watermark says all of
+    its rows should be there, but its first load leaves out the early ones."""
     jobs = []
     for name, key in (("nation", "n_nationkey"), ("region", "r_regionkey"),
                       ("supplier", "s_suppkey"), ("customer", "c_custkey")):
@@ -368,8 +423,14 @@ def q_replicate_all(spark, sf_dir):
                          target_schema=DEMO_DB, target_table_name=f"all_{name}",
                          source_main_fields=[key], target_main_fields=[key.upper()])
         jobs.append((spec, _t(spark, sf_dir, name)))
+    orders = _t(spark, sf_dir, "orders")
+    write_swap(conform(_orders_replica(orders), _mapped(spark, "orders", orders)), f"{DEMO_DB}.all_orders")
+    jobs.append((_orders_spec("all_orders"), orders))
+    spark.sql(f"DROP TABLE IF EXISTS `{DEMO_DB}`.`all_orders_late`")
+    jobs.append((_orders_spec("all_orders_late", source_freq=ChunkSpec("o_orderdate", "MS", 1998),
+                              count_cutoff_column="o_orderdate"), orders))
     status = replicate_all(spark, jobs, run_date=RUN_DATE, now=dt.datetime(2001, 7, 1, 12))
-    return status.select("table_name", "rows_written", "ok")
+    return status.select("table_name", "path", "rows_written", "written", "excluded", "check_rule", "source_n", "target_n", "ok")
 
 
 _QUERIES = {
@@ -386,10 +447,13 @@ _QUERIES = {
     "ddl_report": q_ddl_report,
     "column_pairs": q_column_pairs,
     "conform_types": q_conform_types,
+    "conform_wide_types": q_conform_wide_types,
     "replace_fields": q_replace_fields,
     "null_cells": q_null_cells,
     "full_load": q_full_load,
     "chunked_load": q_chunked_load,
+    "chunked_load_rest": q_chunked_load_rest,
+    "chunk_rows": q_chunk_rows,
     "chunked_load_weekly": q_chunked_load_weekly,
     "chunk_bounds": q_chunk_bounds,
     "truncate_load": q_truncate_load,
@@ -523,7 +587,8 @@ _ORACLES = {
     "unknown_types": f"""
       SELECT 'shop' AS table_schema, table_name, column_name,
              CAST(ordinal_position AS INTEGER) AS ordinal_position, 'VECTOR' AS data_type,
-             '--UNKNOWN_DATATYPE: "' || upper(column_name) || '" VECTOR' AS unknown_note
+             '--UNKNOWN_DATATYPE: "' || upper(column_name) || '" VECTOR' AS unknown_note,
+             (SELECT count(*) FROM embeddings) AS n_rows
       FROM {_COLS} WHERE ({_TARGET_TYPE}) IS NULL""",
     "ddl_report": f"""
       WITH c AS (
@@ -544,9 +609,10 @@ _ORACLES = {
                || ' from shop.' || table_name || '''' AS sql_imports
       FROM c GROUP BY table_name""",
     "column_pairs": """
-      SELECT CAST(ordinal_position AS INTEGER) AS ord, column_name AS source_name,
-             upper(column_name) AS target_name
-      FROM information_schema.columns WHERE table_name = 'orders'""",
+      SELECT o_orderkey AS "O_ORDERKEY", o_custkey AS "O_CUSTKEY", o_orderstatus AS "O_ORDERSTATUS",
+             o_totalprice AS "O_TOTALPRICE", o_orderdate AS "O_ORDERDATE", o_orderpriority AS "O_ORDERPRIORITY",
+             6 AS "N_PAIRS"
+      FROM orders""",
     "conform_types": """
       SELECT CAST(l_orderkey AS DECIMAL(20,0)) AS "L_ORDERKEY", CAST(l_partkey AS DECIMAL(20,0)) AS "L_PARTKEY",
              CAST(l_suppkey AS DECIMAL(20,0)) AS "L_SUPPKEY", CAST(l_linenumber AS DECIMAL(11,0)) AS "L_LINENUMBER",
@@ -554,6 +620,14 @@ _ORACLES = {
              l_tax AS "L_TAX", l_returnflag AS "L_RETURNFLAG", l_linestatus AS "L_LINESTATUS",
              l_shipdate AS "L_SHIPDATE"
       FROM lineitem""",
+    "conform_wide_types": """
+      SELECT CAST(l_orderkey AS DECIMAL(20,0)) AS "L_ORDERKEY", CAST(l_linenumber AS DECIMAL(11,0)) AS "L_LINENUMBER",
+             CAST(l_extendedprice AS DECIMAL(36,4)) AS "PRICE", CAST(l_quantity AS DECIMAL(12,2)) AS "QTY",
+             CAST(CASE WHEN l_discount > 0.05 THEN 1 WHEN l_discount <= 0.05 THEN 0 END AS DECIMAL(1,0)) AS "CHEAP",
+             CAST(l_linenumber AS DECIMAL(8,0)) AS "FLAGS", strftime(l_shipdate, '%H:%M:%S') AS "AT_TIME",
+             CAST(year(l_shipdate) AS VARCHAR) AS "IN_YEAR", l_returnflag || l_linestatus AS "RAW",
+             l_returnflag || '-' || l_linestatus || '-' || l_partkey AS "CODE"
+      FROM lineitem""",
     "replace_fields": """
       SELECT c_custkey, sha256(c_name) AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",
     "null_cells": """
@@ -567,10 +641,19 @@ _ORACLES = {
       FROM orders""",
     "chunked_load": """
       SELECT date_trunc('month', o_orderdate)::TIMESTAMP AS chunk_lo, count(*) AS n, TRUE AS loaded
-      FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00' GROUP BY 1
+      FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01 00:00:00' GROUP BY 1
       UNION ALL
-      SELECT NULL::TIMESTAMP, count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1998-01-01 00:00:00'
+      SELECT NULL::TIMESTAMP, count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1995-01-01 00:00:00'
                                                  OR o_orderdate IS NULL), FALSE FROM orders""",
+    "chunked_load_rest": """
+      SELECT CAST(o_orderkey AS DECIMAL(20,0)) AS "O_ORDERKEY", CAST(o_custkey AS DECIMAL(20,0)) AS "O_CUSTKEY",
+             o_orderstatus AS "O_ORDERSTATUS", o_totalprice AS "O_TOTALPRICE",
+             CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS "O_ORDERDATE", o_orderpriority AS "O_ORDERPRIORITY"
+      FROM orders""",
+    "chunk_rows": """
+      SELECT o_orderkey, o_orderdate, CASE WHEN o_orderdate < TIMESTAMP '1997-01-01 00:00:00' THEN 0
+                                           WHEN o_orderdate < TIMESTAMP '2000-07-01 00:00:00' THEN 1 ELSE 2 END AS chunk
+      FROM orders WHERE o_orderdate >= TIMESTAMP '1990-01-01 00:00:00'""",
     "chunked_load_weekly": """
       SELECT date_trunc('week', ts)::TIMESTAMP AS chunk_lo, count(*) AS n, TRUE AS loaded
       FROM events WHERE ts >= TIMESTAMP '2024-01-01 00:00:00' GROUP BY 1
@@ -586,10 +669,10 @@ _ORACLES = {
       SELECT CAST(n_nationkey AS DECIMAL(11,0)) AS "N_NATIONKEY", n_name AS "N_NAME",
              CAST(n_regionkey AS DECIMAL(11,0)) AS "N_REGIONKEY"
       FROM nation""",
-    "ensure_table": f"""
-      SELECT CAST(ordinal_position AS INTEGER) AS ordinal_position, upper(column_name) AS column_name,
-             {_SPARK_TYPE} AS spark_type
-      FROM information_schema.columns WHERE table_name = 'part'""",
+    "ensure_table": """
+      SELECT CAST(p_partkey AS DECIMAL(20,0)) AS "P_PARTKEY", p_name AS "P_NAME", p_brand AS "P_BRAND", p_type AS "P_TYPE",
+             CAST(p_size AS DECIMAL(11,0)) AS "P_SIZE", p_retailprice AS "P_RETAILPRICE", TRUE AS "CREATED", FALSE AS "AGAIN"
+      FROM part""",
     "drop_target": """
       SELECT TRUE AS existed_before, FALSE AS exists_after, count(*) AS rows_before FROM nation""",
     "append_target": """
@@ -638,7 +721,7 @@ _ORACLES = {
       WITH {_ORDERS_REPLICA}, merged AS ({_MERGED_ORDERS})
       SELECT CAST(o_orderkey AS DECIMAL(20,0)) AS "O_ORDERKEY", CAST(o_custkey AS DECIMAL(20,0)) AS "O_CUSTKEY",
              o_orderstatus AS "O_ORDERSTATUS", o_totalprice AS "O_TOTALPRICE", o_orderdate AS "O_ORDERDATE",
-             o_orderpriority AS "O_ORDERPRIORITY", CAST(o_orderkey // 10000 AS BIGINT) AS "O_RANGE"
+             o_orderpriority AS "O_ORDERPRIORITY", strftime(o_orderdate, '%Y-%m') AS "O_MONTH"
       FROM merged""",
     "replicate_merge_bucketed": f"""
       WITH {_ORDERS_REPLICA}, merged AS ({_MERGED_ORDERS})
@@ -647,10 +730,20 @@ _ORACLES = {
              o_orderpriority AS "O_ORDERPRIORITY"
       FROM merged""",
     "replicate_all": f"""
-      SELECT '{DEMO_DB}.all_nation' AS table_name, count(*) AS rows_written, TRUE AS ok FROM nation
-      UNION ALL SELECT '{DEMO_DB}.all_region', count(*), TRUE FROM region
-      UNION ALL SELECT '{DEMO_DB}.all_supplier', count(*), TRUE FROM supplier
-      UNION ALL SELECT '{DEMO_DB}.all_customer', count(*), TRUE FROM customer""",
+      WITH {_ORDERS_REPLICA}, whole(table_name, n) AS (
+        SELECT '{DEMO_DB}.all_nation', count(*) FROM nation UNION ALL SELECT '{DEMO_DB}.all_region', count(*) FROM region
+        UNION ALL SELECT '{DEMO_DB}.all_supplier', count(*) FROM supplier
+        UNION ALL SELECT '{DEMO_DB}.all_customer', count(*) FROM customer)
+      SELECT table_name, 'truncate' AS path, n AS rows_written, TRUE AS written, 0::BIGINT AS excluded, 'tolerance' AS check_rule,
+             n AS source_n, n AS target_n, TRUE AS ok FROM whole
+      UNION ALL
+      SELECT '{DEMO_DB}.all_orders', 'merge', count(*), TRUE, 0, 'none', NULL, NULL, TRUE FROM delta
+      UNION ALL
+      SELECT '{DEMO_DB}.all_orders_late', 'first_load', count(*) FILTER (WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'), TRUE,
+             count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1998-01-01 00:00:00' OR o_orderdate IS NULL), 'cutoff',
+             count(*) FILTER (WHERE o_orderdate <= TIMESTAMP '2001-07-01 11:00:00'),
+             count(*) FILTER (WHERE o_orderdate <= TIMESTAMP '2001-07-01 11:00:00' AND o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'),
+             FALSE FROM orders""",
 }
 
 

@@ -51,16 +51,8 @@ def test_run_date_helpers():
 
 
 def test_column_helpers(spark):
-    from tidecopy.functions import char_cast, count_cutoff_col, lookback_start_col
-    from tidecopy.operators import fold_names, in_chunk
-
-    df = spark.createDataFrame([(D(2021, 3, 10, 13, 20), "abcdef")], "ts timestamp_ntz, s string")
-    r = df.select(lookback_start_col("ts").alias("a"), count_cutoff_col("ts").alias("b"),
-                  char_cast(F.col("s"), 4).alias("c")).first()
-    assert (r["a"], r["b"], r["c"]) == (D(2021, 3, 7), D(2021, 3, 10, 12, 0), "abcd")
-    assert fold_names(df).columns == ["TS", "S"]
-    with pytest.raises(ValueError, match="collide"):
-        fold_names(df.select("ts", F.col("s").alias("TS")))
+    from tidecopy.operators import in_chunk
+
     days = spark.range(10).select(F.date_add(F.lit("2021-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
     assert in_chunk(days, "d", dt.date(2021, 1, 3), dt.date(2021, 1, 6)).count() == 3
     assert in_chunk(days, "d", dt.date(2021, 1, 8)).count() == 3

@@ -132,22 +132,22 @@ def test_jdbc_catalog_reads_information_schema(spark):
 
     url = derby("catalog")
     cols = spark.createDataFrame([
-        ("def", "baza", "users", "id", 1, "bigint", "bigint unsigned", None, 20, 0),
-        ("def", "baza", "users", "name", 2, "varchar", "varchar(64)", 64, None, None),
-        ("def", "baza", "users_v", "id", 1, "bigint", "bigint", None, 19, 0),
+        ("def", "shopdb", "users", "id", 1, "bigint", "bigint unsigned", None, 20, 0),
+        ("def", "shopdb", "users", "name", 2, "varchar", "varchar(64)", 64, None, None),
+        ("def", "shopdb", "users_v", "id", 1, "bigint", "bigint", None, 19, 0),
         ("def", "other", "t", "x", 1, "int", "int", None, 10, 0),
     ], CATALOG_SCHEMA)
-    tabs = spark.createDataFrame([("def", "baza", "users", "BASE TABLE"), ("def", "baza", "users_v", "VIEW"),
+    tabs = spark.createDataFrame([("def", "shopdb", "users", "BASE TABLE"), ("def", "shopdb", "users_v", "VIEW"),
                                   ("def", "other", "t", "BASE TABLE")], TABLES_SCHEMA)
     for df, name in ((cols, "information_schema.columns"), (tabs, "information_schema.tables")):
         # the source server keeps these as varchar (Derby's default for strings, CLOB, is not comparable)
         text_cols = ", ".join(f"{f.name} VARCHAR(64)" for f in df.schema.fields if f.dataType.simpleString() == "string")
         (df.write.format("jdbc").options(url=url, dbtable=name, **DERBY)
          .option("createTableColumnTypes", text_cols).mode("overwrite").save())
-    columns, tables = jdbc_catalog(spark, url, DERBY, schema="baza")
+    columns, tables = jdbc_catalog(spark, url, DERBY, schema="shopdb")
     assert columns.schema == CATALOG_SCHEMA
     assert columns.count() == 3 and tables.count() == 2
-    users = column_catalog(columns, tables, "baza", "users")
+    users = column_catalog(columns, tables, "shopdb", "users")
     mapped = mapped_columns(users)
     assert [(c.target_name, c.spark_type) for c in mapped] == [("ID", "decimal(20,0)"), ("NAME", "string")]
 
@@ -166,3 +166,13 @@ def test_tsv_round_trip_any_text(spark, values):
     write_tsv(df, path)
     back = load_tsv(spark, path, "id long, s string")
     assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_tsv_one_column_keeps_empty_lines_and_fills_a_table(spark, tmp_path):
+    from tidecopy.sources import load_tsv, write_tsv
+    df = spark.createDataFrame([("a",), ("",), ("b",), (None,)], "v string").coalesce(1)
+    write_tsv(df, f"{tmp_path}/x")
+    assert [r.v for r in load_tsv(spark, f"{tmp_path}/x", df.schema).collect()] == ["a", "", "b", None]
+    spark.sql("DROP TABLE IF EXISTS rep.tsv_in")
+    load_tsv(spark, f"{tmp_path}/x", df.schema, "rep.tsv_in")
+    assert load_tsv(spark, f"{tmp_path}/x", df.schema, "rep.tsv_in").count() == 8

@@ -3,7 +3,7 @@ import pytest
 from tidecopy import ChunkSpec, SpecError, TableSpec
 
 BASE = dict(load_type="merge", source_database_type="mysql", source_jdbc_connection="SRC",
-            source_schema="baza", source_table_name="users", source_main_fields=["id"],
+            source_schema="shopdb", source_table_name="users", source_main_fields=["id"],
             source_merge_columns={"updated_at": "datetime", "created_at": "datetime", "id": "int"},
             source_freq={"data_filed": "created_at", "freq": "MS", "start_year": 2018},
             target_schema="REPLICA", target_table_name="USERS", target_main_fields=["ID"])
@@ -17,12 +17,12 @@ def test_sample_spec_builds():
 
 
 @pytest.mark.parametrize("change, message", [
-    ({"load_type": "upsert"}, "load_type"),
-    ({"source_main_fields": "id"}, "is not a list"),
-    ({"source_merge_columns": {"id": "string"}}, "incorrect field_type"),
+    ({"load_type": "upsert"}, "unknown load type"),
+    ({"source_main_fields": "id"}, "must list column names"),
+    ({"source_merge_columns": {"id": "string"}}, "has type 'string'"),
     ({"source_merge_columns": {}}, "watermark"),
     ({"target_main_fields": ["ID", "X"]}, "differ in length"),
-    ({"source_database_type": "oracle"}, "source_database_type"),
+    ({"source_database_type": "oracle"}, "no support"),
     ({"source_freq": {"data_filed": "created_at", "freq": "BM", "start_year": 2018}}, "unsupported freq"),
     ({"no_such_key": 1}, "unknown spec keys"),
     ({"source_main_field": "id"}, "as a list"),

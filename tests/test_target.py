@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ def test_swap_replaces_and_recovers(spark):
     assert spark.table("tgt.swap_t").count() == 5
     # a crash after the first rename: only __next is there
     write_swap(spark.range(7).toDF("ID"), "tgt.swap_t2")
-    spark.sql("ALTER TABLE tgt.swap_t2 RENAME TO tgt.swap_t2__next")
+    spark.sql("ALTER TABLE tgt.swap_t2 RENAME TO tgt.swap_t2__next_1")
     assert not target_exists(spark, "tgt.swap_t2")
     recover(spark, "tgt.swap_t2")
     assert spark.table("tgt.swap_t2").count() == 7
@@ -45,3 +47,161 @@ def test_append_target_by_name_and_position(spark):
     assert rows == [(1, "a", 1.0), (2, "b", None), (3, "c", None)]
     with pytest.raises(ValueError):
         append_target(spark.createDataFrame([(1,)], "nope long"), "tgt.app_t")
+
+
+# ------------------------------------------------- what a crashed run leaves
+
+def _location(spark, db="tgt"):
+    where = spark.sql(f"DESCRIBE DATABASE {db}").where("info_name = 'Location'").first()[1]
+    return where.removeprefix("file:")
+
+
+def test_files_of_a_run_that_died_while_writing(spark):
+    """Files without a catalog entry block no later run and are removed."""
+    write_swap(spark.range(4).toDF("ID"), "tgt.dead_t")
+    for kind in ("next", "parts"):
+        spark.range(3).write.parquet(f"{_location(spark)}/dead_t__{kind}_7")
+    write_swap(spark.range(6).toDF("ID"), "tgt.dead_t")
+    assert spark.table("tgt.dead_t").count() == 6
+    assert not [f for f in os.listdir(_location(spark)) if f.startswith("dead_t__")]
+
+
+def test_crash_before_the_swap_drops_the_staged_table(spark):
+    write_swap(spark.range(4).toDF("ID"), "tgt.before_t")
+    spark.range(9).toDF("ID").write.saveAsTable("tgt.before_t__next_1")
+    recover(spark, "tgt.before_t")
+    assert spark.table("tgt.before_t").count() == 4
+    assert not target_exists(spark, "tgt.before_t__next_1")
+
+
+def test_crash_after_the_second_rename_drops_the_old_table(spark):
+    write_swap(spark.range(4).toDF("ID"), "tgt.after_t")
+    spark.range(2).toDF("ID").write.saveAsTable("tgt.after_t__old_1")
+    recover(spark, "tgt.after_t")
+    assert spark.table("tgt.after_t").count() == 4
+    assert not target_exists(spark, "tgt.after_t__old_1")
+
+
+def test_crash_between_the_renames_takes_the_new_table(spark):
+    spark.range(2).toDF("ID").write.saveAsTable("tgt.mid_t__old_1")
+    spark.range(3).toDF("ID").write.saveAsTable("tgt.mid_t__next_1")
+    recover(spark, "tgt.mid_t")
+    assert spark.table("tgt.mid_t").count() == 3
+    assert not target_exists(spark, "tgt.mid_t__old_1") and not target_exists(spark, "tgt.mid_t__next_1")
+
+
+# ------------------------------------------------- partitioned targets
+
+PART = {"P": "CASE WHEN ID < 10 THEN NULL WHEN ID < 20 THEN '' ELSE cast(ID div 10 AS string) END"}
+
+
+def _partitioned(spark, name, n=100):
+    from tidecopy.sources import with_partitions
+    drop_target(spark, name)
+    df = spark.range(n).select(F.col("id").alias("ID"), F.lit("old").alias("V"))
+    write_swap(with_partitions(df, PART), name, partition_by=["P"])
+
+
+@pytest.mark.parametrize("ids", [[55], [3], [15], [3, 15, 55, 200]])
+def test_partitioned_merge_keeps_untouched_partitions(spark, ids):
+    """A session with Spark's defaults (static overwrite): a partition that the delta
+    doesn't touch keeps its rows; NULL and '' partitions are found."""
+    from tidecopy.sources import merge_into_target
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    name = f"tgt.parts_{len(ids)}_{ids[0]}"
+    _partitioned(spark, name)
+    delta = spark.createDataFrame([(i, "new") for i in ids], "ID long, V string")
+    out = merge_into_target(spark, name, delta, ["ID"], partition_by=PART)
+    assert out["rows"] == len(ids) and out["written"]
+    got = {r.ID: r.V for r in spark.table(name).collect()}
+    assert spark.table(name).count() == len(got)
+    assert got == {i: "new" if i in ids else "old" for i in {*range(100), *ids}}
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_staged_partitions_of_a_crashed_merge_are_written(spark):
+    from tidecopy.sources import with_partitions
+    _partitioned(spark, "tgt.parts_crash")
+    rows = spark.createDataFrame([(i, "new") for i in range(50, 60)], "ID long, V string")
+    with_partitions(rows, PART).write.partitionBy("P").saveAsTable("tgt.parts_crash__parts_1")
+    recover(spark, "tgt.parts_crash")
+    got = {r.ID: r.V for r in spark.table("tgt.parts_crash").collect()}
+    assert got == {i: "new" if 50 <= i < 60 else "old" for i in range(100)}
+
+
+def test_append_to_a_partitioned_target_then_merge(spark):
+    from tidecopy.sources import merge_into_target
+    _partitioned(spark, "tgt.parts_app")
+    more = spark.createDataFrame([(i, "app") for i in range(100, 106)], "ID long, V string")
+    with pytest.raises(ValueError, match="partitioned by"):
+        append_target(more, "tgt.parts_app")
+    append_target(more, "tgt.parts_app", partition_by=PART)
+    merge_into_target(spark, "tgt.parts_app", spark.createDataFrame([(103, "new")], "ID long, V string"), ["ID"], partition_by=PART)
+    got = [(r.ID, r.V) for r in spark.table("tgt.parts_app").where("ID >= 100").collect()]
+    assert sorted(got) == [(i, "new" if i == 103 else "app") for i in range(100, 106)]
+    assert spark.table("tgt.parts_app").count() == 106
+
+
+# ------------------------------------------------- what a JDBC source is asked for (no database)
+
+def test_replaced_columns_leave_the_source_replaced(spark, monkeypatch):
+    from tidecopy.operators import mapped_columns
+    from tidecopy.session import local_frame
+    from tidecopy.sources import CATALOG_SCHEMA, JdbcTable
+    from tidecopy.sources import target as module
+    rows = [("def", "s", "t", "id", 1, "bigint", "bigint", None, 19, 0), ("def", "s", "t", "mail", 2, "varchar", "varchar(9)", 9, None, None),
+            ("def", "s", "t", "raw", 3, "binary", "binary(4)", 4, None, None)]
+    cols = mapped_columns(local_frame(spark, rows, CATALOG_SCHEMA))
+    asked = []
+    monkeypatch.setattr(module, "jdbc_scan", lambda spark, source, **kw: asked.append(kw))
+    module.source_frame(spark, JdbcTable("jdbc:mysql://h/d", "s.t"), cols, replace={"mail": "md5(upper(1))"}, where="`id` >= 5",
+                        partition_column="id", num_partitions=4)
+    module.source_frame(spark, JdbcTable("jdbc:postgresql://h/d", "s.t"), cols, replace={"MAIL": "md5('x')"})
+    module.source_frame(spark, JdbcTable("jdbc:postgresql://h/d", "s.t"), cols)
+    assert asked[0]["query"] == ("select `id` AS `id`, md5(upper(1)) AS `mail`, cast(`raw` as char(4)) AS `raw` from s.t where `id` >= 5")
+    assert (asked[0]["partition_column"], asked[0]["num_partitions"]) == ("id", 4)
+    assert asked[1]["query"] == """select "id" AS "id", md5('x') AS "mail", "raw" AS "raw" from s.t"""
+    assert "query" not in asked[2]
+    with pytest.raises(ValueError, match="unknown columns"):
+        module.source_frame(spark, JdbcTable("jdbc:mysql://h/d", "s.t"), cols, replace={"nope": "1"})
+
+
+def test_whole_loads_of_a_jdbc_source_are_split_by_key(spark, monkeypatch):
+    from tidecopy.sources import JdbcTable, full_load, truncate_load
+    from tidecopy.sources import target as module
+    asked = []
+
+    def scan(spark, source, **kw):
+        asked.append((kw["partition_column"], kw["num_partitions"]))
+        return spark.range(3).toDF("id")
+
+    monkeypatch.setattr(module, "jdbc_scan", scan)
+    from tidecopy.operators import mapped_columns
+    from tidecopy.session import local_frame
+    from tidecopy.sources import CATALOG_SCHEMA
+    cols = mapped_columns(local_frame(spark, [("def", "s", "t", "id", 1, "bigint", "bigint", None, 19, 0)], CATALOG_SCHEMA))
+    src = JdbcTable("jdbc:postgresql://h/d", "s.t")
+    full_load(spark, src, cols, "tgt.jdbc_full", key="id", key_splits=6)
+    truncate_load(spark, src, cols, "tgt.jdbc_full", key="id", key_splits=6)
+    assert asked == [("id", 6)] * 2
+
+
+def test_only_keys_with_strides_are_split():
+    import datetime as dt
+    from decimal import Decimal
+
+    from tidecopy.sources.jdbc import strided
+    assert all(map(strided, (1, 2.5, Decimal(3), dt.date(2020, 1, 1), dt.datetime(2020, 1, 1))))
+    assert not any(map(strided, ("a", None, True, b"x")))
+
+
+def test_stored_key_maximum_has_the_keys_type(spark):
+    from decimal import Decimal
+
+    from tidecopy.operators.incremental import watermark_sql
+    from tidecopy.plans.replicate import _typed_key
+    from tidecopy.sources import JdbcTable
+    src = JdbcTable("jdbc:postgresql://h/d", "s.t")
+    km = _typed_key("45", T.DecimalType(20, 0))
+    assert km == Decimal(45) and _typed_key("45", T.LongType()) == 45 and _typed_key("45", T.StringType()) == "45"
+    assert watermark_sql(src.quote, src.literal, {"id": "int"}, None, km) == '"id" >= 45'

@@ -1,17 +1,15 @@
 """Scalar helpers: run-date arithmetic, chunk grids, cell rules."""
 
-from tidecopy.functions.cells import char_cast, null_cells
+from tidecopy.functions.cells import null_cells
 from tidecopy.functions.timeparts import (
     chunk_start,
     count_cutoff,
-    count_cutoff_col,
     lookback_start,
-    lookback_start_col,
     parse_freq,
     typed_lit,
 )
 
 __all__ = [
-    "char_cast", "null_cells", "chunk_start", "count_cutoff", "count_cutoff_col",
-    "lookback_start", "lookback_start_col", "parse_freq", "typed_lit",
+    "null_cells", "chunk_start", "count_cutoff",
+    "lookback_start", "parse_freq", "typed_lit",
 ]

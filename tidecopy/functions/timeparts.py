@@ -74,22 +74,12 @@ def lookback_start(run_date: dt.date | dt.datetime | str, days: int = 3) -> dt.d
     return dt.datetime(day.year, day.month, day.day)
 
 
-def lookback_start_col(ts: Column | str, days: int = 3) -> Column:
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.date_sub(F.to_date(ts), days).cast("timestamp_ntz")
-
-
 def count_cutoff(now: dt.datetime | None = None) -> dt.datetime:
     """Half an hour before ``now``, floored to the hour."""
     now = now or dt.datetime.now()
     return (now - dt.timedelta(minutes=30)).replace(minute=0, second=0, microsecond=0)
 
 
-def count_cutoff_col(ts: Column | str) -> Column:
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.date_trunc("HOUR", ts - F.expr("INTERVAL 30 MINUTES"))
-
-
 def first_boundary(start: Column, freq: Freq) -> Column:
     """The first grid point at or after ``start`` (a timestamp_ntz)."""
     if freq.unit == "WEEK":

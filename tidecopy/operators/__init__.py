@@ -9,7 +9,7 @@ from tidecopy.operators.incremental import (
 )
 from tidecopy.operators.merge import DuplicateKeyError, duplicate_keys, merge_upsert
 from tidecopy.operators.project import (
-    catalog_of, column_pairs, conform, fold_names, replace_fields,
+    catalog_of, column_pairs, conform, replace_fields,
 )
 from tidecopy.operators.typemap import (
     TYPE_RULES, MappedColumn, ddl_report, map_types, mapped_columns, unknown_types,
@@ -19,6 +19,6 @@ __all__ = [
     "CountCheckError", "condition_met", "count_check", "has_rows", "row_count",
     "chunk_bounds", "chunk_grid", "chunk_list", "in_chunk", "incremental_filter", "key_max",
     "watermark_predicate", "DuplicateKeyError", "duplicate_keys", "merge_upsert",
-    "catalog_of", "column_pairs", "conform", "fold_names", "replace_fields",
+    "catalog_of", "column_pairs", "conform", "replace_fields",
     "TYPE_RULES", "MappedColumn", "ddl_report", "map_types", "mapped_columns", "unknown_types",
 ]

@@ -7,21 +7,17 @@ never match (NULL = x is not true), so NULL-key delta rows always insert and
 NULL-key target rows stay. Two delta rows matching one target key are an error;
 duplicate delta keys that match nothing are all inserted.
 
-Plan, built from joins only:
-
-* NULL-key rows cannot match. When the target is shuffled they bypass every
-  join, so a NULL key holding a third of the table never lands in one shuffle
-  partition; when the delta is broadcast they just pass the left join.
-* ``matched`` = distinct target keys that occur in the delta, with the delta's
-  multiplicity. Staged once; it drives the duplicate guard and the insert
-  branch, and its size is bounded by the delta's key count.
-* update branch: target LEFT JOIN delta (every target row kept once).
-* insert branch: delta LEFT ANTI JOIN matched.
-
-When the delta's measured size is under the broadcast bound, the delta side is
-broadcast and the target is never shuffled; above it both sides are shuffled
-on the keys, the target keys are de-duplicated map-side before their shuffle,
-and AQE splits a skewed target key in the update join."""
+Plan, built from joins only. The delta is staged and measured once; delta keys
+that occur twice are looked for in the delta alone, and only if there are any
+the target's keys are read to see whether one of them matches.
+
+* Delta under the session's own broadcast threshold (measured bytes): the delta
+  is broadcast and the target never shuffled. Update: target LEFT JOIN delta;
+  insert: delta LEFT ANTI JOIN the target keys found in the delta.
+* Larger delta: one FULL OUTER JOIN on the keys gives updates, untouched rows and
+  inserts in one pass, so the target is shuffled once (not at all if it is
+  bucketed by the keys). NULL-key rows cannot match and bypass the join, so a
+  NULL key that holds a third of the table never meets in one task."""
 
 from __future__ import annotations
 
@@ -35,8 +31,6 @@ from pyspark.sql import types as T
 
 from tidecopy.session import stage
 
-DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
-
 
 class DuplicateKeyError(ValueError):
     """Several delta rows match the same target row."""
@@ -61,16 +55,11 @@ def _row_bytes(df: DataFrame) -> Column:
 
 
 def broadcast_limit(spark) -> int:
-    """Bytes under which the delta is broadcast: the session's auto-broadcast
-    threshold raised to our default; -1 (disabled) disables it here too."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        threshold = int(str(raw).lower().rstrip("b"))
-    except ValueError:
-        threshold = 10 * 1024 * 1024
-    if threshold < 0:
-        return -1
-    return max(threshold, DEFAULT_BROADCAST_BYTES)
+    """Bytes under which the delta is broadcast: the session's own auto-broadcast
+    threshold (negative: never)."""
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower().rstrip("b")
+    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(raw[-1:], 1)
+    return int(float(raw.rstrip("kmg"))) * scale
 
 
 def merge_upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], *,
@@ -81,13 +70,14 @@ def merge_upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], *,
 
     ``delta`` must have the target's columns (any order); it is cast to the
     target's types. With ``stage_delta`` the delta is materialised once in the
-    checkpoint folder (a live source is read exactly once). Returns a lazy
+    shared folder (a live source is read exactly once). Returns a lazy
     DataFrame in the target's column order; write it elsewhere (a table being
     read cannot be overwritten) and swap. ``stats``, when given, receives the
     delta's ``rows``, ``bytes``, the max of its first key (``key_max``) and
-    whether it was broadcast (``broadcast``). ``align`` = n hash-partitions the
+    whether it was broadcast (``broadcast``). ``align`` = n hash-partitions
     inserted rows on the keys into n parts, matching a target bucketed by the
-    keys into n buckets (the updated rows keep the target's own layout)."""
+    keys into n buckets (the updated rows keep the target's own layout). A
+    staged delta stays in the shared folder as long as the result may be read."""
     keys = list(keys)
     cols = target.columns
     if not keys:
@@ -113,48 +103,35 @@ def merge_upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], *,
     if not measured["n"]:
         return target  # nothing to upsert: no key scan, no join
 
-    def side(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if small else df
-
     key_ok = reduce(and_, [F.col(f"`{k}`").isNotNull() for k in keys])
-    if small:
-        # the target is streamed past a broadcast delta: NULL keys cannot skew
-        # anything and simply find no match, so the target is not split
-        t_keyed, t_nullkey = target, None
-    else:
-        t_keyed, t_nullkey = target.where(key_ok), target.where(~key_ok)
     d_keyed, d_nullkey = delta.where(key_ok), delta.where(~key_ok)
-
-    delta_key_n = d_keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    target_keys = t_keyed.select(*keys)
-    if small:
-        matched = (target_keys.join(F.broadcast(delta_key_n), keys, "inner")
-                   .groupBy(*keys).agg(F.max("_n").alias("_n")))
-    else:
-        matched = target_keys.distinct().join(delta_key_n, keys, "inner")
-    matched = stage(matched)
-
     if check_duplicates:
-        dups = matched.where(F.col("_n") > 1).limit(5).collect()
-        if dups:
-            shown = ", ".join(str(tuple(r[k] for k in keys)) for r in dups)
-            raise DuplicateKeyError(f"several delta rows match one target key: {shown}")
-
-    inserts = d_keyed.join(side(matched.select(*keys)), keys, "left_anti")
-    if align:
-        inserts = inserts.repartition(align, *[F.col(f"`{k}`") for k in keys])
-
+        _refuse_duplicates(target, d_keyed, keys, small)
     non_keys = [c for c in cols if c not in keys]
-    if non_keys:
-        src = d_keyed.select(*keys, *[F.col(f"`{c}`").alias(f"__src_{c}") for c in non_keys],
-                             F.lit(True).alias("__hit"))
-        joined = t_keyed.join(side(src), keys, "left")
-        updated = joined.select(*[
-            F.col(f"`{c}`") if c in keys
-            else F.when(F.col("__hit"), F.col(f"`__src_{c}`")).otherwise(F.col(f"`{c}`")).alias(c)
-            for c in cols])
-    else:
-        updated = t_keyed  # every column is a key: nothing to update
-
-    out = updated if t_nullkey is None else updated.unionByName(t_nullkey)
-    return out.unionByName(inserts.select(*cols)).unionByName(d_nullkey)
+    src = d_keyed.select(*keys, *[F.col(f"`{c}`").alias(f"__src_{c}") for c in non_keys], F.lit(True).alias("__hit"))
+    picked = [F.col(f"`{c}`") if c in keys
+              else F.when(F.col("__hit"), F.col(f"`__src_{c}`")).otherwise(F.col(f"`{c}`")).alias(c) for c in cols]
+    if small:
+        # the target is streamed past a broadcast delta: NULL keys cannot skew
+        # anything and simply find no match, so the target is not split
+        updated = target.join(F.broadcast(src), keys, "left").select(*picked) if non_keys else target
+        found = target.select(*keys).join(F.broadcast(d_keyed.select(*keys).distinct()), keys, "left_semi").distinct()
+        inserts = d_keyed.join(found, keys, "left_anti")
+        if align:
+            inserts = inserts.repartition(align, *[F.col(f"`{k}`") for k in keys])
+        return updated.unionByName(inserts.select(*cols)).unionByName(d_nullkey)
+    t_keyed, t_nullkey = target.where(key_ok), target.where(~key_ok)
+    merged = t_keyed.join(src, keys, "full_outer").select(*picked)
+    return merged.unionByName(t_nullkey).unionByName(d_nullkey)
+
+
+def _refuse_duplicates(target: DataFrame, d_keyed: DataFrame, keys: list[str], small: bool) -> None:
+    """Raise if a key that the delta has twice is in the target. The target is read
+    only if the delta has such keys."""
+    twice = d_keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(*keys)
+    if twice.isEmpty():
+        return
+    hit = target.select(*keys).join(F.broadcast(twice) if small else twice, keys, "left_semi").distinct().limit(5).collect()
+    if hit:
+        shown = ", ".join(str(tuple(r[k] for k in keys)) for r in hit)
+        raise DuplicateKeyError(f"several delta rows match one target key: {shown}")

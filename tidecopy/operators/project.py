@@ -77,14 +77,3 @@ def conform(df: DataFrame, columns: Sequence[MappedColumn], *, rename: bool = Tr
             raise ValueError(f"source has no column {c.source_name!r}")
         out.append(conform_column(F.col(f"`{name}`"), schema[name], c).alias(c.target_name if rename else name))
     return df.select(*out)
-
-
-def fold_names(df: DataFrame, *, upper: bool = True) -> DataFrame:
-    """Upper-case every column name; raises if two names collide."""
-    if not upper:
-        return df
-    names = [c.upper() for c in df.columns]
-    clash = sorted({n for n in names if names.count(n) > 1})
-    if clash:
-        raise ValueError(f"column names collide after case folding: {clash}")
-    return df.toDF(*names)

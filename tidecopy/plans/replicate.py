@@ -36,8 +36,10 @@ STATUS_SCHEMA = T.StructType([
     T.StructField("load_type", T.StringType()),
     T.StructField("path", T.StringType()),
     T.StructField("created", T.BooleanType()),
-    T.StructField("rows_read", T.LongType()),
-    T.StructField("rows_written", T.LongType()),
+    T.StructField("rows_read", T.LongType()),        # of the delta, or of the load
+    T.StructField("rows_written", T.LongType()),     # upserted or loaded; 0 for a quiet run
+    T.StructField("written", T.BooleanType()),       # was the target written at all
+    T.StructField("excluded", T.LongType()),         # source rows that a chunked load left out
     T.StructField("check_rule", T.StringType()),
     T.StructField("source_n", T.LongType()),
     T.StructField("target_n", T.LongType()),
@@ -85,27 +87,27 @@ def _target_keys(spec: TableSpec, columns: Sequence[MappedColumn]) -> list[str]:
     return keys
 
 
-def _as_key(text: str, like):
-    """A stored key maximum (text) as a value comparable with ``like``."""
-    if isinstance(like, Decimal):
-        return Decimal(text)
-    if isinstance(like, int):
+def _typed_key(text, dtype: T.DataType):
+    """A stored key maximum (text) as a value of the key column's type."""
+    if not isinstance(text, str) or isinstance(dtype, T.StringType):
+        return text
+    if isinstance(dtype, T.IntegralType):
         return int(Decimal(text))
-    if isinstance(like, float):
+    if isinstance(dtype, T.DecimalType):
+        return Decimal(text)
+    if isinstance(dtype, T.FractionalType):
         return float(text)
-    if isinstance(like, dt.datetime):
-        return dt.datetime.fromisoformat(text)
-    if isinstance(like, dt.date):
+    if isinstance(dtype, T.DateType):
         return dt.date.fromisoformat(text)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return dt.datetime.fromisoformat(text)
     return text
 
 
 def _larger(a, b):
-    """max of the previous key maximum (maybe stored text) and the delta's."""
+    """max of the previous key maximum and the delta's."""
     if a is None or b is None:
         return b if a is None else a
-    if isinstance(a, str):
-        a = _as_key(a, b)
     return max(a, b)
 
 
@@ -126,16 +128,19 @@ def replicate_table(spark: SparkSession, spec: TableSpec, source: DataFrame | Jd
               "created": created}
     tname = quoted(target)
 
+    first_key = spec.source_main_fields[0] if spec.source_main_fields else None
+
     def first_load() -> None:
+        common = dict(replace=dict(spec.replace_fields_to), partition_by=parts, key=first_key,
+                      key_splits=spec.source_partitions, bucket_by=buckets)
         if spec.source_freq is not None:
-            chunked_load(spark, source, columns, target, column=spec.source_freq.column,
-                         freq=spec.source_freq.freq, start_year=spec.source_freq.start_year,
-                         until=until, replace=dict(spec.replace_fields_to), partition_by=parts,
-                         key=spec.source_main_fields[0] if spec.source_main_fields else None,
-                         key_splits=spec.source_partitions, bucket_by=buckets)
+            report = chunked_load(spark, source, columns, target, column=spec.source_freq.column,
+                                  freq=spec.source_freq.freq, start_year=spec.source_freq.start_year,
+                                  until=until, include_rest=spec.source_freq.include_rest, **common)
+            status["excluded"] = report.agg(F.coalesce(F.sum(F.when(~F.col("loaded"), F.col("n"))), F.lit(0))).first()[0]
         else:
-            full_load(spark, source, columns, target, replace=dict(spec.replace_fields_to), partition_by=parts,
-                      bucket_by=buckets)
+            full_load(spark, source, columns, target, **common)
+            status["excluded"] = 0
 
     if spec.load_type == "merge":
         current = spark.table(tname)
@@ -143,26 +148,31 @@ def replicate_table(spark: SparkSession, spec: TableSpec, source: DataFrame | Jd
         if has_rows:
             keys = _target_keys(spec, columns)
             stored = stored_key_max(spark, target, keys[0])
-            km = stored if stored is not None else key_max(current, keys[0])
+            km = (_typed_key(stored, current.schema[keys[0]].dataType) if stored is not None
+                  else key_max(current, keys[0]))
+            before = current.count()
             since = lookback_start(run_date, spec.lookback_days)
             watermarks = dict(spec.source_merge_columns)
-            if isinstance(source, JdbcTable) and spec.source_partitions > 1:
-                # split the delta read into key strides over the delta's own key range
-                key = spec.source_main_fields[0]
+            replace = dict(spec.replace_fields_to)
+            if isinstance(source, JdbcTable):
+                # the source filters its raw columns and computes the replaced ones; the
+                # read is split into key strides over the delta's own key range
                 where = watermark_sql(source.quote, source.literal, watermarks, since, km)
-                frame = source_frame(spark, source, columns, partition_column=key,
-                                     num_partitions=spec.source_partitions,
-                                     bounds=key_range(spark, source, key, where))
+                split = spec.source_partitions > 1
+                delta = source_frame(spark, source, columns, replace=replace, where=where,
+                                     partition_column=first_key if split else None, num_partitions=spec.source_partitions,
+                                     bounds=key_range(spark, source, first_key, where) if split else None)
             else:
-                frame = source_frame(spark, source, columns)
-            delta = incremental_filter(frame, watermarks, since, km)
-            delta = conform(replace_fields(delta, dict(spec.replace_fields_to)), columns)
+                delta = replace_fields(incremental_filter(source, watermarks, since, km), replace)
+            delta = conform(delta, columns)
             merged = merge_into_target(spark, target, delta, keys, partition_by=parts, bucket_by=buckets)
-            status["rows_read"] = merged.get("rows")
-            status["written"] = merged.get("written")
+            status.update(rows_read=merged["rows"], rows_written=merged["rows"], written=merged["written"], excluded=0)
             new_max = _larger(km, merged.get("key_max"))
             store_key_max(spark, target, keys[0], new_max)
             status["path"] = "merge"
+            # a merge never deletes; without a write there is nothing to count again
+            if merged["written"] and (after := spark.table(tname).count()) < before:
+                raise CountCheckError(f"{status['table_name']}: the merge left {after} of {before} rows")
         else:
             first_load()
             status["path"] = "first_load"
@@ -170,7 +180,9 @@ def replicate_table(spark: SparkSession, spec: TableSpec, source: DataFrame | Jd
         first_load()
         status["path"] = "truncate"
 
-    status["rows_written"] = spark.table(tname).count()
+    if status["path"] != "merge":
+        loaded = spark.table(tname).count()
+        status.update(rows_read=loaded, rows_written=loaded, written=True)
     src_frame = source_frame(spark, source, columns)
     counter = None
     if isinstance(source, JdbcTable):  # count in the source, do not pull rows
@@ -234,12 +246,14 @@ def replicate_all(spark: SparkSession, jobs: Sequence[tuple[TableSpec, DataFrame
         if cat is None:
             cat, tabs = shared.get((getattr(source, "url", ""), spec.source_schema), (None, None))
         try:
-            st = replicate_table(spark, spec, source, run_date=run_date, now=now, catalog=cat, tables=tabs)
-            st["error"] = None
+            st = replicate_table(spark, spec, source, run_date=run_date, now=now, catalog=cat, tables=tabs,
+                                 raise_on_check=False)
+            st["error"] = None if st["ok"] else (
+                f"count check ({st['check_rule']}): target {st['target_n']}, source {st['source_n']}")
         except Exception as exc:  # reported per table
             st = {"table_name": f"{spec.target_schema}.{spec.target_table_name}",
                   "load_type": spec.load_type, "ok": False,
-                  "error": f"{type(exc).__name__}: {exc}".strip()[:2000]}
+                  "error": f"{type(exc).__name__}: {exc}".strip()}
             st.setdefault("path", None)
             traceback.clear_frames(exc.__traceback__)
         return st

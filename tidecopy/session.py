@@ -4,6 +4,8 @@ checkpoint folder, and stage a DataFrame so that it is read from its source once
 from __future__ import annotations
 
 import os
+import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,9 +24,6 @@ def build_session(master: str | None = None, *, app_name: str = "tidecopy",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        # staged deltas are checkpoints: delete them once no longer referenced
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # replicate_all runs tables side by side in their own pools
         "spark.scheduler.mode": "FAIR",
     }
@@ -42,21 +41,27 @@ def build_session(master: str | None = None, *, app_name: str = "tidecopy",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for cut lineage: the context's checkpoint dir, else the
-    cluster's ``spark.checkpoint.dir``; only when neither is set (local tests)
-    a folder under the session's warehouse is used."""
+    """The shared folder for staged data: the context's checkpoint dir, else the
+    cluster's ``spark.checkpoint.dir``. Only a local session, where one machine is
+    all there is, gets a folder under its warehouse if neither is set; on a
+    cluster such a folder would lose staged rows, so there this raises."""
     try:
         sc = spark.sparkContext
-    except Exception:  # a Spark Connect client: the server's spark.checkpoint.dir applies
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
+    except Exception:  # a Spark Connect client: the server's setting applies
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    else:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
+        if not conf_dir and re.match(r"local(\[|$)", sc.master):
+            conf_dir = os.path.join(warehouse_dir(spark), "_checkpoints")
+        if conf_dir:
+            sc.setCheckpointDir(conf_dir)
+            return sc.getCheckpointDir() or conf_dir
     if not conf_dir:
-        conf_dir = os.path.join(warehouse_dir(spark), "_checkpoints")
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return conf_dir
 
 
 def warehouse_dir(spark: SparkSession) -> str:
@@ -65,14 +70,34 @@ def warehouse_dir(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in the shared checkpoint folder.
+    """Write ``df`` once as Parquet in the shared checkpoint folder and read it back.
 
     Used for rows pulled from a live source (the delta of a merge), so that the
-    count, the duplicate guard and the merge all see the same rows, and for small
-    derived sets reused by several joins. The checkpoint is reliable storage:
-    lost executors do not lose it."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    count, the duplicate guard and the merge all see the same rows. Later reads
+    take only the columns they need; lost executors do not lose it. ``unstage``
+    deletes it once nothing reads it any more."""
+    spark, schema = df.sparkSession, df.schema
+    path = f"{checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete a staged frame's files (no-op for other frames, and where the client has no JVM)."""
+    path = getattr(df, "staged_path", None)
+    if path:
+        remove_path(df.sparkSession, path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    except Exception:  # Spark Connect: left to the folder's own clean-up
+        return
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(conf).delete(where, True)
 
 
 def local_frame(spark: SparkSession, rows, schema) -> DataFrame:

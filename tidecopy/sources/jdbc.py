@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
+from decimal import Decimal
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -85,6 +86,12 @@ def jdbc_count(spark: SparkSession, src: JdbcTable, column: str | None = None, u
         F.col("n").cast("bigint").alias("n"))
 
 
+def strided(value) -> bool:
+    """Can a read be cut into ranges of keys like this one? (Numbers, dates and
+    timestamps; a key of another type is read by one statement.)"""
+    return isinstance(value, (int, float, Decimal, dt.date)) and not isinstance(value, bool)
+
+
 def jdbc_scan(spark: SparkSession, url: str | JdbcTable, table: str | None = None, *,
               columns: Sequence[str] | None = None, predicate: Column | None = None,
               predicates: Sequence[str] | None = None, query: str | None = None,
@@ -96,7 +103,8 @@ def jdbc_scan(spark: SparkSession, url: str | JdbcTable, table: str | None = Non
 
     ``partition_column`` + ``num_partitions`` split the read into key strides
     between ``bounds`` (min, max; asked from the source when not given); the
-    first and last strides are open, so no row is lost whatever the bounds."""
+    first and last strides are open, so no row is lost whatever the bounds. A
+    key without strides (text) leaves the read in one piece."""
     src = url if isinstance(url, JdbcTable) else JdbcTable(url, table or "", dict(properties or {}))
     opts = src.options()
     if predicates:
@@ -111,7 +119,7 @@ def jdbc_scan(spark: SparkSession, url: str | JdbcTable, table: str | None = Non
             reader = reader.option("dbtable", src.table)
         if split:
             lo, hi = bounds if bounds is not None else key_range(spark, src, partition_column)
-            if lo is not None and hi is not None and hi > lo:
+            if strided(lo) and strided(hi) and hi > lo:
                 reader = (reader.option("partitionColumn", partition_column)
                           .option("lowerBound", str(lo)).option("upperBound", str(hi))
                           .option("numPartitions", str(num_partitions)))

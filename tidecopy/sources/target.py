@@ -1,13 +1,19 @@
 """Target tables (S3-S7, S10, S12): ordinary tables of the session catalog.
 
-A full, chunked, truncate or merge load writes ``<table>__next`` and then
-swaps it in by two renames, so readers see the old rows until the new ones
-are complete and a failed load leaves the old table untouched. A crash between
-the two renames is repaired by ``recover`` at the start of the next load."""
+A full, chunked, truncate or merge load writes ``<table>__next_<run>`` and then
+swaps it in by two renames (the old table becomes ``<table>__old_<run>`` for the
+moment), so readers see the old rows until the new ones are complete and a
+failed load leaves the old table untouched. A merge into a partitioned target
+writes ``<table>__parts_<run>`` and overwrites the partitions it holds. Names are
+unique to a run, so what a crashed run left never stands in a later one's way;
+``recover``, at the start of each load, finishes a crashed run whose staged table
+is complete and removes everything else. One load at a time may run per table."""
 
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
 from decimal import Decimal
 from typing import Mapping, Sequence
 
@@ -19,7 +25,7 @@ from tidecopy.functions.timeparts import chunk_start
 from tidecopy.operators.incremental import chunk_list
 from tidecopy.operators.project import conform, replace_fields
 from tidecopy.operators.typemap import MappedColumn
-from tidecopy.session import local_frame
+from tidecopy.session import local_frame, remove_path
 from tidecopy.sources.jdbc import JdbcTable, jdbc_scan
 
 
@@ -78,32 +84,90 @@ def with_partitions(df: DataFrame, partition_by: Mapping[str, str] | None) -> Da
 
     The expressions must give every version of a row the same value (derive
     them from the key, or from columns that never change): a merge then finds
-    a key's target row inside the partitions its delta rows fall in."""
+    a key's target row inside the partitions its delta rows fall in. An empty
+    string is stored as NULL, as partition folders can't tell the two apart."""
     if not partition_by:
         return df
-    return df.withColumns({c: F.expr(e) for c, e in partition_by.items()})
+    df = df.withColumns({c: F.expr(e) for c, e in partition_by.items()})
+    texts = [c for c in partition_by if isinstance(df.schema[c].dataType, T.StringType)]
+    return df.withColumns({c: F.nullif(F.col(f"`{c}`"), F.lit("")) for c in texts}) if texts else df
 
 
 def drop_target(spark: SparkSession, name: str) -> bool:
     """DROP TABLE IF EXISTS, staging leftovers included. True if it existed."""
     existed = target_exists(spark, name)
-    for suffix in ("", "__next", "__old", "__parts"):
-        spark.sql(f"DROP TABLE IF EXISTS {quoted(name, suffix)}")
+    spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
+    if spark.catalog.databaseExists(split_name(name)[0]):
+        for kind in ("next", "old", "parts"):
+            for table in _staged(spark, name, kind):
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
+        _remove_strays(spark, name)
     return existed
 
 
-def recover(spark: SparkSession, name: str) -> None:
-    """Finish or undo a swap a crash interrupted."""
+def _run_name() -> str:
+    """Suffix of one run's staged tables: in order of time, unique."""
+    return f"{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+
+
+def _staged(spark: SparkSession, name: str, kind: str) -> list[str]:
+    """Staged tables of a kind (next, old, parts), oldest first, quoted."""
     db, tbl = split_name(name)
-    has = lambda t: spark.catalog.tableExists(f"`{db}`.`{t}`")
-    if not has(tbl) and has(f"{tbl}__next"):
-        spark.sql(f"ALTER TABLE {quoted(name, '__next')} RENAME TO {quoted(name)}")
-        if spark.sql(f"DESCRIBE TABLE {quoted(name)}").where("col_name = '# Partition Information'").count():
-            spark.sql(f"MSCK REPAIR TABLE {quoted(name)} SYNC PARTITIONS")
-    if has(tbl) and has(f"{tbl}__old"):
-        spark.sql(f"DROP TABLE IF EXISTS {quoted(name, '__old')}")
-    if has(tbl) and has(f"{tbl}__parts"):
-        _overwrite_partitions(spark, name)  # a complete staged merge: redo its overwrite
+    prefix = f"{tbl}__{kind}_".lower()
+    rows = spark.sql(f"SHOW TABLES IN `{db}`").where(~F.col("isTemporary")).select("tableName")
+    found = sorted(r[0] for r in rows.where(F.startswith(F.lower("tableName"), F.lit(prefix))).collect())
+    return [f"`{db}`.`{t}`" for t in found]
+
+
+def _remove_strays(spark: SparkSession, name: str) -> None:
+    """Delete folders of staged tables that the catalog doesn't know: what a run
+    that died while writing has left."""
+    db, tbl = split_name(name)
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    except Exception:  # Spark Connect: names are unique, so strays only take room
+        return
+    where = spark.sql(f"DESCRIBE DATABASE `{db}`").where("info_name = 'Location'").first()[1]
+    known = {t.split(".")[1].strip("`") for kind in ("next", "old", "parts") for t in _staged(spark, name, kind)}
+    folder = jvm.org.apache.hadoop.fs.Path(where)
+    for kind in ("next", "old", "parts"):
+        pattern = jvm.org.apache.hadoop.fs.Path(folder, f"{tbl.lower()}__{kind}_*")
+        for status in pattern.getFileSystem(conf).globStatus(pattern) or []:
+            if status.getPath().getName() not in known:
+                remove_path(spark, status.getPath().toString())
+
+
+def recover(spark: SparkSession, name: str) -> None:
+    """Finish or undo what a crash interrupted.
+
+    Target gone: the swap stood between its renames (or before the only one of
+    a first load); the newest complete ``__next`` takes its place. Target there:
+    a ``__next`` was not swapped in and is dropped (its run failed), an ``__old`` is
+    dropped, and a complete ``__parts`` is written into its partitions again."""
+    db, _ = split_name(name)
+    if not spark.catalog.databaseExists(db):
+        return
+    ready = _staged(spark, name, "next")
+    if not target_exists(spark, name) and ready:
+        _rename(spark, ready.pop(), quoted(name))
+    old = _staged(spark, name, "old")
+    if not target_exists(spark, name) and old:
+        _rename(spark, old.pop(), quoted(name))
+    for table in ready + (old if target_exists(spark, name) else []):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    for table in _staged(spark, name, "parts"):
+        if target_exists(spark, name):
+            _overwrite_partitions(spark, name, table)
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+    _remove_strays(spark, name)
+
+
+def _rename(spark: SparkSession, table: str, to: str) -> None:
+    spark.sql(f"ALTER TABLE {table} RENAME TO {to}")
+    if spark.sql(f"DESCRIBE TABLE {to}").where("col_name = '# Partition Information'").count():
+        # partition entries still name the staged paths: re-list them
+        spark.sql(f"MSCK REPAIR TABLE {to} SYNC PARTITIONS")
 
 
 def write_swap(df: DataFrame, name: str, *, partition_by: Sequence[str] | None = None,
@@ -119,13 +183,13 @@ def write_swap(df: DataFrame, name: str, *, partition_by: Sequence[str] | None =
     db, _ = split_name(name)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
     recover(spark, name)
-    nxt, old = quoted(name, "__next"), quoted(name, "__old")
-    spark.sql(f"DROP TABLE IF EXISTS {nxt}")
+    run = _run_name()
+    nxt, old = quoted(name, f"__next_{run}"), quoted(name, f"__old_{run}")
     if bucket_by and not aligned:
         df = df.repartition(bucket_by[0], *[F.col(f"`{c}`") for c in bucket_by[1]])
     elif partition_by and not bucket_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.format("parquet").mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    writer = df.write.format("parquet").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
@@ -133,35 +197,48 @@ def write_swap(df: DataFrame, name: str, *, partition_by: Sequence[str] | None =
     writer.saveAsTable(nxt)
     if target_exists(spark, name):
         spark.sql(f"ALTER TABLE {quoted(name)} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {nxt} RENAME TO {quoted(name)}")
-    if partition_by:  # partition entries still name the staged paths: re-list them
-        spark.sql(f"MSCK REPAIR TABLE {quoted(name)} SYNC PARTITIONS")
+    _rename(spark, nxt, quoted(name))
     spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
+def select_list(source: JdbcTable, columns: Sequence[MappedColumn], replace: Mapping[str, str] | None = None) -> str:
+    """What the source is asked for: each mapped column under its own name, as its
+    ``replace`` expression (in the source's dialect, so a masked column leaves the
+    source masked), for MySQL as its conversion (binary, geometry, BIT), or as it is."""
+    replace = {k.lower(): v for k, v in (replace or {}).items()}
+    unknown = sorted(set(replace) - {c.source_name.lower() for c in columns})
+    if unknown:
+        raise ValueError(f"replace_fields names unknown columns: {unknown}")
+    plain = lambda c: c.load_expr if source.dialect == "mysql" else source.quote(c.source_name)
+    return ", ".join(f"{replace.get(c.source_name.lower()) or plain(c)} AS {source.quote(c.source_name)}" for c in columns)
+
+
 def source_frame(spark: SparkSession, source: DataFrame | JdbcTable, columns: Sequence[MappedColumn], *,
+                 replace: Mapping[str, str] | None = None, where: str | None = None,
                  predicates: Sequence[str] | None = None, partition_column: str | None = None,
                  num_partitions: int | None = None, bounds: tuple | None = None) -> DataFrame:
-    """Source rows with the mapped columns. A MySQL source gets the source-side
-    select list (binary, geometry and BIT conversions run there). A JDBC read
-    is split by ``predicates`` or by key strides (see ``jdbc_scan``)."""
+    """Source rows with the mapped columns. ``replace`` swaps columns for expressions:
+    in Spark for a DataFrame, in the source's own select list for JDBC. ``where``
+    (source dialect, over the raw columns) narrows a JDBC read; it is split by
+    ``predicates`` or by key strides (see ``jdbc_scan``)."""
     if isinstance(source, DataFrame):
-        return source
+        return replace_fields(source, dict(replace or {}))
     split = dict(predicates=predicates, partition_column=partition_column, num_partitions=num_partitions,
                  bounds=bounds)
-    if source.dialect == "mysql":
-        select = ", ".join(f"{c.load_expr} AS `{c.source_name}`" for c in columns)
-        return jdbc_scan(spark, source, query=f"select {select} from {source.table}", **split)
+    if source.dialect == "mysql" or replace or where:
+        tail = f" where {where}" if where else ""
+        return jdbc_scan(spark, source, query=f"select {select_list(source, columns, replace)} from {source.table}{tail}", **split)
     return jdbc_scan(spark, source, columns=[c.source_name for c in columns], **split)
 
 
 def full_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Sequence[MappedColumn],
               target: str, *, replace: dict[str, str] | None = None,
-              partition_by: Mapping[str, str] | None = None,
+              partition_by: Mapping[str, str] | None = None, key: str | None = None, key_splits: int = 1,
               bucket_by: tuple[int, Sequence[str]] | None = None) -> DataFrame:
     """Replace the target's rows with the whole source, conformed; returns the
-    target table."""
-    frame = replace_fields(source_frame(spark, source, columns), replace)
+    target table. With ``key`` and ``key_splits`` > 1 a JDBC source is read in that
+    many key strides at once (see ``jdbc_scan``)."""
+    frame = source_frame(spark, source, columns, replace=replace, partition_column=key, num_partitions=key_splits)
     write_swap(with_partitions(conform(frame, columns), partition_by), target,
                partition_by=list(partition_by or ()), bucket_by=bucket_by)
     return spark.table(quoted(target))
@@ -238,13 +315,13 @@ def chunked_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Se
         if not include_rest:
             first = F.lit(bounds[0][0].isoformat(sep=" ")).cast(source.schema[column].dataType)
             frame = frame.where(F.col(f"`{column}`") >= first)
+        frame = replace_fields(frame, replace)
     else:
         ranges = (chunk_key_ranges(spark, source, column, key, bounds)
                   if key is not None and key_splits > 1 else None)
         preds = chunk_predicates(source, column, bounds, include_rest=include_rest, key=key,
                                  key_ranges=ranges, key_splits=key_splits)
-        frame = source_frame(spark, source, columns, predicates=preds)
-    frame = replace_fields(frame, replace)
+        frame = source_frame(spark, source, columns, replace=replace, predicates=preds)
     write_swap(with_partitions(conform(frame, columns), partition_by), target,
                partition_by=list(partition_by or ()), bucket_by=bucket_by)
     tcol = next(c.target_name for c in columns if c.source_name.lower() == column.lower())
@@ -282,22 +359,18 @@ def excluded_count(spark: SparkSession, source: DataFrame | JdbcTable, column: s
 def truncate_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Sequence[MappedColumn],
                   target: str, *, chunk=None, until: dt.datetime | None = None,
                   replace: dict[str, str] | None = None,
-                  partition_by: Mapping[str, str] | None = None,
+                  partition_by: Mapping[str, str] | None = None, key: str | None = None, key_splits: int = 1,
                   bucket_by: tuple[int, Sequence[str]] | None = None) -> DataFrame:
     """Reload the target from scratch, chunked when a chunk spec is given.
     The old rows stay readable until the swap."""
     if chunk is not None:
         chunked_load(spark, source, columns, target, column=chunk.column, freq=chunk.freq,
                      start_year=chunk.start_year, until=until or dt.datetime.now(), replace=replace,
-                     partition_by=partition_by, bucket_by=bucket_by)
+                     include_rest=chunk.include_rest, partition_by=partition_by, key=key, key_splits=key_splits,
+                     bucket_by=bucket_by)
         return spark.table(quoted(target))
     return full_load(spark, source, columns, target, replace=replace, partition_by=partition_by,
-                     bucket_by=bucket_by)
-
-
-# Partition values collected to the driver to prune the target scan; above
-# this many touched partitions the scan is narrowed by a join instead.
-MAX_PRUNE_VALUES = 10000
+                     key=key, key_splits=key_splits, bucket_by=bucket_by)
 
 
 def merge_into_target(spark: SparkSession, target: str, delta: DataFrame, keys: Sequence[str], *,
@@ -308,16 +381,19 @@ def merge_into_target(spark: SparkSession, target: str, delta: DataFrame, keys:
 
     Unpartitioned target: merge everything, write ``__next``, swap.
     Partitioned target: only the partitions the delta falls in are read (their
-    values prune the scan), merged, staged as ``__parts`` and written back
-    with a dynamic partition overwrite; every other partition's files stay as
-    they are. A crash after staging is finished by ``recover``.
+    range and a join with them prune the scan), merged, staged as ``__parts`` and
+    written back with a dynamic partition overwrite; every other partition's
+    files stay as they are. A crash after staging is finished by ``recover``.
 
     Bucketed target (``bucket_by`` = (n, keys)): the target is read already
     hash-partitioned on the keys, so a large delta is shuffled to the buckets
     and the target is not shuffled at all; new rows are aligned to the buckets
-    before the write."""
+    before the write.
+
+    Returns rows, bytes, key_max and broadcast of the delta, ``written``, and
+    ``before``: the rows of the target that were read to be merged."""
     from tidecopy.operators.merge import merge_upsert
-    from tidecopy.session import stage
+    from tidecopy.session import stage, unstage
 
     recover(spark, target)  # finish a staged overwrite a crash left behind
     current = spark.table(quoted(target))
@@ -326,44 +402,57 @@ def merge_into_target(spark: SparkSession, target: str, delta: DataFrame, keys:
     # the delta is read from the source once; an empty one changes nothing, so
     # a quiet run writes nothing at all
     delta = stage(with_partitions(delta, partition_by).select(*current.columns))
-    if not partition_by:
-        merged = merge_upsert(current, delta, keys, stage_delta=False, stats=stats, align=align)
-        if not stats["rows"]:
-            return {"partitions": 0, "written": False, **stats}
-        write_swap(merged, target, bucket_by=bucket_by, aligned=True)
-        return {"partitions": None, "written": True, **stats}
-    pcols = list(partition_by)
-    touched = delta.select(*pcols).distinct()
-    values = touched.limit(MAX_PRUNE_VALUES + 1).collect()
-    if not values:  # empty delta
-        return {"partitions": 0, "rows": 0, "bytes": 0, "key_max": None, "broadcast": None, "written": False}
-    if len(pcols) == 1 and len(values) <= MAX_PRUNE_VALUES:
-        # static partition pruning on the listed values
-        c = F.col(f"`{pcols[0]}`")
-        present = [v[0] for v in values if v[0] is not None]
-        cond = c.isin(present) | c.isNull() if len(present) < len(values) else c.isin(present)
-        part_target = current.where(cond)
-    elif len(values) <= MAX_PRUNE_VALUES // 50:
-        cond = F.lit(False)
-        for v in values:
-            one = F.lit(True)
-            for c in pcols:
-                one = one & F.col(f"`{c}`").eqNullSafe(F.lit(v[c]))
-            cond = cond | one
-        part_target = current.where(cond)
-    else:
-        # too many partitions to list: narrow by a join (no pruning, same result)
-        part_target = current.join(F.broadcast(touched) if len(values) <= MAX_PRUNE_VALUES else touched,
-                                   [current[c].eqNullSafe(touched[c]) for c in pcols], "left_semi")
-    merged = merge_upsert(part_target, delta, keys, stage_delta=False, stats=stats, align=align)
-    spark.sql(f"DROP TABLE IF EXISTS {quoted(target, '__parts')}")
-    writer = ((merged if bucket_by else merged.hint("rebalance", *pcols)).write.format("parquet")
-              .mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(*pcols))
-    if bucket_by:
-        writer = writer.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
-    writer.saveAsTable(quoted(target, "__parts"))
-    _overwrite_partitions(spark, target)
-    return {"partitions": len(values), "written": True, **stats}
+    try:
+        if not partition_by:
+            merged = merge_upsert(current, delta, keys, stage_delta=False, stats=stats, align=align)
+            if stats["rows"]:
+                write_swap(merged, target, bucket_by=bucket_by, aligned=True)
+            return {"partitions": None if stats["rows"] else 0, "written": bool(stats["rows"]), **stats}
+        touched = stage(delta.select(*partition_by).distinct())
+        try:
+            n = touched.count()
+            merged = merge_upsert(_in_partitions(current, touched), delta, keys, stage_delta=False, stats=stats, align=align)
+            if not n:
+                return {"partitions": 0, "written": False, **stats}
+            parts = quoted(target, f"__parts_{_run_name()}")
+            writer = ((merged if bucket_by else merged.hint("rebalance", *partition_by)).write.format("parquet")
+                      .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(*partition_by))
+            if bucket_by:
+                writer = writer.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
+            writer.saveAsTable(parts)
+            _overwrite_partitions(spark, target, parts)
+            return {"partitions": n, "written": True, **stats}
+        finally:
+            unstage(touched)
+    finally:
+        unstage(delta)
+
+
+def _in_partitions(current: DataFrame, touched: DataFrame) -> DataFrame:
+    """Rows of the target in the touched partitions. Values are joined by plain
+    equality (so Spark prunes the scan to the joined partitions) behind the range of the
+    first column, which prunes the listing; rows with a NULL partition value, which
+    equality can't find, are taken by a NULL-safe join of their own."""
+    pcols = touched.columns
+    first = F.col(f"`{pcols[0]}`")
+    lo, hi, nulls = touched.agg(F.min(first), F.max(first), F.count(F.when(_any_null(pcols), F.lit(1)))).first()
+    out = current.where(F.lit(False))
+    if lo is not None:
+        dtype = current.schema[pcols[0]].dataType
+        inside = first.between(F.lit(lo).cast(dtype), F.lit(hi).cast(dtype))
+        out = current.where(inside).join(touched.where(inside), pcols, "left_semi")
+    if nulls:
+        t = touched.where(_any_null(pcols)).toDF(*[f"__t_{c}" for c in pcols])
+        out = out.unionByName(current.where(_any_null(pcols)).join(
+            t, [F.col(f"`{c}`").eqNullSafe(F.col(f"`__t_{c}`")) for c in pcols], "left_semi"))
+    return out
+
+
+def _any_null(columns: Sequence[str]):
+    cond = F.lit(False)
+    for c in columns:
+        cond = cond | F.col(f"`{c}`").isNull()
+    return cond
 
 
 # Table property holding the key maximum a merge left behind.
@@ -389,16 +478,31 @@ def store_key_max(spark: SparkSession, name: str, column: str, value) -> None:
         spark.sql(f"ALTER TABLE {quoted(name)} SET TBLPROPERTIES ('{key}' = '{text}')")
 
 
-def _overwrite_partitions(spark: SparkSession, target: str) -> None:
-    cols = spark.table(quoted(target)).columns
-    staged = spark.table(quoted(target, "__parts")).select(*[F.col(f"`{c}`") for c in cols])
-    staged.write.option("partitionOverwriteMode", "dynamic").insertInto(quoted(target), overwrite=True)
-    spark.sql(f"DROP TABLE IF EXISTS {quoted(target, '__parts')}")
-
+def _overwrite_partitions(spark: SparkSession, target: str, parts: str) -> None:
+    """Replace the target's partitions that ``parts`` has rows for; no other.
 
-def append_target(df: DataFrame, name: str, columns: Sequence[str] | None = None) -> None:
+    Dynamic overwrite is a session setting (a writer option is not read by
+    ``insertInto``), so the insert runs in a session of its own on the same
+    catalog: nothing changes for the caller's session or its other threads."""
+    cols = spark.table(quoted(target)).columns
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    staged = own.table(parts).select(*[F.col(f"`{c}`") for c in cols])
+    staged.write.insertInto(quoted(target), overwrite=True)
+    spark.catalog.refreshTable(quoted(target))
+    spark.sql(f"DROP TABLE IF EXISTS {parts}")
+
+
+def append_target(df: DataFrame, name: str, columns: Sequence[str] | None = None, *,
+                  partition_by: Mapping[str, str] | None = None) -> None:
     """Append rows. ``columns`` names the target columns the DataFrame's
-    columns fill, by position; target columns not named get NULL."""
+    columns fill, by position; target columns not named get NULL.
+
+    Partition columns must be given, as columns or by the target's
+    ``partition_by`` expressions: a row filed under NULL would not be found by
+    the merges that follow."""
     spark = df.sparkSession
     if columns:
         if len(columns) != len(df.columns):
@@ -409,9 +513,17 @@ def append_target(df: DataFrame, name: str, columns: Sequence[str] | None = None
     unknown = [c for c in df.columns if c.lower() not in {t.lower() for t in target.columns}]
     if unknown:
         raise ValueError(f"target {name} has no columns {unknown}")
+    expressions = {c.lower(): e for c, e in (partition_by or {}).items()}
+    parts = [c.name for c in spark.catalog.listColumns(quoted(name)) if c.isPartition]
+    lost = [c for c in parts if c.lower() not in have and c.lower() not in expressions]
+    if lost:
+        raise ValueError(f"target {name} is partitioned by {lost}: give the columns or partition_by")
     out = df.select(*[F.col(f"`{have[f.name.lower()]}`").cast(f.dataType).alias(f.name)
                       if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name)
                       for f in target.schema.fields])
+    derived = {c: expressions[c.lower()] for c in parts if c.lower() not in have}
+    out = with_partitions(out, derived).select(
+        *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.schema.fields])
     out.write.insertInto(quoted(name))
     for prop in spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect():
         if prop["key"].startswith(KEY_MAX_PROPERTY):  # appended rows may raise it

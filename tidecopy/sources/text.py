@@ -46,15 +46,16 @@ def write_tsv(df: DataFrame, path: str) -> None:
     df.select(line.alias("value")).write.mode("overwrite").text(path)
 
 
-def load_tsv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Read bulk-load text into typed columns; a line with the wrong number of
-    fields fails the job (ANSI cast/index errors) rather than loading shifted
-    values."""
+def load_tsv(spark: SparkSession, path: str, schema: T.StructType | str, target: str | None = None) -> DataFrame:
+    """Read bulk-load text into typed columns and, with ``target``, append them to
+    that table (created if missing; the result is then the table). Every line is
+    a row, an empty one the empty text of a one-column table; a line with the
+    wrong number of fields fails the job rather than loading shifted values."""
     if isinstance(schema, str):
         schema = T.DataType.fromDDL(schema)
     n = len(schema.fields)
     parts = F.split(F.col("value"), "\t", -1)
-    lines = spark.read.text(path).where(F.col("value") != "")
+    lines = spark.read.text(path)
     fields = []
     for i, f in enumerate(schema.fields):
         raw = F.element_at(parts, i + 1)
@@ -62,4 +63,11 @@ def load_tsv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
         fields.append(val.cast(f.dataType).alias(f.name))
     ok = F.when(F.size(parts) == n, F.lit(True)).otherwise(F.raise_error(F.concat(
         F.lit("bulk-load line with wrong field count: "), F.size(parts).cast("string"))))
-    return lines.where(ok).select(*fields)
+    rows = lines.where(ok).select(*fields)
+    if target is None:
+        return rows
+    from tidecopy.sources.target import append_target, ensure_table, quoted
+
+    ensure_table(spark, target, schema)
+    append_target(rows, target)
+    return spark.table(quoted(target))

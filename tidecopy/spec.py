@@ -21,11 +21,14 @@ class SpecError(ValueError):
 @dataclass(frozen=True)
 class ChunkSpec:
     """First-load split: ``column`` cut at every ``freq`` boundary from Jan 1 of
-    ``start_year``; the last chunk is open-ended."""
+    ``start_year``; the last chunk is open-ended. ``include_rest`` also loads rows
+    before the first chunk or without a date; otherwise they are left out and
+    the status tells how many (``excluded``)."""
 
     column: str
     freq: str
     start_year: int
+    include_rest: bool = False
 
     def __post_init__(self):
         from tidecopy.functions.timeparts import parse_freq
@@ -71,13 +74,14 @@ class TableSpec:
 
     def __post_init__(self):
         if self.load_type not in LOAD_TYPES:
-            raise SpecError(f'load_type "{self.load_type}" not in {list(LOAD_TYPES)}')
+            raise SpecError(f"unknown load type {self.load_type!r}: use one of {', '.join(LOAD_TYPES)}")
         if self.source_database_type not in SOURCE_DATABASE_TYPES:
-            raise SpecError(f"incorrect source_database_type {self.source_database_type!r}")
+            raise SpecError(f"no support for a {self.source_database_type!r} source: use one of "
+                            f"{', '.join(SOURCE_DATABASE_TYPES)}")
         for name in ("source_main_fields", "target_main_fields"):
             value = getattr(self, name)
             if isinstance(value, str) or not isinstance(value, (list, tuple)):
-                raise SpecError(f'{name} "{value}" is not a list')
+                raise SpecError(f"{name} must list column names, got {value!r}")
             object.__setattr__(self, name, tuple(value))
         if len(self.source_main_fields) != len(self.target_main_fields):
             raise SpecError("source_main_fields and target_main_fields differ in length: "
@@ -91,7 +95,7 @@ class TableSpec:
             raise SpecError("bucket_count needs key columns (source_main_fields)")
         for col, kind in dict(self.source_merge_columns).items():
             if kind not in WATERMARK_TYPES:
-                raise SpecError(f"incorrect field_type {kind} for FIELD {col}")
+                raise SpecError(f"watermark {col!r} has type {kind!r}: use one of {', '.join(WATERMARK_TYPES)}")
         for name in ("source_schema", "source_table_name", "target_schema", "target_table_name"):
             if not getattr(self, name):
                 raise SpecError(f"{name} is required")
@@ -115,7 +119,7 @@ class TableSpec:
         if isinstance(freq, ChunkSpec):
             chunk = freq
         elif freq.get("data_filed") and freq.get("freq") and freq.get("start_year"):
-            chunk = ChunkSpec(freq["data_filed"], freq["freq"], int(freq["start_year"]))
+            chunk = ChunkSpec(freq["data_filed"], freq["freq"], int(freq["start_year"]), bool(freq.get("include_rest")))
         for single in ("source_main_field", "target_main_field"):
             if single in conf:
                 raise SpecError(f"{single} is not read: give {single}s as a list, e.g. [{conf[single]}]")
