@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecopy.llm._text import U64
+from tidecopy.llm._text import U64, grouped
 
 BUCKETS_PER_PARTITION = 2
 
@@ -32,21 +32,14 @@ class Packed:
 
     def __init__(self, keys: np.ndarray, buckets: int):
         self.width = keys.shape[1]
-        if self.width == 1:
-            flat, self.slot, n = np.unique(keys[:, 0], return_inverse=True, return_counts=True)
-            self.keys = flat[:, None]
-        else:
-            order = np.lexsort((keys[:, 1], keys[:, 0]))
-            s = keys[order]
-            head = np.ones(len(s), dtype=bool)
-            head[1:] = (s[1:] != s[:-1]).any(axis=1)
-            group = np.cumsum(head) - 1
-            self.slot = np.empty(len(s), dtype=np.int64)
-            self.slot[order] = group
-            self.keys, n = s[head], np.bincount(group, minlength=int(head.sum()))
+        order, head = grouped(keys[:, 0], keys)
+        group = np.cumsum(head) - 1
+        self.slot = np.empty(len(keys), dtype=np.int64)
+        self.slot[order] = group
+        self.keys, n = keys[order[head]], np.bincount(group, minlength=int(head.sum()))
         self.twice = n > 1
-        # sorted by the first word, so a bucket is a run
-        self.cut = np.searchsorted(self.keys[:, 0] >> U64(32), (np.arange(buckets + 1, dtype=U64) << U64(32)) // U64(buckets))
+        # in the order of the first word's upper bits, so a bucket is a run
+        self.cut = np.searchsorted(self.keys[:, 0] >> U64(40), (np.arange(buckets + 1, dtype=U64) << U64(24)) // U64(buckets))
 
     def rows(self) -> list[bytes]:
         return [self.keys[a:b].tobytes() + self.twice[a:b].tobytes() for a, b in zip(self.cut[:-1], self.cut[1:])]
@@ -60,13 +53,10 @@ def _again(width: int):
         n = [len(x) // size for x in raw]
         keys = np.concatenate([np.frombuffer(x, "<u8", k * width).reshape(-1, width) for x, k in zip(raw, n)])
         hit = np.concatenate([np.frombuffer(x, bool, k, k * width * 8) for x, k in zip(raw, n)]).copy()
-        order = np.argsort(keys[:, 0], kind="stable") if width == 1 else np.lexsort((keys[:, 1], keys[:, 0]))
-        s, h = keys[order], hit[order]
-        same = (s[1:] == s[:-1]).all(axis=1)
-        both = np.zeros(len(s), dtype=bool)
-        both[1:] |= same
-        both[:-1] |= same
-        hit[order] = h | both
+        order, head = grouped(keys[:, 0], keys)
+        group = np.cumsum(head) - 1
+        often = np.bincount(group) > 1
+        hit[order] |= often[group]
         bits = [np.packbits(x).tobytes() for x in np.split(hit, np.cumsum(n)[:-1])]
         return pa.table({"blk": table["blk"], "bucket": table["bucket"], "bits": pa.array(bits, pa.binary())})
 

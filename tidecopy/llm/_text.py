@@ -28,6 +28,27 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def grouped(h: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal rows of ``keys`` are neighbours, by their hashes ``h``; and
+    the first of each group. Sorts numbers that hold a hash's upper bits and its place."""
+    n = len(h)
+    bits = U64(max(1, int(n).bit_length()))
+    low = (U64(1) << bits) - U64(1)
+    packed = (h & ~low) | np.arange(n, dtype=U64)
+    packed.sort()
+    order = (packed & low).astype(np.int64)
+    top = packed >> bits
+    s = keys[order]
+    head = np.ones(n, dtype=bool)
+    head[1:] = (s[1:] != s[:-1]).any(axis=1)
+    mixed = np.flatnonzero(head[1:] & (top[1:] == top[:-1])) + 1
+    for t in np.unique(top[mixed]).tolist():      # rare: different keys that agree in the upper bits
+        a, b = np.searchsorted(top, np.array([t, t + 1], dtype=U64))
+        order[a:b] = order[a:b][np.lexsort((*keys[order[a:b]].T, h[order[a:b]]))]
+        head[a + 1:b] = (keys[order[a + 1:b]] != keys[order[a:b - 1]]).any(axis=1)
+    return order, head
+
+
 #: a random-looking 64-bit code for each byte value
 _BYTE = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
 
