@@ -38,14 +38,17 @@ class Stage:
         return out
 
     def drop(self, *frames: DataFrame) -> None:
-        """Delete staged tables that no later read needs, and let Spark's cleaner
-        release the shuffle files of the jobs that are over."""
-        gc.collect()
+        """Delete staged tables that no later read needs."""
         jvm = self.spark._jvm
         for df in frames:
             path = jvm.org.apache.hadoop.fs.Path(df.staged_path)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-        jvm.System.gc()
+
+    def release(self) -> None:
+        """Let Spark's cleaner delete the shuffle files of jobs that are over: it acts
+        when the driver's garbage is collected, which may be long after large shuffles."""
+        gc.collect()
+        self.spark._jvm.System.gc()
 
 
 def text_bytes(col: str = "text") -> Column:
@@ -61,3 +64,13 @@ def row_key(id_col: str, text_col: str) -> list[Column]:
 
 def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+BROADCAST_ROWS = 2_000_000     # rows of two or three numbers (under 100 MB in memory) that are broadcast
+
+
+def small(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df``, to be broadcast if its rows, counted, are at most ``BROADCAST_ROWS``;
+    otherwise left to Spark, which shuffles. For staged frames of a few numbers a row."""
+    n = df.count() if rows is None else rows
+    return F.broadcast(df) if n <= BROADCAST_ROWS else df

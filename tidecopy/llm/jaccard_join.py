@@ -4,23 +4,27 @@ A document's set holds the hashes of its word shingles. Documents with one set
 are one class; classes are joined.
 
 Order of tokens: those that some block of documents holds twice come last (a
-bitmap of fixed size remembers them), ties go by hash. Two sets that reach the
-threshold share one of their first n - ceil(t n) + 1 tokens in this order, so
-only those are compared, and only the ones that occur again anywhere
-(``_exchange``).
+bitmap of fixed size remembers them), ties go by hash. Two different sets that
+reach the threshold (0.8 or more) share at least c = 4 of their first
+n - ceil(t n) + c tokens in this order, so only those are looked at, and only
+the ones that occur again anywhere (``_exchange``); a class with fewer than c
+of them links with no other.
 
 Groups: in a few rounds every class is compared with one hub of the classes it
-shares tokens with and, if it links, joins the hub's label; labels are the
-groups of similar documents, cut into parts of ``GROUP`` classes. The rounds
-only make groups; they decide nothing but links that were verified.
-
-Matrix: for each group the union of its members' tokens. A class that shares a
-first token with a group of another label is a query to it: if the query's
-overlap with the union is below t times its size, no member can link and the
-group stays closed; otherwise it is opened and its members are compared, until
-one links (they are all connected). So every pair across groups is either
-excluded by the bound or compared, and no pairs inside a group are listed.
-"""
+shares tokens with and, if it links, joins the hub's label. Classes of one label
+make a group; classes that are alone with their label are grouped by the most
+common of their tokens, so similar ones meet there too. Groups are cut into
+parts of ``GROUP`` classes. The rounds end when few comparisons still link; they
+decide nothing but links that were verified.
+
+Matrix: for each group the union of its members' tokens, and which members have
+which. A class that shares first tokens with a group of another label is a query
+to it: if the query's overlap with the union is below t times its size, no member
+can link and the group stays closed; otherwise it is opened, and its row of the matrix
+gives the overlap with every member at once. Members of a group with several
+labels ask their own group too. So every pair of classes that could link is
+excluded by the bound, compared, or known to be connected, and a group sends on
+a forest of its links, never its pairs."""
 
 from __future__ import annotations
 
@@ -31,12 +35,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecopy.llm._exchange import BUCKETS_PER_PARTITION, Packed, hits_of, new_block, repeated, stored
-from tidecopy.llm._store import Stage, row_key, shuffle_width, text_bytes
-from tidecopy.llm._text import U64, buffer_of, pieces, prefix_hash, span_hash, word_hashes, words, mix
+from tidecopy.llm._store import Stage, row_key, shuffle_width, small, text_bytes
+from tidecopy.llm._text import U64, buffer_of, expand, mix, pieces, prefix_hash, span_hash, word_hashes, words
 from tidecopy.llm.components import components
 
-GROUP = 64            # classes of one group
-ROUNDS = 4            # rounds of hubs
+SHARED = 4            # c: first tokens that two linked classes share
+GROUP = 512           # classes of one group
+ROUNDS = 3            # rounds of hubs, at most
+FEW = 50              # no further round if fewer than one comparison in so many links
 MAP_BITS = 24         # bits of the map of frequent tokens
 _PIECE = 6 << 20
 _INNER = 1 << 18
@@ -125,7 +131,7 @@ def _blocks(k: int, percent: int, bitmap, buckets: int):
                     c = class_of(h, so)
                     doc = np.repeat(np.arange(len(n)), n)
                     order = np.lexsort((h, frequent[(h >> U64(64 - MAP_BITS)).astype(np.int64)], doc))
-                    first = np.where(n > 0, n + percent * n // -100 + 1, 0)     # n - ceil(t n) + 1
+                    first = np.where(n >= SHARED, n + percent * n // -100 + SHARED, 0)    # n - ceil(t n) + c
                     take = np.arange(len(h)) - so[:-1][doc] < first[doc]
                     owners.append(doc[take] + base)
                     tokens.append(h[order][take])
@@ -191,36 +197,80 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (class, hub): those that link."""
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int, n: int) -> DataFrame:
+    """Of n staged pairs (class, hub), one per class: those that link."""
     def run(batches):
         for batch in batches:
             a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             ok = [_links(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), percent) for x, y in zip(a, b)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["class", "hub"]).filter(pa.array(ok, pa.bool_()))
 
-    hubs = sets.withColumnsRenamed({"class": "hub", "set": "hub_set"}).join(pairs.select("hub").distinct(), "hub", "left_semi")
-    met = pairs.join(sets, "class").join(hubs, "hub").select("class", "hub", "set", "hub_set")
+    hubs = (sets.join(small(pairs.select(F.col("hub").alias("class")).distinct(), n), "class", "left_semi")
+            .select(F.col("class").alias("hub"), F.col("set").alias("hub_set")))
+    met = sets.join(small(pairs, n), "class").join(hubs, "hub").select("class", "hub", "set", "hub_set")
     return met.mapInArrow(run, "class long, hub long")
 
 
+def _shared(posted: DataFrame) -> DataFrame:
+    """Postings of tokens that several classes share, of classes with enough of them."""
+    several = posted.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("token")
+    kept = posted.join(several, "token", "left_semi")
+    enough = kept.groupBy("class").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= SHARED).select("class")
+    return kept.join(enough, "class", "left_semi")
+
+
+class _Group:
+    """The matrix of one group: its union of tokens and who has them."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.n = np.array([len(x) for x in sets], dtype=np.int64)
+        tokens = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), self.n)
+        order = np.argsort(tokens, kind="stable")
+        self.union, first = np.unique(tokens[order], return_index=True)
+        self.first = np.append(first, len(tokens))
+        self.owner = owner[order]
+
+    def links(self, query: np.ndarray, percent: int) -> np.ndarray:
+        """Members that link with the query; none if the bound closes the group."""
+        at = np.searchsorted(self.union, query)
+        at[at == len(self.union)] = 0
+        at = at[self.union[at] == query]
+        if 100 * len(at) < percent * len(query):
+            return np.zeros(0, np.int64)
+        n = self.first[at + 1] - self.first[at]
+        both = np.bincount(self.owner[expand(self.first[at], n)], minlength=len(self.n))
+        return np.flatnonzero((100 * both >= percent * (len(query) + self.n - both)) & (both > 0))
+
+
 def _open(percent: int):
-    """One group: the bound, and the members if it holds. Links as (class, hub)."""
+    """One group and its queries (its own members among them if their labels differ):
+    a forest of links, as (class, hub)."""
     def run(key, members, queries):
-        own = members["class"].to_pylist()
-        have = [np.frombuffer(x, "<u8") for x in members["set"].to_pylist()]
-        union = np.unique(np.concatenate(have)) if have else np.zeros(0, "<u8")
-        a, b = [], []
-        for q, x in zip(queries["q_class"].to_pylist(), queries["q_set"].to_pylist()):
-            s = np.frombuffer(x, "<u8")
-            if not len(union) or 100 * _overlap(s, union) < percent * len(s):
-                continue
-            for c, m in zip(own, have):
-                if _links(s, m, percent):
-                    a.append(q)
-                    b.append(c)
-                    break
-        return pa.table({"class": pa.array(a, pa.int64()), "hub": pa.array(b, pa.int64())})
+        own, label = members["class"].to_pylist(), members["label"].to_pylist()
+        out = {"class": [], "hub": []}
+        if own:
+            sets = [np.frombuffer(x, "<u8") for x in members["set"].to_pylist()]
+            group, root = _Group(sets), {}
+
+            def find(x):
+                while root.setdefault(x, x) != x:
+                    root[x] = root[root[x]]
+                    x = root[x]
+                return x
+
+            for c, l in zip(own, label):        # one label: connected already
+                root[find(c)] = find(("label", l))
+            asking = list(zip(queries["q_class"].to_pylist(), queries["q_set"].to_pylist()))
+            if len(set(label)) > 1:
+                asking += zip(own, members["set"].to_pylist())
+            for q, x in asking:
+                for m in group.links(np.frombuffer(x, "<u8"), percent).tolist():
+                    if (a := find(q)) != (b := find(own[m])):
+                        root[a] = b
+                        out["class"].append(q)
+                        out["hub"].append(own[m])
+        return pa.table({k: pa.array(v, pa.int64()) for k, v in out.items()})
 
     return run
 
@@ -233,6 +283,8 @@ def jaccard_classes(docs: DataFrame, stage: Stage, *, k: int = 4, percent: int =
                     text_col: str = "text") -> DataFrame:
     """Staged: doc_id, k1, k2 (``row_key``), n_shingles, class, component (a class number,
     the same for all that are connected)."""
+    if not 80 <= percent <= 100:    # below, sets of fewer than SHARED tokens could link
+        raise ValueError("percent must be 80 to 100")
     spark = docs.sparkSession
     buckets = BUCKETS_PER_PARTITION * shuffle_width(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *row_key(id_col, text_col), text_bytes(text_col).alias("text"))
@@ -245,16 +297,17 @@ def jaccard_classes(docs: DataFrame, stage: Stage, *, k: int = 4, percent: int =
               .mapInArrow(_postings, "token long, class long, n int").distinct())
     posted = stage.write(posted)
     stage.drop(blocks)
-    # tokens that several classes share
-    several = posted.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("token")
-    shared = stage.write(posted.join(several, "token", "left_semi"))
+    stage.release()
+    shared = stage.write(_shared(posted))
+    stage.drop(posted)
+    posted, shared = shared, stage.write(_shared(shared))      # what went may leave others alone
     stage.drop(posted)
-    # the sets of the classes that have one: of each class, one row's text
-    wanted = shared.select("class").distinct()
-    chosen = (members.join(wanted, "class", "left_semi").groupBy("class").agg(F.min(F.struct("k1", "k2")).alias("k"))
-              .select("class", "k.k1", "k.k2"))
-    texts = rows.select("k1", "k2", "text").join(chosen.hint("shuffle_hash"), ["k1", "k2"]).select("class", "text")
-    sets = stage.write(texts.mapInArrow(_sets(k), "class long, set binary").dropDuplicates(["class"]))
+    # the sets of the classes that are left: of each class, one row's text
+    chosen = stage.write(members.join(shared.select("class").distinct(), "class", "left_semi").groupBy("class")
+                         .agg(F.min(F.struct("k1", "k2")).alias("k")).select("class", "k.k1", "k.k2"))
+    texts = rows.select("k1", "k2", "text").join(small(chosen), ["k1", "k2"]).select("class", "text")
+    sets = stage.write(texts.mapInArrow(_sets(k), "class long, set binary"))
+    stage.release()
     # rounds of hubs
     labels = stage.write(shared.groupBy("class").agg(F.max("n").alias("n")).withColumn("label", F.col("class")))
     found = []
@@ -265,42 +318,64 @@ def jaccard_classes(docs: DataFrame, stage: Stage, *, k: int = 4, percent: int =
             F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select(
             "token", F.col("h.class").alias("hub"), F.col("h.n").alias("hn"), F.col("h.label").alias("hub_label"))
         pairs = (named.join(hub, "token").where("label <> hub_label AND " + _near("n", "hn", percent))
-                 .groupBy("class", "hub").agg(F.count(F.lit(1)).alias("c"), F.max("hub_label").alias("hub_label")))
+                 .groupBy("class", "hub").agg(F.count(F.lit(1)).alias("c"), F.max("hub_label").alias("hub_label"))
+                 .where(F.col("c") >= SHARED))
         best = stage.write(pairs.groupBy("class").agg(F.max(F.struct("c", "hub", "hub_label")).alias("b"))
                            .select("class", "b.hub", "b.hub_label"))
-        if best.isEmpty():
+        tried = best.count()
+        if not tried:
             break
-        linked = stage.write(_linked(best.select("class", "hub"), sets, percent))
+        linked = stage.write(_linked(best.select("class", "hub"), sets, percent, tried))
         found.append(linked)
         moved = linked.join(best, ["class", "hub"]).select("class", F.col("hub_label").alias("new"))
         before = labels
         labels = stage.write(before.join(moved, "class", "left").select("class", "n", F.coalesce("new", "label").alias("label")))
+        few = linked.count() * FEW < tried
         stage.drop(before, best)
-    # the matrix: groups of classes with one label, and the queries of other labels
+        stage.release()
+        if few:
+            break
+    # groups: classes of one label, or with one most common token
     sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    grouped = stage.write(labels.join(sizes, "label").select(
-        "class", "n", "label", "size", F.xxhash64("label", F.pmod(F.xxhash64("class", F.lit("group")), F.ceil(F.col("size") / GROUP))).alias("grp")))
+    common = shared.groupBy("token").agg(F.count(F.lit(1)).alias("c"))
+    nearest = (shared.select("class", "token").join(common, "token").groupBy("class")
+               .agg(F.max(F.struct("c", "token")).alias("m")).select("class", "m.token"))
+    alone = F.col("size") == 1
+    keyed = stage.write(labels.join(sizes, "label").join(nearest, "class").select(
+        "class", "n", "label", "size", alone.alias("alone"),
+        F.when(alone, F.xxhash64("token", F.lit("token"))).otherwise(F.xxhash64("label", F.lit("label"))).alias("gkey")))
+    many = keyed.groupBy("gkey").agg(F.ceil(F.count(F.lit(1)) / F.lit(GROUP)).cast("long").alias("parts")).where("parts > 1")
+    part = F.pmod(F.xxhash64("class", F.lit("group")), F.coalesce("parts", F.lit(1).cast("long")))
+    grouped = stage.write(keyed.join(many, "gkey", "left").select(
+        "class", "n", "label", "size", "alone", F.xxhash64("gkey", part).alias("grp")))
+    # queries: tokens that several labels share; the class of the smaller label (or, of
+    # equal ones, of the lesser group) asks the group of the other
     named = shared.select("token", "class").join(grouped, "class")
     open_ = named.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("token")
     named = stage.write(named.join(open_, "token", "left_semi"))
-    queries = named.select("token", "class", "n", F.col("label").alias("ql"), F.col("size").alias("qs"))
-    groups = named.groupBy("token", "grp").agg(F.min("n").alias("least"), F.max("n").alias("most"),
-                                               F.first("label").alias("gl"), F.first("size").alias("gs"))
-    # the smaller label asks, the larger one answers
+    queries = named.select("token", "class", "n", F.col("label").alias("ql"), F.col("size").alias("qs"), F.col("grp").alias("qg"))
+    groups = named.groupBy("token", "grp").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.first("size").alias("gs"),
+                                               F.min(F.when(~F.col("alone"), F.col("label"))).alias("gl"))
     asked = stage.write(queries.join(groups, "token").where(
-        f"(qs < gs OR (qs = gs AND ql < gl)) AND 100 * most >= {percent} * n AND 100 * n >= {percent} * least")
-        .select("class", "grp").distinct())
-    needed = asked.select("grp").distinct()
-    side = grouped.join(needed, "grp", "left_semi").select("class", "grp").join(sets, "class").select("grp", "class", "set")
-    asking = asked.join(sets, "class").select(F.col("grp").alias("q_grp"), F.col("class").alias("q_class"), F.col("set").alias("q_set"))
+        f"(qs < gs OR (qs = gs AND qg < grp)) AND NOT (gl <=> ql) AND 100 * most >= {percent} * n AND 100 * n >= {percent} * least")
+        .groupBy("class", "grp").agg(F.countDistinct("token").alias("c")).where(F.col("c") >= SHARED).select("class", "grp"))
+    # groups that are asked, and those whose members ask one another
+    mixed = grouped.where("alone").groupBy("grp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("grp")
+    answering = stage.write(grouped.join(asked.select("grp").unionAll(mixed).distinct(), "grp", "left_semi").select("class", "grp", "label"))
+    side = sets.join(small(answering), "class").select("grp", "class", "label", "set")
+    asking = sets.join(small(asked), "class").select(F.col("grp").alias("q_grp"), F.col("class").alias("q_class"), F.col("set").alias("q_set"))
     across = stage.write(side.groupBy("grp").cogroup(asking.groupBy("q_grp")).applyInArrow(_open(percent), "class long, hub long"))
+    stage.drop(sets, named, asked, answering)
+    stage.release()
     links = across
     for f in found:
         links = links.unionAll(f)
     comps = components(links.select(F.col("class").alias("a"), F.col("hub").alias("b")), stage)
     out = members.join(comps.withColumnsRenamed({"node": "class"}), "class", "left").select(
         "doc_id", "k1", "k2", "n_shingles", "class", F.coalesce("comp", "class").alias("component"))
-    return stage.write(out)
+    out = stage.write(out)
+    stage.drop(members, shared, keyed, grouped, labels, across, *found)
+    return out
 
 
 def jaccard_join(docs: DataFrame, *, k: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -227,14 +227,17 @@ def repeated_spans(docs: DataFrame, length: int, stage: Stage, *, id_col: str =
                                     "s", lambda x: F.arrays_zip(x["first"], x["size"])))).alias("z"))
                                 .select("k1", "k2", F.col("z.first").alias("first"), F.col("z.size").alias("size")))
             stage.drop(blocks)
+            stage.release()
             if last:
                 return spans
             texts = rows.join(spans.hint("shuffle_hash"), ["k1", "k2"])
             blocks = stage.write(texts.select("k1", "k2", "text", "first", "size").mapInArrow(_region_blocks, _REGIONS))
             stage.drop(spans)
+            stage.release()
         else:
             after = stage.write(met(blocks, level).mapInArrow(_next_blocks(level, length, buckets), _REGIONS))
             stage.drop(blocks)
+            stage.release()
             blocks = after
     raise AssertionError("the last level returns")
 
