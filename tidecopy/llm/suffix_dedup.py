@@ -20,12 +20,17 @@ positions counted within a region:
 
 The sorts move distinct keys of blocks to buckets of a hash, so a string that
 stands everywhere is sent once a block. Regions that share their least
-repeated string are put in the same blocks before, which leaves fewer distinct keys.
+repeated string are put in the same blocks before, which leaves fewer distinct
+keys; large such families are dealt to several tasks. A block's names are kept
+once per distinct key and looked up anew by each step, so a step moves the
+regions' bytes and names, and no step keeps a number per position. Names and ids
+are written with 4 bytes where their measured range allows it, else with 8.
 """
 
 from __future__ import annotations
 
 import hashlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +38,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecopy.llm._exchange import BUCKETS_PER_PARTITION, Packed, hits_of, new_block, repeated, stored
-from tidecopy.llm._store import Stage, row_key, shuffle_width, text_bytes
-from tidecopy.llm._text import _BYTE, MAX64, U64, anchors, buffer_of, covered, fits, mix, pieces, runs, sliding, window_hashes
+from tidecopy.llm._store import Stage, row_key, shuffle_width, small, text_bytes
+from tidecopy.llm._text import (
+    _BYTE, MAX64, U64, anchors, buffer_of, covered, fits, grouped, mix, pieces, runs, sliding, window_hashes,
+)
 
 SEED = 20             # bytes of the strings that are looked up first
 CHAR = 16             # bytes of the first names
 SPAN = 3 * CHAR - 2   # bytes of the second names
-BLOCK = 3 << 20       # region bytes of one block
-SALT = 4              # a family of regions is dealt to this many tasks
+BLOCK = 2 << 20       # region bytes of one block
+FAMILY = 512          # regions of a family that go to one task
 _PIECE, _INNER = 8 << 20, 1 << 18
 
 _SEEDS = "blk long, xs array<binary>, k1 binary, k2 binary, size binary, at binary, h binary"
@@ -113,7 +120,7 @@ def _cut_regions(batches):
         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types)], list(out))
 
 
-_REGIONS = "blk long, k1 binary, k2 binary, doc binary, first binary, size binary, data binary, names binary"
+_REGIONS = "blk long, k1 binary, k2 binary, doc binary, first binary, size binary, data binary"
 
 
 def _region_blocks(batches):
@@ -127,168 +134,180 @@ def _region_blocks(batches):
         for i, j, part, po in pieces(data, off, BLOCK):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([new_block()]), *(pa.array([np.ascontiguousarray(c[i:j]).tobytes()], pa.binary()) for c in cols),
-                 pa.array([np.diff(po).astype("<i4").tobytes()], pa.binary()), pa.array([part.tobytes()], pa.binary()),
-                 pa.array([b""], pa.binary())], ["blk", "k1", "k2", "doc", "first", "size", "data", "names"])
+                 pa.array([np.diff(po).astype("<i4").tobytes()], pa.binary()), pa.array([part.tobytes()], pa.binary())],
+                ["blk", "k1", "k2", "doc", "first", "size", "data"])
+
+
+@dataclass(frozen=True)
+class Plan:
+    """What the steps share: length of the strings, buckets, how names and ids are written."""
+
+    length: int
+    buckets: int
+    name: str       # "<u4" or "<u8"
+    low: str        # the same for ids, which are sent as their distance from ``least``
+    least: int
+
+    def columns(self, step: str) -> list[str]:
+        if step == "char":
+            return ["<u8", "<u8"]
+        if step == "triple":
+            return [self.name] * 3
+        return [self.name, "<u4" if self.length - SPAN <= 4 else "<u8", self.low]
+
+    def size(self, step: str) -> int:
+        return sum(np.dtype(c).itemsize for c in self.columns(step))
 
 
 class Block:
-    def __init__(self, row: dict, length: int):
-        self.row, self.length = row, length
+    def __init__(self, row: dict, plan: Plan):
+        self.row, self.plan = row, plan
         self.data = np.frombuffer(row["data"], np.uint8)
-        self.size = np.frombuffer(row["size"], "<i4").astype(np.int64)
-        self.off = np.concatenate([[0], np.cumsum(self.size)])
-        self.names = np.frombuffer(row["names"], "<u8")
-        region = np.repeat(np.arange(len(self.size)), self.size)
-        self.region, place = region, np.arange(len(self.data)) - self.off[:-1][region]
-        self.residue, self.left = place % 3, self.off[1:][region] - np.arange(len(self.data))
+        n = len(self.data)
+        size = np.frombuffer(row["size"], "<i4").astype(np.int64)
+        self.off = np.concatenate([[0], np.cumsum(size)])
+        self.region = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        at = np.arange(n, dtype=np.int32)
+        self.residue = ((at - self.off.astype(np.int32)[:-1][self.region]) % 3).astype(np.int8)
+        self.left = self.off.astype(np.int32)[1:][self.region] - at
+        # the 8 bytes from each position on, as one number (zeros after the end)
+        padded = np.append(self.data, np.zeros(7, np.uint8))
+        self.word = np.zeros(n, dtype=U64)
+        for k in range(8):
+            self.word = (self.word << U64(8)) | padded[k:k + n]
+        doc = np.frombuffer(row["doc"], "<u8")
+        # a null id is the largest distance
+        self.doc = np.where(doc == MAX64, U64(np.iinfo(plan.low).max), doc - U64(plan.least))
 
     def sampled(self, span: int) -> np.ndarray:
         """Sampled positions with at least ``span`` bytes left in their region."""
         return np.flatnonzero((self.residue != 0) & (self.left >= span))
 
     def bytes_at(self, at: np.ndarray, n: int) -> np.ndarray:
-        """The n <= 8 bytes from each position on as one number, in their order."""
-        out = np.zeros(len(at), dtype=U64)
-        for k in range(n):
-            out = (out << U64(8)) | self.data[at + k].astype(U64)
-        return out
-
-    def spread(self, at: np.ndarray) -> np.ndarray:
+        """The n <= 8 bytes from each position on."""
+        return self.word[at] >> U64(64 - 8 * n) if n else np.zeros(len(at), dtype=U64)
+
+    def names(self, step: str) -> np.ndarray:
+        """The step's name of each sampled position, 0 elsewhere."""
+        at, keys = self.keys(step)
+        k = Keyed(keys, self.plan.buckets)
+        names = np.zeros(len(k.keys), dtype=U64)
+        for a in self.row[f"a_{step}"] or []:
+            names[k.cut[a["bucket"]]:k.cut[a["bucket"] + 1]] = np.frombuffer(a["y"], self.plan.name)
         full = np.zeros(len(self.data), dtype=U64)
-        full[at] = self.names
+        full[at] = names[k.slot]
         return full
 
     def keys(self, step: str) -> tuple[np.ndarray, np.ndarray]:
         """Positions of a step and their keys (rows of 64-bit words)."""
         if step == "char":
             at = self.sampled(CHAR)
-            word = np.zeros(len(self.data), dtype=U64)
-            inner = np.flatnonzero(self.left >= 8)
-            word[inner] = self.bytes_at(inner, 8)
-            return at, np.stack([word[at], word[at + 8]], axis=1)
+            return at, np.stack([self.word[at], self.word[at + 8]], axis=1)
         if step == "triple":
-            name, at = self.spread(self.sampled(CHAR)), self.sampled(SPAN)
+            name, at = self.names("char"), self.sampled(SPAN)
             return at, np.stack([name[at + k * (CHAR - 1)] for k in range(3)], axis=1)
+        name = self.final()
         d = int(step)
-        name = self.spread(self.sampled(SPAN))
-        at = np.flatnonzero((self.left >= self.length) & ((self.residue + d) % 3 != 0))
-        rest = self.length - d - SPAN
+        at = np.flatnonzero((self.left >= self.plan.length) & ((self.residue + d) % 3 != 0))
+        rest = self.plan.length - d - SPAN
         return at, np.stack([name[at + d], (self.bytes_at(at, d) << U64(8 * rest)) | self.bytes_at(at + d + SPAN, rest)], axis=1)
 
+    def final(self) -> np.ndarray:
+        if not hasattr(self, "_final"):
+            self._final = self.names("triple")
+        return self._final
+
 
 class Keyed:
     """Distinct keys in the order of a hash, cut into buckets."""
 
     def __init__(self, keys: np.ndarray, buckets: int, low: np.ndarray | None = None):
-        order, head, h = _grouped(keys)
+        h = _hash(keys)
+        order, head = grouped(h, keys)
         group = np.cumsum(head) - 1
         self.slot = np.empty(len(keys), dtype=np.int64)
         self.slot[order] = group
         at = np.flatnonzero(head)
-        self.keys = keys[order][at]
+        self.keys = keys[order[at]]
         self.low = np.minimum.reduceat(low[order], at) if low is not None and len(at) else np.zeros(0, U64)
-        self.cut = np.searchsorted(h[at] >> U64(32), (np.arange(buckets + 1, dtype=U64) << U64(32)) // U64(buckets))
+        self.cut = np.searchsorted(h[order[at]] >> U64(40), (np.arange(buckets + 1, dtype=U64) << U64(24)) // U64(buckets))
 
 
-def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """An order in which equal keys are neighbours, the first of each group, the sorted hashes."""
+def _hash(keys: np.ndarray) -> np.ndarray:
     h = np.zeros(len(keys), dtype=U64)
     for k in range(keys.shape[1]):
         h = mix(h ^ keys[:, k]) + U64(0x9E3779B97F4A7C15)
-    order = np.argsort(h, kind="stable")
-    s, hs = keys[order], h[order]
-    head = np.ones(len(s), dtype=bool)
-    head[1:] = (s[1:] != s[:-1]).any(axis=1)
-    if (head[1:] & (hs[1:] == hs[:-1])).any():     # two keys with one hash
-        order = np.lexsort((*keys.T[::-1], h))
-        s, hs = keys[order], h[order]
-        head[1:] = (s[1:] != s[:-1]).any(axis=1)
-    return order, head, hs
-
-
-def _send(step: str, length: int, buckets: int):
+    return h
+
+
+def _send(step: str, plan: Plan):
+    columns = plan.columns(step)
+
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                b = Block(row, length)
+                b = Block(row, plan)
                 at, keys = b.keys(step)
-                low = np.frombuffer(row["doc"], "<u8")[b.region[at]] if step in "012" else None
-                k = Keyed(keys, buckets, low)
+                low = b.doc[b.region[at]] if step in "012" else None
+                k = Keyed(keys, plan.buckets, low)
+                values = [*k.keys.T, k.low][:len(columns)]
                 some = np.flatnonzero(np.diff(k.cut))
-                x = [k.keys[k.cut[i]:k.cut[i + 1]].tobytes() + k.low[k.cut[i]:k.cut[i + 1]].tobytes() if low is not None
-                     else k.keys[k.cut[i]:k.cut[i + 1]].tobytes() for i in some]
+                x = [b"".join(v[k.cut[i]:k.cut[i + 1]].astype(c).tobytes() for v, c in zip(values, columns)) for i in some]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(some), row["blk"])), pa.array(some, pa.int32()), pa.array(x, pa.binary())],
+                    [pa.array(np.full(len(some), row["blk"], np.int64)), pa.array(some, pa.int32()), pa.array(x, pa.binary())],
                     ["blk", "bucket", "x"])
 
     return run
 
 
-def _answer(step: str, buckets: int):
+def _answer(step: str, plan: Plan):
     """Names of a bucket's keys, or a bit per key: has another block a smaller document for it?"""
-    width, words = {"char": (2, 2), "triple": (3, 3)}.get(step, (2, 3))
+    columns, size = plan.columns(step), plan.size(step)
 
     def run(key, table):
         raw = table["x"].to_pylist()
-        n = np.array([len(x) // (8 * words) for x in raw])
-        keys = np.concatenate([np.frombuffer(x, "<u8", m * width).reshape(-1, width) for x, m in zip(raw, n)])
-        order, head, _ = _grouped(keys)
+        n = [len(x) // size for x in raw]
+        values = []
+        for j, c in enumerate(columns):
+            skip = sum(np.dtype(x).itemsize for x in columns[:j])
+            values.append(np.concatenate([np.frombuffer(x, c, m, skip * m) for x, m in zip(raw, n)]).astype(U64))
+        keys = np.stack(values[:2] if step in "012" else values, axis=1)
+        order, head = grouped(_hash(keys), keys)
         group = np.cumsum(head) - 1
-        if words == width:
-            out = np.empty(len(keys), dtype="<u8")
-            out[order] = group * buckets + key[0].as_py() + 1
-            parts = [x.tobytes() for x in np.split(out, np.cumsum(n)[:-1])]
-        else:
-            low = np.concatenate([np.frombuffer(x, "<u8", m, 8 * width * m) for x, m in zip(raw, n)])
-            least = np.minimum.reduceat(low[order], np.flatnonzero(head))
+        if step in "012":
+            least = np.minimum.reduceat(values[2][order], np.flatnonzero(head))
             out = np.empty(len(keys), dtype=bool)
-            out[order] = least[group] < low[order]
+            out[order] = least[group] < values[2][order]
             parts = [np.packbits(x).tobytes() for x in np.split(out, np.cumsum(n)[:-1])]
+        else:
+            name = group * plan.buckets + key[0].as_py() + 1
+            if int(name[-1]) > np.iinfo(plan.name).max:
+                raise OverflowError("more names than their width allows")
+            out = np.empty(len(keys), dtype=plan.name)
+            out[order] = name
+            parts = [x.tobytes() for x in np.split(out, np.cumsum(n)[:-1])]
         return pa.table({"blk": table["blk"], "bucket": table["bucket"], "y": pa.array(parts, pa.binary())})
 
     return run
 
 
-def _exchange(blocks: DataFrame, step: str, length: int, buckets: int) -> DataFrame:
-    sent = blocks.mapInArrow(_send(step, length, buckets), "blk long, bucket int, x binary")
-    back = sent.groupBy("bucket").applyInArrow(_answer(step, buckets), "blk long, bucket int, y binary")
-    return back.groupBy("blk").agg(F.collect_list(F.struct("bucket", "y")).alias(f"a_{step}"))
-
-
-def _named(step: str, length: int, buckets: int):
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                b = Block(row, length)
-                k = Keyed(b.keys(step)[1], buckets)
-                names = np.zeros(len(k.keys), dtype="<u8")
-                for a in row[f"a_{step}"]:
-                    names[k.cut[a["bucket"]]:k.cut[a["bucket"] + 1]] = np.frombuffer(a["y"], "<u8")
-                row["names"] = names[k.slot].tobytes()
-                cols = _REGIONS.replace(" binary", "").replace(" long", "").split(", ")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["blk"]]), *(pa.array([row[c]], pa.binary()) for c in cols[1:])], cols)
-
-    return run
-
-
-def _removed(length: int, buckets: int):
+def _removed(plan: Plan):
     """Removed byte spans per row, from the answers of the three sorts."""
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                b = Block(row, length)
-                doc = np.frombuffer(row["doc"], "<u8")[b.region]
+                b = Block(row, plan)
+                doc = b.doc[b.region]
                 gone = np.zeros(len(b.data), dtype=bool)
                 for step in "012":
                     at, keys = b.keys(step)
-                    k = Keyed(keys, buckets, doc[at])
+                    k = Keyed(keys, plan.buckets, doc[at])
                     smaller = np.zeros(len(k.keys), dtype=bool)
                     for a in row[f"a_{step}"] or []:
                         lo, hi = k.cut[a["bucket"]], k.cut[a["bucket"] + 1]
                         smaller[lo:hi] = np.unpackbits(np.frombuffer(a["y"], np.uint8), count=hi - lo).astype(bool)
                     gone[at] |= smaller[k.slot] | (doc[at] > k.low[k.slot])
-                s, e = runs(covered(gone, length), b.off)
+                s, e = runs(covered(gone, plan.length), b.off)
                 if not len(s):
                     continue
                 reg = b.region[s]
@@ -300,6 +319,15 @@ def _removed(length: int, buckets: int):
     return run
 
 
+def _plan(rows: DataFrame, spans: DataFrame, length: int, buckets: int) -> Plan:
+    total = spans.agg(F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    lo, hi = rows.agg(F.min("doc"), F.max("doc")).first()
+    lo, hi = (lo or 0), (hi or 0)
+    # half of the range is left for unevenness of the buckets, and the top for null ids
+    return Plan(length, buckets, "<u4" if 2 * total + 2 * buckets < 2**32 else "<u8",
+                "<u4" if hi - lo < 2**32 - 1 else "<u8", lo + 2**63 if hi - lo < 2**32 - 1 else 0)
+
+
 def removed_spans(docs: DataFrame, length: int, stage: Stage, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """k1, k2 (``row_key``), first, size (arrays): byte spans covered by strings of ``length``
     bytes that also start in a document with a smaller id."""
@@ -311,27 +339,36 @@ def removed_spans(docs: DataFrame, length: int, stage: Stage, *, id_col: str = "
         _seed_spans(length, buckets), "k1 long, k2 long, first array<int>, size array<int>, family array<long>")
         .dropDuplicates(["k1", "k2"]))
     stage.drop(seeds)
+    stage.release()
+    plan = _plan(rows, spans, length, buckets)
     cut = (rows.join(spans.hint("shuffle_hash"), ["k1", "k2"]).select("k1", "k2", "doc", "text", "first", "size", "family")
            .mapInArrow(_cut_regions, "k1 long, k2 long, doc long, first int, family long, bytes binary"))
-    dealt = cut.repartition(shuffle_width(spark), "family", F.pmod("k1", F.lit(SALT))).sortWithinPartitions("family")
+    large = stage.write(spans.select(F.explode("family").alias("family")).groupBy("family").agg(F.count(F.lit(1)).alias("n"))
+                        .where(F.col("n") > FAMILY))
+    part = F.pmod("k1", F.ceil(F.coalesce("n", F.lit(1)) / F.lit(FAMILY)).cast("long"))
+    dealt = (cut.join(small(large), "family", "left").withColumn("part", part)
+             .repartition(shuffle_width(spark), "family", "part").sortWithinPartitions("family", "part"))
     blocks = stage.write(dealt.select("k1", "k2", "doc", "first", "family", "bytes").mapInArrow(_region_blocks, _REGIONS))
     stage.drop(spans)
-    for step in ("char", "triple"):
-        named = stage.write(blocks.join(_exchange(blocks, step, length, buckets), "blk", "left")
-                            .mapInArrow(_named(step, length, buckets), _REGIONS))
-        stage.drop(blocks)
-        blocks = named
-    answers = []
-    for d in "012":
-        answers.append(stage.write(_exchange(blocks, d, length, buckets)))
-        stage.drop()
-    met = blocks
-    for a in answers:
-        met = met.join(a, "blk", "left")
-    out = stage.write(met.mapInArrow(_removed(length, buckets), "k1 long, k2 long, first int, size int")
+    stage.release()
+    answers: dict[str, DataFrame] = {}
+
+    def met(steps) -> DataFrame:
+        df = blocks
+        for s in steps:
+            df = df.join(answers[s], "blk", "left")
+        return df
+
+    for step, needs in (("char", []), ("triple", ["char"]), *((d, ["char", "triple"]) for d in "012")):
+        sent = met(needs).mapInArrow(_send(step, plan), "blk long, bucket int, x binary")
+        back = sent.groupBy("bucket").applyInArrow(_answer(step, plan), "blk long, bucket int, y binary")
+        answers[step] = stage.write(back.groupBy("blk").agg(F.collect_list(F.struct("bucket", "y")).alias(f"a_{step}")))
+        stage.release()
+    out = stage.write(met(answers).mapInArrow(_removed(plan), "k1 long, k2 long, first int, size int")
                       .groupBy("k1", "k2").agg(F.array_sort(F.collect_set(F.struct("first", "size"))).alias("z"))
                       .select("k1", "k2", F.col("z.first").alias("first"), F.col("z.size").alias("size")))
-    stage.drop(blocks, *answers)
+    stage.drop(blocks, *answers.values())
+    stage.release()
     return out
 
 
