@@ -100,9 +100,9 @@ def test_small_groups_open_one_another(spark, monkeypatch):
         assert got == expected(rows, 4, 85)
 
 
-def test_whole_table(spark, sf_mid):
-    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_mid}/documents.parquet").collect()]
-    got = Counter(tuple(r) for r in QUERIES["op5_jaccard_join"](spark, sf_mid).collect())
+def test_whole_table(spark, sf_small):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()]
+    got = Counter(tuple(r) for r in QUERIES["op5_jaccard_join"](spark, sf_small).collect())
     assert got == expected(rows, 4, 85)
 
 

@@ -302,6 +302,10 @@ def jaccard_classes(docs: DataFrame, stage: Stage, *, k: int = 4, percent: int =
     stage.drop(posted)
     posted, shared = shared, stage.write(_shared(shared))      # what went may leave others alone
     stage.drop(posted)
+    if shared.isEmpty():      # no class can link with another
+        out = stage.write(members.withColumn("component", F.col("class")))
+        stage.drop(members, shared)
+        return out
     # the sets of the classes that are left: of each class, one row's text
     chosen = stage.write(members.join(shared.select("class").distinct(), "class", "left_semi").groupBy("class")
                          .agg(F.min(F.struct("k1", "k2")).alias("k")).select("class", "k.k1", "k.k2"))
