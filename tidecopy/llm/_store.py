@@ -8,6 +8,7 @@ not a recomputation of the stages before.
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,9 +47,12 @@ class Stage:
 
     def release(self) -> None:
         """Let Spark's cleaner delete the shuffle files of jobs that are over: it acts
-        when the driver's garbage is collected, which may be long after large shuffles."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+        when the driver's garbage is collected, which may be long after large shuffles.
+        The cleaner works beside the driver, so it gets a moment before the next shuffle."""
+        for _ in range(2):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.5)
 
 
 def text_bytes(col: str = "text") -> Column:

@@ -363,6 +363,7 @@ def removed_spans(docs: DataFrame, length: int, stage: Stage, *, id_col: str = "
         sent = met(needs).mapInArrow(_send(step, plan), "blk long, bucket int, x binary")
         back = sent.groupBy("bucket").applyInArrow(_answer(step, plan), "blk long, bucket int, y binary")
         answers[step] = stage.write(back.groupBy("blk").agg(F.collect_list(F.struct("bucket", "y")).alias(f"a_{step}")))
+        del sent, back
         stage.release()
     out = stage.write(met(answers).mapInArrow(_removed(plan), "k1 long, k2 long, first int, size int")
                       .groupBy("k1", "k2").agg(F.array_sort(F.collect_set(F.struct("first", "size"))).alias("z"))
