@@ -167,6 +167,29 @@ def test_quality_whole_table(spark, sf_small):
     assert {r.doc_id for r in kept.collect()} == {i for i, v in got.items() if v[-1]}
 
 
+def test_quality_long_repeats_reject(spark):
+    """Texts that pass the base rules and fail by each limit of long repeats alone."""
+    def text(n, *passages):
+        """n words; each passage, of so many words, stands twice."""
+        said = [[f"p{k}x{i}" for i in range(m)] for k, m in enumerate(passages)] * 2
+        fresh = iter(f"w{i}" for i in range(n))
+        out = [w for p in said for w in [*p, next(fresh)]]
+        return " ".join(out + [next(fresh) for _ in range(n - len(out))])
+
+    cases = {"one passage of 95 words in 1,000": (text(1000, 95), False),
+             "fraction alone": (text(600, 10, 10, 10, 10), False), "longest alone": (text(600, 26), False),
+             "longest at all": (text(4000, 121), False), "longest allowed": (text(4000, 120), True),
+             "at the fraction": (text(600, 10, 10, 10), True), "at the share": (text(600, 24), True),
+             "a sentence twice": (text(110, 10), True), "two sentences twice": (text(210, 10, 10), True)}
+    got = {r.doc_id: r for r in quality_rules(docs(spark, [(i, t, "s") for i, (t, _) in enumerate(cases.values())])).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {n: got[i].kept for i, n in enumerate(cases)} == {n: keep for n, (_, keep) in cases.items()}
+    limits = QualityLimits()
+    fraction, longest = got[1], got[2]
+    assert 100 * fraction.longest_repeat <= limits.max_longest_percent * fraction.n_words
+    assert 100 * longest.n_long_words <= limits.max_long_percent * longest.n_words
+
+
 # ------------------------------------------------------------- chat
 
 def turns(spark, rows):

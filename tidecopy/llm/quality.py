@@ -33,14 +33,22 @@ class QualityLimits:
     """``window``: words of the shortest repeat that counts. A text fails the base
     rules with fewer than ``min_words`` words or more than ``max_repeat_percent``
     % of them in repeats. Of the others, the suffix array rejects those whose
-    repeats of ``long_repeat`` words or more cover over ``max_long_percent`` %, or
-    whose longest repeat has over ``max_longest`` words."""
+    repeats of ``long_repeat`` words or more cover over ``max_long_percent`` % (and
+    over ``long_floor`` words), or whose longest repeat has over
+    ``max_longest_percent`` % of the text's words (and over ``longest_floor``), or
+    over ``max_longest``. The floors keep texts that say one sentence twice. Repeats
+    of ``long_repeat`` words are repeats of ``window`` words too, and a passage that
+    stands twice is covered twice, so a percentage at or over ``max_repeat_percent``
+    (half of it for the longest) would reject nothing that the base rules keep."""
 
     window: int = 5
     min_words: int = 10
     max_repeat_percent: int = 20
     long_repeat: int = 10
-    max_long_percent: int = 20
+    max_long_percent: int = 10
+    long_floor: int = 40
+    max_longest_percent: int = 4
+    longest_floor: int = 20
     max_longest: int = 120
 
 
@@ -164,8 +172,11 @@ def measure(data: np.ndarray, off: np.ndarray, limits: QualityLimits) -> dict[st
     out = {k: np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found)]).astype(np.int64) for k in names}
     out["base_failed"] = (out["n_words"] < limits.min_words) | (
         100 * out["n_repeat_words"] > limits.max_repeat_percent * out["n_words"])
-    out["kept"] = ~(out["base_failed"] | (100 * out["n_long_words"] > limits.max_long_percent * out["n_words"])
-                    | (out["longest_repeat"] > limits.max_longest))
+    n, long_words, longest = out["n_words"], out["n_long_words"], out["longest_repeat"]
+    out["kept"] = ~(out["base_failed"]
+                    | ((100 * long_words > limits.max_long_percent * n) & (long_words > limits.long_floor))
+                    | ((100 * longest > limits.max_longest_percent * n) & (longest > limits.longest_floor))
+                    | (longest > limits.max_longest))
     return out
 
 
