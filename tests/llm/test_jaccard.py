@@ -126,6 +126,28 @@ def test_keep_one_of_each(spark):
     assert Counter(r.doc_id for r in kept.collect()) == want
 
 
+def test_repeated_rows_beside_a_near_copy(spark, monkeypatch):
+    """Rows that share id and text (null ids too) are compared once, not once a copy."""
+    rnd = random.Random(11)
+    words = [f"w{rnd.randrange(900)}" for _ in range(90)]
+    near = " ".join([*words[:-1], "other"])
+    other = [f"v{rnd.randrange(900)}" for _ in range(70)]
+    rows = [(None, " ".join(words))] * 300 + [(5, near)] * 200 + [(6, " ".join(other))] * 150 + [(7, " ".join(other[1:]))]
+    rows += [(100 + i, t) for i, (_, t) in enumerate(family_rows(6)) if i < 100]
+    made, write = [], Stage.write
+
+    def watched(self, df, *a, **b):
+        out = write(self, df, *a, **b)
+        if out.columns == ["class", "hub"]:
+            made.append(Counter(tuple(r) for r in out.collect()))
+        return out
+
+    monkeypatch.setattr(Stage, "write", watched)
+    got = Counter(tuple(r) for r in jaccard_join(table(spark, rows).repartition(5)).collect())
+    assert got == expected(rows, 4, 85)
+    assert any(made) and max(max(m.values()) for m in made if m) == 1
+
+
 def test_components(spark):
     rnd = random.Random(9)
     links = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [

@@ -172,14 +172,18 @@ def _postings(batches):
 
 
 def _sets(k: int):
+    """(class, set, copies); of the copies of a row, a task sends one."""
     def run(batches):
+        seen = set()
         for batch in batches:
-            data, off = buffer_of(batch.column(1))
+            first = [n == 1 or not (c in seen or seen.add(c)) for c, n in zip(batch["class"].to_pylist(), batch["copies"].to_pylist())]
+            batch = batch.filter(pa.array(first, pa.bool_()))
+            data, off = buffer_of(batch["text"])
             for i, j, part, po in pieces(data, off, _INNER):
                 h, so = shingle_sets(part, po, k)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[i:j], pa.array([h[a:b].tobytes() for a, b in zip(so[:-1], so[1:])], pa.binary())],
-                    ["class", "set"])
+                    [batch["class"][i:j], pa.array([h[a:b].tobytes() for a, b in zip(so[:-1], so[1:])], pa.binary()), batch["copies"][i:j]],
+                    ["class", "set", "copies"])
 
     return run
 
@@ -306,11 +310,15 @@ def jaccard_classes(docs: DataFrame, stage: Stage, *, k: int = 4, percent: int =
         out = stage.write(members.withColumn("component", F.col("class")))
         stage.drop(members, shared)
         return out
-    # the sets of the classes that are left: of each class, one row's text
-    chosen = stage.write(members.join(shared.select("class").distinct(), "class", "left_semi").groupBy("class")
-                         .agg(F.min(F.struct("k1", "k2")).alias("k")).select("class", "k.k1", "k.k2"))
-    texts = rows.select("k1", "k2", "text").join(small(chosen), ["k1", "k2"]).select("class", "text")
-    sets = stage.write(texts.mapInArrow(_sets(k), "class long, set binary"))
+    # the sets of the classes that are left: of each class, one row's text; and one only
+    # of the rows that share id and text
+    chosen = stage.write(members.join(shared.select("class").distinct(), "class", "left_semi").groupBy("class", "k1", "k2")
+                         .agg(F.count(F.lit(1)).alias("copies")).groupBy("class")
+                         .agg(F.min(F.struct("k1", "k2", "copies")).alias("k")).select("class", "k.k1", "k.k2", "k.copies"))
+    texts = rows.select("k1", "k2", "text").join(small(chosen), ["k1", "k2"]).select("class", "text", "copies")
+    made = stage.write(texts.mapInArrow(_sets(k), "class long, set binary, copies long"))
+    several = stage.write(made.where("copies > 1").select("class", "set").dropDuplicates(["class"]))
+    sets = made.where("copies = 1").select("class", "set").unionAll(several)
     stage.release()
     # rounds of hubs
     labels = stage.write(shared.groupBy("class").agg(F.max("n").alias("n")).withColumn("label", F.col("class")))
@@ -369,7 +377,7 @@ def jaccard_classes(docs: DataFrame, stage: Stage, *, k: int = 4, percent: int =
     side = sets.join(small(answering), "class").select("grp", "class", "label", "set")
     asking = sets.join(small(asked), "class").select(F.col("grp").alias("q_grp"), F.col("class").alias("q_class"), F.col("set").alias("q_set"))
     across = stage.write(side.groupBy("grp").cogroup(asking.groupBy("q_grp")).applyInArrow(_open(percent), "class long, hub long"))
-    stage.drop(sets, named, asked, answering)
+    stage.drop(made, several, named, asked, answering)
     stage.release()
     links = across
     for f in found:
