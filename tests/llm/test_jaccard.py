@@ -148,6 +148,32 @@ def test_repeated_rows_beside_a_near_copy(spark, monkeypatch):
     assert any(made) and max(max(m.values()) for m in made if m) == 1
 
 
+def test_queries_of_a_group_are_cut(spark, monkeypatch):
+    """A task gets about GROUP of the classes that ask a group, and finds the same links."""
+    from tidecopy.llm import jaccard_join as module
+    rnd = random.Random(5)
+    frame = [f"w{i}" for i in range(60)]
+    # many texts near one another, all about one frame: pairs on both sides of the threshold
+    rows = [(i, " ".join(f"x{rnd.randrange(10 ** 6)}" if rnd.random() < 0.02 else w for w in frame)) for i in range(250)]
+    open_, most = module._open, 40
+
+    def watched(percent):
+        run = open_(percent)
+
+        def checked(key, members, queries):
+            if members.num_rows > most or queries.num_rows > most:
+                raise ValueError(f"{members.num_rows} members and {queries.num_rows} queries in one task")
+            return run(key, members, queries)
+
+        return checked
+
+    monkeypatch.setattr(module, "ROUNDS", 0)
+    monkeypatch.setattr(module, "GROUP", 16)
+    monkeypatch.setattr(module, "_open", watched)
+    got = Counter(tuple(r) for r in jaccard_join(table(spark, rows).repartition(3)).collect())
+    assert got == expected(rows, 4, 85)
+
+
 def test_components(spark):
     rnd = random.Random(9)
     links = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [

@@ -21,7 +21,8 @@ Matrix: for each group the union of its members' tokens, and which members have
 which. A class that shares first tokens with a group of another label is a query
 to it: if the query's overlap with the union is below t times its size, no member
 can link and the group stays closed; otherwise it is opened, and its row of the matrix
-gives the overlap with every member at once. Members of a group with several
+gives the overlap with every member at once. A group's queries are cut into parts of
+about ``GROUP``, each with the group's matrix. Members of a group with several
 labels ask their own group too. So every pair of classes that could link is
 excluded by the bound, compared, or known to be connected, and a group sends on
 a forest of its links, never its pairs."""
@@ -40,7 +41,7 @@ from tidecopy.llm._text import U64, buffer_of, expand, mix, pieces, prefix_hash,
 from tidecopy.llm.components import components
 
 SHARED = 4            # c: first tokens that two linked classes share
-GROUP = 512           # classes of one group
+GROUP = 512           # classes of one group, and of one part of its queries
 ROUNDS = 3            # rounds of hubs, at most
 FEW = 50              # no further round if fewer than one comparison in so many links
 MAP_BITS = 24         # bits of the map of frequent tokens
@@ -248,8 +249,8 @@ class _Group:
 
 
 def _open(percent: int):
-    """One group and its queries (its own members among them if their labels differ):
-    a forest of links, as (class, hub)."""
+    """One group and a part of its queries (in part 0 its own members among them, if
+    their labels differ): a forest of links, as (class, hub)."""
     def run(key, members, queries):
         own, label = members["class"].to_pylist(), members["label"].to_pylist()
         out = {"class": [], "hub": []}
@@ -266,7 +267,7 @@ def _open(percent: int):
             for c, l in zip(own, label):        # one label: connected already
                 root[find(c)] = find(("label", l))
             asking = list(zip(queries["q_class"].to_pylist(), queries["q_set"].to_pylist()))
-            if len(set(label)) > 1:
+            if key[1].as_py() == 0 and len(set(label)) > 1:
                 asking += zip(own, members["set"].to_pylist())
             for q, x in asking:
                 for m in group.links(np.frombuffer(x, "<u8"), percent).tolist():
@@ -373,11 +374,18 @@ def jaccard_classes(docs: DataFrame, stage: Stage, *, k: int = 4, percent: int =
         .groupBy("class", "grp").agg(F.countDistinct("token").alias("c")).where(F.col("c") >= SHARED).select("class", "grp"))
     # groups that are asked, and those whose members ask one another
     mixed = grouped.where("alone").groupBy("grp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("grp")
-    answering = stage.write(grouped.join(asked.select("grp").unionAll(mixed).distinct(), "grp", "left_semi").select("class", "grp", "label"))
-    side = sets.join(small(answering), "class").select("grp", "class", "label", "set")
-    asking = sets.join(small(asked), "class").select(F.col("grp").alias("q_grp"), F.col("class").alias("q_class"), F.col("set").alias("q_set"))
-    across = stage.write(side.groupBy("grp").cogroup(asking.groupBy("q_grp")).applyInArrow(_open(percent), "class long, hub long"))
-    stage.drop(made, several, named, asked, answering)
+    # a group's queries are cut into parts too; its members go to each
+    cuts = stage.write(asked.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / F.lit(GROUP)).cast("long").alias("cuts"))
+                       .join(mixed, "grp", "full").select("grp", F.coalesce("cuts", F.lit(1).cast("long")).alias("cuts")))
+    answering = stage.write(grouped.join(cuts, "grp").select(
+        "class", "grp", "label", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)).alias("cut")))
+    asked_in = stage.write(asked.join(cuts, "grp").select("class", "grp", F.pmod(F.xxhash64("class", F.lit("query")), "cuts").alias("cut")))
+    side = sets.join(small(answering), "class").select("grp", "cut", "class", "label", "set")
+    asking = sets.join(small(asked_in), "class").select(
+        F.col("grp").alias("q_grp"), F.col("cut").alias("q_cut"), F.col("class").alias("q_class"), F.col("set").alias("q_set"))
+    across = stage.write(side.groupBy("grp", "cut").cogroup(asking.groupBy("q_grp", "q_cut")).applyInArrow(
+        _open(percent), "class long, hub long"))
+    stage.drop(made, several, named, asked, asked_in, cuts, answering)
     stage.release()
     links = across
     for f in found:
