@@ -333,3 +333,32 @@ def test_leaks_whole_table(spark, sf_mid):
              for i, t in bench.items() if t in norm(r.text or "")}
     got = {(r.doc_id, r.item_id) for r in QUERIES["op4_decontaminate"](spark, sf_mid).collect()}
     assert exact <= got and len(got - exact) <= len(exact) // 5
+
+
+def test_leaks_in_blocks(spark, monkeypatch):
+    """Blocks are bounded, an item over a block's size too, and one is broadcast at a time."""
+    from tidecopy.llm import decontaminate as module
+    rnd = random.Random(12)
+    say = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 9))) for _ in range(n))
+    items = [(i, say(30)) for i in range(20)] + [(50, say(2000)), (1, say(40))]
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(2)
+    rows = [(i, say(20) + " " + t[-400:] + " " + say(20), "s") for i, (_, t) in enumerate(items)] + [(99, say(60), "s")]
+    d = docs(spark, rows)
+    want = sorted(tuple(r) for r in leaks(d, bench).collect())
+    sizes, sent, blocks, broadcast = [], [], module._blocks, spark.sparkContext.broadcast
+
+    def watched(*a):
+        for ix in blocks(*a):
+            sizes.append(int(ix.m.sum()))
+            yield ix
+
+    def one(value):
+        assert not any(b._jbroadcast.isValid() for b in sent)
+        sent.append(broadcast(value))
+        return sent[-1]
+
+    monkeypatch.setattr(module, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(module, "_blocks", watched)
+    monkeypatch.setattr(spark.sparkContext, "broadcast", one)
+    assert sorted(tuple(r) for r in leaks(d, bench).collect()) == want
+    assert len({r[0] for r in want}) == len(items) and len(sizes) > 5 and max(sizes) <= 4000

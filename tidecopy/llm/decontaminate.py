@@ -11,9 +11,12 @@ count shared q-grams by segment and by overlapping diagonal band; where a band
 has enough, align the segment to the band by dynamic programming, many bands at
 a time. Only the alignment decides.
 
-The benchmark goes to the tasks in blocks of at most ``BLOCK_BYTES`` of its
-text, one search of all documents per block, so what is broadcast is bounded
-whatever the benchmark's size.
+Tasks normalise and cut the items into a staged table of segments. They go to
+the search in blocks of at most ``BLOCK_BYTES`` of segments, also where an item
+has more: one block is indexed by the driver and broadcast, all documents are
+searched, the matches are staged and the broadcast is destroyed before the next.
+So the driver holds one block, whatever the benchmark's size; the documents are
+read once a block.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +34,8 @@ from pyspark.sql import functions as F
 from tidecopy.llm._store import Stage, row_key, text_bytes
 from tidecopy.llm._text import _BYTE, _SPACE, U64, buffer_of, covered, expand, fits, pieces, window_hashes
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 4 << 20  # bytes of segments, about twice those of their text
+_ROWS = 1 << 13        # segments of one batch
 _PIECE = 1 << 18
 _MAP_BITS = 22
 _STEP = 16            # diagonals that a band has to itself
@@ -71,21 +76,26 @@ def normalise(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return low[keep], total[off]
 
 
+def cut(raw: bytes, budget: Budget) -> Iterator[bytes]:
+    """The normalised segments of an item."""
+    data = np.frombuffer(raw, dtype=np.uint8)
+    text, _ = normalise(data, np.array([0, len(data)]))
+    text = text.tobytes().strip(b" ")
+    if len(text) < budget.least:
+        return
+    last = max(0, len(text) - budget.segment)
+    for a in range(0, last, budget.stride):
+        yield text[a:a + budget.segment]
+    yield text[last:last + budget.segment]
+
+
 class Index:
     """Segments of a block of benchmark items and where each q-gram stands in them."""
 
-    def __init__(self, items: list[tuple[int, bytes]], budget: Budget):
-        segs, owner = [], []
-        for item, raw in items:
-            data = np.frombuffer(raw, dtype=np.uint8)
-            text, _ = normalise(data, np.array([0, len(data)]))
-            text = text.tobytes().strip(b" ")
-            if len(text) < budget.least:
-                continue
-            last = max(0, len(text) - budget.segment)
-            for a in sorted({*range(0, last, budget.stride), last}):
-                segs.append(text[a:a + budget.segment])
-                owner.append(item)
+    def __init__(self, items: list[tuple[int, bytes]], budget: Budget, *, whole: bool = True):
+        """``items``: (id, text); or (id, segment) if not ``whole``."""
+        pairs = [(s, item) for item, raw in items for s in (cut(raw, budget) if whole else [raw])]
+        segs, owner = [s for s, _ in pairs], [i for _, i in pairs]
         self.owner = np.array(owner, dtype=np.int64)
         self.m = np.array([len(s) for s in segs], dtype=np.int64)
         self.e = np.array([budget.edits(m) for m in self.m.tolist()], dtype=np.int64)
@@ -107,18 +117,28 @@ class Index:
         self.q = budget.q
 
 
-def _blocks(bench: DataFrame, id_col: str, text_col: str, budget: Budget) -> Iterator[Index]:
+def _segments(budget: Budget):
+    def run(batches):
+        for batch in batches:
+            for item, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                segs = cut(raw, budget)
+                while some := list(islice(segs, _ROWS)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([item] * len(some), pa.int64()), pa.array(some, pa.binary())], ["item_id", "segment"])
+
+    return run
+
+
+def _blocks(segments: DataFrame, budget: Budget) -> Iterator[Index]:
     held, size = [], 0
-    rows = bench.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long"), text_bytes(text_col))
-    for item, raw in rows.toLocalIterator():
+    for item, raw in segments.toLocalIterator():
+        if held and size + len(raw) > BLOCK_BYTES:
+            yield Index(held, budget, whole=False)
+            held, size = [], 0
         held.append((item, bytes(raw)))
         size += len(raw)
-        if size >= BLOCK_BYTES:
-            yield Index(held, budget)
-            held, size = [], 0
     if held:
-        yield Index(held, budget)
+        yield Index(held, budget, whole=False)
 
 
 def _align(ix: Index, text: np.ndarray, seg: np.ndarray, base: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -197,25 +217,34 @@ def search(ix: Index, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np
     return tuple(np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64) for x in (texts, segs, edits))
 
 
-def _matches(index):
+def _matches(index, base: int):
+    """Matches with a block, whose first segment has the number ``base``."""
     def run(batches):
         ix = index.value
         for batch in batches:
             data, off = buffer_of(batch.column(3))
             doc, seg, edits = search(ix, data, off)
             ids = [batch.column(i).take(pa.array(doc)) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([*ids, pa.array(ix.owner[seg]), pa.array(seg), pa.array(edits)],
+            yield pa.RecordBatch.from_arrays([*ids, pa.array(ix.owner[seg]), pa.array(seg + base), pa.array(edits)],
                                              ["doc_id", "k1", "k2", "item_id", "segment", "edits"])
 
     return run
 
 
-def _found(docs: DataFrame, bench: DataFrame, budget: Budget, id_col: str, text_col: str, item_col: str, item_text: str) -> DataFrame:
+def _found(docs: DataFrame, bench: DataFrame, budget: Budget, stage: Stage, id_col: str, text_col: str, item_col: str,
+           item_text: str) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *row_key(id_col, text_col), text_bytes(text_col).alias("text"))
     schema = "doc_id long, k1 long, k2 long, item_id long, segment long, edits long"
-    parts = [rows.mapInArrow(_matches(spark.sparkContext.broadcast(ix)), schema)
-             for ix in _blocks(bench, item_col, item_text, budget)]
+    segments = stage.write(bench.where(F.col(item_text).isNotNull() & F.col(item_col).isNotNull()).select(
+        F.col(item_col).cast("long"), text_bytes(item_text)).mapInArrow(_segments(budget), "item_id long, segment binary"))
+    parts, base = [], 0
+    for ix in _blocks(segments, budget):
+        index = spark.sparkContext.broadcast(ix)
+        parts.append(stage.write(rows.mapInArrow(_matches(index, base), schema)))
+        index.destroy(blocking=True)
+        base += len(ix.m)
+    stage.drop(segments)
     return reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], schema)
 
 
@@ -229,15 +258,16 @@ def leaks(docs: DataFrame, bench: DataFrame, budget: Budget = Budget(), *, id_co
     an id give one row per item together; empty tables give an empty result;
     other columns don't matter.
     """
-    found = _found(docs, bench, budget, id_col, text_col, item_col, item_text)
+    found = _found(docs, bench, budget, Stage(docs.sparkSession, "leaks"), id_col, text_col, item_col, item_text)
     return found.groupBy("doc_id", "item_id").agg(F.countDistinct("segment").alias("n_segments"), F.min("edits").alias("edits"))
 
 
 def drop_leaking(docs: DataFrame, bench: DataFrame, budget: Budget = Budget(), *, id_col: str = "doc_id",
                  text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with all their columns."""
-    bad = Stage(docs.sparkSession, "leaks").write(
-        _found(docs, bench, budget, id_col, text_col, item_col, item_text).select("k1", "k2").distinct()
+    stage = Stage(docs.sparkSession, "leaks")
+    bad = stage.write(
+        _found(docs, bench, budget, stage, id_col, text_col, item_col, item_text).select("k1", "k2").distinct()
         .withColumnsRenamed({"k1": "__leak1", "k2": "__leak2"}))
     k1, k2 = row_key(id_col, text_col)
     return (docs.select("*", k1.alias("__key1"), k2.alias("__key2"))
