@@ -362,3 +362,26 @@ def test_leaks_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(spark.sparkContext, "broadcast", one)
     assert sorted(tuple(r) for r in leaks(d, bench).collect()) == want
     assert len({r[0] for r in want}) == len(items) and len(sizes) > 5 and max(sizes) <= 4000
+
+
+def test_leaks_items_without_an_id(spark):
+    rnd = random.Random(13)
+    say = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 9))) for _ in range(n))
+    items = [(None, say(40)), (None, say(40)), (3, say(40)), (None, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(i, say(20) + " " + (t or "") + " " + say(20), "s") for i, (_, t) in enumerate(items)]
+    assert {(r.doc_id, r.item_id) for r in leaks(docs(spark, rows), bench).collect()} == {(0, None), (1, None), (2, 3)}
+    assert [r.doc_id for r in drop_leaking(docs(spark, rows), bench).collect()] == [3]
+
+
+def test_leaks_guaranteed_quote(spark):
+    """A quote of segment + stride - 1 bytes is found wherever it begins."""
+    from tidecopy.llm.decontaminate import Index, search
+    import numpy as np
+    rnd, budget = random.Random(14), Budget()
+    item = "".join(rnd.choice("abcdefgh") for _ in range(700))
+    n = budget.segment + budget.stride - 1
+    texts = [("zz " + item[a:a + n] + " zz").encode() for a in range(len(item) - n + 1)]
+    off = np.cumsum([0, *map(len, texts)])
+    found = search(Index([(1, item.encode())], budget), np.frombuffer(b"".join(texts), np.uint8), off)[0]
+    assert set(found.tolist()) == set(range(len(texts)))

@@ -96,7 +96,7 @@ class Index:
         """``items``: (id, text); or (id, segment) if not ``whole``."""
         pairs = [(s, item) for item, raw in items for s in (cut(raw, budget) if whole else [raw])]
         segs, owner = [s for s, _ in pairs], [i for _, i in pairs]
-        self.owner = np.array(owner, dtype=np.int64)
+        self.owner = pa.array(owner, pa.int64())        # null for items without an id
         self.m = np.array([len(s) for s in segs], dtype=np.int64)
         self.e = np.array([budget.edits(m) for m in self.m.tolist()], dtype=np.int64)
         self.need = np.array([budget.shared(m) for m in self.m.tolist()], dtype=np.int64)
@@ -225,7 +225,7 @@ def _matches(index, base: int):
             data, off = buffer_of(batch.column(3))
             doc, seg, edits = search(ix, data, off)
             ids = [batch.column(i).take(pa.array(doc)) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([*ids, pa.array(ix.owner[seg]), pa.array(seg + base), pa.array(edits)],
+            yield pa.RecordBatch.from_arrays([*ids, ix.owner.take(pa.array(seg)), pa.array(seg + base), pa.array(edits)],
                                              ["doc_id", "k1", "k2", "item_id", "segment", "edits"])
 
     return run
@@ -236,7 +236,7 @@ def _found(docs: DataFrame, bench: DataFrame, budget: Budget, stage: Stage, id_c
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *row_key(id_col, text_col), text_bytes(text_col).alias("text"))
     schema = "doc_id long, k1 long, k2 long, item_id long, segment long, edits long"
-    segments = stage.write(bench.where(F.col(item_text).isNotNull() & F.col(item_col).isNotNull()).select(
+    segments = stage.write(bench.where(F.col(item_text).isNotNull()).select(
         F.col(item_col).cast("long"), text_bytes(item_text)).mapInArrow(_segments(budget), "item_id long, segment binary"))
     parts, base = [], 0
     for ix in _blocks(segments, budget):
@@ -254,9 +254,15 @@ def leaks(docs: DataFrame, bench: DataFrame, budget: Budget = Budget(), *, id_co
     (segments of the item found), edits (least of any).
 
     Documents that hold none have no row. Null or empty texts hold nothing; items
-    that are null, empty or under ``least`` bytes match nothing; rows that share
-    an id give one row per item together; empty tables give an empty result;
+    whose text is null, empty or under ``least`` bytes match nothing; items without
+    an id are searched and give one row together, with a null item_id; rows that
+    share an id give one row per item together; empty tables give an empty result;
     other columns don't matter.
+
+    A quote of a part of an item is certain to be found from segment + stride - 1
+    normalised bytes on (149 as set): it then holds a whole segment. A shorter one
+    is found only if its offset lets it reach a segment within the edits allowed;
+    a smaller ``stride`` lowers the bound to ``segment`` at the least.
     """
     found = _found(docs, bench, budget, Stage(docs.sparkSession, "leaks"), id_col, text_col, item_col, item_text)
     return found.groupBy("doc_id", "item_id").agg(F.countDistinct("segment").alias("n_segments"), F.min("edits").alias("edits"))
@@ -264,7 +270,8 @@ def leaks(docs: DataFrame, bench: DataFrame, budget: Budget = Budget(), *, id_co
 
 def drop_leaking(docs: DataFrame, bench: DataFrame, budget: Budget = Budget(), *, id_col: str = "doc_id",
                  text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with all their columns."""
+    """The rows of ``docs`` that hold no benchmark item, with an id or without, with all
+    their columns. Quotes of parts of items: see ``leaks``."""
     stage = Stage(docs.sparkSession, "leaks")
     bad = stage.write(
         _found(docs, bench, budget, stage, id_col, text_col, item_col, item_text).select("k1", "k2").distinct()
