@@ -13,6 +13,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidecopy.llm._store import Stage
 from tidecopy.llm.decontaminate import drop_leaking
 from tidecopy.llm.jaccard_join import keep_one
 from tidecopy.llm.mixing import mix_rows
@@ -54,7 +55,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """Each stage's result is written to the shared checkpoint folder and read again;
+    that of the stage before goes then."""
+    docs, store, last = read_table(spark, sf_dir, "documents"), Stage(spark, "pipeline"), []
     for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        docs = store.write(stage(spark, docs, sf_dir))
+        store.drop(*last)
+        last = [docs]
     return docs

@@ -174,6 +174,17 @@ def test_queries_of_a_group_are_cut(spark, monkeypatch):
     assert got == expected(rows, 4, 85)
 
 
+def test_keep_one_among_equal_rows(spark):
+    """Of rows with one id and text the first by the other columns stays, however they are dealt."""
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text, f"s{i}", {"k": i}) for i in range(9, 0, -1)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string, extra map<string,int>")
+    for dealt in (d.coalesce(1), d.repartition(5, "source")):
+        kept = keep_one(dealt)
+        assert kept.columns == d.columns
+        assert sorted((r.doc_id, r.source, tuple(r.extra.items())) for r in kept.collect()) == [(1, "s1", (("k", 1),))]
+
+
 def test_components(spark):
     rnd = random.Random(9)
     links = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [

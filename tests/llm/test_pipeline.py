@@ -47,3 +47,20 @@ def test_stages(spark, sf_small, tmp_path):
         start += len(t)
     assert sorted(tuple(r) for r in outs[5].collect()) == want
     assert sorted(tuple(r) for r in corpus_pipeline.run(spark, sf_small).collect()) == want
+
+
+def test_run_writes_each_stage(spark, sf_small, monkeypatch):
+    from tidecopy.session import checkpoint_dir
+    read = []
+
+    def stage(spark, docs, sf_dir):
+        read.append(docs.inputFiles())
+        return docs.where("doc_id % 2 = 0" if len(read) == 1 else "doc_id % 3 = 0")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("a", stage), ("b", stage), ("c", stage)])
+    out = corpus_pipeline.run(spark, sf_small)
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    assert sorted(r.doc_id for r in out.collect()) == sorted(r.doc_id for r in docs.where("doc_id % 6 = 0").collect())
+    shared = checkpoint_dir(spark).removeprefix("file:")
+    assert [all(shared in f for f in files) for files in [*read, out.inputFiles()]] == [False, True, True, True]
+    assert not set(read[1]) & set(read[2])

@@ -417,8 +417,8 @@ def jaccard_join(docs: DataFrame, *, k: int = 4, percent: int = 85, id_col: str
 
 def keep_one(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, but one only of each component:
-    that with the least id (of rows with that id, the first by ``row_key``).
-    Rows without shingles all stay."""
+    that with the least id (of rows with that id, the first by ``row_key``; of rows
+    with that text too, the first by all columns). Rows without shingles all stay."""
     stage = Stage(docs.sparkSession, "jaccard")
     rows = jaccard_classes(docs, stage, k=k, percent=percent, id_col=id_col, text_col=text_col)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")
@@ -428,4 +428,7 @@ def keep_one(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col: str = "d
     k1, k2 = row_key(id_col, text_col)
     met = (docs.select("*", k1.alias("__k1"), k2.alias("__k2"))
            .join(keep.hint("shuffle_hash"), (F.col("__k1") == F.col("__keep1")) & (F.col("__k2") == F.col("__keep2")), "left_semi"))
-    return met.select(*docs.columns, "__k1", "__k2").dropDuplicates(["__k1", "__k2"]).select(*docs.columns)
+    order = F.struct(*[F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name)
+                       for f in docs.schema if f.name != text_col])     # maps have no order
+    return (met.groupBy("__k1", "__k2").agg(F.min_by(F.struct(*docs.columns), order).alias("__row"))
+            .select(*[F.col("__row")[c].alias(c) for c in docs.columns]))
