@@ -185,6 +185,28 @@ def test_keep_one_among_equal_rows(spark):
         assert sorted((r.doc_id, r.source, tuple(r.extra.items())) for r in kept.collect()) == [(1, "s1", (("k", 1),))]
 
 
+def test_families_at_the_pipelines_parameters(spark):
+    rows = family_rows(2)
+    got = Counter(tuple(r) for r in jaccard_join(table(spark, rows).repartition(7), k=5, percent=80).collect())
+    assert got == expected(rows, 5, 80)
+
+
+def test_labelled_groups_in_parts(spark, monkeypatch):
+    """Rounds of hubs make labels of more classes than a group holds; their parts are asked across labels."""
+    from tidecopy.llm import jaccard_join as module
+    rows = family_rows(3)
+    monkeypatch.setattr(module, "ROUNDS", 2)
+    monkeypatch.setattr(module, "GROUP", 3)
+    got = Counter(tuple(r) for r in jaccard_join(table(spark, rows).repartition(3)).collect())
+    assert got == expected(rows, 4, 85)
+
+
+def test_whole_larger_table(spark, sf_mid):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_mid}/documents.parquet").collect()]
+    got = Counter(tuple(r) for r in QUERIES["op5_jaccard_join"](spark, sf_mid).collect())
+    assert got == expected(rows, 4, 85)
+
+
 def test_components(spark):
     rnd = random.Random(9)
     links = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [
