@@ -123,6 +123,18 @@ def test_shards_whole_table(spark, sf_mid):
     assert kd_shards(docs(spark, [])).collect() == []
 
 
+def test_shards_repeated_rows(spark):
+    """Rows that share id and text, a third of the bytes, are spread as other copies are."""
+    rnd = random.Random(21)
+    rows = [(i, "x" * rnd.randint(0, 200), rnd.choice("abc")) for i in range(3000)]
+    rows += [(None, "copy of a page " * 5, rnd.choice("ab")) for _ in range(1200)] + [(7, "again " * 12, "a")] * 900
+    d = docs(spark, rows)
+    got = [kd_shards(d.repartition(n), 16).collect() for n in (6, 3)]
+    load = check_shards(rows, got[0], 16)
+    assert len(load) == 16 and max(load.values()) <= 1.1 * min(load.values())
+    assert Counter((r.doc_id, r.text_crc32, r.shard) for r in got[0]) == Counter((r.doc_id, r.text_crc32, r.shard) for r in got[1])
+
+
 # ------------------------------------------------------------- quality
 
 def brute_quality(t, limits=QualityLimits()):

@@ -8,7 +8,8 @@ The median is found without sorting: bytes are summed by node and value bucket
 bucket in which the median lies is split further, last by a hash, so that many
 equal values don't matter. Rows of equal text share one point, and so a shard,
 unless together they exceed a sixteenth of a shard; then they are spread over
-as many points as needed. The tree (shards - 1 cuts) becomes one expression.
+as many points as needed, rows that share their id too: these are numbered,
+from counts by partition of the staged table. The tree (shards - 1 cuts) becomes one expression.
 """
 
 from __future__ import annotations
@@ -30,23 +31,39 @@ def _code(col: str) -> Column:
 
 
 def _points(docs: DataFrame, stage: Stage, n_shards: int, id_col: str, text_col: str, source_col: str, lang_col: str) -> DataFrame:
-    """doc_id, size, text_crc32, the row's point (dimensions and hash u), row hash r."""
+    """doc_id, size, text_crc32, the row's point (dimensions and hash u), row hash r
+    (of equal rows of a spread group, with the row's number)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     meta = stage.write(docs.select(
         F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("t1"), F.xxhash64(text, F.lit("shard")).alias("t2"),
         F.xxhash64(F.col(id_col).cast("string"), text, F.lit("row")).alias("r"),
-        _code(source_col).alias("d_source"), _code(lang_col).alias("d_lang")))
+        _code(source_col).alias("d_source"), _code(lang_col).alias("d_lang"), F.spark_partition_id().alias("p")))
     total = meta.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     most = max(1, total // (n_shards * PART_OF_SHARD))
     groups = (meta.groupBy("t1", "t2").agg(F.sum("size").alias("w"), F.count(F.lit(1)).alias("n"),
                                            F.min("d_source").alias("g_source"), F.min("d_lang").alias("g_lang"))
               .where("n > 1").withColumnsRenamed({"t1": "g1", "t2": "g2"}))
-    rows = meta.join(groups, (F.col("t1") == F.col("g1")) & (F.col("t2") == F.col("g2")), "left")
     spread = F.greatest(F.lit(1), F.ceil(F.coalesce("w", F.lit(0)) / F.lit(most))).cast("long")
-    part = F.when(spread > 1, F.pmod(F.col("r"), spread)).otherwise(F.lit(0))
+    rows = (meta.join(groups, (F.col("t1") == F.col("g1")) & (F.col("t2") == F.col("g2")), "left").withColumn("spread", spread))
+    # equal rows (one id and text) of a spread group: 0, 1, ... over the partitions they were staged in
+    hot = rows.where("spread > 1")
+    by_p, all_p = Window.partitionBy("r").orderBy("p").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("r")
+    before = stage.write(
+        hot.groupBy("r", "p").agg(F.count(F.lit(1)).alias("c"))
+        .select("r", "p", F.coalesce(F.sum("c").over(by_p), F.lit(0)).alias("before"), F.sum("c").over(all_p).alias("equal"))
+        .where("equal > 1").select("r", "p", "before"))
+    hot = hot.join(before, ["r", "p"], "left")
+    inside = Window.partitionBy("p", "r").orderBy("doc_id")
+    numbered = hot.where("before is not null").withColumn("nth", F.col("before") + F.row_number().over(inside) - 1)
+    none = F.lit(0).cast("long")
+    rows = (rows.where("spread = 1").withColumn("nth", none)
+            .unionByName(hot.where("before is null").drop("before").withColumn("nth", none))
+            .unionByName(numbered.drop("before")))
+    part = F.when(F.col("spread") > 1, F.pmod(F.pmod("r", "spread") + F.col("nth"), F.col("spread"))).otherwise(F.lit(0))
     return stage.write(rows.select(
-        "doc_id", "size", "text_crc32", "r", F.col("size").alias("d_size"),
+        "doc_id", "size", "text_crc32", F.when(F.col("nth") > 0, F.xxhash64("r", "nth")).otherwise(F.col("r")).alias("r"),
+        F.col("size").alias("d_size"),
         F.coalesce("g_source", "d_source").alias("d_source"), F.coalesce("g_lang", "d_lang").alias("d_lang"),
         F.shiftrightunsigned(F.xxhash64("t1", "t2", part), 2).alias("u")))
 
