@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -75,8 +76,86 @@ def op10_quality_rules(spark, sf_dir):
     return quality_rules(_docs(spark, sf_dir))
 
 
+def op11_secret_spans(spark, sf_dir):
+    from tidecopy.llm.secrets import secret_spans, span_digests
+    return span_digests(secret_spans(_docs(spark, sf_dir)))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    from tidecopy.llm.periodic_runs import periodic_runs
+    runs = periodic_runs(_with_cycles(_docs(spark, sf_dir)), min_length=12)
+    # the longest run; of equally long ones the first, then that of the least period
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    runs = runs.withColumn("best", best)
+    length, start, period = F.col("best.length"), -F.col("best.col2"), -F.col("best.col3")
+    said = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+                                                  r["period"].cast("string"), F.lit("\n")))
+    return runs.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"),
+        period.alias("period"), F.expr("(1000 * best.length) div (-best.col3)").alias("exponent_milli"),
+        F.sha2(F.array_join(said, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def _with_cycles(docs):
+    """Of every tenth document (by crc32 of its id) the words from one on repeat in a cycle, as op13's
+    contract says; other documents, and those without id or words, stay."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    d = docs.select("doc_id", "text", h.alias("h"), F.expr("crc32(cast(cast(doc_id AS string) AS binary)) div 10").alias("g"))
+    d = d.withColumn("w", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))))
+    d = d.withColumn("n", F.size("w")).withColumn("a", F.expr("cast(g % n AS int)"))
+    d = d.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) AS int)"))
+    cycled = F.transform("w", lambda x, i: F.when(i < F.col("a"), x).otherwise(F.get("w", F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return d.select("doc_id", F.when(F.col("n") > 0, F.array_join(cycled, " ")).otherwise(F.col("text")).alias("text"))
+
+
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_substring_dedup, op3_token_output, op4_decontaminate, op5_jaccard_join, op6_chat_windows, op7_kd_shards, op8_token_counts, op9_suffix_dedup,
-                                 op10_quality_rules)}
+                                 op10_quality_rules, op11_secret_spans, op13_periodic_runs)}
+
+
+def _secret_sql():
+    """op11 in SQL: matches by kind with their places, then the interval join."""
+    either = lambda s: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in s)
+    assign = ("(" + "|".join(map(either, ("password", "passwd", "secret", "token", "api_?key")))
+              + r""")["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""")
+    ident = ("(?:" + "|".join(map(either, ("access_?key_?id", "client_?id", "user_?name", "user", "login", "account")))
+             + r""")["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9@._+-]{4,}""")
+    patterns = (assign, "AKIA[A-Z0-9]+", "[0-9a-f]{16,}", ident, "[A-Za-z0-9+/_-]{20,}",
+                r"""(?:https?|ftp|s3|gs|postgres|postgresql|mysql|mongodb|redis|amqp)://[^\x20\x09-\x0D"''<>]+""",
+                r"\n[\x20\x09\x0D]*\n")
+    found = " UNION ALL ".join(
+        f"SELECT rid, {k} AS k, regexp_extract_all(text, '{p}') AS f, string_split_regex(text, '{p}') AS g, "
+        + (f"list_transform(regexp_extract_all(text, '{p}', 2), lambda x: length(x))" if k == 0 else "NULL::BIGINT[]")
+        + f" AS e FROM docs WHERE regexp_matches(text, '{p}')" for k, p in enumerate(patterns))
+    return f"""
+      WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+      found AS ({found}),
+      each AS (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM found),
+      placed AS (SELECT rid, k, f[i] AS m, length(f[i]) AS n, e[i] AS e, list_sum(list_transform(g[1:i], lambda x: length(x)))
+                        + coalesce(list_sum(list_transform(f[1:i - 1], lambda x: length(x))), 0) AS s FROM each),
+      kinds AS (SELECT rid, s::BIGINT AS s, (s + n)::BIGINT AS t,
+                  CASE WHEN k = 0 THEN CASE WHEN e >= 12 THEN 0 WHEN e >= 6 THEN 4 END
+                       WHEN k = 1 THEN CASE WHEN n >= 18 THEN 1 WHEN n >= 12 THEN 3 END
+                       WHEN k = 4 THEN CASE WHEN n <= 128 AND regexp_matches(m, '[0-9]') AND regexp_matches(m, '[a-z]')
+                                                 AND regexp_matches(m, '[A-Z]') THEN 4 END
+                       ELSE k END AS k FROM placed),
+      parts AS (SELECT *, (SELECT count(*) FROM kinds b WHERE b.rid = a.rid AND b.k = 6 AND b.s < a.s) AS scope
+                FROM kinds a WHERE k < 6),
+      met AS (SELECT a.rid, a.k, a.s, a.t, bool_or(b.k <= 2 AND b.s < a.t AND a.s < b.t) AS inside,
+                bool_or(b.k IN (1, 3)) AS id, bool_or(b.k = 1) AS plain_id, bool_or(b.k IN (0, 2, 4)) AS secret,
+                bool_or(b.k IN (0, 2)) AS plain_secret, bool_or(b.k = 5) AS endpoint
+              FROM parts a JOIN parts b ON a.rid = b.rid AND a.scope = b.scope AND b.s <= a.t + 256 AND a.s <= b.t + 256
+              WHERE a.k > 2 GROUP BY ALL),
+      spans AS (SELECT rid, k, s, t FROM parts WHERE k <= 2 UNION ALL
+                SELECT rid, k, s, t FROM met WHERE NOT inside AND CASE k WHEN 3 THEN plain_secret OR (secret AND endpoint)
+                  WHEN 4 THEN plain_id OR (id AND endpoint) ELSE id AND secret END),
+      named AS (SELECT *, (['assign', 'access', 'hex', 'ident', 'value', 'endpoint'])[k + 1] || ':' || s || ':' || t AS said FROM spans)
+      SELECT doc_id, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access,
+             count(*) FILTER (WHERE k = 2) AS n_hex,
+             sha256(coalesce(string_agg(said, ',' ORDER BY s, k) FILTER (WHERE k <= 2), '')) AS base_sha256,
+             coalesce(string_agg(said, ',' ORDER BY s, k, t), '') AS spans
+      FROM docs LEFT JOIN named USING (rid) GROUP BY rid, doc_id"""
+
+
 ORACLES: dict[str, str] = {
     "op6_chat_windows": r"""
       WITH rows AS (
@@ -106,4 +185,5 @@ ORACLES: dict[str, str] = {
              sha256(coalesce(string_agg(text, '' ORDER BY idx) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
              sum(chars)::BIGINT AS formatted_chars
       FROM sized GROUP BY conv_id""",
+    "op11_secret_spans": _secret_sql(),
 }
