@@ -81,6 +81,11 @@ def op11_secret_spans(spark, sf_dir):
     return span_digests(secret_spans(_docs(spark, sf_dir)))
 
 
+def op12_ranked_search(spark, sf_dir):
+    from tidecopy.llm.ranked_search import build_index, search
+    return search(build_index(_docs(spark, sf_dir)), read_table(spark, sf_dir, "benchmark"), k=10)
+
+
 def op13_periodic_runs(spark, sf_dir):
     from tidecopy.llm.periodic_runs import periodic_runs
     runs = periodic_runs(_with_cycles(_docs(spark, sf_dir)), min_length=12)
@@ -109,7 +114,7 @@ def _with_cycles(docs):
 
 
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_substring_dedup, op3_token_output, op4_decontaminate, op5_jaccard_join, op6_chat_windows, op7_kd_shards, op8_token_counts, op9_suffix_dedup,
-                                 op10_quality_rules, op11_secret_spans, op13_periodic_runs)}
+                                 op10_quality_rules, op11_secret_spans, op12_ranked_search, op13_periodic_runs)}
 
 
 def _secret_sql():
@@ -186,4 +191,21 @@ ORACLES: dict[str, str] = {
              sum(chars)::BIGINT AS formatted_chars
       FROM sized GROUP BY conv_id""",
     "op11_secret_spans": _secret_sql(),
+    "op12_ranked_search": r"""
+      WITH lowered AS (SELECT row_number() OVER () AS d, doc_id,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+      asked AS (SELECT row_number() OVER () AS q, item_id,
+             unnest(list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term FROM benchmark),
+      sizes AS (SELECT count(*) FILTER (WHERE len(terms) > 0)::BIGINT AS n, coalesce(sum(len(terms)), 0)::BIGINT AS l FROM lowered),
+      postings AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(terms) AS term FROM lowered)
+                   WHERE term IN (SELECT term FROM asked) GROUP BY d, term),
+      weights AS (SELECT term, floor(1000 * ln((2 * any_value(n) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM postings, sizes GROUP BY term),
+      docs AS (SELECT d, doc_id, 100 - 90 + (90 * len(terms) * n) // l AS m FROM lowered, sizes WHERE len(terms) > 0),
+      scored AS (SELECT q, any_value(item_id) AS item_id, d, any_value(doc_id) AS doc_id,
+                        sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+                 FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN docs USING (d) GROUP BY q, d),
+      ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS r FROM scored WHERE score > 0)
+      SELECT item_id, r::INT AS rank, doc_id, score FROM ranked WHERE r <= 10""",
 }
