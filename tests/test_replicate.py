@@ -98,12 +98,11 @@ def test_jdbc_source_first_load_then_merge(spark):
 
 
 def _files(spark, table):
-    import glob
+    """Files the table's rows are read from (partition folder and name) and when they were written."""
     import os
 
-    loc = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
-    loc = loc.replace("file:", "")
-    return {os.path.relpath(p, loc): os.path.getmtime(p) for p in glob.glob(f"{loc}/*/*.parquet")}
+    files = [f.removeprefix("file://") for f in spark.table(table).inputFiles()]
+    return {"/".join(f.split("/")[-2:]).replace("%3D", "="): os.path.getmtime(f) for f in files}
 
 
 def test_partitioned_merge_rewrites_only_touched_partitions(spark, sf_small):

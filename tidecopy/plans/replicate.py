@@ -25,7 +25,7 @@ from tidecopy.operators.typemap import MappedColumn, mapped_columns
 from tidecopy.sources.catalog import catalog_from_frames, column_catalog, jdbc_catalog, tables_from_frames
 from tidecopy.sources.jdbc import JdbcTable, jdbc_count, key_range
 from tidecopy.sources.target import (
-    chunked_load, ensure_table, full_load, merge_into_target, quoted, recover, source_frame,
+    chunked_load, ensure_table, full_load, hold, merge_into_target, quoted, source_frame,
     store_key_max, stored_key_max,
 )
 from tidecopy.session import local_frame, stage
@@ -114,13 +114,20 @@ def _larger(a, b):
 def replicate_table(spark: SparkSession, spec: TableSpec, source: DataFrame | JdbcTable, *,
                     run_date: dt.date | dt.datetime | str, now: dt.datetime | None = None,
                     catalog: DataFrame | None = None, tables: DataFrame | None = None,
-                    until: dt.datetime | None = None, raise_on_check: bool = True) -> dict:
-    """Replicate one table; returns its status (see ``STATUS_SCHEMA``)."""
+                    until: dt.datetime | None = None, raise_on_check: bool = True, lease_wait: float = 0.0) -> dict:
+    """Replicate one table; returns its status (see ``STATUS_SCHEMA``). The run holds the
+    target's lease: a second run of the table waits up to ``lease_wait`` seconds for it,
+    then raises ``LeaseHeld``."""
+    with hold(spark, spec.target, wait=lease_wait):
+        return _replicate(spark, spec, source, run_date=run_date, now=now, catalog=catalog, tables=tables, until=until,
+                          raise_on_check=raise_on_check)
+
+
+def _replicate(spark, spec, source, *, run_date, now, catalog, tables, until, raise_on_check) -> dict:
     now = now or dt.datetime.now()
     until = until or now
     columns = spec_columns(spark, spec, source, catalog, tables)
     target = spec.target
-    recover(spark, target)
     parts = dict(spec.partition_by)
     buckets = (spec.bucket_count, _target_keys(spec, columns)) if spec.bucket_count else None
     created = ensure_table(spark, target, columns, partition_by=parts, bucket_by=buckets)
@@ -216,7 +223,8 @@ def jobs_from_configs(configs: Sequence[Mapping], connections: Mapping[str, tupl
 
 def replicate_all(spark: SparkSession, jobs: Sequence[tuple[TableSpec, DataFrame | JdbcTable]], *,
                   run_date, now: dt.datetime | None = None, max_parallel: int = 8,
-                  catalogs: Mapping[str, tuple[DataFrame, DataFrame]] | None = None) -> DataFrame:
+                  catalogs: Mapping[str, tuple[DataFrame, DataFrame]] | None = None,
+                  lease_wait: float = 0.0) -> DataFrame:
     """Run every (spec, source) job, up to ``max_parallel`` at once, each in
     its own scheduler pool; a failing table is reported, not raised, and does
     not stop the others. Returns one status row per table.
@@ -247,7 +255,7 @@ def replicate_all(spark: SparkSession, jobs: Sequence[tuple[TableSpec, DataFrame
             cat, tabs = shared.get((getattr(source, "url", ""), spec.source_schema), (None, None))
         try:
             st = replicate_table(spark, spec, source, run_date=run_date, now=now, catalog=cat, tables=tabs,
-                                 raise_on_check=False)
+                                 raise_on_check=False, lease_wait=lease_wait)
             st["error"] = None if st["ok"] else (
                 f"count check ({st['check_rule']}): target {st['target_n']}, source {st['source_n']}")
         except Exception as exc:  # reported per table

@@ -6,8 +6,9 @@ from tidecopy.sources.catalog import (
 )
 from tidecopy.sources.jdbc import JdbcTable, append_jdbc, jdbc_scan
 from tidecopy.sources.sql import run_sql
+from tidecopy.sources.versions import LeaseHeld, LeaseLost
 from tidecopy.sources.target import (
-    append_target, chunk_report, chunked_load, drop_target, ensure_table, full_load, merge_into_target,
+    append_target, chunk_report, chunked_load, drop_target, ensure_table, full_load, hold, merge_into_target,
     recover, struct_of, target_exists, truncate_load, with_partitions, write_swap,
 )
 from tidecopy.sources.text import load_tsv, write_tsv
@@ -15,6 +16,6 @@ from tidecopy.sources.text import load_tsv, write_tsv
 __all__ = [
     "CATALOG_SCHEMA", "catalog_from_frames", "column_catalog", "jdbc_catalog", "tables_from_frames",
     "JdbcTable", "append_jdbc", "jdbc_scan", "run_sql", "append_target", "chunk_report",
-    "chunked_load", "drop_target", "ensure_table", "full_load", "recover", "struct_of",
+    "chunked_load", "drop_target", "ensure_table", "full_load", "hold", "LeaseHeld", "LeaseLost", "recover", "struct_of",
     "target_exists", "truncate_load", "write_swap", "merge_into_target", "with_partitions", "load_tsv", "write_tsv",
 ]

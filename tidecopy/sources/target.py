@@ -1,19 +1,22 @@
 """Target tables (S3-S7, S10, S12): ordinary tables of the session catalog.
 
-A full, chunked, truncate or merge load writes ``<table>__next_<run>`` and then
-swaps it in by two renames (the old table becomes ``<table>__old_<run>`` for the
-moment), so readers see the old rows until the new ones are complete and a
-failed load leaves the old table untouched. A merge into a partitioned target
-writes ``<table>__parts_<run>`` and overwrites the partitions it holds. Names are
-unique to a run, so what a crashed run left never stands in a later one's way;
-``recover``, at the start of each load, finishes a crashed run whose staged table
-is complete and removes everything else. One load at a time may run per table."""
+A load writes its rows to a new versioned folder under the table's lease (see
+``versions``) and then changes what the catalog points to: the location of an
+unpartitioned table, the locations of the partitions a merge has replaced. Queries see
+the old rows until then and finish on the old files; a failed load leaves the table
+untouched. Only where the table's columns, partitioning or buckets change, or all of a
+partitioned table is loaded anew, two renames of catalog entries (no data moves) put
+the new table in place. Before the first pointer changes, the intended change is noted
+in ``publish/<version>``; the next holder of the lease finishes it if the run died."""
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import re
 import time
-import uuid
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from decimal import Decimal
 from typing import Mapping, Sequence
 
@@ -25,8 +28,9 @@ from tidecopy.functions.timeparts import chunk_start
 from tidecopy.operators.incremental import chunk_list
 from tidecopy.operators.project import conform, replace_fields
 from tidecopy.operators.typemap import MappedColumn
-from tidecopy.session import local_frame, remove_path
+from tidecopy.sources import versions
 from tidecopy.sources.jdbc import JdbcTable, jdbc_scan
+from tidecopy.sources.versions import Lease, held, holding, partition_spec, partitions_in
 
 
 # Rows per output file: one task (e.g. one JDBC chunk) can hold a month of a
@@ -63,19 +67,17 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType | Sequence
     missing (with the ``partition_by`` columns, see ``with_partitions``).
     Returns True when it was created. An existing table is left as it is (no
     schema evolution)."""
-    db, _ = split_name(name)
-    recover(spark, name)
     if target_exists(spark, name):
         return False
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
-    struct = schema if isinstance(schema, T.StructType) else struct_of(schema)
-    empty = with_partitions(local_frame(spark, [], struct), partition_by)
-    writer = empty.write.format("parquet").mode("ignore")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if bucket_by:
-        writer = writer.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
-    writer.saveAsTable(quoted(name))
+    with hold(spark, name) as lease:
+        if target_exists(spark, name):
+            return False
+        struct = schema if isinstance(schema, T.StructType) else struct_of(schema)
+        empty = with_partitions(spark.createDataFrame([], struct), partition_by)
+        path = lease.version()
+        if lease.files is not None:
+            lease.files.make(path)
+        _publish(spark, name, lease, path, _shape(empty.schema, list(partition_by or ()), bucket_by))
     return True
 
 
@@ -93,112 +95,219 @@ def with_partitions(df: DataFrame, partition_by: Mapping[str, str] | None) -> Da
     return df.withColumns({c: F.nullif(F.col(f"`{c}`"), F.lit("")) for c in texts}) if texts else df
 
 
-def drop_target(spark: SparkSession, name: str) -> bool:
-    """DROP TABLE IF EXISTS, staging leftovers included. True if it existed."""
-    existed = target_exists(spark, name)
-    spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
-    if spark.catalog.databaseExists(split_name(name)[0]):
-        for kind in ("next", "old", "parts"):
-            for table in _staged(spark, name, kind):
-                spark.sql(f"DROP TABLE IF EXISTS {table}")
-        _remove_strays(spark, name)
-    return existed
+def _root(spark: SparkSession, name: str) -> str:
+    """The folder of a table's versions (the database must exist)."""
+    db, tbl = split_name(name)
+    return f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/_tidecopy/{tbl.lower()}"
 
 
-def _run_name() -> str:
-    """Suffix of one run's staged tables: in order of time, unique."""
-    return f"{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+@contextmanager
+def hold(spark: SparkSession, name: str, *, wait: float = 0.0, seconds: float | None = None):
+    """The lease of a target for the block: no other run can load it meanwhile. Waits up to
+    ``wait`` seconds for another run, then raises ``LeaseHeld``. Loads take it themselves;
+    hold it around several steps that belong together."""
+    inner = holding(name)
+    if inner is not None:
+        yield inner
+        return
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{split_name(name)[0]}`")
+    with held(spark, name, _root(spark, name), wait=wait, seconds=seconds or versions.LEASE_SECONDS,
+              on_take=lambda lease: _tidy(spark, name, lease)) as lease:
+        yield lease
 
 
-def _staged(spark: SparkSession, name: str, kind: str) -> list[str]:
-    """Staged tables of a kind (next, old, parts), oldest first, quoted."""
-    db, tbl = split_name(name)
-    prefix = f"{tbl}__{kind}_".lower()
-    rows = spark.sql(f"SHOW TABLES IN `{db}`").where(~F.col("isTemporary")).select("tableName")
-    found = sorted(r[0] for r in rows.where(F.startswith(F.lower("tableName"), F.lit(prefix))).collect())
-    return [f"`{db}`.`{t}`" for t in found]
+def drop_target(spark: SparkSession, name: str) -> bool:
+    """DROP TABLE IF EXISTS, with all versions of its rows. True if it existed."""
+    if not spark.catalog.databaseExists(split_name(name)[0]):
+        return False
+    with hold(spark, name) as lease:
+        existed = target_exists(spark, name)
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
+        if lease.files is not None:
+            for part in ("v", "publish", "retired", "shape"):
+                lease.files.delete(f"{lease.root}/{part}")
+    return existed
 
 
-def _remove_strays(spark: SparkSession, name: str) -> None:
-    """Delete folders of staged tables that the catalog doesn't know: what a run
-    that died while writing has left."""
-    db, tbl = split_name(name)
-    try:
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    except Exception:  # Spark Connect: names are unique, so strays only take room
-        return
-    where = spark.sql(f"DESCRIBE DATABASE `{db}`").where("info_name = 'Location'").first()[1]
-    known = {t.split(".")[1].strip("`") for kind in ("next", "old", "parts") for t in _staged(spark, name, kind)}
-    folder = jvm.org.apache.hadoop.fs.Path(where)
-    for kind in ("next", "old", "parts"):
-        pattern = jvm.org.apache.hadoop.fs.Path(folder, f"{tbl.lower()}__{kind}_*")
-        for status in pattern.getFileSystem(conf).globStatus(pattern) or []:
-            if status.getPath().getName() not in known:
-                remove_path(spark, status.getPath().toString())
+def recover(spark: SparkSession, name: str) -> None:
+    """Finish what a run that died was publishing and delete what it wrote and never
+    published. Every load does this when it takes the lease; raises ``LeaseHeld`` while
+    another run is at work."""
+    if spark.catalog.databaseExists(split_name(name)[0]):
+        with hold(spark, name):
+            pass
 
 
-def recover(spark: SparkSession, name: str) -> None:
-    """Finish or undo what a crash interrupted.
-
-    Target gone: the swap stood between its renames (or before the only one of
-    a first load); the newest complete ``__next`` takes its place. Target there:
-    a ``__next`` was not swapped in and is dropped (its run failed), an ``__old`` is
-    dropped, and a complete ``__parts`` is written into its partitions again."""
-    db, _ = split_name(name)
-    if not spark.catalog.databaseExists(db):
-        return
-    ready = _staged(spark, name, "next")
-    if not target_exists(spark, name) and ready:
-        _rename(spark, ready.pop(), quoted(name))
-    old = _staged(spark, name, "old")
-    if not target_exists(spark, name) and old:
-        _rename(spark, old.pop(), quoted(name))
-    for table in ready + (old if target_exists(spark, name) else []):
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-    for table in _staged(spark, name, "parts"):
-        if target_exists(spark, name):
-            _overwrite_partitions(spark, name, table)
+def _tidy(spark: SparkSession, name: str, lease: Lease) -> None:
+    """Under a lease just taken: nothing else writes to the table's folder. Only that
+    folder and the staged catalog entries that its notes name are touched."""
+    files, root = lease.files, lease.root
+    notes = set(files.names(f"{root}/publish"))
+    for version in sorted(n for n in notes if not n.endswith(".done") and f"{n}.done" not in notes):
+        try:
+            note = json.loads(files.read(f"{root}/publish/{version}"))
+        except ValueError:  # cut off: nothing was changed yet
+            files.delete(f"{root}/publish/{version}")
+            notes.discard(version)
+            continue
+        _switch(spark, name, lease, note)
+    for version in files.names(f"{root}/v"):
+        if version not in notes:
+            files.delete(f"{root}/v/{version}")
+    for noted in files.names(f"{root}/retired"):
+        if int(noted.split("_")[0]) / 1000 + versions.KEEP_SECONDS < time.time():
+            for path in files.read(f"{root}/retired/{noted}").splitlines():
+                files.delete(path)
+                version = path.removeprefix(f"{root}/v/")
+                if "/" not in version:
+                    files.delete(f"{root}/publish/{version}")
+                    files.delete(f"{root}/publish/{version}.done")
+            files.delete(f"{root}/retired/{noted}")
+
+
+def _shape(schema: T.StructType, partition_by: Sequence[str], bucket_by: tuple[int, Sequence[str]] | None) -> dict:
+    return {"columns": [[f.name, f.dataType.simpleString()] for f in schema.fields], "partition_by": list(partition_by),
+            "bucket_by": [bucket_by[0], list(bucket_by[1])] if bucket_by else None}
+
+
+def _literal(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _create(spark: SparkSession, table: str, path: str, shape: dict) -> None:
+    """A catalog entry (metadata only) over the rows in ``path``."""
+    names = lambda cols: ", ".join(f"`{c}`" for c in cols)
+    ddl = f"CREATE TABLE {table} ({', '.join(f'`{c}` {t}' for c, t in shape['columns'])}) USING parquet"
+    if shape["partition_by"]:
+        ddl += f" PARTITIONED BY ({names(shape['partition_by'])})"
+    if shape["bucket_by"]:
+        n, keys = shape["bucket_by"]
+        ddl += f" CLUSTERED BY ({names(keys)}) SORTED BY ({names(keys)}) INTO {n} BUCKETS"
+    spark.sql(f"{ddl} LOCATION '{_literal(path)}'")
+    if shape["partition_by"]:
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+
+
+def _publish(spark: SparkSession, name: str, lease: Lease, path: str, shape: dict, *, partitions: bool = False) -> None:
+    """Make the rows in ``path`` the table's, or with ``partitions`` the content of the partitions they fall in."""
+    lease.check()
+    version = path.rsplit("/", 1)[1]
+    note = {"path": path, "shape": shape, "partitions": partitions, "stamp": f"{lease.fence:012d}_{version.split('_')[1]}"}
+    if lease.files is not None:
+        lease.files.write(f"{lease.root}/publish/{version}", json.dumps(note))
+    _switch(spark, name, lease, note)
+
+
+def _switch(spark: SparkSession, name: str, lease: Lease, note: dict) -> None:
+    """Change the catalog as noted. Every step may be done already: a note is followed again after a crash."""
+    path, shape, files = note["path"], note["shape"], lease.files
+    table, staged, old = (quoted(name, s) for s in ("", f"__tidecopy_{note['stamp']}", f"__tidecopy_{note['stamp']}_old"))
+    keep = []
+    if note["partitions"]:
+        keep = _switch_partitions(spark, name, lease, path, shape)
+    elif not shape["partition_by"] and target_exists(spark, name) and _has_shape(spark, name, lease, shape):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{_literal(path)}'")
+    else:
+        db, tbl = split_name(name)
+        there = lambda suffix: spark.catalog.tableExists(f"`{db}`.`{tbl}{suffix}`")
+        mark = f"__tidecopy_{note['stamp']}"
+        if there(mark + "_old"):            # died between the renames, or after them
+            if there(mark):
+                spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+        elif not there("") or not _points_to(spark, name, path):
+            spark.sql(f"DROP TABLE IF EXISTS {staged}")
+            _create(spark, staged, path, shape)
+            if there(""):
+                spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+            spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+    if not note["partitions"] and files is not None:
+        files.write(f"{lease.root}/shape", json.dumps(shape))
+    spark.catalog.refreshTable(table)
+    if files is not None:
+        version = path.rsplit("/", 1)[1]
+        if note["partitions"]:
+            lease.retire(keep)
         else:
-            spark.sql(f"DROP TABLE IF EXISTS {table}")
-    _remove_strays(spark, name)
+            known = {p for n in files.names(f"{lease.root}/retired") for p in files.read(f"{lease.root}/retired/{n}").splitlines()}
+            shown = set(files.names(f"{lease.root}/publish"))
+            gone = [f"{lease.root}/v/{v}" for v in files.names(f"{lease.root}/v") if v != version and f"{v}.done" in shown]
+            lease.retire([p for p in gone if p not in known])
+        files.write(f"{lease.root}/publish/{version}.done", "")
 
 
-def _rename(spark: SparkSession, table: str, to: str) -> None:
-    spark.sql(f"ALTER TABLE {table} RENAME TO {to}")
-    if spark.sql(f"DESCRIBE TABLE {to}").where("col_name = '# Partition Information'").count():
-        # partition entries still name the staged paths: re-list them
-        spark.sql(f"MSCK REPAIR TABLE {to} SYNC PARTITIONS")
+def _points_to(spark: SparkSession, name: str, path: str) -> bool:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}").where("col_name = 'Location'").collect()
+    strip = lambda p: re.sub("^file:/+", "/", p).rstrip("/")
+    return bool(rows) and strip(rows[-1]["data_type"]) == strip(path)
+
+
+def _has_shape(spark: SparkSession, name: str, lease: Lease, shape: dict) -> bool:
+    """Do the table's columns and layout stay, so that a new location is all it takes?"""
+    if lease.files is None or not lease.files.exists(f"{lease.root}/shape"):
+        return False
+    now = [[f.name, f.dataType.simpleString()] for f in spark.table(quoted(name)).schema.fields]
+    return json.loads(lease.files.read(f"{lease.root}/shape")) == shape and now == shape["columns"]
+
+
+def _switch_partitions(spark: SparkSession, name: str, lease: Lease, path: str, shape: dict) -> list[str]:
+    """Point the partitions that ``path`` holds there; returns the folders they pointed to."""
+    table, files = quoted(name), lease.files
+    if files is None:  # no folder listing at hand: rows are copied into their partitions
+        _overwrite_partitions(spark, name, path)
+        return []
+    parts = partitions_in(files, path, len(shape["partition_by"]))
+    have = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    where = lambda p: _literal(f"{path}/{p}")
+    new = [p for p in parts if p not in have]
+    for i in range(0, len(new), 200):
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(f"{partition_spec(p)} LOCATION '{where(p)}'" for p in new[i:i + 200]))
+    with ThreadPoolExecutor(8) as pool:     # one catalog call per partition
+        list(pool.map(lambda p: spark.sql(f"ALTER TABLE {table} {partition_spec(p)} SET LOCATION '{where(p)}'"),
+                      [p for p in parts if p in have]))
+    return [f for p in parts for f in files.glob(f"{lease.root}/v/*/{p}") if f"/v/{path.rsplit('/', 1)[1]}/" not in f]
+
+
+def _write(df: DataFrame, name: str, lease: Lease, path: str, partition_by: Sequence[str] | None,
+           bucket_by: tuple[int, Sequence[str]] | None) -> None:
+    """Rows to a version's folder. Bucketed files are named by the table writer, so they
+    go through a staged catalog entry, dropped again (it is external: the files stay)."""
+    writer = df.write.format("parquet").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    try:
+        if not bucket_by:
+            writer.save(path)
+        else:
+            staged = quoted(name, f"__tidecopy_{lease.fence:012d}_{lease.run}_rows")
+            writer.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1]).option("path", path).saveAsTable(staged)
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {staged}")
+    except Exception:
+        lease.discard(path)
+        raise
 
 
 def write_swap(df: DataFrame, name: str, *, partition_by: Sequence[str] | None = None,
-               bucket_by: tuple[int, Sequence[str]] | None = None, aligned: bool = False) -> None:
-    """Write ``df`` as the new content of ``name``: stage, then swap.
+               bucket_by: tuple[int, Sequence[str]] | None = None, aligned: bool = False, merge: bool = False) -> None:
+    """Write ``df`` as the new content of ``name``: a new version, then the pointer.
 
     A partitioned write is rebalanced on the partition columns first: AQE
     packs small partitions into few files and splits a hot one across tasks.
     A bucketed write (``bucket_by`` = (n, key columns)) is hash-partitioned on
     the keys into n tasks first, one file per bucket, unless the rows are
-    ``aligned`` already (a merge over a bucketed target)."""
+    ``aligned`` already (a merge over a bucketed target). A key maximum that a merge
+    recorded is forgotten, but by a ``merge`` itself."""
     spark = df.sparkSession
-    db, _ = split_name(name)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
-    recover(spark, name)
-    run = _run_name()
-    nxt, old = quoted(name, f"__next_{run}"), quoted(name, f"__old_{run}")
     if bucket_by and not aligned:
         df = df.repartition(bucket_by[0], *[F.col(f"`{c}`") for c in bucket_by[1]])
     elif partition_by and not bucket_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.format("parquet").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if bucket_by:
-        writer = writer.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
-    writer.saveAsTable(nxt)
-    if target_exists(spark, name):
-        spark.sql(f"ALTER TABLE {quoted(name)} RENAME TO {old}")
-    _rename(spark, nxt, quoted(name))
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    with hold(spark, name) as lease:
+        path = lease.version()
+        _write(df, name, lease, path, partition_by, bucket_by)
+        _publish(spark, name, lease, path, _shape(df.schema, partition_by or (), bucket_by))
+        if not merge:
+            _forget_key_max(spark, name)
 
 
 def select_list(source: JdbcTable, columns: Sequence[MappedColumn], replace: Mapping[str, str] | None = None) -> str:
@@ -379,11 +488,11 @@ def merge_into_target(spark: SparkSession, target: str, delta: DataFrame, keys:
     """Upsert ``delta`` (target columns, no partition columns) into the target
     table by ``keys``.
 
-    Unpartitioned target: merge everything, write ``__next``, swap.
+    Unpartitioned target: merge everything into a new version.
     Partitioned target: only the partitions the delta falls in are read (their
-    range and a join with them prune the scan), merged, staged as ``__parts`` and
-    written back with a dynamic partition overwrite; every other partition's
-    files stay as they are. A crash after staging is finished by ``recover``.
+    range and a join with them prune the scan), merged and written once, to new
+    folders that the partitions then point to; every other partition's files stay
+    as they are. A run that dies while the pointers change is finished by the next.
 
     Bucketed target (``bucket_by`` = (n, keys)): the target is read already
     hash-partitioned on the keys, so a large delta is shuffled to the buckets
@@ -395,7 +504,11 @@ def merge_into_target(spark: SparkSession, target: str, delta: DataFrame, keys:
     from tidecopy.operators.merge import merge_upsert
     from tidecopy.session import stage, unstage
 
-    recover(spark, target)  # finish a staged overwrite a crash left behind
+    with hold(spark, target) as lease:
+        return _merge(spark, target, delta, keys, partition_by, bucket_by, lease, merge_upsert, stage, unstage)
+
+
+def _merge(spark, target, delta, keys, partition_by, bucket_by, lease, merge_upsert, stage, unstage) -> dict:
     current = spark.table(quoted(target))
     stats: dict = {}
     align = bucket_by[0] if bucket_by else None
@@ -406,7 +519,7 @@ def merge_into_target(spark: SparkSession, target: str, delta: DataFrame, keys:
         if not partition_by:
             merged = merge_upsert(current, delta, keys, stage_delta=False, stats=stats, align=align)
             if stats["rows"]:
-                write_swap(merged, target, bucket_by=bucket_by, aligned=True)
+                write_swap(merged, target, bucket_by=bucket_by, aligned=True, merge=True)
             return {"partitions": None if stats["rows"] else 0, "written": bool(stats["rows"]), **stats}
         touched = stage(delta.select(*partition_by).distinct())
         try:
@@ -414,13 +527,9 @@ def merge_into_target(spark: SparkSession, target: str, delta: DataFrame, keys:
             merged = merge_upsert(_in_partitions(current, touched), delta, keys, stage_delta=False, stats=stats, align=align)
             if not n:
                 return {"partitions": 0, "written": False, **stats}
-            parts = quoted(target, f"__parts_{_run_name()}")
-            writer = ((merged if bucket_by else merged.hint("rebalance", *partition_by)).write.format("parquet")
-                      .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(*partition_by))
-            if bucket_by:
-                writer = writer.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
-            writer.saveAsTable(parts)
-            _overwrite_partitions(spark, target, parts)
+            path = lease.version()
+            _write(merged if bucket_by else merged.hint("rebalance", *partition_by), target, lease, path, list(partition_by), bucket_by)
+            _publish(spark, target, lease, path, _shape(current.schema, list(partition_by), bucket_by), partitions=True)
             return {"partitions": n, "written": True, **stats}
         finally:
             unstage(touched)
@@ -478,21 +587,26 @@ def store_key_max(spark: SparkSession, name: str, column: str, value) -> None:
         spark.sql(f"ALTER TABLE {quoted(name)} SET TBLPROPERTIES ('{key}' = '{text}')")
 
 
-def _overwrite_partitions(spark: SparkSession, target: str, parts: str) -> None:
-    """Replace the target's partitions that ``parts`` has rows for; no other.
+def _forget_key_max(spark: SparkSession, name: str) -> None:
+    for prop in spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect():
+        if prop["key"].startswith(KEY_MAX_PROPERTY):
+            spark.sql(f"ALTER TABLE {quoted(name)} UNSET TBLPROPERTIES IF EXISTS ('{prop['key']}')")
+
+
+def _overwrite_partitions(spark: SparkSession, target: str, path: str) -> None:
+    """Replace the target's partitions that ``path`` has rows for, by copying; no other.
 
     Dynamic overwrite is a session setting (a writer option is not read by
     ``insertInto``), so the insert runs in a session of its own on the same
     catalog: nothing changes for the caller's session or its other threads."""
-    cols = spark.table(quoted(target)).columns
+    schema = spark.table(quoted(target)).schema
     own = spark.newSession()
     own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
-    staged = own.table(parts).select(*[F.col(f"`{c}`") for c in cols])
-    staged.write.insertInto(quoted(target), overwrite=True)
+    rows = own.read.schema(schema).parquet(path).select(*[F.col(f"`{c}`") for c in schema.names])
+    rows.write.insertInto(quoted(target), overwrite=True)
     spark.catalog.refreshTable(quoted(target))
-    spark.sql(f"DROP TABLE IF EXISTS {parts}")
 
 
 def append_target(df: DataFrame, name: str, columns: Sequence[str] | None = None, *,
@@ -524,7 +638,6 @@ def append_target(df: DataFrame, name: str, columns: Sequence[str] | None = None
     derived = {c: expressions[c.lower()] for c in parts if c.lower() not in have}
     out = with_partitions(out, derived).select(
         *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.schema.fields])
-    out.write.insertInto(quoted(name))
-    for prop in spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect():
-        if prop["key"].startswith(KEY_MAX_PROPERTY):  # appended rows may raise it
-            spark.sql(f"ALTER TABLE {quoted(name)} UNSET TBLPROPERTIES IF EXISTS ('{prop['key']}')")
+    with hold(spark, name):
+        out.write.insertInto(quoted(name))
+        _forget_key_max(spark, name)        # appended rows may raise it
