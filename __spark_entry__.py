@@ -400,6 +400,18 @@ def q_replicate_merge_partitioned(spark, sf_dir):
     return spark.table(f"`{DEMO_DB}`.`orders_merge_parts`")
 
 
+def q_replicate_merge_files(spark, sf_dir):
+    """The same merge into a target in file groups: the index picks the groups that
+    hold keys of the delta, and only their files are rewritten."""
+    orders = _t(spark, sf_dir, "orders")
+    spec = _orders_spec("orders_merge_files", group_rows=5000)
+    target = f"{DEMO_DB}.orders_merge_files"
+    cols = _mapped(spark, "orders", orders)
+    write_swap(conform(_orders_replica(orders), cols), target, group_by=(5000, ["O_ORDERKEY"]))
+    replicate_table(spark, spec, orders, run_date=RUN_DATE, now=dt.datetime(2001, 7, 1, 12))
+    return spark.table(f"`{DEMO_DB}`.`orders_merge_files`").drop("TC_GROUP")
+
+
 def q_replicate_merge_bucketed(spark, sf_dir):
     """The same merge into a target bucketed by the key: a large delta is
     shuffled into the buckets, the target is read in place."""
@@ -471,6 +483,7 @@ _QUERIES = {
     "replicate_merge": q_replicate_merge,
     "replicate_merge_partitioned": q_replicate_merge_partitioned,
     "replicate_merge_bucketed": q_replicate_merge_bucketed,
+    "replicate_merge_files": q_replicate_merge_files,
     "replicate_all": q_replicate_all,
 }
 
@@ -729,6 +742,12 @@ _ORACLES = {
              o_orderstatus AS "O_ORDERSTATUS", o_totalprice AS "O_TOTALPRICE", o_orderdate AS "O_ORDERDATE",
              o_orderpriority AS "O_ORDERPRIORITY"
       FROM merged""",
+    "replicate_merge_files": f"""
+      WITH {_ORDERS_REPLICA}, merged AS ({_MERGED_ORDERS})
+      SELECT CAST(o_orderkey AS DECIMAL(20,0)) AS "O_ORDERKEY", CAST(o_custkey AS DECIMAL(20,0)) AS "O_CUSTKEY",
+             o_orderstatus AS "O_ORDERSTATUS", o_totalprice AS "O_TOTALPRICE", o_orderdate AS "O_ORDERDATE",
+             o_orderpriority AS "O_ORDERPRIORITY"
+      FROM merged""",
     "replicate_all": f"""
       WITH {_ORDERS_REPLICA}, whole(table_name, n) AS (
         SELECT '{DEMO_DB}.all_nation', count(*) FROM nation UNION ALL SELECT '{DEMO_DB}.all_region', count(*) FROM region

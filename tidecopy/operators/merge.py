@@ -65,7 +65,7 @@ def broadcast_limit(spark) -> int:
 def merge_upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], *,
                  stage_delta: bool = True, broadcast_bytes: int | None = None,
                  check_duplicates: bool = True, stats: dict | None = None,
-                 align: int | None = None) -> DataFrame:
+                 align: int | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Merged rows of ``target`` after upserting ``delta`` by ``keys``.
 
     ``delta`` must have the target's columns (any order); it is cast to the
@@ -76,8 +76,9 @@ def merge_upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], *,
     delta's ``rows``, ``bytes``, the max of its first key (``key_max``) and
     whether it was broadcast (``broadcast``). ``align`` = n hash-partitions
     inserted rows on the keys into n parts, matching a target bucketed by the
-    keys into n buckets (the updated rows keep the target's own layout). A
-    staged delta stays in the shared folder as long as the result may be read."""
+    keys into n buckets (the updated rows keep the target's own layout).
+    ``keep`` names columns that updated rows keep from the target (inserted rows
+    have the delta's). A staged delta stays in the shared folder as long as the result may be read."""
     keys = list(keys)
     cols = target.columns
     if not keys:
@@ -110,6 +111,7 @@ def merge_upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], *,
     non_keys = [c for c in cols if c not in keys]
     src = d_keyed.select(*keys, *[F.col(f"`{c}`").alias(f"__src_{c}") for c in non_keys], F.lit(True).alias("__hit"))
     picked = [F.col(f"`{c}`") if c in keys
+              else F.coalesce(F.col(f"`{c}`"), F.col(f"`__src_{c}`")).alias(c) if c in keep
               else F.when(F.col("__hit"), F.col(f"`__src_{c}`")).otherwise(F.col(f"`{c}`")).alias(c) for c in cols]
     if small:
         # the target is streamed past a broadcast delta: NULL keys cannot skew

@@ -130,7 +130,8 @@ def _replicate(spark, spec, source, *, run_date, now, catalog, tables, until, ra
     target = spec.target
     parts = dict(spec.partition_by)
     buckets = (spec.bucket_count, _target_keys(spec, columns)) if spec.bucket_count else None
-    created = ensure_table(spark, target, columns, partition_by=parts, bucket_by=buckets)
+    group_by = (spec.group_rows, _target_keys(spec, columns)) if spec.group_rows else None
+    created = ensure_table(spark, target, columns, partition_by=parts, bucket_by=buckets, grouped=bool(group_by))
     status = {"table_name": f"{spec.target_schema}.{spec.target_table_name}", "load_type": spec.load_type,
               "created": created}
     tname = quoted(target)
@@ -139,7 +140,7 @@ def _replicate(spark, spec, source, *, run_date, now, catalog, tables, until, ra
 
     def first_load() -> None:
         common = dict(replace=dict(spec.replace_fields_to), partition_by=parts, key=first_key,
-                      key_splits=spec.source_partitions, bucket_by=buckets)
+                      key_splits=spec.source_partitions, bucket_by=buckets, group_by=group_by)
         if spec.source_freq is not None:
             report = chunked_load(spark, source, columns, target, column=spec.source_freq.column,
                                   freq=spec.source_freq.freq, start_year=spec.source_freq.start_year,
@@ -172,7 +173,7 @@ def _replicate(spark, spec, source, *, run_date, now, catalog, tables, until, ra
             else:
                 delta = replace_fields(incremental_filter(source, watermarks, since, km), replace)
             delta = conform(delta, columns)
-            merged = merge_into_target(spark, target, delta, keys, partition_by=parts, bucket_by=buckets)
+            merged = merge_into_target(spark, target, delta, keys, partition_by=parts, bucket_by=buckets, group_by=group_by)
             status.update(rows_read=merged["rows"], rows_written=merged["rows"], written=merged["written"], excluded=0)
             new_max = _larger(km, merged.get("key_max"))
             store_key_max(spark, target, keys[0], new_max)

@@ -28,7 +28,8 @@ from tidecopy.functions.timeparts import chunk_start
 from tidecopy.operators.incremental import chunk_list
 from tidecopy.operators.project import conform, replace_fields
 from tidecopy.operators.typemap import MappedColumn
-from tidecopy.sources import versions
+from tidecopy.session import stage, unstage
+from tidecopy.sources import groups, versions
 from tidecopy.sources.jdbc import JdbcTable, jdbc_scan
 from tidecopy.sources.versions import Lease, held, holding, partition_spec, partitions_in
 
@@ -62,7 +63,7 @@ def struct_of(columns: Sequence[MappedColumn]) -> T.StructType:
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType | Sequence[MappedColumn], *,
                  partition_by: Mapping[str, str] | None = None,
-                 bucket_by: tuple[int, Sequence[str]] | None = None) -> bool:
+                 bucket_by: tuple[int, Sequence[str]] | None = None, grouped: bool = False) -> bool:
     """Create the schema and an empty table of the mapped types if the table is
     missing (with the ``partition_by`` columns, see ``with_partitions``).
     Returns True when it was created. An existing table is left as it is (no
@@ -73,6 +74,8 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType | Sequence
         if target_exists(spark, name):
             return False
         struct = schema if isinstance(schema, T.StructType) else struct_of(schema)
+        if grouped:
+            partition_by = {groups.GROUP: "cast(0 AS int)"}
         empty = with_partitions(spark.createDataFrame([], struct), partition_by)
         path = lease.version()
         if lease.files is not None:
@@ -124,7 +127,7 @@ def drop_target(spark: SparkSession, name: str) -> bool:
         existed = target_exists(spark, name)
         spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
         if lease.files is not None:
-            for part in ("v", "publish", "retired", "shape"):
+            for part in ("v", "index", "publish", "retired", "shape"):
                 lease.files.delete(f"{lease.root}/{part}")
     return existed
 
@@ -151,9 +154,10 @@ def _tidy(spark: SparkSession, name: str, lease: Lease) -> None:
             notes.discard(version)
             continue
         _switch(spark, name, lease, note)
-    for version in files.names(f"{root}/v"):
-        if version not in notes:
-            files.delete(f"{root}/v/{version}")
+    for part in ("v", "index"):
+        for version in files.names(f"{root}/{part}"):
+            if version.removesuffix(".whole") not in notes:
+                files.delete(f"{root}/{part}/{version}")
     for noted in files.names(f"{root}/retired"):
         if int(noted.split("_")[0]) / 1000 + versions.KEEP_SECONDS < time.time():
             for path in files.read(f"{root}/retired/{noted}").splitlines():
@@ -232,6 +236,7 @@ def _switch(spark: SparkSession, name: str, lease: Lease, note: dict) -> None:
             known = {p for n in files.names(f"{lease.root}/retired") for p in files.read(f"{lease.root}/retired/{n}").splitlines()}
             shown = set(files.names(f"{lease.root}/publish"))
             gone = [f"{lease.root}/v/{v}" for v in files.names(f"{lease.root}/v") if v != version and f"{v}.done" in shown]
+            gone += [f"{lease.root}/index/{v}" for v in files.names(f"{lease.root}/index") if v.removesuffix(".whole") != version]
             lease.retire([p for p in gone if p not in known])
         files.write(f"{lease.root}/publish/{version}.done", "")
 
@@ -288,9 +293,13 @@ def _write(df: DataFrame, name: str, lease: Lease, path: str, partition_by: Sequ
 
 
 def write_swap(df: DataFrame, name: str, *, partition_by: Sequence[str] | None = None,
-               bucket_by: tuple[int, Sequence[str]] | None = None, aligned: bool = False, merge: bool = False) -> None:
+               bucket_by: tuple[int, Sequence[str]] | None = None, aligned: bool = False, merge: bool = False,
+               group_by: tuple[int, Sequence[str]] | None = None) -> None:
     """Write ``df`` as the new content of ``name``: a new version, then the pointer.
 
+    With ``group_by`` = (rows, keys) the rows are dealt to file groups and indexed, so
+    that merges rewrite only the groups they touch (see ``groups``).
+
     A partitioned write is rebalanced on the partition columns first: AQE
     packs small partitions into few files and splits a hot one across tasks.
     A bucketed write (``bucket_by`` = (n, key columns)) is hash-partitioned on
@@ -298,13 +307,20 @@ def write_swap(df: DataFrame, name: str, *, partition_by: Sequence[str] | None =
     ``aligned`` already (a merge over a bucketed target). A key maximum that a merge
     recorded is forgotten, but by a ``merge`` itself."""
     spark = df.sparkSession
-    if bucket_by and not aligned:
-        df = df.repartition(bucket_by[0], *[F.col(f"`{c}`") for c in bucket_by[1]])
-    elif partition_by and not bucket_by:
-        df = df.hint("rebalance", *partition_by)
+    staged = None
     with hold(spark, name) as lease:
+        if group_by:
+            df, staged = groups.dealt(df, group_by[1], group_by[0])
+            partition_by = [groups.GROUP]
+        elif bucket_by and not aligned:
+            df = df.repartition(bucket_by[0], *[F.col(f"`{c}`") for c in bucket_by[1]])
+        elif partition_by and not bucket_by:
+            df = df.hint("rebalance", *partition_by)
         path = lease.version()
         _write(df, name, lease, path, partition_by, bucket_by)
+        if group_by:
+            groups.write_index(lease, path, group_by[1], group_by[0], spark, df.schema, True)
+            unstage(staged)
         _publish(spark, name, lease, path, _shape(df.schema, partition_by or (), bucket_by))
         if not merge:
             _forget_key_max(spark, name)
@@ -343,13 +359,14 @@ def source_frame(spark: SparkSession, source: DataFrame | JdbcTable, columns: Se
 def full_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Sequence[MappedColumn],
               target: str, *, replace: dict[str, str] | None = None,
               partition_by: Mapping[str, str] | None = None, key: str | None = None, key_splits: int = 1,
-              bucket_by: tuple[int, Sequence[str]] | None = None) -> DataFrame:
+              bucket_by: tuple[int, Sequence[str]] | None = None,
+              group_by: tuple[int, Sequence[str]] | None = None) -> DataFrame:
     """Replace the target's rows with the whole source, conformed; returns the
     target table. With ``key`` and ``key_splits`` > 1 a JDBC source is read in that
     many key strides at once (see ``jdbc_scan``)."""
     frame = source_frame(spark, source, columns, replace=replace, partition_column=key, num_partitions=key_splits)
     write_swap(with_partitions(conform(frame, columns), partition_by), target,
-               partition_by=list(partition_by or ()), bucket_by=bucket_by)
+               partition_by=list(partition_by or ()), bucket_by=bucket_by, group_by=group_by)
     return spark.table(quoted(target))
 
 
@@ -408,7 +425,8 @@ def chunked_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Se
                  target: str, *, column: str, freq: str, start_year: int, until: dt.datetime,
                  include_rest: bool = False, replace: dict[str, str] | None = None,
                  partition_by: Mapping[str, str] | None = None, key: str | None = None,
-                 key_splits: int = 1, bucket_by: tuple[int, Sequence[str]] | None = None) -> DataFrame:
+                 key_splits: int = 1, bucket_by: tuple[int, Sequence[str]] | None = None,
+                 group_by: tuple[int, Sequence[str]] | None = None) -> DataFrame:
     """First load cut into ``freq`` ranges of ``column`` from Jan 1 of
     ``start_year``; the last range is open-ended. A JDBC source is read with
     one partition (one bounded source statement) per range, all in one job.
@@ -432,7 +450,7 @@ def chunked_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Se
                                  key_ranges=ranges, key_splits=key_splits)
         frame = source_frame(spark, source, columns, replace=replace, predicates=preds)
     write_swap(with_partitions(conform(frame, columns), partition_by), target,
-               partition_by=list(partition_by or ()), bucket_by=bucket_by)
+               partition_by=list(partition_by or ()), bucket_by=bucket_by, group_by=group_by)
     tcol = next(c.target_name for c in columns if c.source_name.lower() == column.lower())
     report = chunk_report(spark.table(quoted(target)), tcol, freq, bounds[0][0], bounds[-1][0])
     if include_rest:
@@ -469,22 +487,24 @@ def truncate_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: S
                   target: str, *, chunk=None, until: dt.datetime | None = None,
                   replace: dict[str, str] | None = None,
                   partition_by: Mapping[str, str] | None = None, key: str | None = None, key_splits: int = 1,
-                  bucket_by: tuple[int, Sequence[str]] | None = None) -> DataFrame:
+                  bucket_by: tuple[int, Sequence[str]] | None = None,
+                  group_by: tuple[int, Sequence[str]] | None = None) -> DataFrame:
     """Reload the target from scratch, chunked when a chunk spec is given.
     The old rows stay readable until the swap."""
     if chunk is not None:
         chunked_load(spark, source, columns, target, column=chunk.column, freq=chunk.freq,
                      start_year=chunk.start_year, until=until or dt.datetime.now(), replace=replace,
                      include_rest=chunk.include_rest, partition_by=partition_by, key=key, key_splits=key_splits,
-                     bucket_by=bucket_by)
+                     bucket_by=bucket_by, group_by=group_by)
         return spark.table(quoted(target))
     return full_load(spark, source, columns, target, replace=replace, partition_by=partition_by,
-                     key=key, key_splits=key_splits, bucket_by=bucket_by)
+                     key=key, key_splits=key_splits, bucket_by=bucket_by, group_by=group_by)
 
 
 def merge_into_target(spark: SparkSession, target: str, delta: DataFrame, keys: Sequence[str], *,
                       partition_by: Mapping[str, str] | None = None,
-                      bucket_by: tuple[int, Sequence[str]] | None = None) -> dict:
+                      bucket_by: tuple[int, Sequence[str]] | None = None,
+                      group_by: tuple[int, Sequence[str]] | None = None) -> dict:
     """Upsert ``delta`` (target columns, no partition columns) into the target
     table by ``keys``.
 
@@ -494,6 +514,9 @@ def merge_into_target(spark: SparkSession, target: str, delta: DataFrame, keys:
     folders that the partitions then point to; every other partition's files stay
     as they are. A run that dies while the pointers change is finished by the next.
 
+    Grouped target (``group_by`` = (rows, keys)): the index picks the file groups that
+    hold keys of the delta; only those are read and written (see ``groups``).
+
     Bucketed target (``bucket_by`` = (n, keys)): the target is read already
     hash-partitioned on the keys, so a large delta is shuffled to the buckets
     and the target is not shuffled at all; new rows are aligned to the buckets
@@ -501,14 +524,15 @@ def merge_into_target(spark: SparkSession, target: str, delta: DataFrame, keys:
 
     Returns rows, bytes, key_max and broadcast of the delta, ``written``, and
     ``before``: the rows of the target that were read to be merged."""
-    from tidecopy.operators.merge import merge_upsert
-    from tidecopy.session import stage, unstage
-
     with hold(spark, target) as lease:
-        return _merge(spark, target, delta, keys, partition_by, bucket_by, lease, merge_upsert, stage, unstage)
+        if group_by:
+            return _merge_groups(spark, target, delta, keys, group_by[0], lease)
+        return _merge(spark, target, delta, keys, partition_by, bucket_by, lease)
 
 
-def _merge(spark, target, delta, keys, partition_by, bucket_by, lease, merge_upsert, stage, unstage) -> dict:
+def _merge(spark, target, delta, keys, partition_by, bucket_by, lease) -> dict:
+    from tidecopy.operators.merge import merge_upsert
+
     current = spark.table(quoted(target))
     stats: dict = {}
     align = bucket_by[0] if bucket_by else None
@@ -537,6 +561,24 @@ def _merge(spark, target, delta, keys, partition_by, bucket_by, lease, merge_ups
         unstage(delta)
 
 
+def _merge_groups(spark: SparkSession, target: str, delta: DataFrame, keys: Sequence[str], group_rows: int, lease: Lease) -> dict:
+    current = spark.table(quoted(target))
+    types = {f.name: f.dataType for f in current.schema.fields if f.name != groups.GROUP}
+    delta = stage(delta.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in types.items()]))
+
+    def write(rows: DataFrame) -> None:
+        path = lease.version()
+        _write(rows.hint("rebalance", groups.GROUP), target, lease, path, [groups.GROUP], None)
+        groups.write_index(lease, path, keys, group_rows, spark, rows.schema, False)
+        _publish(spark, target, lease, path, _shape(rows.schema, [groups.GROUP], None), partitions=True)
+        groups.compact(spark, lease, path.rsplit("/", 1)[1])
+
+    try:
+        return groups.merge_grouped(spark, current, delta, keys, group_rows, lease, write)
+    finally:
+        unstage(delta)
+
+
 def _in_partitions(current: DataFrame, touched: DataFrame) -> DataFrame:
     """Rows of the target in the touched partitions. Values are joined by plain
     equality (so Spark prunes the scan to the joined partitions) behind the range of the

@@ -135,7 +135,7 @@ class Lease:
     def version(self) -> str:
         """A new folder for rows that this run writes."""
         self._made += 1
-        return f"{self.root}/v/{self.fence:012d}_{self.run}_{self._made}"
+        return f"{self.root}/v/{self.fence:012d}_{self.run}_{self._made:04d}"
 
     def retire(self, paths: list[str]) -> None:
         """Note folders that nothing points to any more."""

@@ -71,8 +71,14 @@ class TableSpec:
     # merge with a large delta then shuffles only the delta; the first load
     # pays one shuffle to lay the buckets out.
     bucket_count: int = 0
+    # Rows of a file group (0: no groups). A merge then rewrites only the groups
+    # that hold keys of the delta, found by an index of key ranges and Bloom
+    # filters; the target has the technical column TC_GROUP.
+    group_rows: int = 0
 
     def __post_init__(self):
+        if self.group_rows and (self.partition_by or self.bucket_count):
+            raise SpecError("group_rows goes without partition_by and bucket_count")
         if self.load_type not in LOAD_TYPES:
             raise SpecError(f"unknown load type {self.load_type!r}: use one of {', '.join(LOAD_TYPES)}")
         if self.source_database_type not in SOURCE_DATABASE_TYPES:
