@@ -55,6 +55,18 @@ class Stage:
             time.sleep(0.5)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until ``df`` has no column of that name."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        out.append(name)
+    return out
+
+
 def text_bytes(col: str = "text") -> Column:
     """The text's UTF-8 bytes (a string column cast to binary; null stays null)."""
     return F.col(col).cast("string").cast("binary")

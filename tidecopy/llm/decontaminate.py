@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecopy.llm._store import Stage, row_key, text_bytes
+from tidecopy.llm._store import Stage, free_names, row_key, text_bytes
 from tidecopy.llm._text import _BYTE, _SPACE, U64, buffer_of, covered, expand, fits, pieces, window_hashes
 
 BLOCK_BYTES = 4 << 20  # bytes of segments, about twice those of their text
@@ -273,10 +273,11 @@ def drop_leaking(docs: DataFrame, bench: DataFrame, budget: Budget = Budget(), *
     """The rows of ``docs`` that hold no benchmark item, with an id or without, with all
     their columns. Quotes of parts of items: see ``leaks``."""
     stage = Stage(docs.sparkSession, "leaks")
+    key1, key2, leak1, leak2 = free_names(docs, "key1", "key2", "leak1", "leak2")
     bad = stage.write(
         _found(docs, bench, budget, stage, id_col, text_col, item_col, item_text).select("k1", "k2").distinct()
-        .withColumnsRenamed({"k1": "__leak1", "k2": "__leak2"}))
+        .withColumnsRenamed({"k1": leak1, "k2": leak2}))
     k1, k2 = row_key(id_col, text_col)
-    return (docs.select("*", k1.alias("__key1"), k2.alias("__key2"))
-            .join(bad, (F.col("__key1") == F.col("__leak1")) & (F.col("__key2") == F.col("__leak2")), "left_anti")
+    return (docs.select("*", k1.alias(key1), k2.alias(key2))
+            .join(bad, (F.col(key1) == F.col(leak1)) & (F.col(key2) == F.col(leak2)), "left_anti")
             .select(*docs.columns))

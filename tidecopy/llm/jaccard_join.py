@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecopy.llm._exchange import BUCKETS_PER_PARTITION, Packed, hits_of, new_block, repeated, stored
-from tidecopy.llm._store import Stage, row_key, shuffle_width, small, text_bytes
+from tidecopy.llm._store import Stage, free_names, row_key, shuffle_width, small, text_bytes
 from tidecopy.llm._text import U64, buffer_of, expand, mix, pieces, prefix_hash, span_hash, word_hashes, words
 from tidecopy.llm.components import components
 
@@ -423,12 +423,13 @@ def keep_one(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col: str = "d
     rows = jaccard_classes(docs, stage, k=k, percent=percent, id_col=id_col, text_col=text_col)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")
     first = rows.where("n_shingles > 0").groupBy("component").agg(F.min(order).alias("f")).select("f.k1", "f.k2")
+    key1, key2, keep1, keep2, row = free_names(docs, "key1", "key2", "keep1", "keep2", "row")
     keep = stage.write(first.unionAll(rows.where("n_shingles = 0").select("k1", "k2").distinct())
-                       .select(F.col("k1").alias("__keep1"), F.col("k2").alias("__keep2")))
+                       .select(F.col("k1").alias(keep1), F.col("k2").alias(keep2)))
     k1, k2 = row_key(id_col, text_col)
-    met = (docs.select("*", k1.alias("__k1"), k2.alias("__k2"))
-           .join(keep.hint("shuffle_hash"), (F.col("__k1") == F.col("__keep1")) & (F.col("__k2") == F.col("__keep2")), "left_semi"))
+    met = (docs.select("*", k1.alias(key1), k2.alias(key2))
+           .join(keep.hint("shuffle_hash"), (F.col(key1) == F.col(keep1)) & (F.col(key2) == F.col(keep2)), "left_semi"))
     order = F.struct(*[F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name)
                        for f in docs.schema if f.name != text_col])     # maps have no order
-    return (met.groupBy("__k1", "__k2").agg(F.min_by(F.struct(*docs.columns), order).alias("__row"))
-            .select(*[F.col("__row")[c].alias(c) for c in docs.columns]))
+    return (met.groupBy(key1, key2).agg(F.min_by(F.struct(*docs.columns), order).alias(row))
+            .select(*[F.col(row)[c].alias(c) for c in docs.columns]))

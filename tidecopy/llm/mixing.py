@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidecopy.llm._store import Stage
+from tidecopy.llm._store import Stage, free_names
 
 WORD = r"[^\x20\x09-\x0D]+"
 HASH_BITS, STEP_BITS = 60, 10
@@ -126,8 +126,9 @@ def mix_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     stage = Stage(docs.sparkSession, "mix")
     sized = stage.write(docs.select(*_sized(docs, id_col, text_col, source_col)))
     plan, small = mix_plan(sized, stage, weights=weights, share=share, cap=cap)
-    plan = plan.select(F.col("p_source").alias("__mix_source"), F.col("whole").alias("__mix_whole"), F.col("threshold").alias("__mix_upto"))
+    source, whole, upto, copy = free_names(docs, "mix_source", "mix_whole", "mix_upto", "mix_copy")
+    plan = plan.select(F.col("p_source").alias(source), F.col("whole").alias(whole), F.col("threshold").alias(upto))
     p = F.broadcast(plan) if small else plan
-    copies = F.col("__mix_whole") + (document_hash(id_col, text_col) <= F.col("__mix_upto")).cast("long")
-    return (docs.join(p, F.col(source_col).cast("string").eqNullSafe(F.col("__mix_source")))
-            .withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(0), copies.cast("int")))).select(*docs.columns))
+    copies = F.col(whole) + (document_hash(id_col, text_col) <= F.col(upto)).cast("long")
+    return (docs.join(p, F.col(source_col).cast("string").eqNullSafe(F.col(source)))
+            .withColumn(copy, F.explode(F.array_repeat(F.lit(0), copies.cast("int")))).select(*docs.columns))
