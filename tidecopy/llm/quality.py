@@ -200,11 +200,10 @@ def quality_rules(docs: DataFrame, limits: QualityLimits = QualityLimits(), *, i
 
 
 def keep_good(docs: DataFrame, limits: QualityLimits = QualityLimits(), *, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text is kept, with all their columns."""
-    at = docs.columns.index(text_col)
+    """The rows of ``docs`` whose text is kept, with all their columns. Only texts go
+    to Python and only verdicts come back."""
+    @F.arrow_udf("boolean")
+    def kept(texts: pa.Array) -> pa.Array:
+        return pa.array(measure(*buffer_of(texts), limits)["kept"])
 
-    def run(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(measure(*buffer_of(batch.column(at)), limits)["kept"]))
-
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(kept(text_bytes(text_col)))
