@@ -53,6 +53,8 @@ class JdbcTable:
             text = value.isoformat(sep=" ") if isinstance(value, dt.datetime) else value.isoformat()
             return fmt.format(text)
         if isinstance(value, str):
+            if self.dialect == "mysql":  # a backslash escapes there
+                value = value.replace("\\", "\\\\")
             return "'" + value.replace("'", "''") + "'"
         return str(value)
 
@@ -133,18 +135,20 @@ def jdbc_scan(spark: SparkSession, url: str | JdbcTable, table: str | None = Non
 
 def append_jdbc(df: DataFrame, url: str | JdbcTable, table: str | None = None, *,
                 columns: Sequence[str] | None = None, commit_every: int = 1000,
-                properties: Mapping[str, str] | None = None) -> None:
+                properties: Mapping[str, str] | None = None, run: str | None = None) -> dict:
     """Append rows to a source-database table. ``columns`` names the target
     columns the DataFrame's columns go to, by position. NaN cells are stored as
-    NULL. Rows go in batches of ``commit_every``; each partition commits once,
-    and ``commit_every=0`` asks for a single transaction (one partition)."""
+    NULL. Every ``commit_every`` rows are one transaction (0: all rows are one),
+    and a repeated task adds nothing twice; an append that died goes on where it
+    was when called again with the same ``run`` (see ``append``). Columns must be
+    comparable in the destination (no LOBs in Derby). Returns rows, batches, skipped."""
+    from tidecopy.sources.append import append_in_batches
+
     dest = url if isinstance(url, JdbcTable) else JdbcTable(url, table or "", dict(properties or {}))
     if columns:
         if len(columns) != len(df.columns):
             raise ValueError(f"{len(columns)} column names for {len(df.columns)} columns")
         df = df.toDF(*columns)
-    df = null_cells(df)
-    if commit_every == 0:
-        df = df.coalesce(1)
-    (df.write.format("jdbc").options(**dest.options()).option("dbtable", dest.table)
-     .option("batchsize", str(commit_every or 1000)).mode("append").save())
+    if commit_every < 0:
+        raise ValueError("commit_every is a number of rows, or 0 for one transaction")
+    return append_in_batches(null_cells(df), dest, commit_every, run)
