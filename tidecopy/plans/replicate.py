@@ -24,6 +24,7 @@ from tidecopy.operators.project import conform, replace_fields
 from tidecopy.operators.typemap import MappedColumn, mapped_columns
 from tidecopy.sources.catalog import catalog_from_frames, column_catalog, jdbc_catalog, tables_from_frames
 from tidecopy.sources.jdbc import JdbcTable, jdbc_count, key_range
+from tidecopy.sources.splits import closed_by, high_water
 from tidecopy.sources.target import (
     chunked_load, ensure_table, full_load, hold, merge_into_target, quoted, source_frame,
     store_key_max, stored_key_max,
@@ -135,12 +136,17 @@ def _replicate(spark, spec, source, *, run_date, now, catalog, tables, until, ra
     status = {"table_name": f"{spec.target_schema}.{spec.target_table_name}", "load_type": spec.load_type,
               "created": created}
     tname = quoted(target)
+    # a JDBC source may grow while it is read: every statement is closed by the marks taken here
+    closed = None
+    if isinstance(source, JdbcTable):
+        closed = closed_by(source, high_water(spark, source, list(spec.source_merge_columns)))
 
     first_key = spec.source_main_fields[0] if spec.source_main_fields else None
 
     def first_load() -> None:
         common = dict(replace=dict(spec.replace_fields_to), partition_by=parts, key=first_key,
-                      key_splits=spec.source_partitions, bucket_by=buckets, group_by=group_by)
+                      key_splits=spec.source_partitions, bucket_by=buckets, group_by=group_by,
+                      where=closed)
         if spec.source_freq is not None:
             report = chunked_load(spark, source, columns, target, column=spec.source_freq.column,
                                   freq=spec.source_freq.freq, start_year=spec.source_freq.start_year,
@@ -166,6 +172,7 @@ def _replicate(spark, spec, source, *, run_date, now, catalog, tables, until, ra
                 # the source filters its raw columns and computes the replaced ones; the
                 # read is split into key strides over the delta's own key range
                 where = watermark_sql(source.quote, source.literal, watermarks, since, km)
+                where = f"({where}) AND {closed}" if closed else where
                 split = spec.source_partitions > 1
                 delta = source_frame(spark, source, columns, replace=replace, where=where,
                                      partition_column=first_key if split else None, num_partitions=spec.source_partitions,
@@ -194,7 +201,7 @@ def _replicate(spark, spec, source, *, run_date, now, catalog, tables, until, ra
     src_frame = source_frame(spark, source, columns)
     counter = None
     if isinstance(source, JdbcTable):  # count in the source, do not pull rows
-        counter = lambda col, upto: jdbc_count(spark, source, col, upto)
+        counter = lambda col, upto: jdbc_count(spark, source, col, upto, closed)
     check = count_check(src_frame, spark.table(tname), dict(spec.source_merge_columns), now=now,
                         cutoff_column=spec.count_cutoff_column, tolerance=spec.count_tolerance,
                         source_counter=counter).first()

@@ -51,6 +51,8 @@ class JdbcTable:
         if isinstance(value, (dt.datetime, dt.date)):
             fmt = DIALECTS.get(self.dialect, ('"', "'{}'"))[1]
             text = value.isoformat(sep=" ") if isinstance(value, dt.datetime) else value.isoformat()
+            if self.dialect == "derby" and not isinstance(value, dt.datetime):
+                fmt = "DATE('{}')"
             return fmt.format(text)
         if isinstance(value, str):
             if self.dialect == "mysql":  # a backslash escapes there
@@ -80,10 +82,13 @@ def key_range(spark: SparkSession, src: JdbcTable, column: str, where_sql: str |
     return row[0], row[1]
 
 
-def jdbc_count(spark: SparkSession, src: JdbcTable, column: str | None = None, upto=None) -> DataFrame:
-    """One row ``n``: rows of the source (``column <= upto`` when given),
-    counted by the source instead of pulled."""
-    where = f" WHERE {src.quote(column)} <= {src.literal(upto)}" if column is not None and upto is not None else ""
+def jdbc_count(spark: SparkSession, src: JdbcTable, column: str | None = None, upto=None,
+               where_sql: str | None = None) -> DataFrame:
+    """One row ``n``: rows of the source (``column <= upto`` when given, of those that
+    ``where_sql`` selects), counted by the source instead of pulled."""
+    conds = [f"{src.quote(column)} <= {src.literal(upto)}"] if column is not None and upto is not None else []
+    conds += [f"({where_sql})"] if where_sql else []
+    where = f" WHERE {' AND '.join(conds)}" if conds else ""
     return jdbc_query(spark, src, f"SELECT count(*) AS n FROM {src.table}{where}").select(
         F.col("n").cast("bigint").alias("n"))
 
@@ -98,33 +103,32 @@ def jdbc_scan(spark: SparkSession, url: str | JdbcTable, table: str | None = Non
               columns: Sequence[str] | None = None, predicate: Column | None = None,
               predicates: Sequence[str] | None = None, query: str | None = None,
               partition_column: str | None = None, num_partitions: int | None = None,
-              bounds: tuple | None = None, properties: Mapping[str, str] | None = None) -> DataFrame:
+              bounds: tuple | None = None, properties: Mapping[str, str] | None = None,
+              where: str | None = None) -> DataFrame:
     """Rows of a source table. ``predicate`` (a Column) is pushed into the
     statement; ``predicates`` (source-dialect text) split the read into one
     partition each; ``query`` replaces the table by a source-side select.
 
     ``partition_column`` + ``num_partitions`` split the read into key strides
-    between ``bounds`` (min, max; asked from the source when not given); the
-    first and last strides are open, so no row is lost whatever the bounds. A
+    between ``bounds`` (min, max; asked from the source when not given) of about
+    equal counts, as the source counts its rows (those of ``where``; see ``splits``);
+    the first and last strides are open, so no row is lost whatever the bounds. A
     key without strides (text) leaves the read in one piece."""
     src = url if isinstance(url, JdbcTable) else JdbcTable(url, table or "", dict(properties or {}))
     opts = src.options()
+    if not predicates and partition_column and (num_partitions or 0) > 1:
+        from tidecopy.sources.splits import even_cuts, stride_predicates
+
+        lo, hi = bounds if bounds is not None else key_range(spark, src, partition_column, where)
+        if strided(lo) and strided(hi) and hi > lo:
+            cuts = even_cuts(spark, src, partition_column, num_partitions, ranges=[(lo, hi)], where=where)[0]
+            predicates = stride_predicates(src, partition_column, cuts)
     if predicates:
         df = spark.read.jdbc(src.url, query and f"({query}) q" or src.table,
                              predicates=list(predicates), properties={k: v for k, v in opts.items() if k != "url"})
     else:
         reader = spark.read.format("jdbc").options(**opts)
-        split = bool(partition_column) and (num_partitions or 0) > 1
-        if query:  # a split read needs the subquery form
-            reader = reader.option("dbtable", f"({query}) q") if split else reader.option("query", query)
-        else:
-            reader = reader.option("dbtable", src.table)
-        if split:
-            lo, hi = bounds if bounds is not None else key_range(spark, src, partition_column)
-            if strided(lo) and strided(hi) and hi > lo:
-                reader = (reader.option("partitionColumn", partition_column)
-                          .option("lowerBound", str(lo)).option("upperBound", str(hi))
-                          .option("numPartitions", str(num_partitions)))
+        reader = reader.option("query", query) if query else reader.option("dbtable", src.table)
         df = reader.load()
     if columns:
         df = df.select(*[F.col(f"`{c}`") for c in columns])

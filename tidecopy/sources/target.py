@@ -352,7 +352,8 @@ def source_frame(spark: SparkSession, source: DataFrame | JdbcTable, columns: Se
                  bounds=bounds)
     if source.dialect == "mysql" or replace or where:
         tail = f" where {where}" if where else ""
-        return jdbc_scan(spark, source, query=f"select {select_list(source, columns, replace)} from {source.table}{tail}", **split)
+        return jdbc_scan(spark, source, query=f"select {select_list(source, columns, replace)} from {source.table}{tail}",
+                         **(split | ({"where": where} if where else {})))
     return jdbc_scan(spark, source, columns=[c.source_name for c in columns], **split)
 
 
@@ -360,29 +361,39 @@ def full_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Seque
               target: str, *, replace: dict[str, str] | None = None,
               partition_by: Mapping[str, str] | None = None, key: str | None = None, key_splits: int = 1,
               bucket_by: tuple[int, Sequence[str]] | None = None,
-              group_by: tuple[int, Sequence[str]] | None = None) -> DataFrame:
-    """Replace the target's rows with the whole source, conformed; returns the
-    target table. With ``key`` and ``key_splits`` > 1 a JDBC source is read in that
+              group_by: tuple[int, Sequence[str]] | None = None, where: str | None = None) -> DataFrame:
+    """Replace the target's rows with the whole source (of a JDBC source the rows of
+    ``where``, its own SQL), conformed; returns the target table. With ``key`` and ``key_splits`` > 1 a JDBC source is read in that
     many key strides at once (see ``jdbc_scan``)."""
-    frame = source_frame(spark, source, columns, replace=replace, partition_column=key, num_partitions=key_splits)
+    frame = source_frame(spark, source, columns, replace=replace, where=where, partition_column=key, num_partitions=key_splits)
     write_swap(with_partitions(conform(frame, columns), partition_by), target,
                partition_by=list(partition_by or ()), bucket_by=bucket_by, group_by=group_by)
     return spark.table(quoted(target))
 
 
+def chunk_conditions(source: JdbcTable, column: str, bounds: Sequence[tuple]) -> list[str]:
+    q = source.quote(column)
+    return [f"{q} >= {source.literal(lo)}" + (f" AND {q} < {source.literal(hi)}" if hi is not None else "") for lo, hi in bounds]
+
+
 def chunk_predicates(source: JdbcTable, column: str, bounds: Sequence[tuple], *,
                      include_rest: bool = False, key: str | None = None,
-                     key_ranges: Sequence[tuple] | None = None, key_splits: int = 1) -> list[str]:
+                     key_ranges: Sequence[tuple] | None = None, key_splits: int = 1,
+                     key_cuts: Sequence[Sequence] | None = None) -> list[str]:
     """Source-dialect predicates, one per chunk (the last one open).
 
-    With ``key`` and ``key_splits`` > 1, each chunk whose key range is known
-    (``key_ranges[i]`` = (min, max), from ``chunk_key_ranges``) is cut further
-    into key strides; the first stride is open below (NULL keys included) and
-    the last open above, so the strides of a chunk always cover all its rows."""
+    With ``key`` each chunk is cut further into key strides: at ``key_cuts[i]`` (even
+    counts, from ``splits.even_cuts``), or with ``key_splits`` > 1 evenly in its key
+    range ``key_ranges[i]`` = (min, max). The first stride is open below (NULL keys
+    included) and the last open above, so the strides of a chunk always cover all its rows."""
+    from tidecopy.sources.splits import stride_predicates
+
     q = source.quote(column)
     preds = []
-    for i, (lo, hi) in enumerate(bounds):
-        chunk = f"{q} >= {source.literal(lo)}" + (f" AND {q} < {source.literal(hi)}" if hi is not None else "")
+    for i, chunk in enumerate(chunk_conditions(source, column, bounds)):
+        if key is not None and key_cuts is not None:
+            preds += stride_predicates(source, key, key_cuts[i], within=chunk) if key_cuts[i] else [chunk]
+            continue
         rng = key_ranges[i] if key_ranges else None
         numeric = bool(rng) and all(isinstance(v, (int, float, Decimal)) and not isinstance(v, bool) for v in rng)
         if key is None or key_splits <= 1 or not numeric or rng[1] <= rng[0]:
@@ -407,7 +418,7 @@ def chunk_predicates(source: JdbcTable, column: str, bounds: Sequence[tuple], *,
 
 
 def chunk_key_ranges(spark: SparkSession, source: JdbcTable, column: str, key: str,
-                     bounds: Sequence[tuple]) -> list[tuple]:
+                     bounds: Sequence[tuple], where: str | None = None) -> list[tuple]:
     """(min, max) of ``key`` in every chunk, from ONE grouped statement the
     source runs (its size is set by the number of chunks, not the data)."""
     from tidecopy.sources.jdbc import jdbc_query
@@ -415,7 +426,7 @@ def chunk_key_ranges(spark: SparkSession, source: JdbcTable, column: str, key: s
     q, k = source.quote(column), source.quote(key)
     case = " ".join(f"WHEN {q} >= {source.literal(lo)} THEN {i}" for i, (lo, _) in reversed(list(enumerate(bounds))))
     rows = jdbc_query(spark, source, f"SELECT chunk_no, min({k}) AS kmin, max({k}) AS kmax FROM "
-                                     f"(SELECT CASE {case} END AS chunk_no, {k} FROM {source.table}) c "
+                                     f"(SELECT CASE {case} END AS chunk_no, {k} FROM {source.table}{f' WHERE {where}' if where else ''}) c "
                                      f"WHERE chunk_no IS NOT NULL GROUP BY chunk_no").collect()
     found = {int(r[0]): (r[1], r[2]) for r in rows}
     return [found.get(i) for i in range(len(bounds))]
@@ -426,14 +437,15 @@ def chunked_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Se
                  include_rest: bool = False, replace: dict[str, str] | None = None,
                  partition_by: Mapping[str, str] | None = None, key: str | None = None,
                  key_splits: int = 1, bucket_by: tuple[int, Sequence[str]] | None = None,
-                 group_by: tuple[int, Sequence[str]] | None = None) -> DataFrame:
+                 group_by: tuple[int, Sequence[str]] | None = None, where: str | None = None) -> DataFrame:
     """First load cut into ``freq`` ranges of ``column`` from Jan 1 of
     ``start_year``; the last range is open-ended. A JDBC source is read with
     one partition (one bounded source statement) per range, all in one job.
     Rows before the first boundary or with NULL in ``column`` are loaded only
     with ``include_rest``. With a numeric ``key`` and ``key_splits`` > 1 every
-    JDBC chunk is also cut into key strides (``chunk_predicates``), so a large
-    chunk is read by several tasks. Returns the load report: loaded rows per
+    JDBC chunk is also cut into key strides of about equal counts, so a large
+    chunk is read by several tasks. ``where`` (the source's SQL) closes a JDBC read
+    and all its counts, e.g. by a high-water mark. Returns the load report: loaded rows per
     chunk (``chunk_report``) and, unless ``include_rest``, one row with the
     number of source rows left out (``excluded_count``)."""
     bounds = chunk_list(spark, start_year, freq, until)
@@ -444,18 +456,21 @@ def chunked_load(spark: SparkSession, source: DataFrame | JdbcTable, columns: Se
             frame = frame.where(F.col(f"`{column}`") >= first)
         frame = replace_fields(frame, replace)
     else:
-        ranges = (chunk_key_ranges(spark, source, column, key, bounds)
-                  if key is not None and key_splits > 1 else None)
-        preds = chunk_predicates(source, column, bounds, include_rest=include_rest, key=key,
-                                 key_ranges=ranges, key_splits=key_splits)
-        frame = source_frame(spark, source, columns, replace=replace, predicates=preds)
+        from tidecopy.sources.splits import even_cuts
+
+        cuts = None
+        if key is not None and key_splits > 1:
+            ranges = chunk_key_ranges(spark, source, column, key, bounds, where)
+            cuts = even_cuts(spark, source, key, key_splits, ranges=ranges, slices=chunk_conditions(source, column, bounds), where=where)
+        preds = chunk_predicates(source, column, bounds, include_rest=include_rest, key=key, key_cuts=cuts)
+        frame = source_frame(spark, source, columns, replace=replace, where=where, predicates=preds)
     write_swap(with_partitions(conform(frame, columns), partition_by), target,
                partition_by=list(partition_by or ()), bucket_by=bucket_by, group_by=group_by)
     tcol = next(c.target_name for c in columns if c.source_name.lower() == column.lower())
     report = chunk_report(spark.table(quoted(target)), tcol, freq, bounds[0][0], bounds[-1][0])
     if include_rest:
         return report
-    return report.unionByName(excluded_count(spark, source, column, bounds[0][0]))
+    return report.unionByName(excluded_count(spark, source, column, bounds[0][0], where))
 
 
 def chunk_report(df: DataFrame, column: str, freq: str, first: dt.datetime, last: dt.datetime) -> DataFrame:
@@ -465,7 +480,8 @@ def chunk_report(df: DataFrame, column: str, freq: str, first: dt.datetime, last
     return df.groupBy(lo.alias("chunk_lo")).agg(F.count(F.lit(1)).alias("n"), F.lit(True).alias("loaded"))
 
 
-def excluded_count(spark: SparkSession, source: DataFrame | JdbcTable, column: str, first: dt.datetime) -> DataFrame:
+def excluded_count(spark: SparkSession, source: DataFrame | JdbcTable, column: str, first: dt.datetime,
+                   where: str | None = None) -> DataFrame:
     """One report row ``(NULL, n, false)``: source rows a chunked load leaves
     out (before the first boundary, or NULL in the chunk column), counted by
     the source for a JDBC table, by a one-column aggregate otherwise."""
@@ -478,7 +494,8 @@ def excluded_count(spark: SparkSession, source: DataFrame | JdbcTable, column: s
 
         q = source.quote(column)
         counted = jdbc_query(spark, source, f"SELECT count(*) AS n FROM {source.table} "
-                                            f"WHERE {q} < {source.literal(first)} OR {q} IS NULL")
+                                            f"WHERE ({q} < {source.literal(first)} OR {q} IS NULL)"
+                                            + (f" AND ({where})" if where else ""))
     return counted.select(F.lit(None).cast("timestamp_ntz").alias("chunk_lo"), F.col("n").cast("bigint").alias("n"),
                           F.lit(False).alias("loaded"))
 
