@@ -41,7 +41,7 @@ def _find(df: DataFrame, name: str) -> str | None:
 
 def count_check(source: DataFrame, target: DataFrame, watermarks: Mapping[str, str] | None, *,
                 now: dt.datetime | None = None, cutoff_column: str = "created_at",
-                tolerance: int = 1000, source_counter=None) -> DataFrame:
+                tolerance: int = 1000, source_counter=None, target_counter=None) -> DataFrame:
     """One row ``(rule, cutoff, source_n, target_n, ok)``.
 
     * a datetime watermark named ``cutoff_column``: rows up to the cutoff (half an
@@ -52,7 +52,8 @@ def count_check(source: DataFrame, target: DataFrame, watermarks: Mapping[str, s
 
     The two counts are two one-row aggregates joined side by side.
     ``source_counter(column, upto)`` may supply the source count as a one-row
-    DataFrame ``n`` computed elsewhere (e.g. by the source database)."""
+    DataFrame ``n`` computed elsewhere (e.g. by the source database), and
+    ``target_counter`` likewise the target's (e.g. from a ledger)."""
     watermarks = dict(watermarks or {})
     dt_cols = [c for c, kind in watermarks.items() if kind == "datetime"]
     spark = source.sparkSession
@@ -63,13 +64,13 @@ def count_check(source: DataFrame, target: DataFrame, watermarks: Mapping[str, s
             raise ValueError(f"target has no column {cutoff_column!r}")
         s = (source_counter(cutoff_column, cutoff) if source_counter else
              row_count(source, cutoff_column, cutoff)).withColumnRenamed("n", "source_n")
-        t = row_count(target, tcol, cutoff).withColumnRenamed("n", "target_n")
+        t = (target_counter(tcol, cutoff) if target_counter else row_count(target, tcol, cutoff)).withColumnRenamed("n", "target_n")
         return s.crossJoin(t).select(
             F.lit("cutoff").alias("rule"), typed_lit(cutoff, "timestamp_ntz").alias("cutoff"),
             "source_n", "target_n", (F.col("target_n") >= F.col("source_n")).alias("ok"))
     if not watermarks:
         s = (source_counter(None, None) if source_counter else row_count(source)).withColumnRenamed("n", "source_n")
-        t = row_count(target).withColumnRenamed("n", "target_n")
+        t = (target_counter(None, None) if target_counter else row_count(target)).withColumnRenamed("n", "target_n")
         return s.crossJoin(t).select(
             F.lit("tolerance").alias("rule"), F.lit(None).cast("timestamp_ntz").alias("cutoff"),
             "source_n", "target_n", (F.col("target_n") + F.lit(tolerance) >= F.col("source_n")).alias("ok"))

@@ -24,6 +24,7 @@ from tidecopy.operators.project import conform, replace_fields
 from tidecopy.operators.typemap import MappedColumn, mapped_columns
 from tidecopy.sources.catalog import catalog_from_frames, column_catalog, jdbc_catalog, tables_from_frames
 from tidecopy.sources.jdbc import JdbcTable, jdbc_count, key_range
+from tidecopy.sources import counts, groups
 from tidecopy.sources.splits import closed_by, high_water
 from tidecopy.sources.target import (
     chunked_load, ensure_table, full_load, hold, merge_into_target, quoted, source_frame,
@@ -119,12 +120,13 @@ def replicate_table(spark: SparkSession, spec: TableSpec, source: DataFrame | Jd
     """Replicate one table; returns its status (see ``STATUS_SCHEMA``). The run holds the
     target's lease: a second run of the table waits up to ``lease_wait`` seconds for it,
     then raises ``LeaseHeld``."""
-    with hold(spark, spec.target, wait=lease_wait):
-        return _replicate(spark, spec, source, run_date=run_date, now=now, catalog=catalog, tables=tables, until=until,
+    with hold(spark, spec.target, wait=lease_wait) as lease:
+        return _replicate(spark, spec, source, lease, run_date=run_date, now=now, catalog=catalog, tables=tables, until=until,
                           raise_on_check=raise_on_check)
 
 
-def _replicate(spark, spec, source, *, run_date, now, catalog, tables, until, raise_on_check) -> dict:
+def _replicate(spark, spec, source, lease, *, run_date, now, catalog, tables, until, raise_on_check) -> dict:
+    lease.published.clear()
     now = now or dt.datetime.now()
     until = until or now
     columns = spec_columns(spark, spec, source, catalog, tables)
@@ -156,15 +158,21 @@ def _replicate(spark, spec, source, *, run_date, now, catalog, tables, until, ra
             full_load(spark, source, columns, target, **common)
             status["excluded"] = 0
 
+    # the target's counts as the last run left them; None if something else wrote since
+    cutoff = spec.count_cutoff_column if dict(spec.source_merge_columns).get(spec.count_cutoff_column) == "datetime" else None
+    cutoff = next((c.target_name for c in columns if cutoff and c.source_name.lower() == cutoff.lower()), None)
+    known = None if created else counts.ledger(spark, spark.table(tname), lease, cutoff)
+
     if spec.load_type == "merge":
         current = spark.table(tname)
-        has_rows = bool(current.limit(1).count())
+        before = known.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] if known is not None else None
+        has_rows = before > 0 if before is not None else bool(current.limit(1).count())
         if has_rows:
             keys = _target_keys(spec, columns)
             stored = stored_key_max(spark, target, keys[0])
             km = (_typed_key(stored, current.schema[keys[0]].dataType) if stored is not None
                   else key_max(current, keys[0]))
-            before = current.count()
+            before = current.count() if before is None else before
             since = lookback_start(run_date, spec.lookback_days)
             watermarks = dict(spec.source_merge_columns)
             replace = dict(spec.replace_fields_to)
@@ -185,9 +193,6 @@ def _replicate(spark, spec, source, *, run_date, now, catalog, tables, until, ra
             new_max = _larger(km, merged.get("key_max"))
             store_key_max(spark, target, keys[0], new_max)
             status["path"] = "merge"
-            # a merge never deletes; without a write there is nothing to count again
-            if merged["written"] and (after := spark.table(tname).count()) < before:
-                raise CountCheckError(f"{status['table_name']}: the merge left {after} of {before} rows")
         else:
             first_load()
             status["path"] = "first_load"
@@ -195,16 +200,22 @@ def _replicate(spark, spec, source, *, run_date, now, catalog, tables, until, ra
         first_load()
         status["path"] = "truncate"
 
+    if status["path"] != "merge" or status["written"] or known is None:
+        partition_columns = [groups.GROUP] if spec.group_rows else list(parts)
+        # what the merge replaced is counted in the version it wrote, the rest is taken over
+        known = counts.update(spark, spark.table(tname), lease, cutoff, partition_columns, known if status["path"] == "merge" else None)
+    total = known.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] if known is not None else spark.table(tname).count()
     if status["path"] != "merge":
-        loaded = spark.table(tname).count()
-        status.update(rows_read=loaded, rows_written=loaded, written=True)
+        status.update(rows_read=total, rows_written=total, written=True)
+    elif total < before:  # a merge never deletes
+        raise CountCheckError(f"{status['table_name']}: the merge left {total} of {before} rows")
     src_frame = source_frame(spark, source, columns)
     counter = None
     if isinstance(source, JdbcTable):  # count in the source, do not pull rows
         counter = lambda col, upto: jdbc_count(spark, source, col, upto, closed)
     check = count_check(src_frame, spark.table(tname), dict(spec.source_merge_columns), now=now,
                         cutoff_column=spec.count_cutoff_column, tolerance=spec.count_tolerance,
-                        source_counter=counter).first()
+                        source_counter=counter, target_counter=counts.counter(known) if known is not None else None).first()
     status.update(check_rule=check["rule"], source_n=check["source_n"], target_n=check["target_n"],
                   ok=check["ok"])
     if raise_on_check and not check["ok"]:

@@ -127,7 +127,7 @@ def drop_target(spark: SparkSession, name: str) -> bool:
         existed = target_exists(spark, name)
         spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
         if lease.files is not None:
-            for part in ("v", "index", "publish", "retired", "shape"):
+            for part in ("v", "index", "counts", "publish", "retired", "shape"):
                 lease.files.delete(f"{lease.root}/{part}")
     return existed
 
@@ -200,6 +200,7 @@ def _publish(spark: SparkSession, name: str, lease: Lease, path: str, shape: dic
     if lease.files is not None:
         lease.files.write(f"{lease.root}/publish/{version}", json.dumps(note))
     _switch(spark, name, lease, note)
+    lease.published.append((path, partitions))
 
 
 def _switch(spark: SparkSession, name: str, lease: Lease, note: dict) -> None:
@@ -697,6 +698,7 @@ def append_target(df: DataFrame, name: str, columns: Sequence[str] | None = None
     derived = {c: expressions[c.lower()] for c in parts if c.lower() not in have}
     out = with_partitions(out, derived).select(
         *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.schema.fields])
-    with hold(spark, name):
+    with hold(spark, name) as lease:
+        lease.published.clear()             # the run's versions are no longer all there is
         out.write.insertInto(quoted(name))
         _forget_key_max(spark, name)        # appended rows may raise it

@@ -114,6 +114,7 @@ class Lease:
     fence: int
     seconds: float
     run: str = field(default_factory=lambda: uuid.uuid4().hex[:8])
+    published: list = field(default_factory=list)      # (folder, only its partitions) of this run
     _stop: threading.Event = field(default_factory=threading.Event)
     _made: int = 0
 
