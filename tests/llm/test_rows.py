@@ -123,6 +123,16 @@ def test_shards_whole_table(spark, sf_mid):
     assert kd_shards(docs(spark, [])).collect() == []
 
 
+def test_shards_tell_sources_with_a_long_common_prefix_apart(spark):
+    names = [f"https://www.example.org/a/very/long/path/site{i:02d}" for i in range(50)]
+    rows = [(i, f"{i:08d}", names[i % 50]) for i in range(4000)]          # texts of one size, one language
+    got = kd_shards(docs(spark, rows).repartition(5), 8).collect()
+    load = check_shards(rows, got, 8)
+    assert max(load.values()) <= 1.1 * min(load.values())
+    # cuts lie between sources, or inside one: 7 cuts divide at most 7 sources
+    assert len({(names[r.doc_id % 50], r.shard) for r in got}) <= 50 + 7
+
+
 def test_shards_repeated_rows(spark):
     """Rows that share id and text, a third of the bytes, are spread as other copies are."""
     rnd = random.Random(21)

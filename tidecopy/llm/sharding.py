@@ -17,17 +17,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidecopy.llm._store import Stage, shuffle_width
+from tidecopy.llm._store import Stage, shuffle_width, small
 
 BUCKETS = 1024
 DIMENSIONS = ("d_size", "d_source", "d_lang")
 PART_OF_SHARD = 16      # a group of equal texts over this part of a shard's bytes is spread
 
 
-def _code(col: str) -> Column:
-    """A string's first 7 bytes as a number, in the string's order; null is -1."""
-    head = F.rpad(F.hex(F.substring(F.encode(F.col(col).cast("string"), "utf-8"), 1, 7)), 14, "0")
-    return F.coalesce(F.conv(head, 16, 10).cast("long"), F.lit(-1).cast("long"))
+def _ranks(meta: DataFrame, col: str, stage: Stage) -> tuple[DataFrame, int]:
+    """Each value of ``col`` with its rank among the distinct values, in the order of their
+    bytes, whatever their length; and how many there are. Sorted by range partitions."""
+    apart = stage.write(meta.where(F.col(col).isNotNull()).select(col).distinct()
+                        .repartitionByRange(shuffle_width(meta.sparkSession), col).withColumn("part", F.spark_partition_id()))
+    sizes = apart.groupBy("part").agg(F.count(F.lit(1)).alias("n"))         # a row per range partition
+    first = sizes.select(F.col("part").alias("f_part"), F.coalesce(F.sum("n").over(
+        Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
+    inside = F.row_number().over(Window.partitionBy("part").orderBy(col)) - 1
+    ranks = apart.withColumn("inside", inside).join(F.broadcast(first), F.col("part") == F.col("f_part"))
+    ranks = stage.write(ranks.select(F.col(col).alias(f"v_{col}"), (F.col("first") + F.col("inside")).alias(f"d_{col}")))
+    return ranks, apart.count()
 
 
 def _points(docs: DataFrame, stage: Stage, n_shards: int, id_col: str, text_col: str, source_col: str, lang_col: str) -> DataFrame:
@@ -38,7 +46,13 @@ def _points(docs: DataFrame, stage: Stage, n_shards: int, id_col: str, text_col:
         F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("t1"), F.xxhash64(text, F.lit("shard")).alias("t2"),
         F.xxhash64(F.col(id_col).cast("string"), text, F.lit("row")).alias("r"),
-        _code(source_col).alias("d_source"), _code(lang_col).alias("d_lang"), F.spark_partition_id().alias("p")))
+        F.col(source_col).cast("string").alias("source"), F.col(lang_col).cast("string").alias("lang"),
+        F.spark_partition_id().alias("p")))
+    for col in ("source", "lang"):
+        ranks, n = _ranks(meta, col, stage)
+        meta = (meta.join(small(ranks, n), F.col(col) == F.col(f"v_{col}"), "left").drop(col, f"v_{col}")
+                .withColumn(f"d_{col}", F.coalesce(f"d_{col}", F.lit(-1).cast("long"))))
+    meta = stage.write(meta)
     total = meta.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     most = max(1, total // (n_shards * PART_OF_SHARD))
     groups = (meta.groupBy("t1", "t2").agg(F.sum("size").alias("w"), F.count(F.lit(1)).alias("n"),
