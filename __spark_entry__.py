@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecopy import ChunkSpec, TableSpec
-from tidecopy.functions import lookback_start, null_cells
+from tidecopy.functions import lookback_start, null_cells, text_cells
 from tidecopy.operators import (
     catalog_of, chunk_grid, column_pairs, condition_met, conform, count_check, ddl_report,
     duplicate_keys, has_rows, in_chunk, incremental_filter, key_max, map_types, mapped_columns,
@@ -215,6 +215,12 @@ def q_null_cells(spark, sf_dir):
     return null_cells(raw)
 
 
+def q_text_cells(spark, sf_dir):
+    events = _t(spark, sf_dir, "events")
+    raw = events.withColumn("value", F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("value")))
+    return text_cells(raw.select("event_id", "ts", "event_type", "value"))
+
+
 # ---------------------------------------------------------------- loads
 
 def q_full_load(spark, sf_dir):
@@ -462,6 +468,7 @@ _QUERIES = {
     "conform_wide_types": q_conform_wide_types,
     "replace_fields": q_replace_fields,
     "null_cells": q_null_cells,
+    "text_cells": q_text_cells,
     "full_load": q_full_load,
     "chunked_load": q_chunked_load,
     "chunked_load_rest": q_chunked_load_rest,
@@ -643,6 +650,10 @@ _ORACLES = {
       FROM lineitem""",
     "replace_fields": """
       SELECT c_custkey, sha256(c_name) AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",
+    "text_cells": """
+      SELECT CAST(event_id AS VARCHAR) AS event_id,
+             CASE WHEN date_trunc('second', ts) = ts THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS ts,
+             event_type, CASE WHEN event_type <> 'error' OR event_type IS NULL THEN CAST(value AS VARCHAR) END AS value FROM events""",
     "null_cells": """
       SELECT event_id, ts, user_id, event_type,
              CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value, props

@@ -35,3 +35,23 @@ def test_count_check_rules(spark):
     assert count_check(src, tgt, None).first()["ok"] is True
     r = count_check(src, tgt, {"id": "int"}).first()
     assert (r["rule"], r["ok"], r["source_n"]) == ("none", True, None)
+
+
+def test_text_cells(spark):
+    from tidecopy.functions import text_cells
+    rows = [(1, D(2001, 7, 1, 12, 30), float("nan"), "a'b", True, [1, 2], dt.date(2020, 2, 29)),
+            (None, D(2001, 7, 1, 12, 30, 5, 1200), 2.5, None, None, None, None), (3, None, None, "", False, [], None)]
+    df = spark.createDataFrame(rows, "`a.b` long, t timestamp_ntz, x double, s string, f boolean, l array<int>, d date")
+    out = text_cells(df)
+    assert out.columns == df.columns and {f.dataType.simpleString() for f in out.schema} == {"string"}
+    assert [tuple(r) for r in out.collect()] == [
+        ("1", "2001-07-01T12:30:00", None, "a'b", "true", "[1,2]", "2020-02-29"),
+        (None, "2001-07-01T12:30:05.001200", "2.5", None, None, None, None), ("3", None, None, "", "false", "[]", None)]
+
+
+def test_column_pairs_refuses_several_tables(spark):
+    from tidecopy.operators import catalog_of, column_pairs
+    one = spark.createDataFrame([(1, 2)], "a long, b long")
+    two = catalog_of(one, "s", "t").unionAll(catalog_of(one, "s", "u"))
+    with pytest.raises(ValueError, match="one table"):
+        column_pairs(two, catalog_of(one.toDF("A", "B"), "r", "T"))

@@ -1,6 +1,6 @@
 """Scalar helpers: run-date arithmetic, chunk grids, cell rules."""
 
-from tidecopy.functions.cells import null_cells
+from tidecopy.functions.cells import iso_text, null_cells, text_cells
 from tidecopy.functions.timeparts import (
     chunk_start,
     count_cutoff,
@@ -10,6 +10,6 @@ from tidecopy.functions.timeparts import (
 )
 
 __all__ = [
-    "null_cells", "chunk_start", "count_cutoff",
+    "null_cells", "text_cells", "iso_text", "chunk_start", "count_cutoff",
     "lookback_start", "parse_freq", "typed_lit",
 ]

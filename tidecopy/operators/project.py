@@ -18,7 +18,8 @@ def column_pairs(source_catalog: DataFrame, target_catalog: DataFrame) -> DataFr
 
     Both catalogs carry ``ordinal_position`` and ``column_name``; positions are
     renumbered 1..n per side (so a dropped unknown-type column does not shift
-    the pairing) and joined. Raises when the two sides differ in length."""
+    the pairing) and joined. Raises when the two sides differ in length, or when
+    a catalog holds several tables (their positions would pair across tables)."""
     from pyspark.sql import Window
 
     def numbered(cat: DataFrame, name: str) -> DataFrame:
@@ -27,9 +28,13 @@ def column_pairs(source_catalog: DataFrame, target_catalog: DataFrame) -> DataFr
 
     src, tgt = numbered(source_catalog, "source_name"), numbered(target_catalog, "target_name")
     pairs = src.join(tgt, "ord", "full_outer")
-    missing = pairs.where(F.col("source_name").isNull() | F.col("target_name").isNull()).limit(1).collect()
-    if missing:
-        raise ValueError(f"source and target column lists differ in length (first gap at {missing[0]['ord']})")
+    gap = F.col("source_name").isNull() | F.col("target_name").isNull()
+    seen = pairs.agg(F.min(F.when(gap, F.col("ord"))).alias("gap"), F.count(F.lit(1)).alias("n"),
+                     F.countDistinct("ord").alias("places")).first()
+    if seen["n"] > seen["places"]:
+        raise ValueError("column_pairs takes one table on each side: narrow the catalogs (see column_catalog)")
+    if seen["gap"] is not None:
+        raise ValueError(f"source and target column lists differ in length (first gap at {seen['gap']})")
     return pairs.select("ord", "source_name", "target_name")
 
 
