@@ -19,14 +19,15 @@ from pyspark.sql import functions as F
 from tidecopy import ChunkSpec, TableSpec
 from tidecopy.functions import lookback_start, null_cells, text_cells
 from tidecopy.operators import (
-    catalog_of, chunk_grid, column_pairs, condition_met, conform, count_check, ddl_report,
+    catalog_of, chunk_grid, chunk_list, column_pairs, condition_met, conform, count_check, ddl_report,
     duplicate_keys, has_rows, in_chunk, incremental_filter, key_max, map_types, mapped_columns,
     merge_upsert, replace_fields, unknown_types,
 )
 from tidecopy.plans import replicate_all, replicate_table
 from tidecopy.session import checkpoint_dir, local_frame, remove_path
 from tidecopy.sources import (
-    CATALOG_SCHEMA, JdbcTable, append_jdbc, append_target, catalog_from_frames, chunked_load, column_catalog,
+    CATALOG_SCHEMA, JdbcTable, append_jdbc, append_target, catalog_from_frames, chunk_report, chunked_load,
+    column_catalog,
     drop_target, ensure_table, full_load, jdbc_scan, load_tsv, run_sql, tables_from_frames, truncate_load,
     write_swap, write_tsv,
 )
@@ -267,6 +268,20 @@ def q_chunk_bounds(spark, sf_dir):
     return chunk_grid(span, F.col("start"), F.col("until"), "MS")
 
 
+CHUNK_ALIASES = ("2W-MON", "QS-FEB", "BME", "3B", "YE-JUN", "SMS", "WOM-2TUE", "1D12h")
+
+
+def q_chunk_grids(spark, sf_dir):
+    """Orders per chunk of eight kinds of grids (multiples, anchors, period ends, business days)."""
+    orders, until = _t(spark, sf_dir, "orders"), dt.datetime(2001, 8, 15)
+    parts = []
+    for alias in CHUNK_ALIASES:
+        bounds = chunk_list(spark, 1995, alias, until)
+        parts.append(chunk_report(orders, "o_orderdate", alias, bounds[0][0], bounds[-1][0])
+                     .select(F.lit(alias).alias("freq"), "chunk_lo", "n"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q_truncate_load(spark, sf_dir):
     nation = _t(spark, sf_dir, "nation")
     cols = _mapped(spark, "nation", nation)
@@ -475,6 +490,7 @@ _QUERIES = {
     "chunk_rows": q_chunk_rows,
     "chunked_load_weekly": q_chunked_load_weekly,
     "chunk_bounds": q_chunk_bounds,
+    "chunk_grids": q_chunk_grids,
     "truncate_load": q_truncate_load,
     "ensure_table": q_ensure_table,
     "drop_target": q_drop_target,
@@ -689,6 +705,25 @@ _ORACLES = {
                    (SELECT date_trunc('year', min(o_orderdate))::TIMESTAMP FROM orders),
                    (SELECT max(o_orderdate) FROM orders), INTERVAL 1 MONTH)) AS lo)
       SELECT lo, lead(lo) OVER (ORDER BY lo) AS hi FROM g""",
+    "chunk_grids": """
+      WITH days AS (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-15', INTERVAL 1 DAY)) AS d),
+           worked AS (SELECT d, row_number() OVER (ORDER BY d) - 1 AS i,
+                             d = max(d) OVER (PARTITION BY date_trunc('month', d)) AS last_one
+                      FROM (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-31', INTERVAL 1 DAY)) AS d)
+                      WHERE isodow(d) < 6),
+           points AS (
+             SELECT '2W-MON' AS freq, d AS lo FROM days WHERE isodow(d) = 1 AND date_diff('day', TIMESTAMP '1995-01-02', d) % 14 = 0
+             UNION ALL SELECT 'QS-FEB', d FROM days WHERE day(d) = 1 AND month(d) IN (2, 5, 8, 11)
+             UNION ALL SELECT 'BME', d FROM worked WHERE last_one AND d <= TIMESTAMP '2001-08-15'
+             UNION ALL SELECT '3B', d FROM worked WHERE i % 3 = 0 AND d <= TIMESTAMP '2001-08-15'
+             UNION ALL SELECT 'YE-JUN', d FROM days WHERE month(d) = 6 AND day(d) = 30
+             UNION ALL SELECT 'SMS', d FROM days WHERE day(d) IN (1, 15)
+             UNION ALL SELECT 'WOM-2TUE', d FROM days WHERE isodow(d) = 2 AND day(d) BETWEEN 8 AND 14
+             UNION ALL SELECT '1D12h', unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-15', INTERVAL 36 HOUR))),
+           placed AS (SELECT f.freq, o.o_orderdate FROM orders o, (SELECT DISTINCT freq FROM points) f)
+      SELECT a.freq, p.lo AS chunk_lo, count(*) AS n
+      FROM placed a ASOF LEFT JOIN points p ON a.freq = p.freq AND a.o_orderdate >= p.lo
+      GROUP BY a.freq, p.lo""",
     "truncate_load": """
       SELECT CAST(n_nationkey AS DECIMAL(11,0)) AS "N_NATIONKEY", n_name AS "N_NAME",
              CAST(n_regionkey AS DECIMAL(11,0)) AS "N_REGIONKEY"

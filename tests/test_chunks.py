@@ -92,3 +92,48 @@ def test_watermark_or_reaches_the_parquet_scan(spark, sf_small):
     plan = delta.select("o_orderkey")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [Or(GreaterThanOrEqual(o_orderdate,2001-06-28T00:00),GreaterThanOrEqual(o_orderkey,1400))]" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
+
+
+ALIASES = ["D", "3D", "h", "6h", "1D12h", "1.5h", "90min", "45s", "B", "3B", "W", "W-MON", "2W-MON", "3W-FRI", "MS", "2MS", "ME",
+           "5ME", "BMS", "BME", "2BME", "QS", "QS-FEB", "2QS-MAR", "QE", "QE-JAN", "BQS", "BQS-FEB", "BQE", "2BQE-NOV", "YS",
+           "YS-APR", "2YS-APR", "YE", "YE-JUN", "BYS", "BYS-MAY", "BYE", "2BYE-SEP", "SMS", "SME", "3SMS", "3SME", "WOM-1MON",
+           "WOM-2TUE", "2WOM-4SUN"]
+
+
+@pytest.mark.parametrize("until", [D(2003, 3, 31), D(2004, 2, 29, 13, 5), D(2002, 12, 15), D(2002, 1, 1), D(2006, 7, 2, 0, 0, 1)])
+def test_grids_equal_pandas(spark, until):
+    """230 grids: every alias from Jan 1 (a Tuesday, in 2002) to dates of many kinds."""
+    import pandas as pd
+
+    from tidecopy.functions.timeparts import grid_points
+
+    upto = {a: min(until, D(2002, 2, 3, 4, 5, 6)) if a in ("h", "1.5h", "90min", "45s") else until for a in ALIASES}
+    lit = lambda t: F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
+    row = spark.range(1).select(*[grid_points(lit(D(2002, 1, 1)), lit(upto[a]), parse_freq(a)).alias(a) for a in ALIASES]).first()
+    for a in ALIASES:
+        assert (row[a] or []) == [t.to_pydatetime() for t in pd.date_range(D(2002, 1, 1), upto[a], freq=a)], a
+
+
+@pytest.mark.parametrize("start", [D(2000, 1, 1), D(2003, 2, 28)])
+def test_values_fall_into_the_grid_pandas_gives(spark, start):
+    import bisect
+
+    import pandas as pd
+
+    step = spark.range(0, 1500).select((F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz")
+                                        + F.make_dt_interval(F.col("id").cast("int") - 20, (F.col("id") % 24).cast("int"),
+                                                             F.lit(0), F.lit("7.250001").cast("decimal(18,6)"))).alias("ts"))
+    todo = [a for a in ALIASES if a != "45s"]
+    grids = {a: [t.to_pydatetime() for t in pd.date_range(start, start + dt.timedelta(days=1100), freq=a)] for a in todo}
+    rows = step.select("ts", *[chunk_start("ts", a, grids[a][0], grids[a][-1]).alias(a) for a in todo]).collect()
+    for r in rows:
+        for a in todo:
+            i = bisect.bisect_right(grids[a], r["ts"]) - 1
+            assert r[a] == (grids[a][i] if i >= 0 else None), (a, r["ts"])
+
+
+@pytest.mark.parametrize("alias", ["", "0D", "00MS", "W-FOO", "MS-JAN", "QS-13", "C", "bh", "1.5MS", "WOM-5MON", "LWOM-FRI", "10ms",
+                                   "0.5s", "-1D", None])
+def test_unsupported_aliases(alias):
+    with pytest.raises(ValueError, match="unsupported freq"):
+        parse_freq(alias)

@@ -11,7 +11,7 @@ from typing import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecopy.functions.timeparts import Freq, first_boundary, parse_freq, typed_lit
+from tidecopy.functions.timeparts import Freq, grid_points, parse_freq, typed_lit
 
 
 def watermark_predicate(df: DataFrame, watermarks: Mapping[str, str], since: dt.datetime,
@@ -69,8 +69,7 @@ def chunk_grid(frame: DataFrame, start: Column, until: Column, freq: Freq | str)
     the last chunk is open (hi NULL). No window: the grid is an array, and
     each point's successor is the next element."""
     freq = parse_freq(freq) if isinstance(freq, str) else freq
-    lo, hi = first_boundary(start.cast("timestamp_ntz"), freq), until.cast("timestamp_ntz")
-    seq = F.when(lo <= hi, F.sequence(lo, hi, F.expr(f"INTERVAL {freq.interval}")))  # NULL: no chunk
+    seq = grid_points(start.cast("timestamp_ntz"), until.cast("timestamp_ntz"), freq)  # NULL or empty: no chunk
     return (frame.select(seq.alias("_grid"))
             .select("_grid", F.posexplode("_grid").alias("_i", "lo"))
             .select("lo", F.try_element_at("_grid", F.col("_i") + F.lit(2)).alias("hi")))
