@@ -9,6 +9,7 @@ a day), never from an id subset. All times are fixed parameters.
 from __future__ import annotations
 
 import datetime as dt
+import struct
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecopy import ChunkSpec, TableSpec
-from tidecopy.functions import lookback_start, null_cells, text_cells
+from tidecopy.functions import geometry_srid, lookback_start, null_cells, text_cells
 from tidecopy.operators import (
     catalog_of, chunk_grid, chunk_list, column_pairs, condition_met, conform, count_check, ddl_report,
     duplicate_keys, has_rows, in_chunk, incremental_filter, key_max, map_types, mapped_columns,
@@ -199,6 +200,42 @@ def q_conform_wide_types(spark, sf_dir):
     return conform(lineitem, cols)
 
 
+def _stored_shapes(orders: DataFrame) -> DataFrame:
+    """Orders with a shape as a MySQL table stores it: SRID, then well-known binary of every
+    kind in both byte orders, its points made of the keys in half units. No shape for urgent orders."""
+    little = F.col("_little")
+    u32 = lambda n: F.when(little, struct.pack("<I", n).hex()).otherwise(struct.pack(">I", n).hex())
+
+    # the bytes of the double v / 2, greatest first
+    double = ("lpad(hex(CASE WHEN v = 0 THEN 0L ELSE shiftleft(cast(length(bin(abs(v))) + 1021 AS bigint), 52)"
+              " | (shiftleft(abs(v), 53 - length(bin(abs(v)))) & 4503599627370495L)"
+              " | (CASE WHEN v < 0 THEN shiftleft(1L, 63) ELSE 0L END) END), 16, '0')")
+    turned = lambda h: F.concat(*[F.substring(h, i, 2) for i in range(15, 0, -2)])
+    units = F.array(*[F.expr(e) for e in ("_a", "_b", "_a + 1", "_a + 2", "_b + 3")])
+    orders = (orders.withColumns({"_little": F.expr("o_orderkey div 8 % 2 = 1"), "_a": F.expr("o_custkey % 2000 - 1000"),
+                                  "_b": F.expr("o_orderkey % 1000 - 500")})
+              .withColumn("_n", units).withColumn("_n", F.expr(f"transform(_n, v -> {double})"))
+              .withColumn("_n", F.when(little, F.transform("_n", turned)).otherwise(F.col("_n"))))
+    p, q, r = (F.concat(F.col("_n")[i], F.col("_n")[j]) for i, j in ((0, 1), (1, 2), (3, 4)))
+    kind = lambda n, *parts: F.concat(F.when(little, "01").otherwise("00"), u32(n), *parts)
+    orders = orders.withColumns({"_p": p, "_q": q, "_r": r})
+    p, q, r = F.col("_p"), F.col("_q"), F.col("_r")
+    point, line, polygon = kind(1, p), kind(2, u32(2), p, q), kind(3, u32(1), u32(4), p, q, r, p)
+    shapes = [kind(7, u32(0)), point, line, polygon, kind(4, u32(2), point, kind(1, q)), kind(5, u32(2), line, kind(2, u32(2), q, r)),
+              kind(6, u32(1), polygon), kind(7, u32(2), point, kind(7, u32(1), line))]
+    wkb = reduce(lambda rest, i: F.when(F.expr("o_orderkey % 8") == i, shapes[i]).otherwise(rest), range(7), shapes[7])
+    srid = F.when(F.col("o_orderstatus") == "O", "E6100000").otherwise("00000000")
+    return orders.withColumn("shape", F.when(F.col("o_orderpriority") != "1-URGENT", F.unhex(F.concat(srid, wkb))))
+
+
+def q_geometry_text(spark, sf_dir):
+    """Stored geometries loaded as text, by the column's type in the catalog."""
+    shapes = _stored_shapes(_t(spark, sf_dir, "orders")).select("o_orderkey", "shape", geometry_srid(F.col("shape")).alias("srid"))
+    rows = [("def", SOURCE_SCHEMA, "shapes", name, i + 1, kind, kind, None, None, None)
+            for i, (name, kind) in enumerate([("o_orderkey", "bigint"), ("shape", "geometry"), ("srid", "int")])]
+    return conform(shapes, mapped_columns(local_frame(spark, rows, CATALOG_SCHEMA)))
+
+
 def q_conform_types(spark, sf_dir):
     lineitem = _t(spark, sf_dir, "lineitem")
     return conform(lineitem, _mapped(spark, "lineitem", lineitem))
@@ -491,6 +528,7 @@ _QUERIES = {
     "chunked_load_weekly": q_chunked_load_weekly,
     "chunk_bounds": q_chunk_bounds,
     "chunk_grids": q_chunk_grids,
+    "geometry_text": q_geometry_text,
     "truncate_load": q_truncate_load,
     "ensure_table": q_ensure_table,
     "drop_target": q_drop_target,
@@ -724,6 +762,30 @@ _ORACLES = {
       SELECT a.freq, p.lo AS chunk_lo, count(*) AS n
       FROM placed a ASOF LEFT JOIN points p ON a.freq = p.freq AND a.o_orderdate >= p.lo
       GROUP BY a.freq, p.lo""",
+    "geometry_text": """
+      WITH v AS (SELECT *, o_custkey % 2000 - 1000 AS a, o_orderkey % 1000 - 500 AS b FROM orders),
+           c AS (SELECT *, unnest([a, b, a + 1, a + 2, b + 3]) AS n, unnest([1, 2, 3, 4, 5]) AS i FROM v),
+           t AS (SELECT o_orderkey, o_orderstatus, o_orderpriority,
+                        list(CASE WHEN n < 0 THEN '-' ELSE '' END || abs(n) // 2 || CASE WHEN abs(n) % 2 = 1 THEN '.5' ELSE '' END
+                             ORDER BY i) AS s
+                 FROM c GROUP BY ALL),
+           w AS (SELECT *, CASE WHEN o_orderstatus = 'O' THEN s[2] || ' ' || s[1] ELSE s[1] || ' ' || s[2] END AS p,
+                        CASE WHEN o_orderstatus = 'O' THEN s[3] || ' ' || s[2] ELSE s[2] || ' ' || s[3] END AS q,
+                        CASE WHEN o_orderstatus = 'O' THEN s[5] || ' ' || s[4] ELSE s[4] || ' ' || s[5] END AS r FROM t)
+      SELECT CAST(o_orderkey AS DECIMAL(20,0)) AS "O_ORDERKEY",
+             CASE WHEN o_orderpriority <> '1-URGENT' THEN
+               CASE o_orderkey % 8
+                 WHEN 0 THEN 'GEOMETRYCOLLECTION EMPTY' WHEN 1 THEN 'POINT(' || p || ')'
+                 WHEN 2 THEN 'LINESTRING(' || p || ',' || q || ')'
+                 WHEN 3 THEN 'POLYGON((' || p || ',' || q || ',' || r || ',' || p || '))'
+                 WHEN 4 THEN 'MULTIPOINT((' || p || '),(' || q || '))'
+                 WHEN 5 THEN 'MULTILINESTRING((' || p || ',' || q || '),(' || q || ',' || r || '))'
+                 WHEN 6 THEN 'MULTIPOLYGON(((' || p || ',' || q || ',' || r || ',' || p || ')))'
+                 ELSE 'GEOMETRYCOLLECTION(POINT(' || p || '),GEOMETRYCOLLECTION(LINESTRING(' || p || ',' || q || ')))' END
+             END AS "SHAPE",
+             CAST(CASE WHEN o_orderpriority <> '1-URGENT' THEN CASE WHEN o_orderstatus = 'O' THEN 4326 ELSE 0 END END
+                  AS DECIMAL(11,0)) AS "SRID"
+      FROM w""",
     "truncate_load": """
       SELECT CAST(n_nationkey AS DECIMAL(11,0)) AS "N_NATIONKEY", n_name AS "N_NAME",
              CAST(n_regionkey AS DECIMAL(11,0)) AS "N_REGIONKEY"

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidecopy.functions.geometry import GEOMETRY_TYPES, geometry_text
 from tidecopy.operators.typemap import MappedColumn
 from tidecopy.session import local_frame
 
@@ -59,6 +60,8 @@ def replace_fields(df: DataFrame, replacements: Mapping[str, str | Column] | Non
 def conform_column(src: Column, src_type: T.DataType, col: MappedColumn) -> Column:
     """Cast one source column to its stored type."""
     target = col.spark_type
+    if isinstance(src_type, T.BinaryType) and col.data_type in GEOMETRY_TYPES:
+        return geometry_text(src)  # stored bytes; a source's own select list gives text
     if target.startswith("decimal") and isinstance(src_type, T.BooleanType):
         src = src.cast("int")
     elif target.startswith("decimal") and isinstance(src_type, T.BinaryType):
