@@ -28,9 +28,8 @@ from tidecopy.plans import replicate_all, replicate_table
 from tidecopy.session import checkpoint_dir, local_frame, remove_path
 from tidecopy.sources import (
     CATALOG_SCHEMA, JdbcTable, append_jdbc, append_target, catalog_from_frames, chunk_report, chunked_load,
-    column_catalog,
-    drop_target, ensure_table, full_load, jdbc_scan, load_tsv, run_sql, tables_from_frames, truncate_load,
-    write_swap, write_tsv,
+    column_catalog, drop_target, ensure_table, full_load, jdbc_scan, load_tsv, postgres_catalog, postgres_columns, run_sql,
+    tables_from_frames, truncate_load, write_swap, write_tsv,
 )
 
 try:  # the subpackage may be absent; nothing else needs it
@@ -156,6 +155,13 @@ def q_type_map(spark, sf_dir):
                                   "target_type", "spark_type")
 
 
+def q_postgres_type_map(spark, sf_dir):
+    """The driver tables declared in a PostgreSQL source (widths measured), mapped by its rules."""
+    cols = postgres_columns(spark, {n: _t(spark, sf_dir, n) for n in TABLES}, table_schema=SOURCE_SCHEMA, measure=True)
+    return map_types(postgres_catalog(cols), dialect="postgresql").select(
+        "table_name", "column_name", "ordinal_position", "data_type", "column_type", "target_type", "load_expr", "spark_type")
+
+
 def q_unknown_types(spark, sf_dir):
     """Columns of unknown types, and how many rows of their table lose them."""
     cols, _ = _catalog(spark, sf_dir, measure=False)
@@ -513,6 +519,7 @@ _QUERIES = {
     "has_rows": q_has_rows,
     "column_catalog": q_column_catalog,
     "type_map": q_type_map,
+    "postgres_type_map": q_postgres_type_map,
     "unknown_types": q_unknown_types,
     "ddl_report": q_ddl_report,
     "column_pairs": q_column_pairs,
@@ -658,6 +665,25 @@ _ORACLES = {
       SELECT table_name, column_name, CAST(ordinal_position AS INTEGER) AS ordinal_position,
              {_SRC_TYPE} AS data_type, {_TARGET_TYPE} AS target_type, {_SPARK_TYPE} AS spark_type
       FROM {_COLS}""",
+    "postgres_type_map": f"""
+      WITH c AS (
+        SELECT table_name, column_name, CAST(ordinal_position AS INTEGER) AS ordinal_position, w,
+               CASE WHEN data_type = 'BIGINT' THEN 'bigint' WHEN data_type = 'INTEGER' THEN 'integer'
+                    WHEN data_type = 'DOUBLE' THEN 'double precision' WHEN data_type LIKE 'TIMESTAMP%' THEN 'timestamp without time zone'
+                    WHEN data_type LIKE '%[]' THEN 'ARRAY' WHEN w <= 10485760 THEN 'character varying' ELSE 'text' END AS data_type,
+               CASE data_type WHEN 'FLOAT[]' THEN 'real[]' WHEN 'DOUBLE[]' THEN 'double precision[]' END AS of_array
+        FROM {_COLS})
+      SELECT table_name, column_name, ordinal_position, data_type,
+             CASE data_type WHEN 'ARRAY' THEN of_array WHEN 'character varying' THEN 'character varying(' || w || ')'
+                  ELSE data_type END AS column_type,
+             CASE data_type WHEN 'bigint' THEN 'DECIMAL (20,0)' WHEN 'integer' THEN 'DECIMAL(11,0)' WHEN 'double precision' THEN 'DOUBLE'
+                  WHEN 'timestamp without time zone' THEN 'TIMESTAMP' WHEN 'character varying' THEN 'varchar(' || least(w, 2000000) || ')'
+                  ELSE 'varchar(2000000)' END AS target_type,
+             CASE data_type WHEN 'ARRAY' THEN 'cast(array_to_json("' || column_name || '") as text)'
+                  ELSE '"' || column_name || '"' END AS load_expr,
+             CASE data_type WHEN 'bigint' THEN 'decimal(20,0)' WHEN 'integer' THEN 'decimal(11,0)' WHEN 'double precision' THEN 'double'
+                  WHEN 'timestamp without time zone' THEN 'timestamp_ntz' ELSE 'string' END AS spark_type
+      FROM c""",
     "unknown_types": f"""
       SELECT 'shop' AS table_schema, table_name, column_name,
              CAST(ordinal_position AS INTEGER) AS ordinal_position, 'VECTOR' AS data_type,

@@ -12,7 +12,7 @@ from tidecopy.operators.project import (
     catalog_of, column_pairs, conform, replace_fields,
 )
 from tidecopy.operators.typemap import (
-    TYPE_RULES, MappedColumn, ddl_report, map_types, mapped_columns, unknown_types,
+    POSTGRES_RULES, TYPE_RULES, MappedColumn, ddl_report, map_types, mapped_columns, unknown_types,
 )
 
 __all__ = [
@@ -20,5 +20,5 @@ __all__ = [
     "chunk_bounds", "chunk_grid", "chunk_list", "in_chunk", "incremental_filter", "key_max",
     "watermark_predicate", "DuplicateKeyError", "duplicate_keys", "merge_upsert",
     "catalog_of", "column_pairs", "conform", "replace_fields",
-    "TYPE_RULES", "MappedColumn", "ddl_report", "map_types", "mapped_columns", "unknown_types",
+    "POSTGRES_RULES", "TYPE_RULES", "MappedColumn", "ddl_report", "map_types", "mapped_columns", "unknown_types",
 ]

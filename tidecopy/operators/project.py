@@ -62,7 +62,15 @@ def conform_column(src: Column, src_type: T.DataType, col: MappedColumn) -> Colu
     target = col.spark_type
     if isinstance(src_type, T.BinaryType) and col.data_type in GEOMETRY_TYPES:
         return geometry_text(src)  # stored bytes; a source's own select list gives text
-    if target.startswith("decimal") and isinstance(src_type, T.BooleanType):
+    if col.data_type == "BYTEA" and isinstance(src_type, T.BinaryType):
+        src = F.lower(F.hex(src))
+    elif col.data_type == "ARRAY" and isinstance(src_type, T.ArrayType):
+        src = F.to_json(src)
+    elif col.data_type == "TIMESTAMP WITH TIME ZONE" and isinstance(src_type, T.TimestampType):  # in UTC, whatever the session's zone
+        zero = F.lit(0)
+        since = (F.unix_micros(src).cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(6,6)")).cast("decimal(18,6)")
+        src = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, since)
+    elif target.startswith("decimal") and isinstance(src_type, T.BooleanType):
         src = src.cast("int")
     elif target.startswith("decimal") and isinstance(src_type, T.BinaryType):
         src = F.conv(F.hex(src), 16, 10)  # BIT(n) read as bytes

@@ -57,6 +57,59 @@ TYPE_RULES = (
     ("POLYGON", "GEOMETRY", "ST_AsText(`%COL%`)", "string", None),
     ("MULTIPOLYGON", "GEOMETRY", "ST_AsText(`%COL%`)", "string", None),
 )
+# The same for the type names of a PostgreSQL catalog (see
+# sources.postgres); %VLEN% is the declared length, or 2000000. Times with a zone are
+# stored in UTC, bytes as hex digits, arrays as JSON.
+POSTGRES_RULES = (
+    ("SMALLINT", "DECIMAL(5,0)", '"%COL%"', "decimal(5,0)", None),
+    ("INTEGER", "DECIMAL(11,0)", '"%COL%"', "decimal(11,0)", None),
+    ("BIGINT", "DECIMAL (20,0)", '"%COL%"', "decimal(20,0)", None),
+    ("OID", "DECIMAL(11,0)", 'cast("%COL%" as bigint)', "decimal(11,0)", None),
+    ("NUMERIC", None, '"%COL%"', None, None),
+    ("MONEY", "DECIMAL(19,2)", 'cast("%COL%" as numeric(19,2))', "decimal(19,2)", None),
+    ("REAL", "FLOAT", '"%COL%"', "double", None),
+    ("DOUBLE PRECISION", "DOUBLE", '"%COL%"', "double", None),
+    ("BOOLEAN", "BOOLEAN", '"%COL%"', "boolean", None),
+    ("DATE", "DATE", '"%COL%"', "date", None),
+    ("TIMESTAMP WITHOUT TIME ZONE", "TIMESTAMP", '"%COL%"', "timestamp_ntz", None),
+    ("TIMESTAMP WITH TIME ZONE", "TIMESTAMP", """("%COL%" at time zone 'UTC')""", "timestamp_ntz", None),
+    ("TIME WITHOUT TIME ZONE", "varchar(15)", 'cast("%COL%" as varchar(15))', "string", "15"),
+    ("TIME WITH TIME ZONE", "varchar(24)", 'cast("%COL%" as varchar(24))', "string", "24"),
+    ("INTERVAL", "varchar(100)", 'cast("%COL%" as varchar(100))', "string", "100"),
+    ("CHARACTER", "char(%VLEN%)", '"%COL%"', "string", None),
+    ("CHARACTER VARYING", "varchar(%VLEN%)", '"%COL%"', "string", None),
+    ("TEXT", "varchar(2000000)", '"%COL%"', "string", None),
+    ("NAME", "varchar(63)", 'cast("%COL%" as varchar(63))', "string", None),
+    ('"CHAR"', "char(1)", 'cast("%COL%" as char(1))', "string", None),
+    ("UUID", "char(36)", 'cast("%COL%" as char(36))', "string", None),
+    ("BIT", "varchar(%VLEN%)", 'cast("%COL%" as varchar(%VLEN%))', "string", None),
+    ("BIT VARYING", "varchar(%VLEN%)", 'cast("%COL%" as varchar(%VLEN%))', "string", None),
+    ("BYTEA", "varchar(2000000)", """encode("%COL%", 'hex')""", "string", "2000000"),
+    ("JSON", "varchar(2000000)", 'cast("%COL%" as text)', "string", None),
+    ("JSONB", "varchar(2000000)", 'cast("%COL%" as text)', "string", None),
+    ("XML", "varchar(2000000)", 'cast("%COL%" as text)', "string", None),
+    ("ENUM", "varchar(2000000)", 'cast("%COL%" as text)', "string", None),
+    ("ARRAY", "varchar(2000000)", 'cast(array_to_json("%COL%") as text)', "string", None),
+    ("INET", "varchar(43)", 'cast("%COL%" as varchar(43))', "string", None),
+    ("CIDR", "varchar(43)", 'cast("%COL%" as varchar(43))', "string", None),
+    ("MACADDR", "char(17)", 'cast("%COL%" as char(17))', "string", None),
+    ("MACADDR8", "char(23)", 'cast("%COL%" as char(23))', "string", None),
+    ("POINT", "varchar(2000000)", 'cast("%COL%" as text)', "string", None),
+    ("LINE", "varchar(2000000)", 'cast("%COL%" as text)', "string", None),
+    ("LSEG", "varchar(2000000)", 'cast("%COL%" as text)', "string", None),
+    ("BOX", "varchar(2000000)", 'cast("%COL%" as text)', "string", None),
+    ("PATH", "varchar(2000000)", 'cast("%COL%" as text)', "string", None),
+    ("POLYGON", "varchar(2000000)", 'cast("%COL%" as text)', "string", None),
+    ("CIRCLE", "varchar(2000000)", 'cast("%COL%" as text)', "string", None),
+    ("INT4RANGE", "varchar(2000000)", 'cast("%COL%" as text)', "string", None),
+    ("INT8RANGE", "varchar(2000000)", 'cast("%COL%" as text)', "string", None),
+    ("NUMRANGE", "varchar(2000000)", 'cast("%COL%" as text)', "string", None),
+    ("DATERANGE", "varchar(2000000)", 'cast("%COL%" as text)', "string", None),
+    ("TSRANGE", "varchar(2000000)", 'cast("%COL%" as text)', "string", None),
+    ("TSTZRANGE", "varchar(2000000)", 'cast("%COL%" as text)', "string", None),
+    ("GEOMETRY", "GEOMETRY", 'ST_AsText("%COL%")', "string", None),
+)
+RULES = {"mysql": TYPE_RULES, "postgresql": POSTGRES_RULES}
 # Precision cap of DECIMAL in the target, and of decimals in Spark.
 TARGET_MAX_PRECISION = 36
 SPARK_MAX_PRECISION = 38
@@ -70,6 +123,7 @@ _TOKEN_SQL = {
     "%CTYPE%": "upper(column_type)",
     "%UTYPE%": "upper(data_type)",
     "%LEN%": "cast(character_maximum_length AS string)",
+    "%VLEN%": "cast(least(coalesce(character_maximum_length, 2000000), 2000000) AS string)",
     "%PREC%": "cast(numeric_precision AS string)",
     "%BITP%": f"cast(least(numeric_precision, {SPARK_MAX_PRECISION}) AS string)",
 }
@@ -85,12 +139,12 @@ def fill_sql(template_sql: str, tokens: tuple[str, ...] | None = None) -> str:
     return f"CASE WHEN instr({out}, char(0)) = 0 THEN {out} END"
 
 
-def rules_frame(spark) -> DataFrame:
-    """TYPE_RULES as a lookup table (a fixed 38 rows)."""
+def rules_frame(spark, dialect: str = "mysql") -> DataFrame:
+    """The rules of a source's type names as a lookup table (a fixed 38 or 47 rows)."""
     from tidecopy.session import local_frame
 
     return local_frame(
-        spark, [tuple(r) for r in TYPE_RULES],
+        spark, [tuple(r) for r in RULES[dialect]],
         "rule_type string, rule_ddl string, rule_load string, rule_spark string, rule_chars string")
 
 
@@ -105,26 +159,26 @@ _DEC_SPARK = f"CASE WHEN numeric_precision IS NULL THEN 'double' ELSE " \
              f"concat('decimal(', {_DEC_CAP}, ',', least(coalesce({_DEC_SCALE}, 0), {_DEC_CAP}), ')') END"
 
 
-def map_types(catalog: DataFrame, *, fold_case: bool = True) -> DataFrame:
-    """Add the mapping columns to a column catalog:
+def map_types(catalog: DataFrame, *, fold_case: bool = True, dialect: str = "mysql") -> DataFrame:
+    """Add the mapping columns to a column catalog of a ``mysql`` or ``postgresql`` source:
 
     ``target_column`` (upper-cased when ``fold_case``), ``known``,
     ``target_type`` (DDL type text), ``column_ddl``, ``load_expr`` (source-side
     select expression), ``spark_type`` and ``char_length``. Unknown types get
     NULL in all of them and a note in ``unknown_note``.
 
-    The rules are a 38-row lookup table joined by broadcast on the upper-cased
+    The rules are a small lookup table joined by broadcast on the upper-cased
     type name; the catalog is never shuffled."""
-    rules = F.broadcast(rules_frame(catalog.sparkSession))
+    rules = F.broadcast(rules_frame(catalog.sparkSession, dialect))
     target_col = "upper(column_name)" if fold_case else "column_name"
     joined = (catalog.withColumn("target_column", F.expr(target_col))
               .join(rules, F.upper(F.col("data_type")) == F.col("rule_type"), "left"))
-    dec = "rule_type = 'DECIMAL'"
+    dec = "rule_type IN ('DECIMAL', 'NUMERIC')"
     mapped = joined.selectExpr(
         *[f"`{c}`" for c in catalog.columns], "target_column",
         "rule_type IS NOT NULL AS known",
         f"CASE WHEN {dec} THEN {_DEC_DDL} ELSE {fill_sql('rule_ddl')} END AS target_type",
-        f"{fill_sql('rule_load', ('%COL%', '%LEN%', '%PREC%'))} AS load_expr",
+        f"{fill_sql('rule_load', ('%COL%', '%LEN%', '%PREC%') + (('%VLEN%',) if dialect == 'postgresql' else ()))} AS load_expr",
         f"CASE WHEN {dec} THEN {_DEC_SPARK} ELSE {fill_sql('rule_spark', ('%BITP%',))} END AS spark_type",
         f"cast({fill_sql('rule_chars', ('%LEN%',))} AS int) AS char_length",
     )
@@ -134,9 +188,9 @@ def map_types(catalog: DataFrame, *, fold_case: bool = True) -> DataFrame:
         f"CASE WHEN NOT known THEN {note} END AS unknown_note")
 
 
-def unknown_types(catalog: DataFrame, *, fold_case: bool = True) -> DataFrame:
+def unknown_types(catalog: DataFrame, *, fold_case: bool = True, dialect: str = "mysql") -> DataFrame:
     """Columns whose type has no mapping: they are left out of DDL and loads."""
-    return (map_types(catalog, fold_case=fold_case).where(~F.col("known"))
+    return (map_types(catalog, fold_case=fold_case, dialect=dialect).where(~F.col("known"))
             .select("table_schema", "table_name", "column_name", "ordinal_position",
                     F.upper(F.col("data_type")).alias("data_type"), "unknown_note"))
 
@@ -150,13 +204,13 @@ def _ordered_join(text: Column, order: Column, sep: str = ",") -> Column:
 
 
 def ddl_report(catalog: DataFrame, *, target_schema: str, connection: str,
-               fold_case: bool = True, target_tables: dict[str, str] | None = None) -> DataFrame:
+               fold_case: bool = True, target_tables: dict[str, str] | None = None, dialect: str = "mysql") -> DataFrame:
     """One row per source table: the schema DDL, the table DDL (unknown types
     noted at the end) and the import statement with its source select list.
 
     Target table names default to the source names (upper-cased with
     ``fold_case``); ``target_tables`` overrides them by source table name."""
-    mapped = map_types(catalog, fold_case=fold_case)
+    mapped = map_types(catalog, fold_case=fold_case, dialect=dialect)
     default_target = F.upper(F.col("table_name")) if fold_case else F.col("table_name")
     if target_tables:
         pairs = F.create_map(*[F.lit(x) for kv in target_tables.items() for x in kv])
@@ -193,12 +247,12 @@ class MappedColumn:
     load_expr: str
 
 
-def mapped_columns(catalog: DataFrame, *, fold_case: bool = True) -> list[MappedColumn]:
+def mapped_columns(catalog: DataFrame, *, fold_case: bool = True, dialect: str = "mysql") -> list[MappedColumn]:
     """The known columns of ONE table, in ordinal order, on the driver.
 
     A catalog has one row per column of the table, so this is metadata, not
     data; it drives the select list of the load."""
-    rows = (map_types(catalog, fold_case=fold_case).where("known")
+    rows = (map_types(catalog, fold_case=fold_case, dialect=dialect).where("known")
             .select("table_schema", "table_name", "ordinal_position", "column_name", "target_column",
                     "data_type", "spark_type", "char_length", "load_expr")
             .collect())

@@ -21,7 +21,7 @@ from tidecopy.functions.timeparts import lookback_start
 from tidecopy.operators.checks import CountCheckError, count_check
 from tidecopy.operators.incremental import incremental_filter, key_max, watermark_sql
 from tidecopy.operators.project import conform, replace_fields
-from tidecopy.operators.typemap import MappedColumn, mapped_columns
+from tidecopy.operators.typemap import RULES, MappedColumn, mapped_columns
 from tidecopy.sources.catalog import catalog_from_frames, column_catalog, jdbc_catalog, tables_from_frames
 from tidecopy.sources.jdbc import JdbcTable, jdbc_count, key_range
 from tidecopy.sources import counts, groups
@@ -54,12 +54,17 @@ def spec_columns(spark: SparkSession, spec: TableSpec, source: DataFrame | JdbcT
                  catalog: DataFrame | None = None, tables: DataFrame | None = None) -> list[MappedColumn]:
     """Mapped columns of the spec's source table: from the given catalog
     (information_schema rows) or, for a DataFrame source, from its schema."""
-    if catalog is None and isinstance(source, JdbcTable) and source.dialect == "mysql":
+    dialect = "mysql"
+    if isinstance(source, JdbcTable) and source.dialect in RULES:
+        dialect = source.dialect
+    elif catalog is not None:
+        dialect = spec.source_database_type
+    if catalog is None and isinstance(source, JdbcTable) and source.dialect in RULES:
         # the source's own information_schema, narrowed to the spec's schema in the source
         catalog, tables = jdbc_catalog(spark, source.url, source.properties, schema=spec.source_schema)
     if catalog is None:
         if not isinstance(source, DataFrame):
-            raise ValueError("a non-MySQL JDBC source needs its catalog (see sources.catalog.jdbc_catalog)")
+            raise ValueError("a JDBC source other than MySQL and PostgreSQL needs its catalog (see sources.catalog.jdbc_catalog)")
         frames = {spec.source_table_name: source}
         catalog = catalog_from_frames(spark, frames, table_schema=spec.source_schema)
         tables = tables_from_frames(spark, frames, table_schema=spec.source_schema)
@@ -68,7 +73,7 @@ def spec_columns(spark: SparkSession, spec: TableSpec, source: DataFrame | JdbcT
     else:
         catalog = catalog.where((F.col("table_schema") == spec.source_schema)
                                 & (F.col("table_name") == spec.source_table_name))
-    cols = mapped_columns(catalog, fold_case=spec.fold_case)
+    cols = mapped_columns(catalog, fold_case=spec.fold_case, dialect=dialect)
     if not cols:
         raise ValueError(f"no mapped columns for {spec.source}")
     return cols
@@ -248,12 +253,12 @@ def replicate_all(spark: SparkSession, jobs: Sequence[tuple[TableSpec, DataFrame
     its own scheduler pool; a failing table is reported, not raised, and does
     not stop the others. Returns one status row per table.
 
-    Tables read from the same MySQL schema share one read of its
+    Tables read from the same MySQL or PostgreSQL schema share one read of its
     information_schema, staged once, instead of one read per table."""
     shared: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
     for spec, source in jobs:
         key = (getattr(source, "url", ""), spec.source_schema)
-        if (isinstance(source, JdbcTable) and source.dialect == "mysql" and key not in shared
+        if (isinstance(source, JdbcTable) and source.dialect in RULES and key not in shared
                 and spec.source_table_name not in (catalogs or {})):
             try:
                 cols, tabs = jdbc_catalog(spark, source.url, source.properties, schema=spec.source_schema)

@@ -29,8 +29,8 @@ TABLES_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("table_type", T.StringType()),
 ])
-# Schemas of the source server that are never replicated.
-SYSTEM_SCHEMAS = ("information_schema", "performance_schema", "mysql")
+# Schemas of the source servers that are never replicated.
+SYSTEM_SCHEMAS = ("information_schema", "performance_schema", "mysql", "pg_catalog")
 LONGTEXT_CHARS = 4294967295
 # Widest VARCHAR (characters, 4-byte charset) and VARBINARY (bytes)
 # of the source server; wider measured columns are described as LONGTEXT / LONGBLOB.
@@ -134,10 +134,15 @@ def tables_from_frames(spark: SparkSession, frames: Mapping[str, DataFrame], *,
 
 def jdbc_catalog(spark: SparkSession, url: str, properties: Mapping[str, str] | None = None,
                  schema: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """information_schema.columns and .tables of a MySQL-like source, read over
-    JDBC (the schema filter is pushed into the source)."""
+    """information_schema.columns and .tables of a MySQL-like or PostgreSQL source, read
+    over JDBC (the schema filter is pushed into the source)."""
     from tidecopy.sources.jdbc import jdbc_scan
 
+    if url.startswith("jdbc:postgresql:"):
+        from tidecopy.sources.postgres import postgres_information_schema
+
+        return postgres_information_schema(spark, url, properties, schema)
+
     cols = jdbc_scan(spark, url, "information_schema.columns", columns=list(CATALOG_SCHEMA.names),
                      properties=properties)
     tabs = jdbc_scan(spark, url, "information_schema.tables", columns=list(TABLES_SCHEMA.names),
