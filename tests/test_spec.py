@@ -23,7 +23,7 @@ def test_sample_spec_builds():
     ({"source_merge_columns": {}}, "watermark"),
     ({"target_main_fields": ["ID", "X"]}, "differ in length"),
     ({"source_database_type": "oracle"}, "no support"),
-    ({"source_freq": {"data_filed": "created_at", "freq": "BM", "start_year": 2018}}, "unsupported freq"),
+    ({"source_freq": {"data_filed": "created_at", "freq": "bh", "start_year": 2018}}, "unsupported freq"),
     ({"no_such_key": 1}, "unknown spec keys"),
     ({"source_main_field": "id"}, "as a list"),
 ])

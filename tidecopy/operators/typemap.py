@@ -245,6 +245,7 @@ class MappedColumn:
     spark_type: str
     char_length: int | None
     load_expr: str
+    dialect: str = "mysql"  # whose SQL load_expr is
 
 
 def mapped_columns(catalog: DataFrame, *, fold_case: bool = True, dialect: str = "mysql") -> list[MappedColumn]:
@@ -259,7 +260,7 @@ def mapped_columns(catalog: DataFrame, *, fold_case: bool = True, dialect: str =
     rows.sort(key=lambda r: r["ordinal_position"])  # one row per column of one table
     if len({(r[0], r[1]) for r in rows}) > 1:
         raise ValueError("mapped_columns needs the catalog of one table; filter it first")
-    out = [MappedColumn(r[2], r[3], r[4], r[5].upper(), r[6], r[7], r[8]) for r in rows]
+    out = [MappedColumn(r[2], r[3], r[4], r[5].upper(), r[6], r[7], r[8], dialect) for r in rows]
     targets = [c.target_name for c in out]
     clash = {t for t in targets if targets.count(t) > 1}
     if clash:

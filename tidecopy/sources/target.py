@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from tidecopy.functions.timeparts import chunk_start
 from tidecopy.operators.incremental import chunk_list
 from tidecopy.operators.project import conform, replace_fields
-from tidecopy.operators.typemap import RULES, MappedColumn
+from tidecopy.operators.typemap import MappedColumn
 from tidecopy.session import stage, unstage
 from tidecopy.sources import groups, versions
 from tidecopy.sources.jdbc import JdbcTable, jdbc_scan
@@ -335,7 +335,7 @@ def select_list(source: JdbcTable, columns: Sequence[MappedColumn], replace: Map
     unknown = sorted(set(replace) - {c.source_name.lower() for c in columns})
     if unknown:
         raise ValueError(f"replace_fields names unknown columns: {unknown}")
-    plain = lambda c: c.load_expr if source.dialect in RULES else source.quote(c.source_name)
+    plain = lambda c: c.load_expr if source.dialect == c.dialect else source.quote(c.source_name)
     return ", ".join(f"{replace.get(c.source_name.lower()) or plain(c)} AS {source.quote(c.source_name)}" for c in columns)
 
 
@@ -351,7 +351,7 @@ def source_frame(spark: SparkSession, source: DataFrame | JdbcTable, columns: Se
         return replace_fields(source, dict(replace or {}))
     split = dict(predicates=predicates, partition_column=partition_column, num_partitions=num_partitions,
                  bounds=bounds)
-    if source.dialect in RULES or replace or where:
+    if replace or where or any(c.dialect == source.dialect for c in columns):
         tail = f" where {where}" if where else ""
         return jdbc_scan(spark, source, query=f"select {select_list(source, columns, replace)} from {source.table}{tail}",
                          **(split | ({"where": where} if where else {})))
