@@ -163,7 +163,9 @@ def brute_quality(t, limits=QualityLimits()):
         best = k
     lines = [x for x in t.split("\n") if WORD.search(x)]
     base = n < limits.min_words or 100 * spans(5) > 20 * n
-    kept = not (base or 100 * spans(limits.long_repeat) > limits.max_long_percent * n or best > limits.max_longest)
+    long_words = spans(limits.long_repeat)
+    kept = not (base or (100 * long_words > limits.max_long_percent * n and long_words > limits.long_floor)
+                or (100 * best > limits.max_longest_percent * n and best > limits.longest_floor) or best > limits.max_longest)
     return (n, sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), spans(5),
             spans(limits.long_repeat), best, base, kept)
 
@@ -180,6 +182,29 @@ def test_quality_odd_rows(spark):
     assert quality_rules(docs(spark, [])).collect() == []
 
 
+def test_quality_limits_on_both_sides(spark):
+    """Texts of k words twice in n words in all: every limit beyond the base rules, just below and above it."""
+    def text(k, n, copies=2):
+        again = " ".join(f"again{i}" for i in range(k))
+        fill = iter(f"w{i}" for i in range(n - copies * k))
+        return " ".join([" ".join([next(fill), again]) for _ in range(copies)] + list(fill))
+
+    cases = {
+        (20, 500): True, (21, 500): False,     # longest: over 4 % of the words and over 20
+        (20, 300): True, (21, 526): True,      # 21 of 526 words is under 4 %
+        (120, 3001): True, (121, 3100): False, # longest: over 120 words
+        (12, 479, 4): False, (12, 481, 4): True,  # in repeats: 48 words, 10 % of them 479 or 481
+        (10, 300, 4): True, (11, 300, 4): False,  # 40 words in repeats are the floor
+        (9, 300, 4): True,                     # no repeat of 10 words
+    }
+    texts = [text(*c) for c in cases]
+    got = quality_rules(docs(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()
+    rows = {r.doc_id: tuple(r)[1:] for r in got}
+    assert rows == {i: brute_quality(t) for i, t in enumerate(texts)}
+    assert not any(r.base_failed for r in got)
+    assert {c: rows[i][-1] for i, c in enumerate(cases)} == cases
+
+
 def test_quality_whole_table(spark, sf_small):
     d = spark.read.parquet(f"{sf_small}/documents.parquet")
     got = {r.doc_id: tuple(r)[1:] for r in QUERIES["op10_quality_rules"](spark, sf_small).collect()}
