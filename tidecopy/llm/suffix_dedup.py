@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from tidecopy.llm._exchange import BUCKETS_PER_PARTITION, Packed, hits_of, new_block, repeated, stored
 from tidecopy.llm._store import Stage, row_key, shuffle_width, small, text_bytes
 from tidecopy.llm._text import (
-    _BYTE, MAX64, U64, anchors, buffer_of, covered, fits, grouped, mix, pieces, runs, sliding, window_hashes,
+    _BYTE, MAX64, U64, anchors, buffer_of, covered, expand, fits, grouped, mix, pieces, runs, sliding, window_hashes,
 )
 
 SEED = 20             # bytes of the strings that are looked up first
@@ -120,22 +120,103 @@ def _cut_regions(batches):
         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types)], list(out))
 
 
-_REGIONS = "blk long, k1 binary, k2 binary, doc binary, first binary, size binary, data binary"
+_REGIONS = ("blk long, k1 binary, k2 binary, doc binary, first binary, size binary, data binary, "
+            "gone_k1 binary, gone_k2 binary, gone_first binary, gone_size binary")
 
 
-def _region_blocks(batches):
-    """Blocks of regions. doc: the id in an order of unsigned numbers, null last."""
+def words_at(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each position on, as one number (zeros after the end)."""
+    padded = np.append(data, np.zeros(7, np.uint8))
+    out = np.zeros(len(data), dtype=U64)
+    for k in range(8):
+        out = (out << U64(8)) | padded[k:k + len(data)]
+    return out
+
+
+def least_docs(data: np.ndarray, off: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of whole ``length``-byte strings, and whether their region's document is the least
+    of those that hold the same string here."""
+    at = np.flatnonzero(fits(off, length))
+    if not len(at):
+        return at, np.zeros(0, bool)
+    h = window_hashes(_BYTE[data], length)[at]
+    order, head = grouped(h, h[:, None])
+    word, place = words_at(data), at[order]
+    same = np.ones(len(at) - 1, dtype=bool)
+    for k in {*range(0, length - 7, 8), length - 8}:
+        w = word[place + k]
+        same &= w[1:] == w[:-1]
+    for j in (np.flatnonzero(~same & ~head[1:]) + 1).tolist():      # rare: different strings of one hash
+        a, b = (np.searchsorted(h[order], h[order[j]], side) for side in ("left", "right"))
+        text = {int(i): data[at[i]:at[i] + length].tobytes() for i in order[a:b]}
+        order[a:b] = sorted(text, key=text.get)
+        head[a + 1:b] = [text[int(x)] != text[int(y)] for x, y in zip(order[a:b - 1], order[a + 1:b])]
+    own = doc[np.repeat(np.arange(len(off) - 1), np.diff(off))[at]]
+    least = np.empty(len(at), dtype=bool)
+    least[order] = own[order] == np.minimum.reduceat(own[order], np.flatnonzero(head))[np.cumsum(head) - 1]
+    return at, least
+
+
+def _least_regions(regions: list[np.ndarray], length: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Regions (k1, k2, doc, first, size, data) without the strings that a smaller document among
+    them holds too; and the byte spans (k1, k2, first, size) of those strings."""
+    k1, k2, doc, first, size, data = regions
+    off = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+    at, least = least_docs(data, off, doc, length)
+    mask = np.zeros(len(data), dtype=bool)
+    mask[at[~least]] = True
+    s, e = runs(covered(mask, length), off)
+    reg = np.searchsorted(off, s, side="right") - 1
+    gone = [k1[reg], k2[reg], (first[reg] + s - off[reg]).astype("<i4"), (e - s).astype("<i4")]
+    mask[:] = False
+    mask[at[least]] = True
+    s, e = runs(mask, off)
+    reg, n = np.searchsorted(off, s, side="right") - 1, e - s + length - 1
+    return [k1[reg], k2[reg], doc[reg], (first[reg] + s - off[reg]).astype("<i4"), n.astype("<i4"), data[expand(s, n)]], gone
+
+
+def _region_blocks(length: int):
+    """Blocks of regions. doc: the id in an order of unsigned numbers, null last. Of equal strings in a
+    block those of its least document stay, and stand for the others, which are removed."""
+    def run(batches):
+        held, spans = None, []
+
+        def block():
+            return pa.RecordBatch.from_arrays(
+                [pa.array([new_block()]), *(pa.array([np.ascontiguousarray(x).tobytes()], pa.binary())
+                                            for x in (*held, *map(np.concatenate, zip(*spans))))],
+                [c.split()[0] for c in _REGIONS.split(", ")])
+
+        for batch in batches:
+            data, off = buffer_of(batch.column(5))
+            null = np.asarray(batch.column(2).is_null())
+            doc = np.asarray(batch.column(2).fill_null(0)).astype(np.int64).view(U64) ^ U64(1 << 63)
+            doc[null] = MAX64
+            cols = [np.asarray(batch.column(0)), np.asarray(batch.column(1)), doc, np.asarray(batch.column(3)).astype("<i4")]
+            for i, j, part, po in pieces(data, off, BLOCK // 2):
+                new = [*(c[i:j] for c in cols), np.diff(po).astype("<i4"), part]
+                held = [np.concatenate(x) for x in zip(held, new)] if held else [x.copy() for x in new]
+                if len(held[-1]) >= BLOCK:
+                    held, gone = _least_regions(held, length)
+                    spans.append(gone)
+                    if 2 * len(held[-1]) >= BLOCK:
+                        yield block()
+                        held, spans = None, []
+        if held:
+            held, gone = _least_regions(held, length)
+            spans.append(gone)
+            yield block()
+
+    return run
+
+
+def _gone_spans(batches):
+    """The removed spans that blocks hold."""
     for batch in batches:
-        data, off = buffer_of(batch.column(5))
-        null = np.asarray(batch.column(2).is_null())
-        doc = np.asarray(batch.column(2).fill_null(0)).astype(np.int64).view(U64) ^ U64(1 << 63)
-        doc[null] = MAX64
-        cols = [np.asarray(batch.column(0)), np.asarray(batch.column(1)), doc, np.asarray(batch.column(3))]
-        for i, j, part, po in pieces(data, off, BLOCK):
+        for row in batch.to_pylist():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([new_block()]), *(pa.array([np.ascontiguousarray(c[i:j]).tobytes()], pa.binary()) for c in cols),
-                 pa.array([np.diff(po).astype("<i4").tobytes()], pa.binary()), pa.array([part.tobytes()], pa.binary())],
-                ["blk", "k1", "k2", "doc", "first", "size", "data"])
+                [pa.array(np.frombuffer(row[f"gone_{c}"], t)) for c, t in (("k1", "<i8"), ("k2", "<i8"), ("first", "<i4"), ("size", "<i4"))],
+                ["k1", "k2", "first", "size"])
 
 
 @dataclass(frozen=True)
@@ -160,36 +241,29 @@ class Plan:
 
 
 class Block:
+    """A block's regions; every ``length``-byte string of a region is one to be looked up."""
+
     def __init__(self, row: dict, plan: Plan):
         self.row, self.plan = row, plan
         self.data = np.frombuffer(row["data"], np.uint8)
-        n = len(self.data)
         size = np.frombuffer(row["size"], "<i4").astype(np.int64)
         self.off = np.concatenate([[0], np.cumsum(size)])
         self.region = np.repeat(np.arange(len(size), dtype=np.int32), size)
-        at = np.arange(n, dtype=np.int32)
+        at = np.arange(len(self.data), dtype=np.int32)
         self.residue = ((at - self.off.astype(np.int32)[:-1][self.region]) % 3).astype(np.int8)
         self.left = self.off.astype(np.int32)[1:][self.region] - at
-        # the 8 bytes from each position on, as one number (zeros after the end)
-        padded = np.append(self.data, np.zeros(7, np.uint8))
-        self.word = np.zeros(n, dtype=U64)
-        for k in range(8):
-            self.word = (self.word << U64(8)) | padded[k:k + n]
+        self.word = words_at(self.data)
         doc = np.frombuffer(row["doc"], "<u8")
         # a null id is the largest distance
         self.doc = np.where(doc == MAX64, U64(np.iinfo(plan.low).max), doc - U64(plan.least))
 
-    def sampled(self, span: int) -> np.ndarray:
-        """Sampled positions with at least ``span`` bytes left in their region."""
-        return np.flatnonzero((self.residue != 0) & (self.left >= span))
-
     def bytes_at(self, at: np.ndarray, n: int) -> np.ndarray:
         """The n <= 8 bytes from each position on."""
         return self.word[at] >> U64(64 - 8 * n) if n else np.zeros(len(at), dtype=U64)
 
     def names(self, step: str) -> np.ndarray:
-        """The step's name of each sampled position, 0 elsewhere."""
-        at, keys = self.keys(step)
+        """Every position's name of a step (0: no other block has its key, or no key)."""
+        (_, at, keys), = self.keys(step)
         k = Keyed(keys, self.plan.buckets)
         names = np.zeros(len(k.keys), dtype=U64)
         for a in self.row[f"a_{step}"] or []:
@@ -198,24 +272,26 @@ class Block:
         full[at] = names[k.slot]
         return full
 
-    def keys(self, step: str) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of a step and their keys (rows of 64-bit words)."""
+    def keys(self, step: str) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """(shift, positions, their keys (rows of 64-bit words)) of a step."""
         if step == "char":
-            at = self.sampled(CHAR)
-            return at, np.stack([self.word[at], self.word[at + 8]], axis=1)
+            at = np.flatnonzero((self.residue != 0) & (self.left >= CHAR))
+            return [(0, at, np.stack([self.word[at], self.word[at + 8]], axis=1))]
         if step == "triple":
-            name, at = self.names("char"), self.sampled(SPAN)
-            return at, np.stack([name[at + k * (CHAR - 1)] for k in range(3)], axis=1)
-        name = self.final()
-        d = int(step)
-        at = np.flatnonzero((self.left >= self.plan.length) & ((self.residue + d) % 3 != 0))
-        rest = self.plan.length - d - SPAN
-        return at, np.stack([name[at + d], (self.bytes_at(at, d) << U64(8 * rest)) | self.bytes_at(at + d + SPAN, rest)], axis=1)
-
-    def final(self) -> np.ndarray:
-        if not hasattr(self, "_final"):
-            self._final = self.names("triple")
-        return self._final
+            name = self.names("char")
+            at = np.flatnonzero((self.residue != 0) & (self.left >= SPAN))
+            # an equal triple elsewhere has all names of this residue in its span
+            for k in range(0, SPAN - CHAR + 1, 3):
+                at = at[name[at + k] != 0]
+            return [(0, at, np.stack([name[at + k * (CHAR - 1)] for k in range(3)], axis=1))]
+        name = self.names("triple")
+        i = np.flatnonzero(self.left >= self.plan.length)
+        out = []
+        for d in range(3):
+            at = i[name[i + d] != 0]
+            rest = self.plan.length - d - SPAN
+            out.append((d, at, np.stack([name[at + d], (self.bytes_at(at, d) << U64(8 * rest)) | self.bytes_at(at + d + SPAN, rest)], axis=1)))
+        return out
 
 
 class Keyed:
@@ -247,21 +323,21 @@ def _send(step: str, plan: Plan):
         for batch in batches:
             for row in batch.to_pylist():
                 b = Block(row, plan)
-                at, keys = b.keys(step)
-                low = b.doc[b.region[at]] if step in "012" else None
-                k = Keyed(keys, plan.buckets, low)
-                values = [*k.keys.T, k.low][:len(columns)]
-                some = np.flatnonzero(np.diff(k.cut))
-                x = [b"".join(v[k.cut[i]:k.cut[i + 1]].astype(c).tobytes() for v, c in zip(values, columns)) for i in some]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(some), row["blk"], np.int64)), pa.array(some, pa.int32()), pa.array(x, pa.binary())],
-                    ["blk", "bucket", "x"])
+                for d, at, keys in b.keys(step):
+                    k = Keyed(keys, plan.buckets, b.doc[b.region[at]] if step == "merge" else None)
+                    values = [*k.keys.T, k.low][:len(columns)]
+                    some = np.flatnonzero(np.diff(k.cut))
+                    x = [b"".join(v[k.cut[i]:k.cut[i + 1]].astype(c).tobytes() for v, c in zip(values, columns)) for i in some]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(some), row["blk"], np.int64)), pa.array(some + d * plan.buckets, pa.int32()), pa.array(x, pa.binary())],
+                        ["blk", "bucket", "x"])
 
     return run
 
 
 def _answer(step: str, plan: Plan):
-    """Names of a bucket's keys, or a bit per key: has another block a smaller document for it?"""
+    """Names of a bucket's keys (0 for those of one block only), or a bit per key: has another
+    block a smaller document for it?"""
     columns, size = plan.columns(step), plan.size(step)
 
     def run(key, table):
@@ -271,20 +347,21 @@ def _answer(step: str, plan: Plan):
         for j, c in enumerate(columns):
             skip = sum(np.dtype(x).itemsize for x in columns[:j])
             values.append(np.concatenate([np.frombuffer(x, c, m, skip * m) for x, m in zip(raw, n)]).astype(U64))
-        keys = np.stack(values[:2] if step in "012" else values, axis=1)
+        keys = np.stack(values[:2] if step == "merge" else values, axis=1)
         order, head = grouped(_hash(keys), keys)
         group = np.cumsum(head) - 1
-        if step in "012":
+        if step == "merge":
             least = np.minimum.reduceat(values[2][order], np.flatnonzero(head))
             out = np.empty(len(keys), dtype=bool)
             out[order] = least[group] < values[2][order]
             parts = [np.packbits(x).tobytes() for x in np.split(out, np.cumsum(n)[:-1])]
         else:
-            name = group * plan.buckets + key[0].as_py() + 1
-            if int(name[-1]) > np.iinfo(plan.name).max:
+            several = np.bincount(group) > 1      # a block sends a key once
+            name = np.where(several, (np.cumsum(several) - 1) * plan.buckets + key[0].as_py() + 1, 0)
+            if int(name.max()) > np.iinfo(plan.name).max:
                 raise OverflowError("more names than their width allows")
             out = np.empty(len(keys), dtype=plan.name)
-            out[order] = name
+            out[order] = name[group]
             parts = [x.tobytes() for x in np.split(out, np.cumsum(n)[:-1])]
         return pa.table({"blk": table["blk"], "bucket": table["bucket"], "y": pa.array(parts, pa.binary())})
 
@@ -296,17 +373,18 @@ def _removed(plan: Plan):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
+                if not row["a_merge"]:
+                    continue
                 b = Block(row, plan)
-                doc = b.doc[b.region]
                 gone = np.zeros(len(b.data), dtype=bool)
-                for step in "012":
-                    at, keys = b.keys(step)
-                    k = Keyed(keys, plan.buckets, doc[at])
+                for d, at, keys in b.keys("merge"):
+                    k = Keyed(keys, plan.buckets)
                     smaller = np.zeros(len(k.keys), dtype=bool)
-                    for a in row[f"a_{step}"] or []:
-                        lo, hi = k.cut[a["bucket"]], k.cut[a["bucket"] + 1]
-                        smaller[lo:hi] = np.unpackbits(np.frombuffer(a["y"], np.uint8), count=hi - lo).astype(bool)
-                    gone[at] |= smaller[k.slot] | (doc[at] > k.low[k.slot])
+                    for a in row["a_merge"]:
+                        i = a["bucket"] - d * plan.buckets
+                        if 0 <= i < plan.buckets:
+                            smaller[k.cut[i]:k.cut[i + 1]] = np.unpackbits(np.frombuffer(a["y"], np.uint8), count=k.cut[i + 1] - k.cut[i])
+                    gone[at] |= smaller[k.slot]
                 s, e = runs(covered(gone, plan.length), b.off)
                 if not len(s):
                     continue
@@ -348,9 +426,10 @@ def removed_spans(docs: DataFrame, length: int, stage: Stage, *, id_col: str = "
     part = F.pmod("k1", F.ceil(F.coalesce("n", F.lit(1)) / F.lit(FAMILY)).cast("long"))
     dealt = (cut.join(small(large), "family", "left").withColumn("part", part)
              .repartition(shuffle_width(spark), "family", "part").sortWithinPartitions("family", "part"))
-    blocks = stage.write(dealt.select("k1", "k2", "doc", "first", "family", "bytes").mapInArrow(_region_blocks, _REGIONS))
+    kept = stage.write(dealt.select("k1", "k2", "doc", "first", "family", "bytes").mapInArrow(_region_blocks(length), _REGIONS))
     stage.drop(spans)
     stage.release()
+    blocks = kept.select("blk", "k1", "k2", "doc", "first", "size", "data")
     answers: dict[str, DataFrame] = {}
 
     def met(steps) -> DataFrame:
@@ -359,16 +438,18 @@ def removed_spans(docs: DataFrame, length: int, stage: Stage, *, id_col: str = "
             df = df.join(answers[s], "blk", "left")
         return df
 
-    for step, needs in (("char", []), ("triple", ["char"]), *((d, ["char", "triple"]) for d in "012")):
+    for step, needs in (("char", []), ("triple", ["char"]), ("merge", ["char", "triple"])):
         sent = met(needs).mapInArrow(_send(step, plan), "blk long, bucket int, x binary")
         back = sent.groupBy("bucket").applyInArrow(_answer(step, plan), "blk long, bucket int, y binary")
         answers[step] = stage.write(back.groupBy("blk").agg(F.collect_list(F.struct("bucket", "y")).alias(f"a_{step}")))
         del sent, back
         stage.release()
-    out = stage.write(met(answers).mapInArrow(_removed(plan), "k1 long, k2 long, first int, size int")
+    found = "k1 long, k2 long, first int, size int"
+    out = stage.write(met(answers).mapInArrow(_removed(plan), found)
+                      .union(kept.select("gone_k1", "gone_k2", "gone_first", "gone_size").mapInArrow(_gone_spans, found))
                       .groupBy("k1", "k2").agg(F.array_sort(F.collect_set(F.struct("first", "size"))).alias("z"))
                       .select("k1", "k2", F.col("z.first").alias("first"), F.col("z.size").alias("size")))
-    stage.drop(blocks, *answers.values())
+    stage.drop(kept, *answers.values())
     stage.release()
     return out
 
