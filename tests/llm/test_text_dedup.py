@@ -102,6 +102,75 @@ def test_suffix_dedup_whole_table(spark, sf_small):
     assert got == bytes_expected(rows, 50)
 
 
+def regions_of(rnd, n, passages):
+    import numpy as np
+    texts = [rnd.choice(passages)[rnd.randrange(40):][:rnd.randrange(60, 200)] for _ in range(n)]
+    return texts, np.array([rnd.randrange(n // 3) for _ in texts], dtype=np.uint64)
+
+
+def test_equal_strings_of_a_block_are_sent_for_the_least_document_only(monkeypatch):
+    import numpy as np
+    from tidecopy.llm import suffix_dedup as module
+    rnd = random.Random(3)
+    texts, doc = regions_of(rnd, 300, [bytes(rnd.choices(b"abcd", k=260)) for _ in range(12)])
+    least = {}
+    for t, d in zip(texts, doc.tolist()):
+        for k in range(len(t) - 49):
+            least[t[k:k + 50]] = min(least.get(t[k:k + 50], d), d)
+    off = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    expected = [least[t[k:k + 50]] == d for t, d in zip(texts, doc.tolist()) for k in range(len(t) - 49)]
+    assert module.least_docs(data, off, doc, 50)[1].tolist() == expected
+    wide = module.window_hashes      # different strings of one hash are told apart by their bytes
+    monkeypatch.setattr(module, "window_hashes", lambda codes, n: (wide(codes, n) % np.uint64(97)) << np.uint64(50))
+    assert module.least_docs(data, off, doc, 50)[1].tolist() == expected
+    monkeypatch.undo()
+    n = np.arange(len(texts))
+    (k1, _, doc2, first, size, kept), gone = module._least_regions(
+        [n, n, doc, np.zeros(len(n), "<i4"), np.diff(off).astype("<i4"), data], 50)
+    assert len(kept) == size.sum() < len(data) / 2
+    cut = np.concatenate([[0], np.cumsum(size)])
+    for r, d, f, a, b in zip(k1, doc2, first, cut, cut[1:]):
+        t = kept[a:b].tobytes()
+        assert t == texts[r][f:f + b - a] and all(least[t[k:k + 50]] == d for k in range(len(t) - 49))
+    masks = [bytearray(len(t)) for t in texts]
+    for r, _, f, m in zip(*gone):
+        masks[r][f:f + m] = b"\1" * m
+    for t, d, m in zip(texts, doc.tolist(), masks):
+        want = bytearray(len(t))
+        for k in range(len(t) - 49):
+            if least[t[k:k + 50]] < d:
+                want[k:k + 50] = b"\1" * 50
+        assert m == want
+
+
+def test_blocks_and_names_of_suffix_dedup(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    from tidecopy.llm import suffix_dedup as module
+    rnd = random.Random(5)
+    texts, doc = regions_of(rnd, 400, [bytes(rnd.choices(b"abcd", k=260)) for _ in range(40)])
+    monkeypatch.setattr(module, "BLOCK", 4096)      # several blocks, some filled in rounds
+    n = list(range(len(texts)))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(n), pa.array(n), pa.array(doc.astype(np.int64)), pa.array([0] * len(n), pa.int32()), pa.array(n), pa.array(texts, pa.binary())],
+        ["k1", "k2", "doc", "first", "family", "bytes"])
+    rows = [r for b in module._region_blocks(50)([batch.slice(0, 150), batch.slice(150)]) for r in b.to_pylist()]
+    assert len(rows) > 1 and sum(len(r["data"]) for r in rows) < sum(map(len, texts))
+    plan = module.Plan(50, 1, "<u4", "<u8", 0)
+    sent = [b for r in rows for b in module._send("char", plan)([pa.RecordBatch.from_pylist([r])])]
+    table = pa.Table.from_batches(sent)
+    back = module._answer("char", plan)((pa.scalar(0),), table).to_pylist()
+    keys = [[x["x"][k:k + 8] + x["x"][len(x["x"]) // 2 + k:][:8] for k in range(0, len(x["x"]) // 2, 8)] for x in table.to_pylist()]
+    blocks = Counter(k for x in keys for k in x)      # a block sends a key once
+    names = {}
+    for x, y in zip(keys, back):
+        for k, name in zip(x, np.frombuffer(y["y"], "<u4").tolist()):
+            assert (name == 0) == (blocks[k] == 1) and names.setdefault(k, name) == name
+    some = [v for v in names.values() if v]
+    assert some and len(set(some)) == len(some)
+
+
 def test_empty_and_unique_tables(spark):
     for f in (lambda d: substring_dedup(d, 35), lambda d: suffix_dedup(d, 50)):
         assert f(table(spark, [])).collect() == []

@@ -28,6 +28,14 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def differ(rows: np.ndarray) -> np.ndarray:
+    """For each row but the first: does it differ from the one before?"""
+    out = rows[1:, 0] != rows[:-1, 0]
+    for k in range(1, rows.shape[1]):      # many times as fast as any() along a short axis
+        out |= rows[1:, k] != rows[:-1, k]
+    return out
+
+
 def grouped(h: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order in which equal rows of ``keys`` are neighbours, by their hashes ``h``; and
     the first of each group. Sorts numbers that hold a hash's upper bits and its place."""
@@ -40,12 +48,12 @@ def grouped(h: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     top = packed >> bits
     s = keys[order]
     head = np.ones(n, dtype=bool)
-    head[1:] = (s[1:] != s[:-1]).any(axis=1)
+    head[1:] = differ(s)
     mixed = np.flatnonzero(head[1:] & (top[1:] == top[:-1])) + 1
     for t in np.unique(top[mixed]).tolist():      # rare: different keys that agree in the upper bits
         a, b = np.searchsorted(top, np.array([t, t + 1], dtype=U64))
         order[a:b] = order[a:b][np.lexsort((*keys[order[a:b]].T, h[order[a:b]]))]
-        head[a + 1:b] = (keys[order[a + 1:b]] != keys[order[a:b - 1]]).any(axis=1)
+        head[a + 1:b] = differ(keys[order[a:b]])
     return order, head
 
 

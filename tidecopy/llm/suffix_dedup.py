@@ -20,8 +20,14 @@ positions counted within a region:
 
 The sorts move distinct keys of blocks to buckets of a hash, so a string that
 stands everywhere is sent once a block. Regions that share their least
-repeated string are put in the same blocks before, which leaves fewer distinct
-keys; large such families are dealt to several tasks. A block's names are kept
+repeated string are put in the same blocks before; large such families are
+dealt to several tasks. Of equal ``length``-byte strings in a block, found by a hash and
+compared byte for byte, those of the least document go on and stand for the
+others, which are removed. A key that one block alone has gets no name, and
+what needs the name is discarded: no other block has a string that holds it at
+a sampled position. The pair of equal positions in two blocks still meets, as
+both have all names after the shift that makes both sampled. The three sorts
+of step 3 are one exchange with buckets of their own. A block's names are kept
 once per distinct key and looked up anew by each step, so a step moves the
 regions' bytes and names, and no step keeps a number per position. Names and ids
 are written with 4 bytes where their measured range allows it, else with 8.
@@ -37,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecopy.llm._exchange import BUCKETS_PER_PARTITION, Packed, hits_of, new_block, repeated, stored
+from tidecopy.llm._exchange import BUCKETS_PER_PARTITION, Packed, hits_of, new_block, repeated, sent_batch
 from tidecopy.llm._store import Stage, row_key, shuffle_width, small, text_bytes
 from tidecopy.llm._text import (
     _BYTE, MAX64, U64, anchors, buffer_of, covered, expand, fits, grouped, mix, pieces, runs, sliding, window_hashes,
@@ -47,13 +53,14 @@ SEED = 20             # bytes of the strings that are looked up first
 CHAR = 16             # bytes of the first names
 SPAN = 3 * CHAR - 2   # bytes of the second names
 BLOCK = 2 << 20       # region bytes of one block
+BUCKET = 1 << 20      # region bytes to one bucket at least
 FAMILY = 512          # regions of a family that go to one task
 _PIECE, _INNER = 8 << 20, 1 << 18
 
-_SEEDS = "blk long, xs array<binary>, k1 binary, k2 binary, size binary, at binary, h binary"
+_SEEDS = "blk long, k1 binary, k2 binary, size binary, at binary, h binary"
 
 
-def _seed_blocks(length: int, buckets: int):
+def _seed_blocks(length: int):
     def run(batches):
         for batch in batches:
             k1, k2 = (np.asarray(batch.column(i)) for i in (0, 1))
@@ -67,10 +74,19 @@ def _seed_blocks(length: int, buckets: int):
                     hs.append(h[at])
                 at, h = np.concatenate(ats), np.concatenate(hs)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([new_block()]), pa.array([Packed(h[:, None], buckets).rows()], pa.list_(pa.binary())),
+                    [pa.array([new_block()]),
                      *(pa.array([x.tobytes()], pa.binary()) for x in (
                          k1[i:j].astype("<i8"), k2[i:j].astype("<i8"), np.diff(po).astype("<i8"), at.astype("<i4"), h))],
-                    ["blk", "xs", "k1", "k2", "size", "at", "h"])
+                    ["blk", "k1", "k2", "size", "at", "h"])
+
+    return run
+
+
+def _send_seeds(buckets: int):
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield sent_batch(row["blk"], Packed(np.frombuffer(row["h"], "<u8")[:, None], buckets))
 
     return run
 
@@ -88,8 +104,11 @@ def _seed_spans(length: int, buckets: int):
                 every[at] = h
                 good[at[hit]] = h[hit]
                 w = length - SEED + 1
-                least = sliding(good, w)
-                alive = fits(off, length) & (least == sliding(every, w)) & (least < MAX64)
+                least, alive = np.empty(off[-1], dtype=U64), np.empty(off[-1], dtype=bool)
+                for i, j, part, po in pieces(good, off, _INNER):
+                    text = slice(off[i], off[j])
+                    least[text] = sliding(part, w)
+                    alive[text] = fits(po, length) & (least[text] == sliding(every[text], w)) & (least[text] < MAX64)
                 s, e = runs(alive, off)
                 if not len(s):
                     continue
@@ -126,10 +145,9 @@ _REGIONS = ("blk long, k1 binary, k2 binary, doc binary, first binary, size bina
 
 def words_at(data: np.ndarray) -> np.ndarray:
     """The 8 bytes from each position on, as one number (zeros after the end)."""
-    padded = np.append(data, np.zeros(7, np.uint8))
-    out = np.zeros(len(data), dtype=U64)
-    for k in range(8):
-        out = (out << U64(8)) | padded[k:k + len(data)]
+    out = np.append(data, np.zeros(7, np.uint8)).astype(U64)
+    for k in (1, 2, 4):
+        out = (out[:-k] << U64(8 * k)) | out[k:]
     return out
 
 
@@ -141,16 +159,19 @@ def least_docs(data: np.ndarray, off: np.ndarray, doc: np.ndarray, length: int)
         return at, np.zeros(0, bool)
     h = window_hashes(_BYTE[data], length)[at]
     order, head = grouped(h, h[:, None])
-    word, place = words_at(data), at[order]
-    same = np.ones(len(at) - 1, dtype=bool)
+    # every place against the first of its group, in the order of the text
+    first = np.empty(len(at), dtype=np.int64)
+    first[order] = order[np.flatnonzero(head)][np.cumsum(head) - 1]
+    again = np.flatnonzero(first != np.arange(len(at)))
+    word, one, two = words_at(data), at[again], at[first[again]]
+    differ = np.zeros(len(again), dtype=bool)
     for k in {*range(0, length - 7, 8), length - 8}:
-        w = word[place + k]
-        same &= w[1:] == w[:-1]
-    for j in (np.flatnonzero(~same & ~head[1:]) + 1).tolist():      # rare: different strings of one hash
-        a, b = (np.searchsorted(h[order], h[order[j]], side) for side in ("left", "right"))
+        differ |= word[one + k] != word[two + k]
+    for x in np.unique(h[again[differ]]):      # rare: different strings of one hash
+        a, b = (np.searchsorted(h[order], x, side) for side in ("left", "right"))
         text = {int(i): data[at[i]:at[i] + length].tobytes() for i in order[a:b]}
         order[a:b] = sorted(text, key=text.get)
-        head[a + 1:b] = [text[int(x)] != text[int(y)] for x, y in zip(order[a:b - 1], order[a + 1:b])]
+        head[a + 1:b] = [text[int(i)] != text[int(j)] for i, j in zip(order[a:b - 1], order[a + 1:b])]
     own = doc[np.repeat(np.arange(len(off) - 1), np.diff(off))[at]]
     least = np.empty(len(at), dtype=bool)
     least[order] = own[order] == np.minimum.reduceat(own[order], np.flatnonzero(head))[np.cumsum(head) - 1]
@@ -399,6 +420,7 @@ def _removed(plan: Plan):
 
 def _plan(rows: DataFrame, spans: DataFrame, length: int, buckets: int) -> Plan:
     total = spans.agg(F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    buckets = min(buckets, total // BUCKET + 1)
     lo, hi = rows.agg(F.min("doc"), F.max("doc")).first()
     lo, hi = (lo or 0), (hi or 0)
     # half of the range is left for unevenness of the buckets, and the top for null ids
@@ -412,10 +434,12 @@ def removed_spans(docs: DataFrame, length: int, stage: Stage, *, id_col: str = "
     spark = docs.sparkSession
     buckets = BUCKETS_PER_PARTITION * shuffle_width(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), *row_key(id_col, text_col), text_bytes(text_col).alias("text"))
-    seeds = stage.write(rows.select("k1", "k2", "text").mapInArrow(_seed_blocks(length, buckets), _SEEDS))
-    spans = stage.write(seeds.drop("xs").join(repeated(stored(seeds)), "blk").mapInArrow(
+    seeds = stage.write(rows.select("k1", "k2", "text").mapInArrow(_seed_blocks(length), _SEEDS))
+    sent = seeds.select("blk", "h").mapInArrow(_send_seeds(buckets), "blk long, bucket int, x binary")
+    spans = stage.write(seeds.join(repeated(sent), "blk").mapInArrow(
         _seed_spans(length, buckets), "k1 long, k2 long, first array<int>, size array<int>, family array<long>")
         .dropDuplicates(["k1", "k2"]))
+    del sent
     stage.drop(seeds)
     stage.release()
     plan = _plan(rows, spans, length, buckets)
