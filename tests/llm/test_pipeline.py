@@ -1,5 +1,7 @@
 """The pipeline's stages, each against its operator's own result on the stage's input."""
 
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -64,3 +66,36 @@ def test_run_writes_each_stage(spark, sf_small, monkeypatch):
     shared = checkpoint_dir(spark).removeprefix("file:")
     assert [all(shared in f for f in files) for files in [*read, out.inputFiles()]] == [False, True, True, True]
     assert not set(read[1]) & set(read[2])
+
+
+WORKER = """
+import ctypes, numpy as np, pyarrow as pa
+from tidecopy.llm import jaccard_join, quality, _text
+
+
+def held():
+    with open("/proc/self/status") as f:
+        return next(int(line.split()[1]) for line in f if line.startswith("VmRSS")) / 1024
+
+
+rng = np.random.default_rng(1)
+texts = [b" ".join(b"%x" % x for x in rng.integers(0, 1 << 20, rng.integers(20, 1200))) for _ in range(4000)]
+ids = pa.array(range(len(texts)))
+batch = pa.RecordBatch.from_arrays([ids, ids, ids, pa.array(texts, pa.binary())], ["doc_id", "k1", "k2", "text"])
+del texts
+bitmap = type("Bitmap", (), {"value": np.zeros(1 << 21, np.uint8)})
+ctypes.CDLL(None).malloc_trim(0)
+before = held()
+quality.measure(*_text.buffer_of(batch.column(3)), quality.QualityLimits())
+for _ in range(2):
+    for part in jaccard_join._frequent(5)([batch.select(["text"])]):
+        del part
+    for part in jaccard_join._blocks(5, 80, bitmap, 102)([batch]):
+        del part
+print(held() - before)
+"""
+
+
+def test_a_worker_gives_memory_back():
+    done = subprocess.run([sys.executable, "-c", WORKER], capture_output=True, text=True, check=True, timeout=120)
+    assert float(done.stdout) < 15       # MB

@@ -6,7 +6,9 @@ back; ``off`` has one more entry than there are texts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,27 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
+def give_back() -> None:
+    """Return memory that was freed, but that this worker's allocators still hold, to the system.
+    Workers are used again and again, and the executor's JVM may need the memory meanwhile."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # of the GNU C library only
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable) -> Callable:
+    """A function of batches that gives back its memory when its batches are done."""
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (xor-shift-multiply): spreads every bit over the word."""
     h = h ^ (h >> U64(30))

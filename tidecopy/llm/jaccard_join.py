@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tidecopy.llm._exchange import BUCKETS_PER_PARTITION, Packed, hits_of, new_block, repeated, stored
 from tidecopy.llm._store import Stage, free_names, row_key, shuffle_width, small, text_bytes
-from tidecopy.llm._text import U64, buffer_of, expand, mix, pieces, prefix_hash, span_hash, word_hashes, words
+from tidecopy.llm._text import U64, buffer_of, expand, lean, mix, pieces, prefix_hash, span_hash, word_hashes, words
 from tidecopy.llm.components import components
 
 SHARED = 4            # c: first tokens that two linked classes share
@@ -79,6 +79,7 @@ def class_of(h: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 def _frequent(k: int):
     """Bits of the tokens that two documents of one block share, in rows of 2**16 bits."""
+    @lean
     def run(batches):
         seen = np.zeros(1 << MAP_BITS, dtype=bool)
         for batch in batches:
@@ -120,8 +121,9 @@ _BLOCK = "blk long, xs array<binary>, doc_id array<long>, k1 array<long>, k2 arr
 
 
 def _blocks(k: int, percent: int, bitmap, buckets: int):
+    @lean
     def run(batches):
-        frequent = np.unpackbits(bitmap.value).astype(bool)
+        frequent = np.unpackbits(bitmap.value).view(bool)
         for batch in batches:
             data, off = buffer_of(batch.column(3))
             for i, j, text, po in pieces(data, off, _PIECE):
@@ -156,6 +158,7 @@ def _blocks(k: int, percent: int, bitmap, buckets: int):
     return run
 
 
+@lean
 def _postings(batches):
     """(token, class, n) of the looked-up tokens that occur again."""
     for batch in batches:
@@ -174,6 +177,7 @@ def _postings(batches):
 
 def _sets(k: int):
     """(class, set, copies); of the copies of a row, a task sends one."""
+    @lean
     def run(batches):
         seen = set()
         for batch in batches:
@@ -204,6 +208,7 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> int:
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int, n: int) -> DataFrame:
     """Of n staged pairs (class, hub), one per class: those that link."""
+    @lean
     def run(batches):
         for batch in batches:
             a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecopy.llm._store import text_bytes
-from tidecopy.llm._text import buffer_of, byte_prefix, covered, pieces, span_hash, words
+from tidecopy.llm._text import buffer_of, byte_prefix, covered, give_back, pieces, span_hash, words
 
 # Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -204,6 +204,8 @@ def keep_good(docs: DataFrame, limits: QualityLimits = QualityLimits(), *, text_
     to Python and only verdicts come back."""
     @F.arrow_udf("boolean")
     def kept(texts: pa.Array) -> pa.Array:
-        return pa.array(measure(*buffer_of(texts), limits)["kept"])
+        out = pa.array(measure(*buffer_of(texts), limits)["kept"])
+        give_back()
+        return out
 
     return docs.where(kept(text_bytes(text_col)))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tidecopy.llm._pretoken import worker_codec
 from tidecopy.llm._store import Stage, shuffle_width, text_bytes
-from tidecopy.llm._text import buffer_of, pieces
+from tidecopy.llm._text import buffer_of, lean, pieces
 
 MAGIC = b"DAC1"
 RANK_BITS = 512
@@ -109,6 +109,7 @@ _SEGMENT = "part int, seq int, n_tokens long, doc_ids binary, no_id binary, coun
 
 
 def _segments(spec, end_id: int):
+    @lean
     def run(batches):
         codec, part, seq = worker_codec(spec.value), TaskContext.get().partitionId(), 0
         for batch in batches:
@@ -161,6 +162,7 @@ def read_documents(segments: DataFrame) -> DataFrame:
         _documents, "doc_id long, start long, n_tokens long, ids_crc32 long, part int, seq int, first long")
 
 
+@lean
 def _documents(batches):
     for batch in batches:
         for row in batch.to_pylist():
