@@ -171,6 +171,59 @@ def test_blocks_and_names_of_suffix_dedup(monkeypatch):
     assert some and len(set(some)) == len(some)
 
 
+def test_names_are_looked_up_without_the_keys(monkeypatch):
+    import numpy as np
+    from tidecopy.llm import suffix_dedup as module
+    rnd = random.Random(7)
+    texts, doc = regions_of(rnd, 60, [bytes(rnd.choices(b"abcd", k=260)) for _ in range(9)])
+    plan = module.Plan(50, 3, "<u4", "<u8", 0)
+    row = {"blk": 1, "data": b"".join(texts), "size": np.array([len(t) for t in texts], "<i4").tobytes(), "doc": doc.astype("<u8").tobytes()}
+    b = module.Block({**row, "a_char": None}, plan)
+    (_, at, keys), = b.keys("char")
+    k = module.Keyed(keys, plan.buckets)
+    assert (k.keys.take(k.slot, axis=0) == keys).all() and len(np.unique(k.keys, axis=0)) == len(k.keys)
+    low = np.array([rnd.randrange(100) for _ in at], dtype=np.uint64)
+    assert k.least(low).tolist() == [low[k.slot == i].min() for i in range(len(k.keys))]
+    names = np.arange(1, len(k.keys) + 1).astype("<u4")
+    row["a_char"] = [{"bucket": i, "y": names[k.cut[i]:k.cut[i + 1]].tobytes()} for i in range(3)]
+    want = np.zeros(len(row["data"]), np.uint64)
+    want[at] = names[k.slot]
+
+    def taken(self):
+        raise AssertionError("rows of keys were moved")
+
+    monkeypatch.setattr(module.Keyed, "keys", property(taken))
+    assert (module.Block(row, plan).names("char") == want).all()
+
+
+def test_equal_strings_and_spans_of_names():
+    import numpy as np
+    from tidecopy.llm import suffix_dedup as module
+    from tidecopy.llm._text import grouped
+    rng = np.random.default_rng(11)
+    data = rng.integers(97, 99, 3000).astype(np.uint8)
+    data[2000:2400] = data[500:900]
+    for two in (np.arange(400, 700), np.array([500, 501, 502, 40, 41, 506])):
+        one = np.arange(1900, 1900 + len(two))
+        got = module._same_strings(data, one, two, 50)
+        assert got.tolist() == [data[a:a + 50].tobytes() == data[b:b + 50].tobytes() for a, b in zip(one, two)]
+    one = np.arange(2000, 2351)       # one run, all the same
+    assert module._same_strings(data, one, one - 1500, 50).all()
+    changed = data.copy()
+    changed[2399] ^= 1                # the last byte of the last string
+    assert module._same_strings(changed, one, one - 1500, 50).tolist() == [True] * 350 + [False]
+    for n in (0, 5, 31, 200):
+        mask = rng.random(n) < 0.9
+        want = [all(i + k < n and mask[i + k] for k in range(0, 31, 3)) for i in range(n)]
+        assert module._every_third(mask, 11).tolist() == want
+    keys = rng.integers(0, 40, (3000, 2)).astype(np.uint64)
+    # hashes that name the key, and such that differ in their lowest bits only
+    for h in ((keys[:, 0] * np.uint64(64) + keys[:, 1]) << np.uint64(50), keys[:, 0] * np.uint64(64) + keys[:, 1]):
+        order, head = grouped(h, keys)
+        assert sorted(order) == list(range(3000)) and head.sum() == len(np.unique(keys, axis=0))
+        assert (head[1:] == (keys[order][1:] != keys[order][:-1]).any(axis=1)).all()
+
+
 def test_empty_and_unique_tables(spark):
     for f in (lambda d: substring_dedup(d, 35), lambda d: suffix_dedup(d, 50)):
         assert f(table(spark, [])).collect() == []

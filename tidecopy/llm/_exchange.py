@@ -36,7 +36,7 @@ class Packed:
         group = np.cumsum(head) - 1
         self.slot = np.empty(len(keys), dtype=np.int64)
         self.slot[order] = group
-        self.keys, n = keys[order[head]], np.bincount(group, minlength=int(head.sum()))
+        self.keys, n = keys.take(order[head], axis=0), np.bincount(group, minlength=int(head.sum()))
         self.twice = n > 1
         # in the order of the first word's upper bits, so a bucket is a run
         self.cut = np.searchsorted(self.keys[:, 0] >> U64(40), (np.arange(buckets + 1, dtype=U64) << U64(24)) // U64(buckets))

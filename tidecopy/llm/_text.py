@@ -51,11 +51,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def differ(rows: np.ndarray) -> np.ndarray:
-    """For each row but the first: does it differ from the one before?"""
-    out = rows[1:, 0] != rows[:-1, 0]
-    for k in range(1, rows.shape[1]):      # many times as fast as any() along a short axis
-        out |= rows[1:, k] != rows[:-1, k]
+def unlike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each row of ``a``: does it differ from that of ``b``?"""
+    out = a[:, 0] != b[:, 0]
+    for k in range(1, a.shape[1]):      # many times as fast as any() along a short axis
+        out |= a[:, k] != b[:, k]
     return out
 
 
@@ -69,14 +69,14 @@ def grouped(h: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     packed.sort()
     order = (packed & low).astype(np.int64)
     top = packed >> bits
-    s = keys[order]
     head = np.ones(n, dtype=bool)
-    head[1:] = differ(s)
-    mixed = np.flatnonzero(head[1:] & (top[1:] == top[:-1])) + 1
+    near = np.flatnonzero(top[1:] == top[:-1]) + 1      # only these can be equal
+    head[near] = apart = unlike(keys.take(order[near], axis=0), keys.take(order[near - 1], axis=0))
+    mixed = near[apart]
     for t in np.unique(top[mixed]).tolist():      # rare: different keys that agree in the upper bits
         a, b = np.searchsorted(top, np.array([t, t + 1], dtype=U64))
         order[a:b] = order[a:b][np.lexsort((*keys[order[a:b]].T, h[order[a:b]]))]
-        head[a + 1:b] = differ(keys[order[a:b]])
+        head[a + 1:b] = unlike(keys[order[a + 1:b]], keys[order[a:b - 1]])
     return order, head
 
 

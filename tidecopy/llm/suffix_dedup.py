@@ -151,6 +151,24 @@ def words_at(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def _same_strings(data: np.ndarray, one: np.ndarray, two: np.ndarray, length: int) -> np.ndarray:
+    """For each pair of places, the first ones ascending: is the string of ``length`` bytes the same?
+
+    In a run of places, each one byte after the one before on both sides, the strings overlap:
+    the first 8 bytes of each and all of the last's are all bytes of the run's strings."""
+    word = words_at(data)
+    steps = [*range(0, length - 8, 8), length - 8]
+    same = word[one] == word[two]
+    last = np.ones(len(one), dtype=bool)
+    last[:-1] = (one[1:] != one[:-1] + 1) | (two[1:] != two[:-1] + 1)
+    last = np.flatnonzero(last)
+    if same.all() and all((word[one[last] + k] == word[two[last] + k]).all() for k in steps):
+        return same
+    for k in steps:
+        same &= word[one + k] == word[two + k]
+    return same
+
+
 def least_docs(data: np.ndarray, off: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """The places of whole ``length``-byte strings, and whether their region's document is the least
     of those that hold the same string here."""
@@ -159,22 +177,22 @@ def least_docs(data: np.ndarray, off: np.ndarray, doc: np.ndarray, length: int)
         return at, np.zeros(0, bool)
     h = window_hashes(_BYTE[data], length)[at]
     order, head = grouped(h, h[:, None])
+    several = ~head                 # of the groups of two or more: the others' strings stand once
+    several[:-1] |= several[1:]
+    order, head = order[several], head[several]
     # every place against the first of its group, in the order of the text
-    first = np.empty(len(at), dtype=np.int64)
-    first[order] = order[np.flatnonzero(head)][np.cumsum(head) - 1]
+    first = np.arange(len(at))
+    first[order] = order[head][np.cumsum(head) - 1]
     again = np.flatnonzero(first != np.arange(len(at)))
-    word, one, two = words_at(data), at[again], at[first[again]]
-    differ = np.zeros(len(again), dtype=bool)
-    for k in {*range(0, length - 7, 8), length - 8}:
-        differ |= word[one + k] != word[two + k]
-    for x in np.unique(h[again[differ]]):      # rare: different strings of one hash
+    for x in np.unique(h[again[~_same_strings(data, at[again], at[first[again]], length)]]):      # rare: different strings of one hash
         a, b = (np.searchsorted(h[order], x, side) for side in ("left", "right"))
         text = {int(i): data[at[i]:at[i] + length].tobytes() for i in order[a:b]}
         order[a:b] = sorted(text, key=text.get)
         head[a + 1:b] = [text[int(i)] != text[int(j)] for i, j in zip(order[a:b - 1], order[a + 1:b])]
-    own = doc[np.repeat(np.arange(len(off) - 1), np.diff(off))[at]]
-    least = np.empty(len(at), dtype=bool)
-    least[order] = own[order] == np.minimum.reduceat(own[order], np.flatnonzero(head))[np.cumsum(head) - 1]
+    least = np.ones(len(at), dtype=bool)
+    if len(order):
+        own = doc[np.repeat(np.arange(len(off) - 1, dtype=np.int32), np.diff(off))[at[order]]]
+        least[order] = own == np.minimum.reduceat(own, np.flatnonzero(head))[np.cumsum(head) - 1]
     return at, least
 
 
@@ -261,6 +279,17 @@ class Plan:
         return sum(np.dtype(c).itemsize for c in self.columns(step))
 
 
+def _every_third(mask: np.ndarray, count: int) -> np.ndarray:
+    """Is ``mask`` set at a place and at every third one after it, ``count`` places in all?"""
+    out, have = mask.copy(), 1
+    while have < count:
+        more = min(have, count - have)
+        out[:-3 * more] &= out[3 * more:]
+        out[-3 * more:] = False
+        have += more
+    return out
+
+
 class Block:
     """A block's regions; every ``length``-byte string of a region is one to be looked up."""
 
@@ -286,7 +315,7 @@ class Block:
         """Every position's name of a step (0: no other block has its key, or no key)."""
         (_, at, keys), = self.keys(step)
         k = Keyed(keys, self.plan.buckets)
-        names = np.zeros(len(k.keys), dtype=U64)
+        names = np.zeros(k.cut[-1], dtype=U64)
         for a in self.row[f"a_{step}"] or []:
             names[k.cut[a["bucket"]]:k.cut[a["bucket"] + 1]] = np.frombuffer(a["y"], self.plan.name)
         full = np.zeros(len(self.data), dtype=U64)
@@ -300,10 +329,8 @@ class Block:
             return [(0, at, np.stack([self.word[at], self.word[at + 8]], axis=1))]
         if step == "triple":
             name = self.names("char")
-            at = np.flatnonzero((self.residue != 0) & (self.left >= SPAN))
             # an equal triple elsewhere has all names of this residue in its span
-            for k in range(0, SPAN - CHAR + 1, 3):
-                at = at[name[at + k] != 0]
+            at = np.flatnonzero((self.residue != 0) & (self.left >= SPAN) & _every_third(name != 0, (SPAN - CHAR) // 3 + 1))
             return [(0, at, np.stack([name[at + k * (CHAR - 1)] for k in range(3)], axis=1))]
         name = self.names("triple")
         i = np.flatnonzero(self.left >= self.plan.length)
@@ -318,16 +345,26 @@ class Block:
 class Keyed:
     """Distinct keys in the order of a hash, cut into buckets."""
 
-    def __init__(self, keys: np.ndarray, buckets: int, low: np.ndarray | None = None):
+    def __init__(self, keys: np.ndarray, buckets: int):
         h = _hash(keys)
-        order, head = grouped(h, keys)
-        group = np.cumsum(head) - 1
-        self.slot = np.empty(len(keys), dtype=np.int64)
-        self.slot[order] = group
-        at = np.flatnonzero(head)
-        self.keys = keys[order[at]]
-        self.low = np.minimum.reduceat(low[order], at) if low is not None and len(at) else np.zeros(0, U64)
-        self.cut = np.searchsorted(h[order[at]] >> U64(40), (np.arange(buckets + 1, dtype=U64) << U64(24)) // U64(buckets))
+        self.order, self.head = grouped(h, keys)
+        self.all = keys
+        self.cut = np.searchsorted(h[self.order[self.head]] >> U64(40), (np.arange(buckets + 1, dtype=U64) << U64(24)) // U64(buckets))
+
+    @property
+    def keys(self) -> np.ndarray:
+        return self.all.take(self.order[self.head], axis=0)
+
+    @property
+    def slot(self) -> np.ndarray:
+        """The place of each position's key among the distinct ones."""
+        out = np.empty(len(self.order), dtype=np.int32)
+        out[self.order] = np.cumsum(self.head, dtype=np.int32) - np.int32(1)
+        return out
+
+    def least(self, values: np.ndarray) -> np.ndarray:
+        """The least of the positions' values, for each distinct key."""
+        return np.minimum.reduceat(values[self.order], np.flatnonzero(self.head)) if len(values) else values
 
 
 def _hash(keys: np.ndarray) -> np.ndarray:
@@ -345,8 +382,10 @@ def _send(step: str, plan: Plan):
             for row in batch.to_pylist():
                 b = Block(row, plan)
                 for d, at, keys in b.keys(step):
-                    k = Keyed(keys, plan.buckets, b.doc[b.region[at]] if step == "merge" else None)
-                    values = [*k.keys.T, k.low][:len(columns)]
+                    k = Keyed(keys, plan.buckets)
+                    values = [*k.keys.T]
+                    if step == "merge":
+                        values.append(k.least(b.doc[b.region[at]]))
                     some = np.flatnonzero(np.diff(k.cut))
                     x = [b"".join(v[k.cut[i]:k.cut[i + 1]].astype(c).tobytes() for v, c in zip(values, columns)) for i in some]
                     yield pa.RecordBatch.from_arrays(
@@ -400,7 +439,7 @@ def _removed(plan: Plan):
                 gone = np.zeros(len(b.data), dtype=bool)
                 for d, at, keys in b.keys("merge"):
                     k = Keyed(keys, plan.buckets)
-                    smaller = np.zeros(len(k.keys), dtype=bool)
+                    smaller = np.zeros(k.cut[-1], dtype=bool)
                     for a in row["a_merge"]:
                         i = a["bucket"] - d * plan.buckets
                         if 0 <= i < plan.buckets:
